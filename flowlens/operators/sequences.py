@@ -138,7 +138,11 @@ def failure_bursts(df: DataFrame, key: str, ts: str, arrival: str, fail: Column,
     out_schema = T.StructType([
         T.StructField(key, key_type), T.StructField("_head", T.LongType()),
         T.StructField("_last", T.LongType()), T.StructField("n_fails", T.LongType())])
-    bursts = seg_rows.groupBy(key, "_su", "_sa").applyInPandas(
+    # only segments with enough fails can report; the fold never sees the rest
+    seg_win = Window.partitionBy(key, "_su", "_sa")
+    candidates = (seg_rows.withColumn("_nf", F.sum(F.col("_fail").cast("int")).over(seg_win))
+                          .filter(F.col("_nf") >= min_fails).drop("_nf"))
+    bursts = candidates.groupBy(key, "_su", "_sa").applyInPandas(
         _burst_fold(w_us, min_fails, key), out_schema)
     a, b, c = BURST_MESSAGE
     return bursts.select(
