@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from ..functions.time import duration_us, floor_div
 from .scan import running_agg
-from .windows import pane_index, window_ends, window_geometry
+from .windows import count_runs, delta_rows, expand_runs, pane_index, window_geometry
 
 TICK_US = 1_000  # the reference engine's time unit (1 ms)
 
@@ -46,28 +46,47 @@ def split_late(df: DataFrame, ts: str, size, slide, lateness) -> tuple[DataFrame
     return df.filter(~is_late), df.filter(is_late)
 
 
+def _ranges(accepted: DataFrame, ts: str, keys: Sequence[str], size, slide, lateness
+            ) -> tuple[DataFrame, int, int]:
+    """Per accepted row, the window-end index ranges it counts in: kept
+    windows [lo_keep, hi] and on-time windows [lo_on, hi] (both suffixes of
+    the row's windows), pre-counted per distinct (keys, lo_keep, lo_on, hi)."""
+    size_us, slide_us, n = window_geometry(size, slide)
+    late_us = duration_us(lateness)
+    p = pane_index(F.col(ts), slide_us)
+    wm = F.unix_micros("watermark")
+    first = p + 1
+    keep_min = floor_div(wm + TICK_US - late_us, slide_us) + 1
+    on_min = floor_div(wm + TICK_US, slide_us) + 1
+    r = accepted.select(*keys,
+                        F.greatest(first, F.coalesce(keep_min, first)).alias("_lo_keep"),
+                        F.greatest(first, F.coalesce(on_min, first)).alias("_lo_on"),
+                        (p + n).alias("_hi"))
+    return r.groupBy(*keys, "_lo_keep", "_lo_on", "_hi").agg(F.count(F.lit(1)).alias("_c")), slide_us, n
+
+
 def late_corrections(accepted: DataFrame, ts: str, keys: Sequence[str], size, slide,
                      lateness, count_col: str = "cnt") -> DataFrame:
     """Per (keys, window): count at the on-time firing and final count after
     late updates; only windows that a late row changed."""
-    late_us = duration_us(lateness)
-    w = window_ends(accepted.select(*keys, ts, "watermark"), ts, size, slide)
-    end_us = F.unix_micros("window_end") - TICK_US
-    wm = F.unix_micros("watermark")
-    on_time = F.coalesce(end_us > wm, F.lit(True))
-    kept = F.coalesce(end_us + late_us > wm, F.lit(True))
-    agg = (w.filter(kept).groupBy(*keys, "window_start", "window_end")
-            .agg(F.sum(on_time.cast("long")).alias("on_time_" + count_col),
-                 F.count(F.lit(1)).alias("final_" + count_col)))
-    return agg.filter(F.col("final_" + count_col) > F.col("on_time_" + count_col))
+    keys = list(keys)
+    ranges, slide_us, n = _ranges(accepted, ts, keys, size, slide, lateness)
+    fin, on = "final_" + count_col, "on_time_" + count_col
+    zero = F.lit(0).cast("long")
+    deltas = delta_rows(ranges, keys, F.col("_lo_keep"), F.col("_hi"),
+                        {fin: F.col("_c"), on: zero}).unionByName(
+             delta_rows(ranges, keys, F.col("_lo_on"), F.col("_hi"),
+                        {fin: zero, on: F.col("_c")}))
+    runs = count_runs(deltas, keys, [fin, on]).filter(F.col(fin) > F.col(on))
+    out = expand_runs(runs, keys, slide_us, n, [on, fin])
+    return out.select(*keys, "window_start", "window_end", on, fin)
 
 
 def final_counts(accepted: DataFrame, ts: str, keys: Sequence[str], size, slide,
                  lateness, count_col: str = "cnt") -> DataFrame:
     """Per (keys, window) the last reported (accumulated) count."""
-    late_us = duration_us(lateness)
-    w = window_ends(accepted.select(*keys, ts, "watermark"), ts, size, slide)
-    kept = F.coalesce(F.unix_micros("window_end") - TICK_US + late_us > F.unix_micros("watermark"),
-                      F.lit(True))
-    return (w.filter(kept).groupBy(*keys, "window_start", "window_end")
-             .agg(F.count(F.lit(1)).alias(count_col)))
+    keys = list(keys)
+    ranges, slide_us, n = _ranges(accepted, ts, keys, size, slide, lateness)
+    runs = count_runs(delta_rows(ranges, keys, F.col("_lo_keep"), F.col("_hi"),
+                                 {count_col: F.col("_c")}), keys, [count_col])
+    return expand_runs(runs, keys, slide_us, n, [count_col])

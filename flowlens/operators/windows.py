@@ -1,18 +1,20 @@
 """Tumbling and sliding event-time window counts.
 
-Batch sliding windows use a *pane roll-up* instead of ``F.window``'s
-per-row expansion: rows are first counted per (key, pane) where a pane is one
-slide long (partial + final hash aggregate, so a hot key is spread over its
-panes), then each pane count is fanned out to the size/slide windows that
-contain it and summed.  The fan-out runs on pane counts, not on rows, so a
-1 h / 5 s window costs 720 x panes instead of 720 x events.
+Batch sliding windows avoid ``F.window``'s per-row expansion (720 copies of
+every event for 1 h / 5 s).  Rows are first counted per (key, pane), a pane
+being one slide long (partial + final hash aggregate, so a hot key is spread
+over its panes).  A pane contributes to the contiguous range of window ends
+[pane+1, pane+size/slide], so the count of a window only changes where a pane
+enters or leaves: pane counts become +/- deltas, one sorted running sum per
+key turns them into runs of constant count, and individual windows are
+materialised from the runs only where the output needs them.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.time import duration_us, floor_div
@@ -39,13 +41,47 @@ def _bounds(end_idx: Column, slide_us: int, n: int) -> list[Column]:
             F.timestamp_micros(end_idx * slide_us).alias("window_end")]
 
 
+def delta_rows(df: DataFrame, keys: Sequence[str], lo: Column, hi: Column,
+               weights: dict[str, Column]) -> DataFrame:
+    """Each row adds its weights to every window-end index in [lo, hi]:
+    +w at lo and -w at hi + 1 (rows with lo > hi add nothing)."""
+    x = df.filter(lo <= hi)
+    plus = x.select(*keys, lo.alias("_pos"), *[w.alias(n) for n, w in weights.items()])
+    minus = x.select(*keys, (hi + 1).alias("_pos"), *[(-w).alias(n) for n, w in weights.items()])
+    return plus.unionByName(minus)
+
+
+def count_runs(deltas: DataFrame, keys: Sequence[str], names: Sequence[str]) -> DataFrame:
+    """Window-end ranges [_from, _to] of constant totals, per key.
+
+    Deltas are combined per (key, position) with a partial aggregate, then one
+    sorted pass per key yields the running totals and the next change point.
+    A key's pass holds one row per change point — at most two per pane — so
+    its size is bounded by time span / slide, not by the number of events.
+    """
+    combined = deltas.groupBy(*keys, "_pos").agg(*[F.sum(n).alias(n) for n in names])
+    win = Window.partitionBy(*keys).orderBy("_pos")
+    upto = win.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    runs = combined.select(*keys, F.col("_pos").alias("_from"),
+                           (F.lead("_pos").over(win) - 1).alias("_to"),
+                           *[F.sum(n).over(upto).alias(n) for n in names])
+    nonzero = F.lit(False)
+    for n in names:
+        nonzero = nonzero | (F.col(n) != 0)
+    return runs.filter(F.col("_to").isNotNull() & nonzero)
+
+
 def windowed_count(df: DataFrame, ts: str, size, slide=None,
                    keys: Sequence[str] | str = (), count_col: str = "cnt",
-                   method: str = "panes") -> DataFrame:
+                   method: str = "runs") -> DataFrame:
     """Count rows per (keys, window).  Output: keys, window_start, window_end, cnt.
 
     Only windows holding at least one row are emitted, as in the reference.
-    ``method='direct'`` uses ``F.window`` (row expansion), kept for comparison.
+    ``method``: 'runs' (default) — pane counts become +/- deltas at the first
+    and one-past-last window that holds the pane, a running sum per key gives
+    constant-count runs, and windows are expanded from runs only at the end;
+    'fanout' — each pane count is copied to its size/slide windows and summed;
+    'direct' — ``F.window`` (per-row expansion), for comparison.
     """
     keys = _keys(keys)
     size_us, slide_us, n = window_geometry(size, slide)
@@ -60,10 +96,36 @@ def windowed_count(df: DataFrame, ts: str, size, slide=None,
         end_idx = F.col("_pane") + 1
         return panes.select(*keys, *_bounds(end_idx, slide_us, 1),
                             F.col("_c").alias(count_col))
-    fanned = panes.select(
-        *keys, F.explode(F.sequence(F.col("_pane") + 1, F.col("_pane") + n)).alias("_e"), "_c")
-    summed = fanned.groupBy(*keys, "_e").agg(F.sum("_c").alias(count_col))
-    return summed.select(*keys, *_bounds(F.col("_e"), slide_us, n), count_col)
+    if method == "fanout":
+        fanned = panes.select(
+            *keys, F.explode(F.sequence(F.col("_pane") + 1, F.col("_pane") + n)).alias("_e"), "_c")
+        summed = fanned.groupBy(*keys, "_e").agg(F.sum("_c").alias(count_col))
+        return summed.select(*keys, *_bounds(F.col("_e"), slide_us, n), count_col)
+    runs = count_runs(delta_rows(panes, keys, F.col("_pane") + 1, F.col("_pane") + n,
+                                 {count_col: F.col("_c")}), keys, [count_col])
+    return expand_runs(runs, keys, slide_us, n, [count_col])
+
+
+def expand_runs(runs: DataFrame, keys: Sequence[str], slide_us: int, n: int,
+                names: Sequence[str]) -> DataFrame:
+    e = runs.select(*keys, F.explode(F.sequence("_from", "_to")).alias("_e"), *names)
+    return e.select(*keys, *_bounds(F.col("_e"), slide_us, n), *names)
+
+
+def window_count_profile(df: DataFrame, ts: str, size, slide=None,
+                         keys: Sequence[str] | str = ()) -> DataFrame:
+    """Per key: number of non-empty windows, largest window count and the sum
+    of squared counts — computed from the runs, without expanding windows."""
+    keys = _keys(keys)
+    size_us, slide_us, n = window_geometry(size, slide)
+    panes = (df.groupBy(*keys, pane_index(F.col(ts), slide_us).alias("_pane"))
+               .agg(F.count(F.lit(1)).alias("_c")))
+    runs = count_runs(delta_rows(panes, keys, F.col("_pane") + 1, F.col("_pane") + n,
+                                 {"cnt": F.col("_c")}), keys, ["cnt"])
+    length = F.col("_to") - F.col("_from") + 1
+    return runs.groupBy(*keys).agg(
+        F.sum(length).alias("n_windows"), F.max("cnt").alias("max_cnt"),
+        F.sum(length * F.col("cnt") * F.col("cnt")).alias("sum_sq_cnt"))
 
 
 def window_ends(df: DataFrame, ts: str, size, slide=None) -> DataFrame:

@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from ..functions.hashing import poly_hash
 from ..functions.time import epoch_ms
 from ..operators import approx_unique_visitors, frequency_cap, windowed_count
+from ..operators.windows import window_count_profile
 from ..sources.files import parse_access_log, parse_behavior_lines
 from ..sources.tables import load_table
 from . import adapters as A
@@ -196,11 +197,6 @@ def market_total(spark, d):
     return J.marketing_total(A.marketing(_ev(spark, d)), slide="15 minutes", uninstall=A.UNINSTALL)
 
 
-def _summary(df: DataFrame, keys: list[str]) -> DataFrame:
-    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_windows"), F.max("cnt").alias("max_cnt"),
-                                 F.sum(F.col("cnt") * F.col("cnt")).alias("sum_sq_cnt"))
-
-
 _SUMMARY_SQL = ("count(*) AS n_windows, max(cnt) AS max_cnt, "
                 "CAST(sum(cnt * cnt) AS BIGINT) AS sum_sq_cnt")
 
@@ -210,8 +206,7 @@ WITH c AS ({_sliding_sql(_MARKET_SRC, 'channel, behavior', 5000000, 720)})
 SELECT channel, behavior, {_SUMMARY_SQL} FROM c GROUP BY channel, behavior""")
 def market_by_channel_5s(spark, d):
     m = A.marketing(_ev(spark, d)).filter(F.col("behavior") != A.UNINSTALL)
-    c = windowed_count(m, "ts", "1 hour", "5 seconds", keys=["channel", "behavior"])
-    return _summary(c, ["channel", "behavior"])
+    return window_count_profile(m, "ts", "1 hour", "5 seconds", keys=["channel", "behavior"])
 
 
 @query("market_total_5s", f"""
@@ -219,7 +214,7 @@ WITH c AS ({_sliding_sql(_MARKET_SRC, '', 5000000, 720)})
 SELECT {_SUMMARY_SQL} FROM c""")
 def market_total_5s(spark, d):
     m = A.marketing(_ev(spark, d)).filter(F.col("behavior") != A.UNINSTALL)
-    return _summary(windowed_count(m, "ts", "1 hour", "5 seconds"), [])
+    return window_count_profile(m, "ts", "1 hour", "5 seconds")
 
 
 # ---------------------------------------------------------------- J9 / B1 / B2
@@ -270,9 +265,8 @@ SELECT province, {_SUMMARY_SQL} FROM c GROUP BY province""")
 def ad_counts_by_province_5s(spark, d):
     c = A.ad_clicks(_ev(spark, d), _t(spark, d, "customer"), _t(spark, d, "nation"))
     passed, _ = frequency_cap(c, ["user_id", "ad_id"], [F.col("ts"), F.col("event_id")], 2)
-    counts = windowed_count(passed.select("province", "ts"), "ts", "1 hour", "5 seconds",
-                            keys=["province"])
-    return _summary(counts, ["province"])
+    return window_count_profile(passed.select("province", "ts"), "ts", "1 hour", "5 seconds",
+                                keys=["province"])
 
 
 # ---------------------------------------------------------------- J10 / C1 / C3
