@@ -73,10 +73,9 @@ def late_corrections(accepted: DataFrame, ts: str, keys: Sequence[str], size, sl
     ranges, slide_us, n = _ranges(accepted, ts, keys, size, slide, lateness)
     fin, on = "final_" + count_col, "on_time_" + count_col
     zero = F.lit(0).cast("long")
-    deltas = delta_rows(ranges, keys, F.col("_lo_keep"), F.col("_hi"),
-                        {fin: F.col("_c"), on: zero}).unionByName(
-             delta_rows(ranges, keys, F.col("_lo_on"), F.col("_hi"),
-                        {fin: zero, on: F.col("_c")}))
+    deltas = delta_rows(ranges, keys, [
+        (F.col("_lo_keep"), F.col("_hi"), {fin: F.col("_c"), on: zero}),
+        (F.col("_lo_on"), F.col("_hi"), {fin: zero, on: F.col("_c")})])
     runs = count_runs(deltas, keys, [fin, on]).filter(F.col(fin) > F.col(on))
     out = expand_runs(runs, keys, slide_us, n, [on, fin])
     return out.select(*keys, "window_start", "window_end", on, fin)
@@ -87,6 +86,6 @@ def final_counts(accepted: DataFrame, ts: str, keys: Sequence[str], size, slide,
     """Per (keys, window) the last reported (accumulated) count."""
     keys = list(keys)
     ranges, slide_us, n = _ranges(accepted, ts, keys, size, slide, lateness)
-    runs = count_runs(delta_rows(ranges, keys, F.col("_lo_keep"), F.col("_hi"),
-                                 {count_col: F.col("_c")}), keys, [count_col])
+    runs = count_runs(delta_rows(ranges, keys, [(F.col("_lo_keep"), F.col("_hi"),
+                                                 {count_col: F.col("_c")})]), keys, [count_col])
     return expand_runs(runs, keys, slide_us, n, [count_col])

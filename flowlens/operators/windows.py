@@ -41,34 +41,42 @@ def _bounds(end_idx: Column, slide_us: int, n: int) -> list[Column]:
             F.timestamp_micros(end_idx * slide_us).alias("window_end")]
 
 
-def delta_rows(df: DataFrame, keys: Sequence[str], lo: Column, hi: Column,
-               weights: dict[str, Column]) -> DataFrame:
-    """Each row adds its weights to every window-end index in [lo, hi]:
-    +w at lo and -w at hi + 1 (rows with lo > hi add nothing)."""
-    x = df.filter(lo <= hi)
-    plus = x.select(*keys, lo.alias("_pos"), *[w.alias(n) for n, w in weights.items()])
-    minus = x.select(*keys, (hi + 1).alias("_pos"), *[(-w).alias(n) for n, w in weights.items()])
-    return plus.unionByName(minus)
+def delta_rows(df: DataFrame, keys: Sequence[str],
+               specs: Sequence[tuple[Column, Column, dict[str, Column]]]) -> DataFrame:
+    """Each row adds, for every (lo, hi, weights) spec, its weights to every
+    window-end index in [lo, hi]: +w at lo and -w at hi + 1 (an empty range
+    adds nothing).  All deltas of a row come out of one ``explode``."""
+    names = list(specs[0][2])
+    entries = []
+    for lo, hi, weights in specs:
+        live = lo <= hi
+        def w(n, sign):
+            return F.when(live, weights[n] * sign).otherwise(F.lit(0)).cast("long").alias(n)
+        entries.append(F.struct(lo.alias("_pos"), *[w(n, 1) for n in names]))
+        entries.append(F.struct((hi + 1).alias("_pos"), *[w(n, -1) for n in names]))
+    d = df.select(*keys, F.explode(F.array(*entries)).alias("_d"))
+    return d.select(*keys, "_d._pos", *[F.col("_d." + n).alias(n) for n in names])
 
 
 def count_runs(deltas: DataFrame, keys: Sequence[str], names: Sequence[str]) -> DataFrame:
     """Window-end ranges [_from, _to] of constant totals, per key.
 
-    Deltas are combined per (key, position) with a partial aggregate, then one
-    sorted pass per key yields the running totals and the next change point.
-    A key's pass holds one row per change point — at most two per pane — so
-    its size is bounded by time span / slide, not by the number of events.
+    One sorted pass per key yields the running totals and the next change
+    point; of several deltas at one position only the last row of the
+    position spans a non-empty range.  A key's pass holds two rows per pane
+    (or per distinct late-row range), so its size is bounded by time span /
+    slide, not by the number of events; a hot key was already reduced to
+    panes by the partial aggregate.
     """
-    combined = deltas.groupBy(*keys, "_pos").agg(*[F.sum(n).alias(n) for n in names])
     win = Window.partitionBy(*keys).orderBy("_pos")
     upto = win.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    runs = combined.select(*keys, F.col("_pos").alias("_from"),
-                           (F.lead("_pos").over(win) - 1).alias("_to"),
-                           *[F.sum(n).over(upto).alias(n) for n in names])
+    runs = deltas.select(*keys, F.col("_pos").alias("_from"),
+                         (F.lead("_pos").over(win) - 1).alias("_to"),
+                         *[F.sum(n).over(upto).alias(n) for n in names])
     nonzero = F.lit(False)
     for n in names:
         nonzero = nonzero | (F.col(n) != 0)
-    return runs.filter(F.col("_to").isNotNull() & nonzero)
+    return runs.filter(F.col("_to").isNotNull() & (F.col("_to") >= F.col("_from")) & nonzero)
 
 
 def windowed_count(df: DataFrame, ts: str, size, slide=None,
@@ -101,8 +109,8 @@ def windowed_count(df: DataFrame, ts: str, size, slide=None,
             *keys, F.explode(F.sequence(F.col("_pane") + 1, F.col("_pane") + n)).alias("_e"), "_c")
         summed = fanned.groupBy(*keys, "_e").agg(F.sum("_c").alias(count_col))
         return summed.select(*keys, *_bounds(F.col("_e"), slide_us, n), count_col)
-    runs = count_runs(delta_rows(panes, keys, F.col("_pane") + 1, F.col("_pane") + n,
-                                 {count_col: F.col("_c")}), keys, [count_col])
+    runs = count_runs(delta_rows(panes, keys, [(F.col("_pane") + 1, F.col("_pane") + n,
+                                                {count_col: F.col("_c")})]), keys, [count_col])
     return expand_runs(runs, keys, slide_us, n, [count_col])
 
 
@@ -120,8 +128,8 @@ def window_count_profile(df: DataFrame, ts: str, size, slide=None,
     size_us, slide_us, n = window_geometry(size, slide)
     panes = (df.groupBy(*keys, pane_index(F.col(ts), slide_us).alias("_pane"))
                .agg(F.count(F.lit(1)).alias("_c")))
-    runs = count_runs(delta_rows(panes, keys, F.col("_pane") + 1, F.col("_pane") + n,
-                                 {"cnt": F.col("_c")}), keys, ["cnt"])
+    runs = count_runs(delta_rows(panes, keys, [(F.col("_pane") + 1, F.col("_pane") + n,
+                                                {"cnt": F.col("_c")})]), keys, ["cnt"])
     length = F.col("_to") - F.col("_from") + 1
     return runs.groupBy(*keys).agg(
         F.sum(length).alias("n_windows"), F.max("cnt").alias("max_cnt"),
