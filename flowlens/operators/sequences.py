@@ -16,19 +16,16 @@ success inside it cancels the burst; otherwise it is reported when it holds
 at least ``min_fails`` fails.  State is clean after every success and after
 every gap longer than w, so each key's sequence is cut into independent
 segments there (predecessor found with the same halo trick, segment ids via
-the block prefix scan); the small greedy fold runs per segment in
-``applyInPandas``.
+the block prefix scan); the small greedy fold runs per segment as a
+JVM-side ``aggregate`` over the segment's sorted events.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..functions.time import duration_us, floor_div
 from .scan import running_agg
@@ -80,35 +77,42 @@ def _duration_text(us: int) -> str:
     return f"{us // 1_000_000}s" if us % 1_000_000 == 0 else f"{us / 1_000_000:g}s"
 
 
-def _burst_fold(within_us: int, min_fails: int, key: str):
-    def fold(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["_us", "_arr"], kind="stable")
-        t = pdf["_us"].to_numpy(np.int64)
-        fail = pdf["_fail"].to_numpy(bool)
-        out_head, out_last, out_n = [], [], []
-        anchor = head = last = None
-        n = 0
-        for i in range(len(t)):
-            if anchor is not None and t[i] > anchor + within_us:
-                if n >= min_fails:
-                    out_head.append(head); out_last.append(last); out_n.append(n)
-                anchor = None
-                n = 0
-            if fail[i]:
-                if anchor is None:
-                    anchor = head = t[i]
-                    n = 0
-                n += 1
-                last = t[i]
-            else:
-                anchor = None
-                n = 0
-        if anchor is not None and n >= min_fails:
-            out_head.append(head); out_last.append(last); out_n.append(n)
-        k = pdf[key].iloc[0]
-        return pd.DataFrame({key: [k] * len(out_n), "_head": out_head,
-                             "_last": out_last, "n_fails": out_n})
-    return fold
+_BURST_T = "array<struct<h:bigint,l:bigint,n:bigint>>"
+
+
+def _burst_fold(events: Column, within_us: int, min_fails: int) -> Column:
+    """Greedy burst fold over one segment's events (array of
+    struct<_us, _arr, _fail> sorted by time, arrival), as a JVM-side
+    ``aggregate``; returns array<struct<h, l, n>> of reported bursts."""
+    init = F.struct(F.lit(None).cast("long").alias("anchor"), F.lit(0).cast("long").alias("n"),
+                    F.lit(None).cast("long").alias("head"), F.lit(None).cast("long").alias("last"),
+                    F.array().cast(_BURST_T).alias("out"))
+
+    def step(acc, x):
+        closed = acc["anchor"].isNotNull() & (x["_us"] > acc["anchor"] + within_us)
+        emit = closed & (acc["n"] >= min_fails)
+        out = F.when(emit, F.array_append(acc["out"], F.struct(
+            acc["head"].alias("h"), acc["last"].alias("l"), acc["n"].alias("n")))
+        ).otherwise(acc["out"])
+        anchor = F.when(closed, F.lit(None).cast("long")).otherwise(acc["anchor"])
+        n = F.when(closed, F.lit(0).cast("long")).otherwise(acc["n"])
+        head = F.when(closed, F.lit(None).cast("long")).otherwise(acc["head"])
+        fail = x["_fail"]
+        none = F.lit(None).cast("long")
+        return F.struct(
+            F.when(fail, F.coalesce(anchor, x["_us"])).otherwise(none).alias("anchor"),
+            F.when(fail, n + 1).otherwise(F.lit(0).cast("long")).alias("n"),
+            F.when(fail, F.when(anchor.isNull(), x["_us"]).otherwise(head)).otherwise(none).alias("head"),
+            F.when(fail, x["_us"]).otherwise(none).alias("last"),
+            out.alias("out"))
+
+    def finish(acc):
+        tail = acc["anchor"].isNotNull() & (acc["n"] >= min_fails)
+        return F.when(tail, F.array_append(acc["out"], F.struct(
+            acc["head"].alias("h"), acc["last"].alias("l"), acc["n"].alias("n")))
+        ).otherwise(acc["out"])
+
+    return F.aggregate(events, init, step, finish)
 
 
 def failure_bursts(df: DataFrame, key: str, ts: str, arrival: str, fail: Column,
@@ -134,16 +138,15 @@ def failure_bursts(df: DataFrame, key: str, ts: str, arrival: str, fail: Column,
                        block=F.col("_b"), fn="max")
     seg_rows = segs.select(key, F.col(arrival).alias("_arr"), "_us", "_fail",
                            F.col("_seg._us").alias("_su"), F.col("_seg").getField(arrival).alias("_sa"))
-    key_type = df.schema[key].dataType
-    out_schema = T.StructType([
-        T.StructField(key, key_type), T.StructField("_head", T.LongType()),
-        T.StructField("_last", T.LongType()), T.StructField("n_fails", T.LongType())])
     # only segments with enough fails can report; the fold never sees the rest
     seg_win = Window.partitionBy(key, "_su", "_sa")
     candidates = (seg_rows.withColumn("_nf", F.sum(F.col("_fail").cast("int")).over(seg_win))
                           .filter(F.col("_nf") >= min_fails).drop("_nf"))
-    bursts = candidates.groupBy(key, "_su", "_sa").applyInPandas(
-        _burst_fold(w_us, min_fails, key), out_schema)
+    per_seg = candidates.groupBy(key, "_su", "_sa").agg(
+        F.array_sort(F.collect_list(F.struct("_us", "_arr", "_fail"))).alias("_ev"))
+    bursts = per_seg.select(key, F.explode(_burst_fold(F.col("_ev"), w_us, min_fails)).alias("_b"))
+    bursts = bursts.select(key, F.col("_b.h").alias("_head"), F.col("_b.l").alias("_last"),
+                           F.col("_b.n").alias("n_fails"))
     a, b, c = BURST_MESSAGE
     return bursts.select(
         key, F.timestamp_micros("_head").alias("first_fail"),
