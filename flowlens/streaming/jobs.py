@@ -111,3 +111,54 @@ def stream_login_pattern(logins: DataFrame, within="2 seconds", bound="3 seconds
                   .transformWithState(
                       SequenceMatchProcessor(duration_us(within) // 1000, fail_value),
                       SequenceMatchProcessor.OUTPUT, "append", "EventTime"))
+
+
+def stream_hot_urls(log: DataFrame, size="10 minutes", slide="5 seconds", bound="1 second",
+                    lateness="60 seconds", static_mode: str = "segment") -> DataFrame:
+    """J2 (stream): finalized (window, url) counts.  The watermark delay is the
+    out-of-orderness bound plus the allowed lateness, so every window is
+    released once, with the accumulated count a late re-firing would reach;
+    rank with ``top_n_writer`` and store with ``sinks.upsert_by_window``."""
+    from ..operators.filters import not_static
+    rows = log.filter(not_static("url", static_mode)).select("url", "ts")
+    delay = duration_us(bound) + duration_us(lateness)
+    return stream_windowed_count(rows, "ts", size, slide, keys=["url"], delay=delay)
+
+
+def late_rows_writer(state_path: str, sink: Callable[[DataFrame, int], None], size="10 minutes",
+                     slide="5 seconds", bound="1 second", lateness="60 seconds"
+                     ) -> Callable[[DataFrame, int], None]:
+    """L2 (stream) as a foreachBatch writer: rows whose every window is already
+    closed for the watermark of the previous batches (max event time seen
+    before this batch minus the bound) go to ``sink``.
+
+    The running max event time is one number per batch, stored under
+    ``state_path`` keyed by batch id, so a replayed batch reads the same
+    watermark and rewrites the same record.
+    """
+    from ..operators.lateness import TICK_US
+    from ..operators.windows import pane_index, window_geometry
+    size_us, slide_us, _ = window_geometry(size, slide)
+    bound_us, late_us = duration_us(bound), duration_us(lateness)
+
+    def previous_max(spark, batch_id):
+        try:
+            prev = (spark.read.parquet(state_path).filter(F.col("batch_id") < batch_id)
+                         .agg(F.max("max_us")).collect()[0][0])
+        except Exception:  # noqa: BLE001 - no state written yet
+            prev = None
+        return prev
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        prev = previous_max(spark, batch_id)
+        if prev is not None:
+            latest_end = pane_index(F.col("ts"), slide_us) * slide_us + size_us
+            late = batch.filter(latest_end - TICK_US + late_us <= F.lit(prev - bound_us))
+            sink(late, batch_id)
+        cur = batch.agg(F.max(F.unix_micros("ts"))).collect()[0][0]
+        seen = [v for v in (prev, cur) if v is not None]
+        if seen:
+            (spark.createDataFrame([(batch_id, max(seen))], "batch_id long, max_us long")
+                  .write.mode("overwrite").parquet(f"{state_path}/batch={batch_id}"))
+    return write
