@@ -43,16 +43,19 @@ def marketing(ev: DataFrame) -> DataFrame:
                     "ts")
 
 
-def ad_clicks(ev: DataFrame, customer: DataFrame, nation: DataFrame) -> DataFrame:
-    """Clicks with the customer's nation as province.  The dimension join is
-    left to Catalyst/AQE: it broadcasts only below the measured size
-    threshold and falls back to a shuffle join otherwise."""
+def ad_clicks(ev: DataFrame) -> DataFrame:
+    """Clicks keyed by (user, ad); the province is attached separately."""
+    return with_event_time(ev).select("event_id", "user_id", F.col("event_type").alias("ad_id"), "ts")
+
+
+def with_province(clicks: DataFrame, customer: DataFrame, nation: DataFrame) -> DataFrame:
+    """Adds the customer's nation as province ('unknown' without a customer).
+    The dimension join is left to Catalyst/AQE: it broadcasts only below the
+    measured size threshold and keeps a shuffle join otherwise."""
     prov = customer.join(nation, customer.c_nationkey == nation.n_nationkey).select(
         F.col("c_custkey").alias("user_id"), F.col("n_name").alias("province"))
-    e = with_event_time(ev).select("event_id", "user_id", "event_type", "ts")
-    return (e.join(prov, "user_id", "left")
-             .select("event_id", "user_id", F.col("event_type").alias("ad_id"),
-                     F.coalesce("province", F.lit("unknown")).alias("province"), "ts"))
+    return (clicks.join(prov, "user_id", "left")
+                  .withColumn("province", F.coalesce("province", F.lit("unknown"))))
 
 
 def logins(ev: DataFrame) -> DataFrame:

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.hashing import poly_hash
-from ..functions.time import epoch_ms
+from ..functions.time import epoch_ms, java_timestamp_string
 from ..operators import approx_unique_visitors, frequency_cap, windowed_count
 from ..operators.windows import window_count_profile
 from ..sources.files import parse_access_log, parse_behavior_lines
@@ -229,7 +229,7 @@ r AS (SELECT e.*, strftime(ts, '%Y-%m-%d') AS day,
 WITH {_CAP_SQL}
 SELECT event_id, user_id, event_type AS ad_id, day FROM r WHERE n <= 2""")
 def frequency_pass(spark, d):
-    c = A.ad_clicks(_ev(spark, d), _t(spark, d, "customer"), _t(spark, d, "nation"))
+    c = A.ad_clicks(_ev(spark, d))
     passed, _ = frequency_cap(c, ["user_id", "ad_id"], [F.col("ts"), F.col("event_id")], 2)
     return passed.select("event_id", "user_id", "ad_id", "day")
 
@@ -238,7 +238,7 @@ def frequency_pass(spark, d):
 WITH {_CAP_SQL}
 SELECT user_id, event_type AS ad_id, day, 'click over 2 times today' AS msg FROM r WHERE n = 3""")
 def frequency_warn(spark, d):
-    c = A.ad_clicks(_ev(spark, d), _t(spark, d, "customer"), _t(spark, d, "nation"))
+    c = A.ad_clicks(_ev(spark, d))
     _, warnings = frequency_cap(c, ["user_id", "ad_id"], [F.col("ts"), F.col("event_id")], 2)
     return warnings
 
@@ -254,18 +254,25 @@ p AS (SELECT coalesce(prov.n_name, 'unknown') AS province, r.ts
 c AS ({_sliding_sql('p', 'province', 900000000, 4)})
 SELECT province, {_java_ts('e * 900000000')} AS window_end, cnt FROM c""")
 def ad_counts_by_province(spark, d):
-    c = A.ad_clicks(_ev(spark, d), _t(spark, d, "customer"), _t(spark, d, "nation"))
-    counts, _ = J.ad_clicks_by_province(c, "event_id", max_count=2, slide="15 minutes")
-    return counts
+    # J9 with the cap applied before the province join: only passed clicks
+    # are joined, and the cap does not depend on the province
+    passed, _ = frequency_cap(A.ad_clicks(_ev(spark, d)), ["user_id", "ad_id"],
+                              [F.col("ts"), F.col("event_id")], 2)
+    located = A.with_province(passed, _t(spark, d, "customer"), _t(spark, d, "nation"))
+    counts = windowed_count(located.select("province", "ts"), "ts", "1 hour", "15 minutes",
+                            keys=["province"])
+    return counts.select("province", java_timestamp_string(F.col("window_end")).alias("window_end"),
+                         "cnt")
 
 
 @query("ad_counts_by_province_5s", _PROV_SQL + f""",
 c AS ({_sliding_sql('p', 'province', 5000000, 720)})
 SELECT province, {_SUMMARY_SQL} FROM c GROUP BY province""")
 def ad_counts_by_province_5s(spark, d):
-    c = A.ad_clicks(_ev(spark, d), _t(spark, d, "customer"), _t(spark, d, "nation"))
-    passed, _ = frequency_cap(c, ["user_id", "ad_id"], [F.col("ts"), F.col("event_id")], 2)
-    return window_count_profile(passed.select("province", "ts"), "ts", "1 hour", "5 seconds",
+    passed, _ = frequency_cap(A.ad_clicks(_ev(spark, d)), ["user_id", "ad_id"],
+                              [F.col("ts"), F.col("event_id")], 2)
+    located = A.with_province(passed, _t(spark, d, "customer"), _t(spark, d, "nation"))
+    return window_count_profile(located.select("province", "ts"), "ts", "1 hour", "5 seconds",
                                 keys=["province"])
 
 
