@@ -28,11 +28,15 @@ TICK_US = 1_000  # the reference engine's time unit (1 ms)
 
 
 def with_watermark(df: DataFrame, ts: str, arrival_order: Sequence[Column], bound,
-                   arrival_block: Column) -> DataFrame:
-    """Adds ``watermark`` (instant; null before the first arrival)."""
+                   arrival_block: Column, outer_blocks: Sequence[Column] = ()) -> DataFrame:
+    """Adds ``watermark`` (instant; null before the first arrival).
+
+    ``arrival_block`` (and optional coarser ``outer_blocks``) must grow with
+    the arrival order; they bound the per-task share of the global scan."""
     b_us = duration_us(bound)
     out = running_agg(df, [], list(arrival_order), F.unix_micros(F.col(ts)), "_maxprev",
-                      block=arrival_block, fn="max", inclusive=False)
+                      block=arrival_block, fn="max", inclusive=False,
+                      outer_blocks=outer_blocks)
     return out.withColumn("watermark", F.timestamp_micros(F.col("_maxprev") - b_us)).drop("_maxprev")
 
 

@@ -34,7 +34,8 @@ def hot_items_report(ranked: DataFrame) -> DataFrame:
 
 def hot_urls(log: DataFrame, arrival_us: str, tiebreak: str, n: int = 5, size="10 minutes",
              slide="5 seconds", bound="1 second", lateness="60 seconds",
-             static_mode: str = "segment", arrival_block_us: int = 3_600_000_000
+             static_mode: str = "segment", arrival_block_us: int = 1_000_000,
+             arrival_outer_block_us: int = 3_600_000_000
              ) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(final top-n per window, late side output, re-fired windows).
 
@@ -44,7 +45,8 @@ def hot_urls(log: DataFrame, arrival_us: str, tiebreak: str, n: int = 5, size="1
     """
     rows = log.filter(not_static("url", static_mode))
     wm = with_watermark(rows, "ts", [F.col(arrival_us), F.col(tiebreak)], bound,
-                        floor_div(F.col(arrival_us), arrival_block_us))
+                        floor_div(F.col(arrival_us), arrival_block_us),
+                        [floor_div(F.col(arrival_us), arrival_outer_block_us)])
     accepted, late = split_late(wm, "ts", size, slide, lateness)
     counts = final_counts(accepted, "ts", ["url"], size, slide, lateness)
     ranked = top_n_per_window(counts, "url", n).select("window_end", "rank", "url", "cnt")
