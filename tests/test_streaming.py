@@ -103,3 +103,19 @@ def test_stream_windowed_count_direct(spark, behavior, staged):
     got = _run(stream_windowed_count(sdf, "ts", "1 hour", keys=["behavior"]), d, "tumble_s")
     exp = windowed_count(behavior, "ts", "1 hour", keys=["behavior"])
     assert rows(_real(got), "window_end", "behavior", "cnt") == rows(exp, "window_end", "behavior", "cnt")
+
+
+def test_stream_ad_click_cap_equals_batch(spark):
+    from flowlens.operators import frequency_cap
+    from flowlens.streaming import stream_ad_clicks
+    ev = load_table(spark, SF001, "events")
+    clicks = A.with_province(A.ad_clicks(ev), load_table(spark, SF001, "customer"),
+                             load_table(spark, SF001, "nation"))
+    d = tempfile.mkdtemp(prefix="flowlens-stream-")
+    clicks.write.parquet(d + "/in")
+    sdf = spark.readStream.schema(clicks.schema).option("maxFilesPerTrigger", 1).parquet(d + "/in")
+    got = _run(stream_ad_clicks(sdf, 2), d, "clicks_s")
+    passed, warn = frequency_cap(clicks, ["user_id", "ad_id"], [F.col("ts"), F.col("event_id")], 2)
+    assert rows(got.filter("kind = 'pass'"), "event_id") == rows(passed, "event_id")
+    assert (rows(got.filter("kind = 'warn'"), "user_id", "ad_id", "msg")
+            == rows(warn, "user_id", "ad_id", "msg"))
