@@ -89,10 +89,26 @@ def stream_unique_visitors_bitmap(behavior: DataFrame, pv: str = "pv",
 def stream_ad_clicks(clicks: DataFrame, max_count: int = 100, day: str = "event") -> DataFrame:
     """B1 (stream): tagged rows, kind='pass' (clicks that count) or 'warn'.
     Follow with ``withWatermark`` + ``stream_windowed_count`` on the passed
-    rows (B2) and a filter for the warnings (side output)."""
+    rows (B2) and a filter for the warnings (side output).  ``day='processing'``
+    resets at the next UTC midnight of the wall clock with a processing-time
+    timer, as the reference does (use a processing-time trigger with it)."""
+    time_mode = "ProcessingTime" if day == "processing" else "None"
     return (clicks.groupBy("user_id", "ad_id")
                   .transformWithState(FrequencyCapProcessor(max_count, day),
-                                      FrequencyCapProcessor.OUTPUT, "append", "None"))
+                                      FrequencyCapProcessor.OUTPUT, "append", time_mode))
+
+
+def stream_running_unique_visitors(behavior: DataFrame, pv: str = "pv", size="1 hour",
+                                   rsd: float = 0.01) -> DataFrame:
+    """A10 (stream): the per-window visitor count as it grows — update mode
+    re-emits each window whose count changed in the micro-batch.  HyperLogLog
+    keeps the state bounded per window (the reference bounds it with a bitmap);
+    the exact per-arrival count is the batch ``running_unique_visitors``."""
+    views = (behavior.filter(F.col("behavior") == pv).select("user_id", "ts")
+                     .withWatermark("ts", "0 seconds"))
+    agg = views.groupBy(F.window("ts", _dur(size)).alias("window")).agg(
+        F.approx_count_distinct("user_id", rsd).alias("uv"))
+    return agg.select(F.col("window.end").alias("window_end"), "uv")
 
 
 def stream_login_bursts(logins: DataFrame, within="2 seconds", min_fails: int = 2,

@@ -42,10 +42,13 @@ class FrequencyCapProcessor(StatefulProcessor):
               "event_id long, msg string")
 
     def __init__(self, max_count: int = 100, day: str = "event"):
+        if day not in ("event", "none", "processing"):
+            raise ValueError("day must be 'event', 'none' or 'processing'")
         self.max_count = max_count
         self.day = day
 
     def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
         self.count = handle.getValueState("count", "count long")
         self.sent = handle.getValueState("sent", "sent boolean")
         self.day_no = handle.getValueState("day_no", "day_no long")
@@ -55,6 +58,10 @@ class FrequencyCapProcessor(StatefulProcessor):
         count = self.count.get()[0] if self.count.exists() else 0
         sent = self.sent.get()[0] if self.sent.exists() else False
         day_no = self.day_no.get()[0] if self.day_no.exists() else None
+        if self.day == "processing" and count == 0:
+            # the reference's reset: a processing-time timer at the next UTC midnight
+            now = timerValues.getCurrentProcessingTimeInMs()
+            self.handle.registerTimer((now // DAY_MS + 1) * DAY_MS)
         for r in _sorted(rows, "ts", "event_id"):
             if self.day == "event":
                 d = _ms(r["ts"]) // DAY_MS
@@ -74,6 +81,12 @@ class FrequencyCapProcessor(StatefulProcessor):
         if day_no is not None:
             self.day_no.update((day_no,))
 
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+        # midnight (processing time): forget today's counts and warning
+        self.count.clear()
+        self.sent.clear()
+        return iter([])
+
     def close(self) -> None:
         pass
 

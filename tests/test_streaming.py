@@ -119,3 +119,17 @@ def test_stream_ad_click_cap_equals_batch(spark):
     assert rows(got.filter("kind = 'pass'"), "event_id") == rows(passed, "event_id")
     assert (rows(got.filter("kind = 'warn'"), "user_id", "ad_id", "msg")
             == rows(warn, "user_id", "ad_id", "msg"))
+
+
+def test_stream_running_unique_visitors_final_values(spark, behavior, staged):
+    from flowlens.streaming import stream_running_unique_visitors
+    d, sdf = staged
+    q = (stream_running_unique_visitors(sdf, pv=A.PV).writeStream.format("memory")
+            .queryName("ruv_s").outputMode("update")
+            .option("checkpointLocation", f"{d}/ck-ruv").trigger(availableNow=True).start())
+    q.awaitTermination(600)
+    got = {r.window_end: r.uv for r in
+           _real(spark.sql("select window_end, max(uv) as uv from ruv_s group by window_end")).collect()}
+    exp = {r.window_end: r.uv for r in J.unique_visitors_job(behavior, pv=A.PV).collect()}
+    assert got.keys() == exp.keys()
+    assert all(abs(got[k] - exp[k]) <= max(1, 0.02 * exp[k]) for k in exp)
