@@ -36,7 +36,9 @@ BURST_MESSAGE = ("Login fail in ", " for ", " times.")
 
 
 def _bucket_len(within_us: int, bucket) -> int:
-    b = duration_us(bucket) if bucket is not None else max(within_us, duration_us("1 hour"))
+    """Time-bucket length: at least ``within``; by default 8 x within (halo
+    copies at most 1/8 of the rows) and at least a minute."""
+    b = duration_us(bucket) if bucket is not None else max(8 * within_us, duration_us("1 minute"))
     if b < within_us:
         raise ValueError("bucket must be at least as long as 'within'")
     return b

@@ -96,7 +96,8 @@ def test_against_brute_force_with_small_buckets(spark):
     ev = A.logins(load_table(spark, SF001, "events"))
     pdf = ev.select("user_id", "event_id", F.unix_micros("ts").alias("us"),
                     (F.col("event_type") == "error").alias("fail")).toPandas()
-    for within, bucket in (("1 hour", "1 hour"), ("6 hours", "6 hours"), ("1 day", "2 days")):
+    for within, bucket in (("1 hour", "1 hour"), ("6 hours", "6 hours"), ("1 day", "2 days"),
+                           ("1 hour", None)):
         w = {"1 hour": 3600, "6 hours": 21600, "1 day": 86400}[within] * 1_000_000
         m = sequence_match(ev, "user_id", "ts", "event_id", F.col("event_type") == "error",
                            within, bucket=bucket)
