@@ -118,8 +118,13 @@ def _burst_fold(events: Column, within_us: int, min_fails: int) -> Column:
 
 
 def failure_bursts(df: DataFrame, key: str, ts: str, arrival: str, fail: Column,
-                   within="2 seconds", min_fails: int = 2, bucket=None) -> DataFrame:
-    """Output: key, first_fail, last_fail (instants), n_fails, msg."""
+                   within="2 seconds", min_fails: int = 2, bucket=None,
+                   fold_limit: int = 4096) -> DataFrame:
+    """Output: key, first_fail, last_fail (instants), n_fails, msg.
+
+    Segments of at most ``fold_limit`` events are folded as one group; longer
+    ones (a user failing continuously) take the exact parallel chain path of
+    ``operators.chains`` so no group grows with the data."""
     w_us = duration_us(within)
     b_us = _bucket_len(w_us, bucket)
     us = F.unix_micros(F.col(ts))
@@ -143,12 +148,19 @@ def failure_bursts(df: DataFrame, key: str, ts: str, arrival: str, fail: Column,
     # only segments with enough fails can report; the fold never sees the rest
     seg_win = Window.partitionBy(key, "_su", "_sa")
     candidates = (seg_rows.withColumn("_nf", F.sum(F.col("_fail").cast("int")).over(seg_win))
+                          .withColumn("_ne", F.count(F.lit(1)).over(seg_win))
                           .filter(F.col("_nf") >= min_fails).drop("_nf"))
+    long_rows = candidates.filter(F.col("_ne") > fold_limit).drop("_ne")
+    candidates = candidates.filter(F.col("_ne") <= fold_limit).drop("_ne")
     per_seg = candidates.groupBy(key, "_su", "_sa").agg(
         F.array_sort(F.collect_list(F.struct("_us", "_arr", "_fail"))).alias("_ev"))
     bursts = per_seg.select(key, F.explode(_burst_fold(F.col("_ev"), w_us, min_fails)).alias("_b"))
     bursts = bursts.select(key, F.col("_b.h").alias("_head"), F.col("_b.l").alias("_last"),
                            F.col("_b.n").alias("n_fails"))
+    if long_rows.take(1):
+        from .chains import chain_bursts
+        chained = chain_bursts(long_rows, [key, "_su", "_sa"], w_us, min_fails)
+        bursts = bursts.unionByName(chained.select(key, "_head", "_last", "n_fails"))
     a, b, c = BURST_MESSAGE
     return bursts.select(
         key, F.timestamp_micros("_head").alias("first_fail"),
