@@ -1,4 +1,4 @@
-from .jobs import (late_rows_writer, stream_ad_clicks, stream_hot_items, stream_hot_urls,
+from .jobs import (hot_url_reports_writer, late_rows_writer, stream_url_counts_updates, stream_ad_clicks, stream_hot_items, stream_hot_urls,
                    stream_login_bursts, stream_running_unique_visitors,
                    stream_login_pattern, stream_page_views, stream_unique_visitors,
                    stream_unique_visitors_bitmap, stream_windowed_count, top_n_writer)

@@ -178,3 +178,84 @@ def late_rows_writer(state_path: str, sink: Callable[[DataFrame, int], None], si
             (spark.createDataFrame([(batch_id, max(seen))], "batch_id long, max_us long")
                   .write.mode("overwrite").parquet(f"{state_path}/batch={batch_id}"))
     return write
+
+
+def stream_url_counts_updates(log: DataFrame, size="10 minutes", slide="5 seconds",
+                              bound="1 second", lateness="60 seconds",
+                              static_mode: str = "segment") -> DataFrame:
+    """J2 counts for update mode: every micro-batch re-emits the (window, url)
+    counts it changed, with the group's latest event time (``max_ts``) so the
+    report writer can follow event-time progress.  Rows are accepted until the
+    window end + bound + lateness has passed, as with allowed lateness."""
+    from ..operators.filters import not_static
+    rows = log.filter(not_static("url", static_mode)).select("url", "ts")
+    delay = duration_us(bound) + duration_us(lateness)
+    w = F.window("ts", _dur(size), _dur(slide))
+    agg = (rows.withWatermark("ts", _dur(delay))
+               .groupBy(w.alias("window"), "url")
+               .agg(F.count(F.lit(1)).alias("cnt"), F.max("ts").alias("max_ts")))
+    return agg.select(F.col("window.end").alias("window_end"), "url", "cnt", "max_ts")
+
+
+def hot_url_reports_writer(table_path: str, state_path: str,
+                           sink: Callable[[DataFrame, int], None], n: int = 5,
+                           bound="1 second", lateness="60 seconds"
+                           ) -> Callable[[DataFrame, int], None]:
+    """N2 (stream): foreachBatch writer over ``stream_url_counts_updates``.
+
+    Keeps the current count of every (window, url) in a table partitioned by
+    window end (the reference's per-window map state), and reports a window's
+    top n when the watermark (max event time - bound) first passes its end
+    (on-time report) and again in every later batch that changes it within
+    the allowed lateness (re-ranking after late updates).  The table keeps the
+    final counts of closed windows (a K4-style store).  Reports carry
+    window_end and batch id, so consumers upsert them.
+    """
+    from ..operators.lateness import TICK_US
+    bound_us, late_us = duration_us(bound), duration_us(lateness)
+
+    def stored_max(spark, batch_id):
+        try:
+            return (spark.read.parquet(state_path).filter(F.col("batch_id") < batch_id)
+                         .agg(F.max("max_us")).collect()[0][0])
+        except Exception:  # noqa: BLE001 - first batch
+            return None
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        prev = stored_max(spark, batch_id)
+        cur_b = batch.agg(F.max(F.unix_micros("max_ts"))).collect()[0][0]
+        seen = [v for v in (prev, cur_b) if v is not None]
+        if not seen:
+            return
+        cur = max(seen)
+        wm_prev = prev - bound_us if prev is not None else None
+        wm_cur = cur - bound_us
+        end_us = F.unix_micros("window_end") - TICK_US
+        try:
+            stored = spark.read.parquet(table_path)
+        except Exception:  # noqa: BLE001 - empty table
+            stored = None
+        touched = batch.select("window_end").distinct()
+        fresh = batch.select("window_end", "url", "cnt")
+        if stored is not None:
+            keep = stored.join(fresh.select("window_end", "url"), ["window_end", "url"], "left_anti")
+            old = keep.join(touched, "window_end", "left_semi")
+            merged = fresh.unionByName(old.select("window_end", "url", "cnt"))
+        else:
+            merged = fresh
+        merged = merged.checkpoint()
+        (merged.write.mode("overwrite").partitionBy("window_end")
+               .option("partitionOverwriteMode", "dynamic").parquet(table_path))
+        current = spark.read.parquet(table_path)
+        due_now = end_us <= F.lit(wm_cur)
+        newly_due = due_now if wm_prev is None else due_now & (end_us > F.lit(wm_prev))
+        report_windows = (current.filter(newly_due).select("window_end")
+                          .unionByName(merged.filter(due_now).select("window_end")).distinct())
+        ranked = top_n_per_window(current.join(report_windows, "window_end", "left_semi"),
+                                  "url", n)
+        sink(ranked.select("window_end", "rank", "url", "cnt")
+                   .withColumn("batch_id", F.lit(batch_id).cast("long")), batch_id)
+        (spark.createDataFrame([(batch_id, cur)], "batch_id long, max_us long")
+              .write.mode("overwrite").parquet(f"{state_path}/batch={batch_id}"))
+    return write

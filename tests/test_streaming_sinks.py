@@ -84,3 +84,35 @@ def test_upsert_and_fan_out(spark):
     assert rows(spark.read.parquet(outs["pass"])) == [(1,), (3,)]
     assert rows(spark.read.parquet(outs["warn"])) == [(2,)]
     assert os.path.isdir(outs["warn"])
+
+
+def test_hot_url_reports_rerank_after_late_update(spark):
+    from flowlens.streaming import hot_url_reports_writer, stream_url_counts_updates
+    schema = "url string, ts timestamp"
+    mk = lambda data: spark.createDataFrame(
+        [(u, s) for u, s in data], "url string, s long").select(
+        "url", F.timestamp_seconds(F.col("s") + BASE).alias("ts"))
+    batches = [mk([("/a", 0), ("/b", 1), ("/a", 2)]),
+               mk([("/d", 640), ("/c", 700)]),
+               mk([("/d", 650)])]          # late for the fired windows 655..695
+    d, src = _files(spark, batches, schema)
+    out = f"{d}/reports"
+    writer = hot_url_reports_writer(f"{d}/table", f"{d}/state",
+                                    lambda b, i: b.write.mode("append").parquet(out))
+    q = (stream_url_counts_updates(src).writeStream.outputMode("update").foreachBatch(writer)
+            .option("checkpointLocation", f"{d}/ck").trigger(availableNow=True).start())
+    q.awaitTermination(600)
+    assert q.exception() is None
+    rep = spark.read.parquet(out)
+    w695 = BASE + 695
+    at = {(r.batch_id, r.url): r.cnt for r in
+          rep.filter(F.unix_seconds("window_end") == w695).collect()}
+    assert at == {(1, "/d"): 1, (2, "/d"): 2}
+    # last report of every reported window = batch ranking of all rows
+    last = (rep.groupBy("window_end").agg(F.max("batch_id").alias("batch_id"))
+               .join(rep, ["window_end", "batch_id"]))
+    allrows = mk([("/a", 0), ("/b", 1), ("/a", 2), ("/d", 640), ("/c", 700), ("/d", 650)])
+    from flowlens.operators import top_n_per_window, windowed_count
+    exp = top_n_per_window(windowed_count(allrows, "ts", "10 minutes", "5 seconds", keys=["url"]),
+                           "url", 5).join(last.select("window_end"), "window_end", "left_semi")
+    assert rows(last, "window_end", "rank", "url", "cnt") == rows(exp, "window_end", "rank", "url", "cnt")
