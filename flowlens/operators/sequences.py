@@ -157,7 +157,10 @@ def failure_bursts(df: DataFrame, key: str, ts: str, arrival: str, fail: Column,
     bursts = per_seg.select(key, F.explode(_burst_fold(F.col("_ev"), w_us, min_fails)).alias("_b"))
     bursts = bursts.select(key, F.col("_b.h").alias("_head"), F.col("_b.l").alias("_last"),
                            F.col("_b.n").alias("n_fails"))
-    if long_rows.take(1):
+    # a segment can only exceed fold_limit if its key has that many events:
+    # a cheap per-key count (map-side combined) before the exact check
+    heavy = df.groupBy(key).count().filter(F.col("count") > fold_limit).take(1)
+    if heavy and long_rows.take(1):
         from .chains import chain_bursts
         chained = chain_bursts(long_rows, [key, "_su", "_sa"], w_us, min_fails)
         bursts = bursts.unionByName(chained.select(key, "_head", "_last", "n_fails"))
