@@ -31,7 +31,8 @@ from .scan import running_agg
 def chain_bursts(rows: DataFrame, seg_cols: list[str], within_us: int, min_fails: int
                  ) -> DataFrame:
     """rows: seg_cols + _us, _arr, _fail.  Returns seg_cols + _head, _last, n_fails."""
-    spark = rows.sparkSession
+    from ..session import checkpoint_dir
+    checkpoint_dir(rows.sparkSession)  # the shared folder named by spark.checkpoint.dir
     b_us = 8 * within_us
     x = rows.withColumn("_bk", floor_div(F.col("_us"), b_us))
     ranked = running_agg(x, seg_cols, [F.col("_us"), F.col("_arr")], F.lit(1).cast("long"), "_r",

@@ -222,7 +222,9 @@ def hot_url_reports_writer(table_path: str, state_path: str,
             return None
 
     def write(batch: DataFrame, batch_id: int) -> None:
+        from ..session import checkpoint_dir
         spark = batch.sparkSession
+        checkpoint_dir(spark)
         prev = stored_max(spark, batch_id)
         cur_b = batch.agg(F.max(F.unix_micros("max_ts"))).collect()[0][0]
         seen = [v for v in (prev, cur_b) if v is not None]
