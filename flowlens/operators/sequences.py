@@ -22,8 +22,6 @@ JVM-side ``aggregate`` over the segment's sorted events.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
