@@ -16,3 +16,16 @@ def test_ties_by_key_and_limit(spark):
                       "Top1: 商品ID=9 访问量=4\n"
                       "Top2: 商品ID=5 访问量=3\n"
                       + "-" * 46 + "\n\n")
+
+
+def test_url_report_layout(spark):
+    end = dt.datetime(2024, 1, 1, 0, 10, 5)
+    df = spark.createDataFrame([(end, "/a", 2), (end, "/b", 2), (end, "/c", 1)],
+                               "window_end timestamp_ntz, url string, cnt long")
+    df = df.withColumn("window_end", event_time(df, "window_end"))
+    report = format_ranking(top_n_per_window(df, "url", 5), "url", style="urls").collect()[0]["report"]
+    assert report == ("时间： 2024-01-01 00:10:05.0\n"
+                      "No.1: URL=/a 访问量=2\n"
+                      "No.2: URL=/b 访问量=2\n"
+                      "No.3: URL=/c 访问量=1\n"
+                      + "-" * 46 + "\n\n")
