@@ -133,3 +133,12 @@ def test_stream_running_unique_visitors_final_values(spark, behavior, staged):
     exp = {r.window_end: r.uv for r in J.unique_visitors_job(behavior, pv=A.PV).collect()}
     assert got.keys() == exp.keys()
     assert all(abs(got[k] - exp[k]) <= max(1, 0.02 * exp[k]) for k in exp)
+
+
+def test_stream_pane_chain_equals_batch(spark, behavior, staged):
+    d, sdf = staged
+    got = _run(stream_windowed_count(sdf, "ts", "1 hour", "15 minutes", keys=["behavior"],
+                                     method="panes"), d, "panes_s")
+    exp = windowed_count(behavior, "ts", "1 hour", "15 minutes", keys=["behavior"])
+    assert (rows(_real(got), "window_end", "behavior", "cnt")
+            == rows(exp, "window_end", "behavior", "cnt"))
