@@ -33,3 +33,17 @@ def test_query_matches_oracle(spark, name):
     exp = _norm(con.execute(E.oracle_sql()[name]).df())
     assert got[0] == exp[0]
     assert got[1] == exp[1]
+
+
+_TYPES = {"BIGINT": "bigint", "INTEGER": "int", "VARCHAR": "string", "DOUBLE": "double",
+          "BOOLEAN": "boolean"}
+
+
+def test_column_types_match_oracle(spark):
+    con = duckdb.connect()
+    for t in TABLES:
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF001}/{t}.parquet')")
+    for name, sql in E.oracle_sql().items():
+        got = dict(E.queries()[name](spark, SF001).dtypes)
+        exp = {c[0]: _TYPES.get(c[1], c[1]) for c in con.execute(f"DESCRIBE {sql}").fetchall()}
+        assert got == exp, name
