@@ -50,8 +50,8 @@ def split_late(df: DataFrame, ts: str, size, slide, lateness) -> tuple[DataFrame
     return df.filter(~is_late), df.filter(is_late)
 
 
-def _ranges(accepted: DataFrame, ts: str, keys: Sequence[str], size, slide, lateness
-            ) -> tuple[DataFrame, int, int]:
+def _ranges(accepted: DataFrame, ts: str, keys: Sequence[str], size, slide, lateness,
+            with_on_time: bool = True) -> tuple[DataFrame, int, int]:
     """Per accepted row, the window-end index ranges it counts in: kept
     windows [lo_keep, hi] and on-time windows [lo_on, hi] (both suffixes of
     the row's windows), pre-counted per distinct (keys, lo_keep, lo_on, hi)."""
@@ -62,11 +62,12 @@ def _ranges(accepted: DataFrame, ts: str, keys: Sequence[str], size, slide, late
     first = p + 1
     keep_min = floor_div(wm + TICK_US - late_us, slide_us) + 1
     on_min = floor_div(wm + TICK_US, slide_us) + 1
-    r = accepted.select(*keys,
-                        F.greatest(first, F.coalesce(keep_min, first)).alias("_lo_keep"),
-                        F.greatest(first, F.coalesce(on_min, first)).alias("_lo_on"),
-                        (p + n).alias("_hi"))
-    return r.groupBy(*keys, "_lo_keep", "_lo_on", "_hi").agg(F.count(F.lit(1)).alias("_c")), slide_us, n
+    cols = [F.greatest(first, F.coalesce(keep_min, first)).alias("_lo_keep"), (p + n).alias("_hi")]
+    if with_on_time:
+        cols.append(F.greatest(first, F.coalesce(on_min, first)).alias("_lo_on"))
+    r = accepted.select(*keys, *cols)
+    group = ["_lo_keep", "_hi"] + (["_lo_on"] if with_on_time else [])
+    return r.groupBy(*keys, *group).agg(F.count(F.lit(1)).alias("_c")), slide_us, n
 
 
 def late_corrections(accepted: DataFrame, ts: str, keys: Sequence[str], size, slide,
@@ -89,7 +90,7 @@ def final_counts(accepted: DataFrame, ts: str, keys: Sequence[str], size, slide,
                  lateness, count_col: str = "cnt") -> DataFrame:
     """Per (keys, window) the last reported (accumulated) count."""
     keys = list(keys)
-    ranges, slide_us, n = _ranges(accepted, ts, keys, size, slide, lateness)
+    ranges, slide_us, n = _ranges(accepted, ts, keys, size, slide, lateness, with_on_time=False)
     runs = count_runs(delta_rows(ranges, keys, [(F.col("_lo_keep"), F.col("_hi"),
                                                  {count_col: F.col("_c")})]), keys, [count_col])
     return expand_runs(runs, keys, slide_us, n, [count_col])
