@@ -46,3 +46,12 @@ def test_file_sources(spark):
     m = read_marketing(spark, os.path.join(d, "market.json")).select(
         F.unix_millis("ts").alias("ms")).collect()[0]
     assert m.ms == 1511658000123
+
+
+def test_kafka_source_is_wired_but_needs_the_package(spark):
+    """No Kafka package on this image: building the source fails at the data
+    source lookup (no connection is attempted)."""
+    import pytest
+    from flowlens.sources import read_kafka_lines
+    with pytest.raises(Exception, match="(?i)kafka"):
+        read_kafka_lines(spark, "broker:9092", "behaviour")
