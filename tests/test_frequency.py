@@ -34,3 +34,20 @@ def test_cap_uses_arrival_for_equal_times(spark):
                                  [F.col("ts"), F.col("event_id")], 1, day="none")
     assert rows(passed, "event_id") == [(3,)]
     assert warn.count() == 1
+
+
+def test_cap_counts_per_group_on_events(spark):
+    from conftest import SF01
+    from flowlens.plans import adapters as A
+    from flowlens.sources.tables import load_table
+    clicks = A.ad_clicks(load_table(spark, SF01, "events"))
+    n_cap = 3
+    passed, warn = frequency_cap(clicks, ["user_id", "ad_id"], [F.col("ts"), F.col("event_id")], n_cap)
+    pdf = clicks.select("user_id", "ad_id", F.to_date("ts").cast("string").alias("day")).toPandas()
+    sizes = pdf.groupby(["user_id", "ad_id", "day"]).size()
+    got_pass = passed.groupBy("user_id", "ad_id", "day").count().toPandas().set_index(
+        ["user_id", "ad_id", "day"])["count"]
+    assert got_pass.sort_index().to_dict() == sizes.clip(upper=n_cap).sort_index().to_dict()
+    got_warn = set(map(tuple, warn.select("user_id", "ad_id", "day").toPandas().values.tolist()))
+    assert got_warn == set(sizes[sizes > n_cap].index)
+    assert passed.count() + warn.count() <= clicks.count()
