@@ -116,3 +116,21 @@ def test_hot_url_reports_rerank_after_late_update(spark):
     exp = top_n_per_window(windowed_count(allrows, "ts", "10 minutes", "5 seconds", keys=["url"]),
                            "url", 5).join(last.select("window_end"), "window_end", "left_semi")
     assert rows(last, "window_end", "rank", "url", "cnt") == rows(exp, "window_end", "rank", "url", "cnt")
+
+
+def test_bitmap_uv_stream_into_window_upsert(spark):
+    """J6 end to end: streaming bitmap unique visitors stored per window end."""
+    from flowlens.streaming import stream_unique_visitors_bitmap
+    b = A.behavior(load_table(spark, SF001, "events"))
+    sentinel = (b.limit(1).withColumn("ts", F.timestamp_seconds(F.lit(SENTINEL_S)))
+                 .withColumn("behavior", F.lit(A.PV)))
+    d, src = _files(spark, [b, sentinel], b.schema)
+    table = f"{d}/uv"
+    q = (stream_unique_visitors_bitmap(src, pv=A.PV).writeStream
+            .foreachBatch(upsert_by_window(table, "window_end"))
+            .option("checkpointLocation", f"{d}/ck").trigger(availableNow=True).start())
+    q.awaitTermination(600)
+    assert q.exception() is None
+    got = spark.read.parquet(table).filter(F.unix_seconds("window_end") < SENTINEL_S)
+    exp = J.unique_visitors_bitmap_job(b, pv=A.PV)
+    assert rows(got, "window_end", "uv") == rows(exp, "window_end", "uv")
