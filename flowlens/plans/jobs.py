@@ -54,6 +54,11 @@ def hot_urls(log: DataFrame, arrival_us: str, tiebreak: str, n: int = 5, size="1
     return ranked, late, corrections
 
 
+def hot_urls_report(ranked: DataFrame) -> DataFrame:
+    """N3 over J2's ranking: one 'No.i: URL=…' text report per window."""
+    return format_ranking(ranked, "url", style="urls")
+
+
 def page_views(behavior: DataFrame, size="1 hour", pv: str = "pv") -> DataFrame:
     """Page views per tumbling window (window_end, key 'pv', cnt)."""
     views = behavior.filter(behavior_is("behavior", pv)).select("ts")

@@ -29,3 +29,12 @@ def test_url_report_layout(spark):
                       "No.2: URL=/b 访问量=2\n"
                       "No.3: URL=/c 访问量=1\n"
                       + "-" * 46 + "\n\n")
+
+
+def test_hot_urls_report_job(spark):
+    from flowlens.plans import jobs as J
+    end = dt.datetime(2024, 1, 1, 0, 10, 5)
+    df = spark.createDataFrame([(end, 1, "/a", 2)], "window_end timestamp_ntz, rank int, url string, cnt long")
+    df = df.withColumn("window_end", event_time(df, "window_end"))
+    r = J.hot_urls_report(df).collect()[0]["report"]
+    assert r.startswith("时间： 2024-01-01 00:10:05.0\nNo.1: URL=/a 访问量=2\n")
