@@ -4,6 +4,7 @@ components and checkpoints."""
 from __future__ import annotations
 
 import os
+import uuid
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -106,3 +107,22 @@ class Forest:
             return False
         self.up[max(a, b)] = min(a, b)
         return True
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` as Parquet in the shared folder and read it back.  The
+    write's shuffle files go when it ends, so phases do not add up on disk."""
+    spark = df.sparkSession
+    checkpoint_dir(spark)
+    top = spark.sparkContext._jsc.sc().getCheckpointDir().get()
+    path = f"{top}/{name}-{uuid.uuid4().hex}"
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(key, None)
+    if before is not None:
+        spark.conf.set(key, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        if before is not None:
+            spark.conf.set(key, before)
+    return spark.read.schema(df.schema).parquet(path)

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flowlens.llm import byte_bpe, hd_langid, simhash_cover
+from flowlens.llm import bwt_dedup, byte_bpe, fm_dedup, hd_langid, simhash_cover
 from flowlens.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -37,3 +37,36 @@ def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_cover.simhash_groups(table(spark, sf_dir, "documents"))
+
+
+@query
+def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fm_dedup.substring_dedup(table(spark, sf_dir, "documents"))
+
+
+@query
+def op6_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bwt_dedup.byte_dedup(table(spark, sf_dir, "documents"))
+
+
+ORACLE["op3_substring_dedup"] = r"""
+WITH w AS (
+  SELECT doc_id, list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'),
+                             lambda x: x <> '') AS ws
+  FROM documents),
+win AS (
+  SELECT doc_id, i, list_aggregate(ws[i:i + 12], 'string_agg', ' ') AS k
+  FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - 11)) AS i FROM w WHERE len(ws) >= 13)),
+low AS (SELECT k, min(doc_id) AS m FROM win GROUP BY k),
+gone AS (
+  SELECT DISTINCT doc_id, unnest(range(i, i + 13)) AS j
+  FROM win JOIN low USING (k) WHERE m < doc_id),
+words AS (
+  SELECT doc_id, unnest(ws) AS word, unnest(range(1, len(ws) + 1)) AS j FROM w),
+kept AS (
+  SELECT doc_id, string_agg(word, ' ' ORDER BY j) AS t, count(*) AS n
+  FROM words ANTI JOIN gone USING (doc_id, j) GROUP BY doc_id)
+SELECT w.doc_id, len(ws)::BIGINT AS n_words, (len(ws) - coalesce(n, 0))::BIGINT AS n_removed,
+       sha256(coalesce(t, '')) AS kept_sha256
+FROM w LEFT JOIN kept USING (doc_id)
+"""
