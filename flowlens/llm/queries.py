@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flowlens.llm import bwt_dedup, byte_bpe, fm_dedup, hd_langid, simhash_cover
+from flowlens.llm import (
+    bwt_dedup, byte_bpe, fm_dedup, hd_langid, mixing, pq_neardup, simhash_cover)
 from flowlens.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -70,3 +71,45 @@ SELECT w.doc_id, len(ws)::BIGINT AS n_words, (len(ws) - coalesce(n, 0))::BIGINT
        sha256(coalesce(t, '')) AS kept_sha256
 FROM w LEFT JOIN kept USING (doc_id)
 """
+
+
+@query
+def op4_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix_single(table(spark, sf_dir, "documents"))
+
+
+ORACLE["op4_mix_sources"] = r"""
+WITH d AS (
+  SELECT doc_id, source, md5('mix-1:' || doc_id) AS ord,
+         len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size
+  FROM documents),
+s AS (SELECT source, sum(size)::BIGINT AS n FROM d GROUP BY source),
+w AS (
+  SELECT source, n, [3, 1, 2][1 + (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3] AS w,
+         sum(n) OVER () AS total FROM s),
+l AS (
+  SELECT *, coalesce(sum(2 * n) OVER below, 0) AS capped, sum(w) OVER above AS open
+  FROM w WINDOW below AS (ORDER BY 2.0 * n / w, source ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING),
+                above AS (ORDER BY 2.0 * n / w, source ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)),
+pick AS (
+  SELECT capped, open FROM l WHERE w * (1.5 * total - capped) / open <= 2 * n
+  ORDER BY 2.0 * n / w, source LIMIT 1),
+t AS (
+  SELECT source, n, least(2.0 * n, (w * (1.5 * total - pick.capped)) / pick.open) AS target
+  FROM w, pick),
+p AS (SELECT *, floor(target)::BIGINT // greatest(n, 1) AS copies,
+             floor(target)::BIGINT % greatest(n, 1) AS rest FROM t),
+o AS (
+  SELECT doc_id, size, n, target, copies, rest,
+         coalesce(sum(size) OVER (PARTITION BY d.source ORDER BY ord, doc_id, size
+                                  ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before
+  FROM d JOIN p ON d.source IS NOT DISTINCT FROM p.source)
+SELECT doc_id, size, n AS source_size, target::DOUBLE AS target,
+       (size * (copies + CASE WHEN rest > 0 AND 2 * before + size <= 2 * rest THEN 1 ELSE 0 END))::BIGINT AS taken
+FROM o
+"""
+
+
+@query
+def op7_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pq_neardup.embedding_groups(table(spark, sf_dir, "embeddings"))
