@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from flowlens.llm import (
-    bwt_dedup, byte_bpe, fm_dedup, hd_langid, mixing, pq_neardup, simhash_cover)
+    bmw_search, bwt_dedup, byte_bpe, fm_dedup, hd_langid, html_extract, mixing, pq_neardup,
+    preference, simhash_cover)
 from flowlens.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -113,3 +114,73 @@ FROM o
 @query
 def op7_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pq_neardup.embedding_groups(table(spark, sf_dir, "embeddings"))
+
+
+@query
+def op2_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.extract_pages(table(spark, sf_dir, "pages"))
+
+
+@query
+def op5_top_k_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document whose id is divisible by 100, as a query on all."""
+    docs = table(spark, sf_dir, "documents")
+    return bmw_search.top_k(docs, docs.where("doc_id % 100 = 0"))
+
+
+ORACLE["op5_top_k_search"] = r"""
+WITH tok AS (
+  SELECT doc_id, unnest(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS term
+  FROM documents WHERE doc_id IS NOT NULL),
+tf AS (SELECT doc_id, term, count(*) AS tf FROM tok GROUP BY ALL),
+len AS (SELECT doc_id, count(*) AS n FROM tok GROUP BY doc_id),
+stat AS (SELECT (SELECT count(*) FROM documents WHERE doc_id IS NOT NULL)::DOUBLE AS nd,
+                (SELECT count(*) FROM tok)::DOUBLE AS total),
+idf AS (SELECT term, ln(1.0 + (any_value(nd) - count(*) + 0.5) / (count(*) + 0.5)) AS idf
+        FROM tf, stat GROUP BY term),
+imp AS (
+  SELECT tf.doc_id, term, tf * 2.2 / (tf + 1.2 * (0.25 + 0.75 * n / (total / nd))) AS impact
+  FROM tf JOIN len USING (doc_id), stat),
+hit AS (
+  SELECT q.doc_id AS query_id, imp.doc_id, round(sum(q.tf * idf * impact), 6) AS score
+  FROM tf q JOIN idf USING (term) JOIN imp USING (term)
+  WHERE q.doc_id % 100 = 0 GROUP BY ALL)
+SELECT query_id, doc_id, rank::INTEGER AS rank, score FROM (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, doc_id) AS rank FROM hit)
+WHERE rank <= 10
+"""
+
+
+@query
+def op9_preference_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pairs = preference.mismatched_pairs(table(spark, sf_dir, "conversations"))
+    spans = {c: F.array_join(F.transform(f"{c}_mask", lambda s: F.concat_ws(
+        "-", s["begin"], s["end"])), ",").alias(f"{c}_mask") for c in ("chosen", "rejected")}
+    return preference.format_pairs(pairs, ("conv_id",)).select(
+        "conv_id", "n_prompt_turns", "prompt", "chosen_text", "rejected_text", *spans.values())
+
+
+ORACLE["op9_preference_format"] = """
+WITH t AS (
+  SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn, role, text) AS i
+  FROM conversations WHERE conv_id IS NOT NULL),
+last AS (SELECT conv_id, max(i) AS j FROM t WHERE role = 'assistant' GROUP BY conv_id),
+answer AS (SELECT conv_id, t.text AS a, j FROM t JOIN last USING (conv_id) WHERE i = j),
+pair AS (
+  SELECT x.conv_id, x.j, x.a, y.a AS b FROM answer x LEFT JOIN answer y
+  ON y.conv_id = xor(x.conv_id, 1)),
+lead AS (
+  SELECT conv_id, string_agg('<|' || role || '|>' || chr(10) || text || '<|end|>' || chr(10), ''
+                             ORDER BY i) AS prompt
+  FROM t JOIN pair p USING (conv_id) WHERE i < p.j + (a IS NOT DISTINCT FROM b)::INT
+  GROUP BY conv_id)
+SELECT conv_id, (j - (a IS DISTINCT FROM b)::INT)::INTEGER AS n_prompt_turns,
+       coalesce(prompt, '') AS prompt,
+       CASE WHEN a = b THEN '' ELSE '<|assistant|>' || chr(10) || a || '<|end|>' || chr(10) END AS chosen_text,
+       CASE WHEN b IS NULL OR a = b THEN ''
+            ELSE '<|assistant|>' || chr(10) || b || '<|end|>' || chr(10) END AS rejected_text,
+       CASE WHEN a = b THEN '' ELSE '14-' || (14 + length(a)) END AS chosen_mask,
+       CASE WHEN b IS NULL OR a = b THEN '' ELSE '14-' || (14 + length(b)) END AS rejected_mask
+FROM pair LEFT JOIN lead USING (conv_id)
+"""
