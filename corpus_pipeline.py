@@ -9,10 +9,12 @@ from __future__ import annotations
 
 import uuid
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flowlens.llm import hd_langid, simhash_cover
+from flowlens.llm import byte_bpe, fm_dedup, hd_langid, mixing, simhash_cover
+from flowlens.llm.queries import BPE_RANKS
 from flowlens.session import checkpoint_dir
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
@@ -27,15 +29,43 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each SimHash group stays: the one with the smallest
-    doc_id (rows that repeat it entirely go too)."""
+    doc_id (rows that repeat it go too, and so do rows without an id)."""
     groups = simhash_cover.simhash_groups(docs)
     keep = groups.where("doc_id = component_id").select("doc_id").distinct()
     return docs.join(keep, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(*COLUMNS)
 
 
+def drop_substring_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Words covered by a 13-word window of a document with a smaller doc_id
+    go; a text that loses none stays as it is, one that loses all goes."""
+    left = fm_dedup.substring_dedup(docs, text=True, keep=("lang", "source"))
+    return left.where("n_removed < n_words").select(
+        "doc_id", F.col("kept").alias("text"), "lang", "source",
+        F.length("kept").cast("long").alias("n_chars"))
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents as often as the mix takes them: not at all, once or twice."""
+    rest = tuple(c for c in COLUMNS if c != "doc_id")
+    mixed = mixing.mix_single(docs, keep=rest).where("taken > 0")
+    copies = F.sequence(F.lit(1), F.expr("int(taken div size)"))
+    return mixed.withColumn("copy", F.explode(copies)).select(*COLUMNS)
+
+
+def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token ids of every text, decoded again and compared."""
+    coded = byte_bpe.bpe_encode(docs, BPE_RANKS, public_tokenizers.PATTERN,
+                                keep=("doc_id", "lang", "source"), verify=True)
+    return coded.select("doc_id", "lang", "source",
+                        F.size("ids").cast("long").alias("n_tokens"), "ids")
+
+
 STAGES = [
     ("language_id", identify_language),
     ("simhash_near_dedup", drop_near_duplicates),
+    ("substring_dedup", drop_substring_duplicates),
+    ("mix_sources", mix_sources),
+    ("byte_bpe", tokenize),
 ]
 
 #: No SQL: fingerprints, learned prototypes and tokenizing have none in DuckDB.

@@ -8,8 +8,9 @@ interleaved by their first symbol, and each round refines the interleave by
 the interval that the suffix one symbol on stands in, as a step of the LF
 mapping does.  Only intervals with suffixes of several blocks are touched; an
 interval of one block keeps that block's order, so no suffix is sorted again.
-A symbol is ``STEP`` bytes, so ``length`` bytes need length / STEP rounds; the
-round in which neighbours part gives their common prefix.  Intervals left
+A symbol stands for up to ``STEP`` bytes (a 64-bit hash of them; any fixed
+order of the alphabet will do), so 200 bytes need five rounds; the round in
+which neighbours part gives their common prefix.  Intervals left
 after the last round, and block intervals of two or more, are the repeats.
 
 Defined cases: a null text counts as empty (no bytes, digest of nothing);
@@ -28,22 +29,28 @@ import xxhash
 from pyspark.sql import DataFrame
 
 from flowlens.llm.common import batch, prepare, written
-from flowlens.llm.window_runs import mix, run_contents, runs_of, shared_runs, with_hits
+from flowlens.llm.window_runs import (
+    hit_arrays, mix, prefix_hash, run_contents, runs_of, shared_runs, span_hash, with_hits)
 
-STEP = 8
-GRAM = 32
+GRAM = 64
+STEP = 40
 BLOCK_BYTES = 1 << 19
 
 
-def symbols_of(data: np.ndarray) -> np.ndarray:
-    """The STEP bytes from every position on, as one ordered number."""
-    padded = np.concatenate((data, np.zeros(STEP, np.uint8)))
+def symbols_of(data: np.ndarray, step: int) -> np.ndarray:
+    """The ``step`` bytes from every position on, as one number; the order of
+    the alphabet is that of the numbers.  Zero where fewer bytes are left."""
     out = np.zeros(len(data), np.uint64)
-    for k in range(STEP):
-        out = out << np.uint64(8) | padded[k:k + len(data)]
+    at = np.arange(max(0, len(data) - step + 1))
+    out[at] = mix(span_hash(prefix_hash(data.astype(np.uint64) + np.uint64(1)), at, at + step))
     return out
 
 
+def step_of(length: int) -> int:
+    """Bytes of a symbol: the largest divisor of ``length`` up to STEP."""
+    return max(d for d in range(1, STEP + 1) if length % d == 0)
+
+
 def _starts(change: np.ndarray) -> np.ndarray:
     """For every row the index of the first row of its group."""
     return np.maximum.accumulate(np.where(change, np.arange(len(change)), 0))
@@ -63,22 +70,22 @@ def _grouped(rows: np.ndarray, change: np.ndarray) -> np.ndarray:
     return rows[~(head[:-1] & head[1:])]
 
 
-def block_order(symbols: np.ndarray, room: np.ndarray, length: int):
+def block_order(symbols: np.ndarray, room: np.ndarray, length: int, step: int):
     """Suffix order of one block up to ``length`` bytes: (positions in order,
     rank of each position, whether its window occurs twice).  ``room`` is the
     number of bytes left in the run at each position."""
-    order = np.argsort(symbols, kind="stable")
-    order = order[room[order] >= STEP]  # whole symbols only
+    order = np.argsort(symbols)
+    order = order[room[order] >= step]  # whole symbols only
     change = _changes(symbols[order])
     rank = np.zeros(len(symbols), np.int64)
     rank[order] = _starts(change)
     active = _grouped(order, change)
-    for depth in range(1, length // STEP):
-        active = active[room[active] >= STEP * (depth + 1)]
+    for depth in range(1, length // step):
+        active = active[room[active] >= step * (depth + 1)]
         if not len(active):
             break
-        k1, k2 = rank[active], rank[active + STEP]
-        at = np.lexsort((k2, k1))
+        k1, k2 = rank[active], rank[active + step]
+        at = np.argsort(k1 * len(rank) + k2)
         active, k1, k2 = active[at], k1[at], k2[at]
         outer, inner = _changes(k1), _changes(k1, k2)
         new = k1 + _starts(inner) - _starts(outer)
@@ -90,7 +97,7 @@ def block_order(symbols: np.ndarray, room: np.ndarray, length: int):
 
 
 def merge_orders(symbols: np.ndarray, room: np.ndarray, block: np.ndarray,
-                 orders: list[np.ndarray], ranks: np.ndarray, length: int):
+                 orders: list[np.ndarray], ranks: np.ndarray, length: int, step: int):
     """Interleave the block orders.  Returns (positions in merged order,
     common prefix with the position before in whole symbols, positions whose
     window also stands in another block); prefixes are exact where neighbours
@@ -99,7 +106,7 @@ def merge_orders(symbols: np.ndarray, room: np.ndarray, block: np.ndarray,
     cat = cat[np.argsort(symbols[cat], kind="stable")]  # merges sorted runs
     n = len(cat)
     place = np.zeros(len(symbols), np.int64)  # interval of every position
-    common = np.full(n, length // STEP, np.int64)
+    common = np.full(n, length // step, np.int64)
 
     def settle(rows: np.ndarray, group: np.ndarray, base: np.ndarray):
         """Number the groups of ``rows`` from ``base``; groups of one block
@@ -117,12 +124,12 @@ def merge_orders(symbols: np.ndarray, room: np.ndarray, block: np.ndarray,
     group = _changes(symbols[cat])
     common[group] = 0
     active = settle(cat, group, np.zeros(n, np.int64))
-    for depth in range(1, length // STEP):
-        active = active[room[active] >= STEP * (depth + 1)]
+    for depth in range(1, length // step):
+        active = active[room[active] >= step * (depth + 1)]
         if not len(active):
             break
-        k1, k2 = place[active], place[active + STEP]
-        at = np.lexsort((k2, k1))
+        k1, k2 = place[active], place[active + step]
+        at = np.argsort(k1 * len(place) + k2, kind="stable")
         active, k1, k2 = active[at], k1[at], k2[at]
         outer, inner = _changes(k1), _changes(k1, k2)
         parted = inner & ~outer
@@ -140,7 +147,8 @@ def repeated_windows(contents: list[bytes], weights: np.ndarray, length: int,
     data = np.frombuffer(b"".join(contents), np.uint8)
     ends = np.cumsum(sizes)
     room = np.repeat(ends, sizes) - np.arange(len(data))
-    symbols = symbols_of(data)
+    step = step_of(length)
+    symbols = symbols_of(data, step)
     found = np.repeat(weights > 1, sizes) & (room >= length)
     bounds = np.unique(np.concatenate((
         [0], np.searchsorted(ends, np.arange(block_bytes, len(data), block_bytes)) + 1,
@@ -148,13 +156,13 @@ def repeated_windows(contents: list[bytes], weights: np.ndarray, length: int,
     edges = np.concatenate(([0], ends))[bounds]
     orders, ranks = [], np.empty(len(data), np.int64)
     for a, b in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
-        order, rank, twice = block_order(symbols[a:b], room[a:b], length)
+        order, rank, twice = block_order(symbols[a:b], room[a:b], length, step)
         orders.append(order + a)
         ranks[a:b] = rank
         found[a:b] |= twice
     if len(orders) > 1:
         block = np.repeat(np.arange(len(orders)), np.diff(edges))
-        found[merge_orders(symbols, room, block, orders, ranks, length)[2]] = True
+        found[merge_orders(symbols, room, block, orders, ranks, length, step)[2]] = True
     return found
 
 
@@ -196,8 +204,8 @@ _HITS = pa.schema([("key", pa.int64()), ("chash", pa.int64()), ("windows", pa.in
 def repeated_spans(docs: DataFrame, length: int = 200, shard_runs: int = 5000) -> DataFrame:
     """doc_id, text, runs: list of (loc, hits); hits holds begin and end of the
     byte spans, relative to the run's start, that repeated windows cover."""
-    if length % STEP or length < GRAM:
-        raise ValueError(f"length must be a multiple of {STEP} and at least {GRAM}")
+    if length < GRAM:
+        raise ValueError(f"length must be at least {GRAM}")
     rows = shared_runs(
         docs, byte_runs(length),
         lambda k: k.groupBy("key").count().where("count > 1").select("key"), "byte-runs")
@@ -222,19 +230,14 @@ def repeated_spans(docs: DataFrame, length: int = 200, shard_runs: int = 5000) -
     return with_hits(docs, rows, written(hits, "byte-hits"))
 
 
-def kept_bytes(text: str | None, runs) -> tuple[bytes, int, int]:
-    """Bytes left of a text, number of bytes removed, number of removed spans."""
-    raw = (text or "").encode("utf-8", "surrogatepass")
-    cover = np.zeros(len(raw) + 1, np.int32)
-    for r in runs or ():
-        start, hits = r["loc"] >> 12, r["hits"]
-        for a, b in zip(hits[::2], hits[1::2], strict=True):
-            cover[start + a] += 1
-            cover[start + b] -= 1
-    gone = np.cumsum(cover[:-1]) > 0
-    spans = int((np.diff(np.concatenate(([0], gone.astype(np.int8)))) == 1).sum())
-    left = np.frombuffer(raw, np.uint8)[~gone].tobytes()
-    return left, int(gone.sum()), spans
+def covered_bytes(n_bytes: np.ndarray, runs: pa.ListArray) -> np.ndarray:
+    """For all bytes of a batch of texts: covered by a repeated window."""
+    base = np.concatenate(([0], np.cumsum(n_bytes)))
+    row, start, n_hits, edges = hit_arrays(runs)
+    at = np.repeat(base[row] + start, n_hits) + edges
+    size = int(base[-1]) + 1
+    cover = np.bincount(at[::2], minlength=size) - np.bincount(at[1::2], minlength=size)
+    return np.cumsum(cover[:-1]) > 0
 
 
 _OUT = pa.schema([("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("n_removed", pa.int64()),
@@ -247,13 +250,18 @@ def byte_dedup(docs: DataFrame, length: int = 200) -> DataFrame:
 
     def run(batches):
         for b in batches:
-            out = [[] for _ in _OUT]
-            for d, t, r in zip(*(b.column(i).to_pylist() for i in range(3)), strict=True):
-                left, gone, spans = kept_bytes(t, r)
-                for c, v in zip(out, (d, len(left) + gone, gone, spans,
-                                      hashlib.sha256(left).hexdigest()), strict=True):
-                    c.append(v)
-            yield batch(_OUT, *out)
+            texts = [(t or "").encode("utf-8", "surrogatepass") for t in b.column(1).to_pylist()]
+            n_bytes = np.array([len(t) for t in texts], dtype=np.int64)
+            gone = covered_bytes(n_bytes, b.column(2))
+            removed, spans, kept, at = [], [], [], 0
+            for raw in texts:
+                own = gone[at:at + len(raw)]
+                at += len(raw)
+                removed.append(int(own.sum()))
+                spans.append(int(own[:1].sum() + (own[1:] & ~own[:-1]).sum()))
+                left = np.frombuffer(raw, np.uint8)[~own].tobytes() if removed[-1] else raw
+                kept.append(hashlib.sha256(left).hexdigest())
+            yield batch(_OUT, b.column(0), n_bytes, removed, spans, kept)
 
     return repeated_spans(docs, length).mapInArrow(
         run, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")

@@ -25,6 +25,8 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import (
+    ArrayType, BinaryType, IntegerType, StructField, StructType)
 from tokenizers import models
 
 from flowlens.llm.common import batch, prepare
@@ -170,21 +172,26 @@ def token_offsets(ids, text: str, path: str) -> tuple[list[int], list[int], list
 
 
 def bpe_encode(docs: DataFrame, path: str, pattern: str, text_col: str = "text",
-               keep: tuple[str, ...] = (), offsets: bool = False) -> DataFrame:
+               keep: tuple[str, ...] = (), offsets: bool = False,
+               verify: bool = False) -> DataFrame:
     """``keep`` columns, ids array<int>, and with ``offsets`` the byte and
-    character spans of the tokens."""
+    character spans of the tokens.  ``verify`` decodes every text again and
+    fails the job if it differs."""
     prepare(docs.sparkSession)
     base = docs.select(F.col(text_col).cast("string").alias("_text"), *keep)
     spans = ("byte_start", "byte_end", "char_start", "char_end")
-    schema = docs.select(*keep).schema.add("ids", "array<int>")
-    for c in spans if offsets else ():
-        schema = schema.add(c, "array<int>")
+    lists = StructType([StructField(c, ArrayType(IntegerType()))
+                        for c in ("ids", *(spans if offsets else ()))])
+    schema = StructType([*docs.select(*keep).schema.fields, *lists.fields])
 
     def run(batches):
         ints = pa.list_(pa.int32())
         for b in batches:
             texts = [t or "" for t in b.column(0).to_pylist()]
             ids = encode_texts(texts, path, pattern)
+            if verify and any(decode_ids(i, path) != t.encode()
+                              for i, t in zip(ids, texts, strict=True)):
+                raise ValueError("decoded ids differ from their text")
             cols = [*b.columns[1:], pa.array(ids, ints)]
             if offsets:
                 cols += [pa.array(c, ints) for c in zip(
@@ -208,7 +215,8 @@ def bpe_decode(tokens: DataFrame, path: str, ids_col: str = "ids",
             yield pa.RecordBatch.from_arrays([*b.columns[1:], pa.array(data, pa.binary())],
                                              names=[*keep, "data"])
 
-    return base.mapInArrow(run, tokens.select(*keep).schema.add("data", "binary"))
+    return base.mapInArrow(run, StructType([
+        *tokens.select(*keep).schema.fields, StructField("data", BinaryType())]))
 
 
 _DIGEST = pa.schema([("doc_id", pa.int64()), ("n_tokens", pa.int64()),

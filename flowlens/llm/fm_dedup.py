@@ -19,15 +19,17 @@ id holds them; an empty table gives no rows; other columns are ignored.
 from __future__ import annotations
 
 import hashlib
+from itertools import compress
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from flowlens.llm.common import batch, prepare, words, written
-from flowlens.llm.window_runs import mix, run_contents, runs_of, shared_runs, with_hits
+from flowlens.llm.window_runs import (
+    hit_arrays, mix, prefix_hash, run_contents, runs_of, shared_runs, span_hash, with_hits)
 
 NO_DOC = (1 << 63) - 1
 
@@ -78,6 +80,7 @@ class FMIndex:
         text = np.array(flat, dtype=np.int64)
         n = self.n = len(text)
         lengths = np.array([len(s) + 1 for s in sequences], dtype=np.int64)
+        self.text, self.lengths = text, lengths
         rank, width = text, 1
         while width < depth:  # order of the first `width` words, doubled each time
             nxt = np.concatenate((rank[width:], np.zeros(min(width, n), np.int64)))[:n]
@@ -108,18 +111,29 @@ class FMIndex:
             self._parents[length] = lo, cuts[np.cumsum(start)]
         return self._parents[length]
 
-    def matching_statistics(self, queries: list[list[bytes]]):
+    def grid(self, queries: list[list[bytes]]) -> np.ndarray:
+        """Queries as right-aligned rows of symbols; -1: word not indexed."""
+        longest = max(map(len, queries), default=0)
+        out = np.zeros((len(queries), longest), dtype=np.int64)
+        for i, q in enumerate(queries):
+            out[i, longest - len(q):] = [self.ids.get(w, -1) for w in q]
+        return out
+
+    def own_grid(self) -> np.ndarray:
+        """The indexed sequences themselves as queries."""
+        longest = int(self.lengths.max(initial=1)) - 1
+        out = np.zeros((len(self.lengths), longest), dtype=np.int64)
+        out[np.arange(longest) >= (longest + 1 - self.lengths)[:, None]] = self.text[self.text > 0]
+        return out
+
+    def matching_statistics(self, grid: np.ndarray):
         """Per step from the right end of the queries: (query numbers,
         positions, match lengths up to ``depth``, interval starts)."""
-        get = self.ids.get
-        length = np.array([len(q) for q in queries], dtype=np.int64)
-        longest = int(length.max(initial=0))
-        grid = np.full((len(queries), longest), -1, dtype=np.int64)
-        for i, q in enumerate(queries):
-            grid[i, longest - len(q):] = [get(w, -1) for w in q]
-        lo = np.zeros(len(queries), np.int64)
-        hi = np.full(len(queries), self.n, np.int64)
-        size = np.zeros(len(queries), np.int64)
+        longest = grid.shape[1]
+        length = (grid != 0).sum(1)
+        lo = np.zeros(len(grid), np.int64)
+        hi = np.full(len(grid), self.n, np.int64)
+        size = np.zeros(len(grid), np.int64)
         for col in range(longest - 1, -1, -1):
             live = np.flatnonzero(longest - length <= col)
             c = grid[live, col]
@@ -153,49 +167,54 @@ def smallest_holders(sequences: list[list[bytes]], values: np.ndarray,
     """For each sequence, for each of its windows of ``length`` words, the
     smallest value among the sequences that hold the window."""
     index = FMIndex(sequences, length)
-    starts = np.flatnonzero(index.common < length)  # row 0 shares nothing
-    low = np.minimum.reduceat(values[index.owner], starts)
-    interval = np.cumsum(index.common < length) - 1
-    out = [np.full(max(0, len(s) - length + 1), NO_DOC, np.int64) for s in sequences]
-    for which, pos, size, row in index.matching_statistics(sequences):
+    starts = index.common < length  # row 0 shares nothing
+    low = np.minimum.reduceat(values[index.owner], np.flatnonzero(starts))
+    interval = np.cumsum(starts) - 1
+    sizes = np.array([max(0, len(s) - length + 1) for s in sequences], dtype=np.int64)
+    at = np.cumsum(sizes) - sizes
+    out = np.full(int(sizes.sum()), NO_DOC, np.int64)
+    for which, pos, size, row in index.matching_statistics(index.own_grid()):
         full = size == length
-        for q, p, v in zip(which[full].tolist(), pos[full].tolist(),
-                           low[interval[row[full]]].tolist(), strict=True):
-            out[q][p] = v
-    return out
+        out[at[which[full]] + pos[full]] = low[interval[row[full]]]
+    return np.split(out, at[1:])
+
+
+def split_words(raw: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Begin and end of every word of a byte array."""
+    solid = np.concatenate(([False], ~_WHITE[raw], [False]))
+    edge = np.flatnonzero(solid[1:] != solid[:-1])
+    return edge[::2], edge[1::2]
+
+
+#: ASCII white space, bytes 9 to 13 and 32 (fixed values)
+_WHITE = np.isin(np.arange(256), [9, 10, 11, 12, 13, 32])
 
 
 def word_runs(length: int, gram: int):
     """Runs of a text for ``window_runs``: minimizers over ``gram`` words."""
 
     def runs(text: str | None, with_content: bool):
-        w = words(text)
-        if len(w) < length:
+        raw = np.frombuffer((text or "").encode("utf-8", "surrogatepass"), np.uint8)
+        begin, end = split_words(raw)
+        n = len(begin)
+        if n < length:
             return None
-        digest = xxhash.xxh3_64_intdigest
-        h = np.array([digest(x) for x in w], dtype=np.uint64)
-        grams = h[:len(h) - gram + 1].copy()
-        for k in range(1, gram):
-            grams = grams * np.uint64(0x100000001B3) + h[k:len(h) - gram + 1 + k]
-        first, count, key = runs_of(mix(grams), length - gram + 1)
-        if not with_content:
-            return first, count, key, None
-        part = word_content(length)(w)
-        chash = np.array([digest(part(a, n)) for a, n in zip(first.tolist(), count.tolist(),
-                                                             strict=True)], dtype=np.uint64)
+        hashes = mix(span_hash(prefix_hash(raw.astype(np.uint64) + np.uint64(1)), begin, end))
+        prefix = prefix_hash(hashes)
+        at = np.arange(n - gram + 1)
+        first, count, key = runs_of(mix(span_hash(prefix, at, at + gram)), length - gram + 1)
+        chash = span_hash(prefix, first, first + count + length - 1) if with_content else None
         return first, count, key, chash
 
     return runs
 
 
 def word_content(length: int):
-    def of(text):
-        w = text if isinstance(text, list) else words(text)
-        flat = b" ".join(w)
-        ends = np.cumsum(np.fromiter(map(len, w), np.int64, len(w)) + 1) - 1
-        begin = [0, *(ends + 1).tolist()]
-        stop = ends.tolist()
-        return lambda start, windows: flat[begin[start]:stop[start + windows + length - 2]]
+    """Words of a run, joined by one space."""
+
+    def of(text: str | None):
+        w = words(text)
+        return lambda start, windows: b" ".join(w[start:start + windows + length - 1])
 
     return of
 
@@ -204,9 +223,9 @@ _HITS = pa.schema([("key", pa.int64()), ("chash", pa.int64()), ("windows", pa.in
                    ("hits", pa.list_(pa.int64()))])
 
 
-def window_holders(docs: DataFrame, length: int = 13, gram: int = 2, shard_runs: int = 20_000
-                   ) -> DataFrame:
-    """doc_id, text, runs: for the windows shared by documents, the smallest
+def window_holders(docs: DataFrame, length: int = 13, gram: int = 5, shard_runs: int = 20_000,
+                   keep: tuple[str, ...] = ()) -> DataFrame:
+    """doc_id, text, runs and ``keep`` columns; runs: for the windows shared by documents, the smallest
     doc_id that holds each, as list of (loc, hits)."""
     rows = shared_runs(
         docs, word_runs(length, gram),
@@ -225,41 +244,55 @@ def window_holders(docs: DataFrame, length: int = 13, gram: int = 2, shard_runs:
 
     hits = contents.groupBy("shard").applyInArrow(
         search, "key long, chash long, windows long, hits array<long>")
-    return with_hits(docs, rows, written(hits, "word-hits"))
-
-
-def kept_words(doc_id, text: str | None, runs, length: int) -> tuple[list[bytes], int]:
-    """Words left of a document, and how many were removed."""
-    w = words(text)
-    gone = np.zeros(len(w) + 1, np.int32)
-    own = NO_DOC if doc_id is None else doc_id
-    for r in runs or ():
-        start = r["loc"] >> 12
-        for k, holder in enumerate(r["hits"]):
-            if holder < own:
-                gone[start + k] += 1
-                gone[start + k + length] -= 1
-    covered = np.cumsum(gone[:-1]) > 0
-    return [x for x, c in zip(w, covered.tolist(), strict=True) if not c], int(covered.sum())
-
-
-def substring_dedup(docs: DataFrame, length: int = 13, text: bool = False) -> DataFrame:
-    """doc_id, n_words, n_removed, kept_sha256; with ``text`` also the kept
-    words joined by one space."""
+    return with_hits(docs, rows, written(hits, "word-hits"), keep)
+
+
+def covered_words(doc_ids: list, n_words: np.ndarray, runs: pa.ListArray,
+                  length: int) -> np.ndarray:
+    """For all words of a batch of documents: covered by a window that a
+    document with a smaller id holds."""
+    base = np.concatenate(([0], np.cumsum(n_words)))
+    row, start, n_hits, holder = hit_arrays(runs)
+    own = np.array([NO_DOC if d is None else d for d in doc_ids], dtype=np.int64)
+    first = np.cumsum(n_hits) - n_hits
+    at = np.repeat(base[row] + start - first, n_hits) + np.arange(len(holder))
+    at = at[holder < np.repeat(own[row], n_hits)]
+    size = int(base[-1]) + 1
+    cover = np.bincount(at, minlength=size) - np.bincount(at + length, minlength=size)[:size]
+    return np.cumsum(cover[:-1]) > 0
+
+
+def substring_dedup(docs: DataFrame, length: int = 13, text: bool = False,
+                    keep: tuple[str, ...] = ()) -> DataFrame:
+    """doc_id, n_words, n_removed, kept_sha256; with ``text`` also kept, the
+    kept words joined by one space (the unchanged text if all are kept), and
+    the ``keep`` columns."""
     prepare(docs.sparkSession)
+    base = window_holders(docs, length, keep=keep)
+    out_type = StructType([*StructType.fromDDL(
+        "doc_id long, n_words long, n_removed long, kept_sha256 string" + ", kept string" * text
+    ).fields, *base.select(*keep).schema.fields])
     schema = pa.schema([("doc_id", pa.int64()), ("n_words", pa.int64()), ("n_removed", pa.int64()),
                         ("kept_sha256", pa.string())] + [("kept", pa.string())] * text)
 
     def run(batches):
         for b in batches:
-            out = [[] for _ in schema]
-            for d, t, r in zip(*(b.column(i).to_pylist() for i in range(3)), strict=True):
-                left, gone = kept_words(d, t, r, length)
-                flat = b" ".join(left)
-                row = (d, len(left) + gone, gone, hashlib.sha256(flat).hexdigest())
-                for c, v in zip(out, row + (flat.decode(),) * text, strict=True):
-                    c.append(v)
-            yield batch(schema, *out)
-
-    ddl = "doc_id long, n_words long, n_removed long, kept_sha256 string" + ", kept string" * text
-    return window_holders(docs, length).mapInArrow(run, ddl)
+            doc_ids = b.column(0).to_pylist()
+            all_words = [words(t) for t in b.column(1).to_pylist()]
+            n_words = np.array([len(w) for w in all_words], dtype=np.int64)
+            stay = ~covered_words(doc_ids, n_words, b.column(2), length)
+            kept, gone, at = [], [], 0
+            for w in all_words:
+                own = stay[at:at + len(w)]
+                at += len(w)
+                left = int(own.sum())
+                kept.append(b" ".join(w if left == len(w) else compress(w, own.tolist())))
+                gone.append(len(w) - left)
+            texts = [[k.decode() if g else t for k, g, t in zip(
+                kept, gone, b.column(1).to_pylist(), strict=True)]] if text else []
+            done = batch(schema, doc_ids, n_words, gone,
+                         [hashlib.sha256(k).hexdigest() for k in kept], *texts)
+            yield pa.RecordBatch.from_arrays(
+                [*done.columns, *b.columns[3:]], names=[*schema.names, *keep])
+
+    return base.mapInArrow(run, out_type)

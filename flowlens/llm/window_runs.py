@@ -54,14 +54,58 @@ def runs_of(grams: np.ndarray, span: int) -> tuple[np.ndarray, np.ndarray, np.nd
     return np.concatenate(firsts), np.concatenate(counts), np.concatenate(keys)
 
 
+def _offsets(lists: pa.ListArray) -> pa.Array:
+    """Offsets of a list column counted from its own first entry."""
+    sizes = lists.value_lengths().fill_null(0).to_numpy()
+    return pa.array(np.concatenate(([0], np.cumsum(sizes))), pa.int32())
+
+
+def hit_arrays(runs: pa.ListArray):
+    """A batch's run lists as arrays: row and start of each run, its number
+    of hits, and all hits in order."""
+    sizes = runs.value_lengths().fill_null(0).to_numpy()
+    flat = runs.flatten()
+    hits = flat.field("hits")
+    return (np.repeat(np.arange(len(sizes)), sizes), flat.field("loc").to_numpy() >> 12,
+            hits.value_lengths().fill_null(0).to_numpy().astype(np.int64),
+            hits.flatten().to_numpy())
+
+
+def prefix_hash(values: np.ndarray) -> np.ndarray:
+    """Polynomial prefix hashes: prefix[i] covers values before i."""
+    return np.concatenate((np.zeros(1, np.uint64),
+                           np.cumsum(values * _powers(len(values))[0][:len(values)], dtype=np.uint64)))
+
+
+def span_hash(prefix: np.ndarray, start: np.ndarray, stop: np.ndarray) -> np.ndarray:
+    """Hash of values[start:stop], the same wherever the values stand."""
+    return (prefix[stop] - prefix[start]) * _powers(len(prefix))[1][start]
+
+
+_BASE = 0x9E3779B97F4A7C15
+_POWERS = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
+
+
+def _powers(n: int) -> list[np.ndarray]:
+    """Powers of the hash base and of its inverse modulo 2^64, grown on need."""
+    have = len(_POWERS[0])
+    if have < n:
+        size = max(n, 2 * have, 1 << 12)
+        for i, b in enumerate((_BASE, pow(_BASE, -1, 1 << 64))):
+            steps = np.full(size, np.uint64(b))
+            steps[0] = 1
+            _POWERS[i] = np.cumprod(steps, dtype=np.uint64)
+    return _POWERS
+
+
 def row_key():
     """Identity of a document row: equal rows have equal keys."""
     return F.xxhash64("doc_id", "text").alias("rk")
 
 
-def keyed(docs: DataFrame) -> DataFrame:
+def keyed(docs: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     return docs.select(row_key(), F.col("doc_id").cast("long").alias("doc_id"),
-                       F.col("text").cast("string").alias("text"))
+                       F.col("text").cast("string").alias("text"), *keep)
 
 
 def shared_runs(docs: DataFrame, runs, shared, name: str) -> DataFrame:
@@ -73,33 +117,27 @@ def shared_runs(docs: DataFrame, runs, shared, name: str) -> DataFrame:
     def emit_keys(batches):
         schema = pa.schema([("key", pa.int64()), ("rk", pa.int64())])
         for b in batches:
-            keys, owner = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
-            for rk, text in zip(b.column(0).to_pylist(), b.column(2).to_pylist(), strict=True):
-                if (found := runs(text, False)) is not None:
-                    keys.append(found[2].view(np.int64))
-                    owner.append(np.full(len(found[2]), rk))
-            yield batch(schema, np.concatenate(keys), np.concatenate(owner))
+            found = [runs(t, False) for t in b.column(2).to_pylist()]
+            keys = [f[2] for f in found if f is not None]
+            sizes = [0 if f is None else len(f[2]) for f in found]
+            yield batch(schema, np.concatenate([np.zeros(0, np.uint64), *keys]).view(np.int64),
+                        np.repeat(b.column(0).to_numpy(), sizes))
 
     def emit_runs(batches):
         for b in batches:
-            cols = [[np.zeros(0, np.int64)] for _ in range(4)]
-            ids, sizes = [], []
-            for rk, doc, text in zip(*(b.column(i).to_pylist() for i in range(3)), strict=True):
-                if (found := runs(text, True)) is not None:
-                    start, count, key, chash = found
-                    for c, v in zip(cols, (key.view(np.int64), chash.view(np.int64),
-                                           np.full(len(key), rk), start << 12 | count),
-                                    strict=True):
-                        c.append(v)
-                    ids.append(doc)
-                    sizes.append(len(key))
-            key, chash, rks, loc = (np.concatenate(c) for c in cols)
-            doc_ids = pa.array(ids, pa.int64()).take(pa.array(np.repeat(
-                np.arange(len(ids)), sizes))) if ids else pa.array([], pa.int64())
-            yield batch(_RUN, key, chash, rks, doc_ids, loc)
+            found = [runs(t, True) for t in b.column(2).to_pylist()]
+            sizes = [0 if f is None else len(f[2]) for f in found]
+            found = [f for f in found if f is not None]
+            start, count, key, chash = (np.concatenate([np.zeros(0, t), *(f[i] for f in found)])
+                                        for i, t in enumerate(("i8", "i8", "u8", "u8")))
+            owner = np.repeat(np.arange(len(sizes)), sizes)
+            yield batch(_RUN, key.view(np.int64), chash.view(np.int64),
+                        b.column(0).take(pa.array(owner)), b.column(1).take(pa.array(owner)),
+                        start << 12 | count)
 
     base = keyed(docs)
-    keep = shared(base.mapInArrow(emit_keys, "key long, rk long"))
+    # written first: the join then sees two plain shuffles and can split a hot key
+    keep = written(shared(base.mapInArrow(emit_keys, "key long, rk long")), f"{name}-keys")
     return written(base.mapInArrow(emit_runs, RUN_DDL).join(keep, "key", "left_semi"), name)
 
 
@@ -122,28 +160,29 @@ def run_contents(docs: DataFrame, rows: DataFrame, content, shard_runs: int) ->
 
     def emit(batches):
         for b in batches:
-            out = [[] for _ in schema]
-            for text, runs in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
+            out: list[bytes] = []
+            runs_field = b.column(1).flatten().field("loc")
+            locs = pa.ListArray.from_arrays(_offsets(b.column(1)), runs_field)
+            for text, runs in zip(b.column(0).to_pylist(), locs.to_pylist(), strict=True):
                 part = content(text)
-                for r in runs:
-                    windows = r["loc"] & 4095
-                    for c, v in zip(out, (r["key"] % n_shards, r["key"], r["chash"], windows,
-                                          r["low"], r["n"], part(r["loc"] >> 12, windows)),
-                                    strict=True):
-                        c.append(v)
-            yield batch(schema, *out)
+                out += [part(r >> 12, r & 4095) for r in runs]
+            flat = b.column(1).flatten()
+            key, loc = (flat.field(c).to_numpy() for c in ("key", "loc"))
+            yield batch(schema, key % n_shards, key, flat.field("chash"), loc & 4095,
+                        flat.field("low"), flat.field("n"), out)
 
     return texts.select("text", "runs").mapInArrow(
         emit, "shard long, key long, chash long, windows long, low long, n long, content binary")
 
 
-def with_hits(docs: DataFrame, rows: DataFrame, hits: DataFrame) -> DataFrame:
-    """doc_id, text and the list of (loc, hits) of every row of ``docs``;
-    ``hits`` is (key, chash, windows, hits array<long>)."""
+def with_hits(docs: DataFrame, rows: DataFrame, hits: DataFrame,
+              keep: tuple[str, ...] = ()) -> DataFrame:
+    """doc_id, text, the list of (loc, hits) and ``keep`` columns of every row
+    of ``docs``; ``hits`` is (key, chash, windows, hits array<long>)."""
     spans = (rows.withColumn("windows", F.col("loc") % 4096)
              .join(hits, ["key", "chash", "windows"])
              .groupBy("rk", F.col("doc_id").alias("of"))
              .agg(F.collect_set(F.struct("loc", "hits")).alias("runs")))
-    base = keyed(docs)
+    base = keyed(docs, keep)
     cond = (base.rk == spans.rk) & base.doc_id.eqNullSafe(spans.of)
-    return base.join(spans, cond, "left").select("doc_id", "text", "runs")
+    return base.join(spans, cond, "left").select("doc_id", "text", "runs", *keep)
