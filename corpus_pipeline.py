@@ -20,8 +20,14 @@ from flowlens.session import checkpoint_dir
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 
+def release_shuffles(spark: SparkSession) -> None:
+    """Each stage is executed once, so its shuffle files go when it ends."""
+    spark.conf.set("spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true")
+
+
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in which no language is found (null or letter-less text) go."""
+    release_shuffles(spark)
     rest = tuple(c for c in COLUMNS if c not in ("doc_id", "text"))
     tagged = hd_langid.language_id(docs, keep=rest)
     return tagged.where("lang_pred <> 'und'").select(*COLUMNS)
@@ -30,6 +36,7 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each SimHash group stays: the one with the smallest
     doc_id (rows that repeat it go too, and so do rows without an id)."""
+    release_shuffles(spark)
     groups = simhash_cover.simhash_groups(docs)
     keep = groups.where("doc_id = component_id").select("doc_id").distinct()
     return docs.join(keep, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(*COLUMNS)
@@ -38,6 +45,7 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 def drop_substring_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Words covered by a 13-word window of a document with a smaller doc_id
     go; a text that loses none stays as it is, one that loses all goes."""
+    release_shuffles(spark)
     left = fm_dedup.substring_dedup(docs, text=True, keep=("lang", "source"))
     return left.where("n_removed < n_words").select(
         "doc_id", F.col("kept").alias("text"), "lang", "source",
@@ -46,6 +54,7 @@ def drop_substring_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str)
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the mix takes them: not at all, once or twice."""
+    release_shuffles(spark)
     rest = tuple(c for c in COLUMNS if c != "doc_id")
     mixed = mixing.mix_single(docs, keep=rest).where("taken > 0")
     copies = F.sequence(F.lit(1), F.expr("int(taken div size)"))
@@ -54,6 +63,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every text, decoded again and compared."""
+    release_shuffles(spark)
     coded = byte_bpe.bpe_encode(docs, BPE_RANKS, public_tokenizers.PATTERN,
                                 keep=("doc_id", "lang", "source"), verify=True)
     return coded.select("doc_id", "lang", "source",

@@ -227,7 +227,7 @@ def repeated_spans(docs: DataFrame, length: int = 200, shard_runs: int = 5000) -
 
     hits = contents.groupBy("shard").applyInArrow(
         search, "key long, chash long, windows long, hits array<long>")
-    return with_hits(docs, rows, written(hits, "byte-hits"))
+    return with_hits(docs, rows, written(hits.where("size(hits) > 0"), "byte-hits"))
 
 
 def covered_bytes(n_bytes: np.ndarray, runs: pa.ListArray) -> np.ndarray:

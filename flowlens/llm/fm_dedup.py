@@ -244,7 +244,9 @@ def window_holders(docs: DataFrame, length: int = 13, gram: int = 5, shard_runs:
 
     hits = contents.groupBy("shard").applyInArrow(
         search, "key long, chash long, windows long, hits array<long>")
-    return with_hits(docs, rows, written(hits, "word-hits"), keep)
+    own = F.coalesce("doc_id", F.lit(NO_DOC))
+    return with_hits(docs, rows, written(hits, "word-hits"), keep,
+                     F.exists("hits", lambda h: h < own))
 
 
 def covered_words(doc_ids: list, n_words: np.ndarray, runs: pa.ListArray,

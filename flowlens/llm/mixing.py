@@ -121,25 +121,28 @@ def mix_documents(docs: DataFrame, sources: Column, keep: tuple[str, ...] = (),
     target = source_targets(sizes, weights, cap=copies)
     flow = cheapest_flow({p: n for p, n in totals.items() if n},
                          {s: int(t) for s, t in target.items()}, copies)
-    plan = []
+    plan = {}
     for p, size in totals.items():
         words = sum(flow.get(p, {}).values())
-        plan.append((list(p), words // size if size else 0, words % size if size else 0,
-                     [sizes[s] for s in p], [float(target[s]) for s in p]))
+        plan[p] = (words // size if size else 0, words % size if size else 0)
     spark = docs.sparkSession
-    plans = spark.createDataFrame(plan, "sources array<string>, full long, rest long, "
-                                  "source_sizes array<long>, targets array<double>")
     bucket = F.substring("order", 1, BUCKET_DIGITS).alias("bucket")
     before = Window.partitionBy("sources").orderBy("bucket").rowsBetween(
         Window.unboundedPreceding, -1)
-    edge = (small.groupBy("sources", bucket).agg(F.sum("size").alias("n"))
-            .select("sources", "bucket", "n",
-                    F.coalesce(F.sum("n").over(before), F.lit(0)).alias("below"))
-            .join(plans.select("sources", "rest"), "sources")
-            .where("below < rest and below + n >= rest")
-            .select("sources", F.col("bucket").alias("edge"), "below"))
-    # a row for each pattern: broadcast only by Spark's own size limit
-    rows = small.join(plans, "sources").join(edge, "sources", "left").withColumn("bucket", bucket)
+    rest = spark.createDataFrame([(list(p), r) for p, (_, r) in plan.items()],
+                                 "sources array<string>, rest long")
+    edges = {tuple(r["sources"]): (r["bucket"], r["below"]) for r in (
+        small.groupBy("sources", bucket).agg(F.sum("size").alias("n"))
+        .select("sources", "bucket", "n",
+                F.coalesce(F.sum("n").over(before), F.lit(0)).alias("below"))
+        .join(rest, "sources").where("below < rest and below + n >= rest").collect())}
+    # one row for each pattern, like the totals: joining it moves no document
+    plans = spark.createDataFrame(
+        [(list(p), full, r, *edges.get(p, (None, None)), [sizes[s] for s in p],
+          [float(target[s]) for s in p]) for p, (full, r) in plan.items()],
+        "sources array<string>, full long, rest long, edge string, below long, "
+        "source_sizes array<long>, targets array<double>")
+    rows = small.join(plans, "sources").withColumn("bucket", bucket)
     inside = rows.where("bucket = edge")
     so_far = Window.partitionBy("sources").orderBy("order", "doc_id", "size").rowsBetween(
         Window.unboundedPreceding, -1)

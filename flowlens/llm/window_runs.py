@@ -15,7 +15,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from flowlens.llm.common import batch, prepare, written
@@ -176,11 +176,12 @@ def run_contents(docs: DataFrame, rows: DataFrame, content, shard_runs: int) ->
 
 
 def with_hits(docs: DataFrame, rows: DataFrame, hits: DataFrame,
-              keep: tuple[str, ...] = ()) -> DataFrame:
-    """doc_id, text, the list of (loc, hits) and ``keep`` columns of every row
+              keep: tuple[str, ...] = (), useful: Column | None = None) -> DataFrame:
+    """doc_id, text, the list of (loc, hits) that are ``useful`` and ``keep`` columns of every row
     of ``docs``; ``hits`` is (key, chash, windows, hits array<long>)."""
     spans = (rows.withColumn("windows", F.col("loc") % 4096)
              .join(hits, ["key", "chash", "windows"])
+             .where(F.lit(True) if useful is None else useful)
              .groupBy("rk", F.col("doc_id").alias("of"))
              .agg(F.collect_set(F.struct("loc", "hits")).alias("runs")))
     base = keyed(docs, keep)
