@@ -36,7 +36,8 @@ def duration_us(d) -> int:
 
 def floor_div(c: Column, d: int) -> Column:
     """Exact floor(c / d) for a bigint column and a positive constant."""
-    return ((c - F.pmod(c, F.lit(d))) / F.lit(d)).cast("long")
+    c = c.cast("long")
+    return F.call_function("div", c - F.pmod(c, F.lit(d)), F.lit(d))
 
 
 def from_epoch_us(c: Column) -> Column:

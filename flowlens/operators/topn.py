@@ -20,6 +20,10 @@ from ..functions.time import java_timestamp_string
 
 def top_n(df: DataFrame, group_cols: Sequence[str], order_cols: Sequence[Column],
           n: int, rank_col: str = "rank") -> DataFrame:
+    # beyond this many ranks (1,000 by default) Spark would drop the map-side limit
+    conf, key = df.sparkSession.conf, "spark.sql.optimizer.windowGroupLimitThreshold"
+    if int(conf.get(key)) <= n:
+        conf.set(key, str(n + 1))
     w = Window.partitionBy(*group_cols).orderBy(*order_cols)
     return df.withColumn(rank_col, F.row_number().over(w)).filter(F.col(rank_col) <= n)
 

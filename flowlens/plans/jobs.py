@@ -41,13 +41,15 @@ def hot_urls(log: DataFrame, arrival_us: str, tiebreak: str, n: int = 5, size="1
 
     ``arrival_us`` (epoch us, ties by ``tiebreak``) is the order in which rows
     reached the job.  Reports are upserts keyed by window_end: the final
-    ranking is the last one emitted for each window.
+    ranking is the last one emitted for each window.  Every row of the log
+    advances the watermark, also those of static files, which are filtered
+    after it.
     """
-    rows = log.filter(not_static("url", static_mode))
-    wm = with_watermark(rows, "ts", [F.col(arrival_us), F.col(tiebreak)], bound,
+    wm = with_watermark(log, "ts", [F.col(arrival_us), F.col(tiebreak)], bound,
                         floor_div(F.col(arrival_us), arrival_block_us),
                         [floor_div(F.col(arrival_us), arrival_outer_block_us)])
-    accepted, late = split_late(wm, "ts", size, slide, lateness)
+    rows = wm.filter(not_static("url", static_mode))
+    accepted, late = split_late(rows, "ts", size, slide, lateness)
     counts = final_counts(accepted, "ts", ["url"], size, slide, lateness)
     ranked = top_n_per_window(counts, "url", n).select("window_end", "rank", "url", "cnt")
     corrections = late_corrections(accepted, "ts", ["url"], size, slide, lateness)

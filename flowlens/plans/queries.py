@@ -154,10 +154,19 @@ def poly_hash_query(spark, d):
     return c.select("c_custkey", "c_name", poly_hash(F.col("c_name")).alias("name_hash"))
 
 
-@query("unique_visitors_approx")
+@query("unique_visitors_approx", """
+SELECT (epoch_us(ts) // 3600000000 + 1) * 3600000 AS window_end, count(DISTINCT user_id) AS uv_exact,
+       true AS within_bound
+FROM events WHERE event_type = 'view' GROUP BY 1""")
 def unique_visitors_approx(spark, d):
+    """The sketch's count beside the exact one: within 5 % (rsd 1 %), or 1."""
     b = A.behavior(_ev(spark, d)).filter(F.col("behavior") == A.PV)
-    return approx_unique_visitors(b, "ts", "user_id", "1 hour").select(_ms("window_end"), "uv")
+    approx = approx_unique_visitors(b, "ts", "user_id", "1 hour", out_col="approx")
+    exact = J.unique_visitors_job(A.behavior(_ev(spark, d)), pv=A.PV)
+    bound = F.greatest(F.lit(1.0), F.col("uv") * 0.05)
+    return exact.join(approx.select("window_end", "approx"), "window_end").select(
+        _ms("window_end"), F.col("uv").alias("uv_exact"),
+        (F.abs(F.col("approx") - F.col("uv")) <= bound).alias("within_bound"))
 
 
 @query("running_unique_visitors", """
@@ -197,6 +206,15 @@ def market_total(spark, d):
     return J.marketing_total(A.marketing(_ev(spark, d)), slide="15 minutes", uninstall=A.UNINSTALL)
 
 
+# J8 at the job's own 1 h / 5 s, every window
+@query("market_total_5s_windows", f"""
+WITH c AS ({_sliding_sql(_MARKET_SRC, '', 5000000, 720)})
+SELECT CAST((e - 720) * 5000 AS VARCHAR) AS window_start, CAST(e * 5000 AS VARCHAR) AS window_end,
+       'total' AS channel, 'total' AS behavior, cnt FROM c""")
+def market_total_5s_windows(spark, d):
+    return J.marketing_total(A.marketing(_ev(spark, d)), uninstall=A.UNINSTALL)
+
+
 _SUMMARY_SQL = ("count(*) AS n_windows, max(cnt) AS max_cnt, "
                 "CAST(sum(cnt * cnt) AS BIGINT) AS sum_sq_cnt")
 
@@ -360,12 +378,12 @@ def hot_urls_top5(spark, d):
 _LATE_SQL = f"""
 WITH {_URL_SRC},
 a AS (SELECT event_id, url, epoch_us(ts) AS us,
-             epoch_us(ts) + ((event_id * 7919) % 900) * 1000000 AS arr_us FROM f),
+             epoch_us(ts) + ((event_id * 7919) % 900) * 1000000 AS arr_us FROM u),
 w AS (SELECT *, max(us) OVER (ORDER BY arr_us, event_id
                               ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) - 1000000 AS wm
       FROM a),
 s AS (SELECT *, wm IS NOT NULL AND (us // 5000000) * 5000000 + 600000000 - 1000 + 60000000 <= wm
-                AS is_late FROM w)"""
+                AS is_late FROM w WHERE NOT regexp_matches(url, '/(css|js)$'))"""
 
 
 @query("late_split", _LATE_SQL + """
@@ -391,6 +409,19 @@ def late_corrections(spark, d):
     return corr.select("url", _ms("window_end"), "on_time_cnt", "final_cnt")
 
 
+@query("hot_urls_late_top5", _LATE_SQL + """,
+x AS (SELECT url, (us // 5000000 + 1 + i) * 5000000 AS end_us, wm
+      FROM s, range(0, 120) t(i) WHERE NOT is_late),
+c AS (SELECT url, end_us // 1000 AS window_end, count(*) AS cnt FROM x
+      WHERE wm IS NULL OR end_us - 1000 + 60000000 > wm GROUP BY 1, 2),
+r AS (SELECT *, row_number() OVER (PARTITION BY window_end ORDER BY cnt DESC, url) AS rank FROM c)
+SELECT window_end, CAST(rank AS INTEGER) AS rank, url, cnt FROM r WHERE rank <= 5""")
+def hot_urls_late_top5(spark, d):
+    ranked, _, _ = J.hot_urls(A.access_log(_ev(spark, d), arrival_delay=True), "arrival_us",
+                              "event_id")
+    return ranked.select(_ms("window_end"), "rank", "url", "cnt")
+
+
 # ---------------------------------------------------------------- S1 / S3 parsers
 @query("access_log_parse", f"""
 SELECT '10.' || CAST((user_id // 65536) % 256 AS VARCHAR) || '.' || CAST((user_id // 256) % 256 AS VARCHAR)

@@ -49,12 +49,20 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
         path = tempfile.mkdtemp(prefix="flowlens-ckpt-")
         spark.conf.set("spark.checkpoint.dir", path)
     spark.sparkContext.setCheckpointDir(path)
     return path
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether ``path`` is there; any other failure of the file system is raised."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+
+
 def stream_checkpoint(spark: SparkSession, name: str) -> str:
     """Checkpoint location for one streaming query under the shared folder."""
     return os.path.join(checkpoint_dir(spark), "streams", name)

@@ -173,12 +173,11 @@ def late_rows_writer(state_path: str, sink: Callable[[DataFrame, int], None], si
     bound_us, late_us = duration_us(bound), duration_us(lateness)
 
     def previous_max(spark, batch_id):
-        try:
-            prev = (spark.read.parquet(state_path).filter(F.col("batch_id") < batch_id)
-                         .agg(F.max("max_us")).collect()[0][0])
-        except Exception:  # noqa: BLE001 - no state written yet
-            prev = None
-        return prev
+        from ..session import path_exists
+        if not path_exists(spark, state_path):  # no state written yet
+            return None
+        return (spark.read.parquet(state_path).filter(F.col("batch_id") < batch_id)
+                     .agg(F.max("max_us")).collect()[0][0])
 
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
@@ -230,14 +229,14 @@ def hot_url_reports_writer(table_path: str, state_path: str,
     bound_us, late_us = duration_us(bound), duration_us(lateness)
 
     def stored_max(spark, batch_id):
-        try:
-            return (spark.read.parquet(state_path).filter(F.col("batch_id") < batch_id)
-                         .agg(F.max("max_us")).collect()[0][0])
-        except Exception:  # noqa: BLE001 - first batch
+        from ..session import path_exists
+        if not path_exists(spark, state_path):  # first batch
             return None
+        return (spark.read.parquet(state_path).filter(F.col("batch_id") < batch_id)
+                     .agg(F.max("max_us")).collect()[0][0])
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        from ..session import checkpoint_dir
+        from ..session import checkpoint_dir, path_exists
         spark = batch.sparkSession
         checkpoint_dir(spark)
         prev = stored_max(spark, batch_id)
@@ -249,10 +248,7 @@ def hot_url_reports_writer(table_path: str, state_path: str,
         wm_prev = prev - bound_us if prev is not None else None
         wm_cur = cur - bound_us
         end_us = F.unix_micros("window_end") - TICK_US
-        try:
-            stored = spark.read.parquet(table_path)
-        except Exception:  # noqa: BLE001 - empty table
-            stored = None
+        stored = spark.read.parquet(table_path) if path_exists(spark, table_path) else None
         touched = batch.select("window_end").distinct()
         fresh = batch.select("window_end", "url", "cnt")
         if stored is not None:

@@ -1,7 +1,11 @@
+import pytest
 from pyspark.sql import functions as F
 
 from conftest import SF001
-from flowlens.operators import final_counts, late_corrections, split_late, with_watermark
+from flowlens.operators import (final_counts, frequency_cap, late_corrections, split_late,
+                                with_watermark)
+from flowlens.plans import jobs as J
+from flowlens.streaming import late_rows_writer
 from flowlens.functions.time import floor_div
 from flowlens.plans import adapters as A
 from flowlens.sources.tables import load_table
@@ -62,3 +66,38 @@ def test_corrections_brute_force(spark):
                     on[(r.url, end)] = on.get((r.url, end), 0) + 1
     assert got_final == fin
     assert got_corr == {k: (on.get(k, 0), v) for k, v in fin.items() if v > on.get(k, 0)}
+
+
+def test_static_rows_advance_the_watermark(spark):
+    t0 = 1_700_000_000_000_000
+    rows = [(1, "/a", t0), (2, "/static/css", t0 + 900_000_000), (3, "/a", t0 + 1_000_000)]
+    log = spark.createDataFrame(rows, "event_id long, url string, us long").select(
+        "event_id", "url", F.timestamp_micros("us").alias("ts"),
+        (F.col("event_id") * 1_000_000).alias("arrival_us"))
+    ranked, late, _ = J.hot_urls(log, "arrival_us", "event_id")
+    assert [r["event_id"] for r in late.collect()] == [3]
+    assert {r["cnt"] for r in ranked.collect()} == {1}
+
+
+def test_large_cap_keeps_the_map_side_limit(spark):
+    df = spark.range(20_000).select(F.lit("u").alias("user_id"), F.col("id"),
+                                F.timestamp_seconds("id").alias("ts"))
+    passed, _ = frequency_cap(df, ["user_id"], [F.col("ts"), F.col("id")], 5000)
+    assert "WindowGroupLimit" in passed._jdf.queryExecution().optimizedPlan().toString()
+    assert passed.count() == 5000
+
+
+def test_floor_div_is_exact_for_large_ids(spark):
+    big = 2 ** 62 + 1
+    r = spark.range(1).select(floor_div(F.lit(big), 3).alias("a"), floor_div(F.lit(-7), 3).alias("b"))
+    assert tuple(r.first()) == (big // 3, -3)
+
+
+def test_failing_state_read_fails_the_batch(spark, tmp_path):
+    (tmp_path / "state").mkdir()
+    (tmp_path / "state" / "part-0.parquet").write_text("not parquet")
+    batch = spark.range(1).select(F.timestamp_seconds("id").alias("ts"))
+    writer = late_rows_writer(str(tmp_path / "state"), lambda b, i: None)
+    with pytest.raises(Exception):
+        writer(batch, 1)
+    assert [p.name for p in (tmp_path / "state").iterdir()] == ["part-0.parquet"]
