@@ -26,6 +26,7 @@ from flowlens.llm.common import written
 
 WEIGHTS = (3, 1, 2)
 SEED = "mix-1"
+BROADCAST_PATTERNS = 20_000  # more patterns are joined by a shuffle
 BUCKET_DIGITS = 3  # of the hexadecimal order key: 4,096 buckets a pattern
 
 
@@ -136,12 +137,14 @@ def mix_documents(docs: DataFrame, sources: Column, keep: tuple[str, ...] = (),
         .select("sources", "bucket", "n",
                 F.coalesce(F.sum("n").over(before), F.lit(0)).alias("below"))
         .join(rest, "sources").where("below < rest and below + n >= rest").collect())}
-    # one row for each pattern, like the totals: joining it moves no document
+    # one row for each pattern, like the totals: broadcast, it moves no document
     plans = spark.createDataFrame(
         [(list(p), full, r, *edges.get(p, (None, None)), [sizes[s] for s in p],
           [float(target[s]) for s in p]) for p, (full, r) in plan.items()],
         "sources array<string>, full long, rest long, edge string, below long, "
         "source_sizes array<long>, targets array<double>")
+    if len(plan) <= BROADCAST_PATTERNS:
+        plans = F.broadcast(plans)
     rows = small.join(plans, "sources").withColumn("bucket", bucket)
     inside = rows.where("bucket = edge")
     so_far = Window.partitionBy("sources").orderBy("order", "doc_id", "size").rowsBetween(
