@@ -1,83 +1,137 @@
-"""Exact, parallel form of the C3 burst fold for long segments.
+"""Exact, parallel form of the C3 burst rule for segments longer than ``w``.
 
 Inside a segment every event but possibly the last (a success) is a fail and
-consecutive events are at most ``w`` apart.  The fold's anchors form a chain:
-a0 is the first event and a(k+1) = nxt(a(k)), the first event later than
-a(k) + w.  Each anchor's burst is the run of events from the anchor up to
-(not including) nxt(anchor); the last anchor's burst is cancelled when the
-segment ends with a success inside its interval.
-
-* ranks: a block prefix count per segment (``scan.running_agg``);
-* nxt: the earliest event in (t + w, t + 2w] — a range-frame window over
-  time buckets of the segment, with the next bucket's first 2w as a halo;
-* anchors: pointer doubling — jump tables nxt^(2^k) by self-joins, then the
-  path from a0 grown level by level (every distance is a sum of distinct
-  powers of two).  Each level is a shuffle join on (segment, rank) and is
-  checkpointed to the shared checkpoint folder; the number of levels is
-  log2 of the longest segment.
+consecutive events are at most ``w`` apart.  Anchors form a chain: the first
+event, then again and again the first event later than anchor + w.  An
+anchor's burst holds the events up to anchor + w; with the success among them
+it is cancelled.
+
+Time is cut into nested blocks of ``w * fan``, ``w * fan**2``, … .  A chain
+enters a block within its first 2w, so a block is summed up by a few hops
+(entry -> entry of the next block), whichever entry the chain will take:
+
+* upwards, hops of small blocks are joined into hops of larger ones;
+* at the top one walk per segment is left (about 2 / fan**levels of its events);
+* downwards, the entries taken in a large block give those of its small
+  blocks, and at last the anchors and their bursts.
+
+Every step is a grouped map over (segment, block), so a segment that holds a
+third of all rows is spread over its blocks.  The plan is lazy.
 """
 
 from __future__ import annotations
 
-import math
+from collections.abc import Iterator
 
-from pyspark.sql import DataFrame, Window
+import numpy as np
+import pandas as pd
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from ..functions.time import floor_div
-from .scan import running_agg
-
-
-def chain_bursts(rows: DataFrame, seg_cols: list[str], within_us: int, min_fails: int
-                 ) -> DataFrame:
-    """rows: seg_cols + _us, _arr, _fail.  Returns seg_cols + _head, _last, n_fails."""
-    from ..session import checkpoint_dir
-    checkpoint_dir(rows.sparkSession)  # the shared folder named by spark.checkpoint.dir
-    b_us = 8 * within_us
-    x = rows.withColumn("_bk", floor_div(F.col("_us"), b_us))
-    ranked = running_agg(x, seg_cols, [F.col("_us"), F.col("_arr")], F.lit(1).cast("long"), "_r",
-                         block=F.col("_bk"), fn="sum").checkpoint()
-    sizes = ranked.groupBy(*seg_cols).agg(F.max("_r").alias("_n"))
-    # nxt: earliest event in (t + w, t + 2w]; the halo carries the next
-    # bucket's events that can be the successor of an event of this bucket
-    own = ranked.select(*seg_cols, "_bk", "_us", "_arr", "_r", F.lit(True).alias("_own"))
-    halo = (ranked.filter(F.col("_us") - F.col("_bk") * b_us <= 2 * within_us)
-                  .select(*seg_cols, (F.col("_bk") - 1).alias("_bk"), "_us", "_arr", "_r",
-                          F.lit(False).alias("_own")))
-    w = (Window.partitionBy(*seg_cols, "_bk").orderBy("_us")
-         .rangeBetween(within_us + 1, 2 * within_us))
-    nxt = (own.unionByName(halo)
-              .withColumn("_nx", F.min(F.struct("_us", "_arr", "_r")).over(w))
-              .filter("_own")
-              .select(*seg_cols, "_r", F.col("_nx._r").alias("_nr")))
-    levels = [nxt.checkpoint()]
-    max_n = sizes.agg(F.max("_n")).collect()[0][0] or 1
-    k_max = max(1, math.ceil(math.log2(max_n + 1)))
-    for _ in range(1, k_max):
-        j = levels[-1]
-        a, b = j.alias("a"), j.alias("b")
-        nxt2 = a.join(b, [F.col(f"a.{c}") == F.col(f"b.{c}") for c in seg_cols]
-                      + [F.col("a._nr") == F.col("b._r")], "left").select(
-            *[F.col(f"a.{c}").alias(c) for c in seg_cols], F.col("a._r").alias("_r"),
-            F.col("b._nr").alias("_nr"))
-        levels.append(nxt2.checkpoint())
-    path = sizes.select(*seg_cols, F.lit(1).cast("long").alias("_r"))
-    for j in reversed(levels):
-        step = (path.join(j, seg_cols + ["_r"]).filter(F.col("_nr").isNotNull())
-                    .select(*seg_cols, F.col("_nr").alias("_r")))
-        path = path.unionByName(step).distinct().checkpoint()
-    info = ranked.select(*seg_cols, "_r", "_us", "_fail")
-    anchors = (path.join(info, seg_cols + ["_r"]).filter("_fail")
-                   .join(levels[0], seg_cols + ["_r"])
-                   .join(sizes, seg_cols))
-    # burst members: ranks [_r, end], end = nxt - 1, or the segment's last event
-    ends = anchors.withColumn("_end", F.coalesce(F.col("_nr") - 1, F.col("_n")))
-    last_ev = info.select(*seg_cols, F.col("_r").alias("_end"), F.col("_us").alias("_last"),
-                          F.col("_fail").alias("_last_fail"))
-    b = ends.join(last_ev, seg_cols + ["_end"])
-    # a success can only be the segment's last event: inside the interval it
-    # cancels the burst (then no later anchor exists)
-    b = b.filter(F.col("_last_fail"))
-    return b.select(*seg_cols, F.col("_us").alias("_head"), "_last",
-                    (F.col("_end") - F.col("_r") + 1).alias("n_fails")).filter(
-        F.col("n_fails") >= min_fails)
+
+#: "The chain ends": no event has this time.
+END = np.iinfo(np.int64).min
+
+
+def _walk(hops: dict[int, int], at: int) -> Iterator[int]:
+    while at in hops:
+        yield at
+        at = hops[at]
+
+
+def chain_bursts(rows: DataFrame, seg: list[str], start: str, within_us: int, min_fails: int,
+                 fan: int = 64, levels: int = 3) -> DataFrame:
+    """rows: the columns of ``seg`` (``start`` among them, the time of the
+    segment's first event), _us, _fail.  Returns seg + _head, _last, n_fails."""
+    w = within_us
+    spans = [w * fan ** (j + 1) for j in range(levels)]
+    at_start = seg.index(start)
+    fields = [rows.schema[c] for c in seg]
+
+    def schema(*names: str) -> StructType:
+        return StructType(fields + [StructField(n, LongType()) for n in names])
+
+    def frame(key, **cols) -> pd.DataFrame:
+        n = len(next(iter(cols.values())))
+        named = {c: [key[i]] * n for i, c in enumerate(seg)}
+        return pd.DataFrame({**named, **{c: np.asarray(v, np.int64) for c, v in cols.items()}})
+
+    def blocks(df: DataFrame, span: int) -> DataFrame:
+        return df.withColumn("_k", floor_div(F.col("_us"), span))
+
+    def entry(us: np.ndarray, key, span: int) -> np.ndarray:
+        return (us - key[len(seg)] * span < 2 * w) | (us == key[at_start])
+
+    def first_hops(key: tuple, p: pd.DataFrame) -> pd.DataFrame:
+        us = np.sort(p["_us"].to_numpy())
+        own = int(np.searchsorted(us, (key[len(seg)] + 1) * spans[0]))
+        to = np.append(np.searchsorted(us, us + w, "right"), len(us))
+        while (inside := to < own).any():
+            to[inside] = to[to[inside]]
+        take = np.nonzero(entry(us[:own], key, spans[0]))[0]
+        return frame(key, _us=us[take], _to=np.append(us, END)[to[take]])
+
+    def joined_hops(span: int):
+        def join(key: tuple, p: pd.DataFrame) -> pd.DataFrame:
+            far: dict[int, int] = {}
+            p = p.sort_values("_us", ascending=False)
+            for a, b in zip(p["_us"].tolist(), p["_to"].tolist(), strict=True):
+                far[a] = far.get(b, b)
+            us = np.array(list(far), np.int64)
+            take = us[entry(us, key, span)]
+            return frame(key, _us=take, _to=[far[a] for a in take.tolist()])
+        return join
+
+    def whole_walk(key: tuple, p: pd.DataFrame) -> pd.DataFrame:
+        hops = dict(zip(p["_us"].tolist(), p["_to"].tolist(), strict=True))
+        return frame(key, _us=list(_walk(hops, key[at_start])))
+
+    def block_walk(key: tuple, p: pd.DataFrame) -> pd.DataFrame:
+        seen = p.loc[p["_to"].isna(), "_us"]
+        if not len(seen):
+            return frame(key, _us=[])
+        rest = p[p["_to"].notna()]
+        hops = dict(zip(rest["_us"].tolist(), rest["_to"].astype("int64").tolist(), strict=True))
+        return frame(key, _us=list(_walk(hops, int(seen.min()))))
+
+    def anchor_bursts(key: tuple, p: pd.DataFrame) -> pd.DataFrame:
+        seen = p.loc[p["_n"] == 0, "_us"]
+        if not len(seen):
+            return frame(key, _head=[], _last=[], n_fails=[])
+        p = p[p["_n"] > 0].sort_values("_us")
+        us = p["_us"].to_numpy()
+        total = np.append(0, np.cumsum(p["_n"].to_numpy()))
+        bad = np.append(0, np.cumsum(p["_bad"].to_numpy()))
+        own = int(np.searchsorted(us, (key[len(seg)] + 1) * spans[0]))
+        then = np.searchsorted(us, us + w, "right")
+        i, out = int(np.searchsorted(us, int(seen.min()))), []
+        while i < own:
+            j = int(then[i])
+            if bad[j] == bad[i] and total[j] - total[i] >= min_fails:
+                out.append((us[i], us[j - 1], total[j] - total[i]))
+            i = j
+        head, last, n = zip(*out, strict=True) if out else ((), (), ())
+        return frame(key, _head=head, _last=last, n_fails=n)
+
+    times = blocks(rows.groupBy(*seg, "_us").agg(
+        F.count(F.lit(1)).alias("_n"), F.count_if(~F.col("_fail")).alias("_bad")), spans[0])
+    # the chain leaves a block to one of the next 2w
+    halo = times.filter(F.col("_us") - F.col("_k") * spans[0] < 2 * w).withColumn(
+        "_k", F.col("_k") - 1)
+    pieces = times.unionByName(halo)
+    # a halo alone, before the segment's first block, has no events of its own
+    pieces = pieces.filter(F.col("_k") >= floor_div(F.col(start), spans[0]))
+    hops = [pieces.groupBy(*seg, "_k").applyInPandas(first_hops, schema("_us", "_to"))]
+    for span in spans[1:]:
+        hops.append(blocks(hops[-1], span).groupBy(*seg, "_k").applyInPandas(
+            joined_hops(span), schema("_us", "_to")))
+    taken = hops[-1].groupBy(*seg).applyInPandas(whole_walk, schema("_us"))
+    for span, below in zip(reversed(spans[1:]), reversed(hops[:-1]), strict=True):
+        both = below.unionByName(taken.withColumn("_to", F.lit(None).cast("long")))
+        taken = blocks(both, span).groupBy(*seg, "_k").applyInPandas(block_walk, schema("_us"))
+    marks = blocks(taken, spans[0]).withColumn("_n", F.lit(0).cast("long")).withColumn(
+        "_bad", F.lit(0).cast("long"))
+    return pieces.unionByName(marks).groupBy(*seg, "_k").applyInPandas(
+        anchor_bursts, schema("_head", "_last", "n_fails"))

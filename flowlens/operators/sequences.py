@@ -16,8 +16,9 @@ success inside it cancels the burst; otherwise it is reported when it holds
 at least ``min_fails`` fails.  State is clean after every success and after
 every gap longer than w, so each key's sequence is cut into independent
 segments there (predecessor found with the same halo trick, segment ids via
-the block prefix scan); the small greedy fold runs per segment as a
-JVM-side ``aggregate`` over the segment's sorted events.
+the block prefix scan).  A segment no longer than w in time is one burst, and
+plain aggregates answer it; in a longer one ``chains`` finds the bursts, block
+by block.
 """
 
 from __future__ import annotations
@@ -26,6 +27,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.time import duration_us, floor_div
+from .chains import chain_bursts
 from .scan import running_agg
 
 # Messages of the two login jobs.
@@ -77,52 +79,12 @@ def _duration_text(us: int) -> str:
     return f"{us // 1_000_000}s" if us % 1_000_000 == 0 else f"{us / 1_000_000:g}s"
 
 
-_BURST_T = "array<struct<h:bigint,l:bigint,n:bigint>>"
-
-
-def _burst_fold(events: Column, within_us: int, min_fails: int) -> Column:
-    """Greedy burst fold over one segment's events (array of
-    struct<_us, _arr, _fail> sorted by time, arrival), as a JVM-side
-    ``aggregate``; returns array<struct<h, l, n>> of reported bursts."""
-    init = F.struct(F.lit(None).cast("long").alias("anchor"), F.lit(0).cast("long").alias("n"),
-                    F.lit(None).cast("long").alias("head"), F.lit(None).cast("long").alias("last"),
-                    F.array().cast(_BURST_T).alias("out"))
-
-    def step(acc, x):
-        closed = acc["anchor"].isNotNull() & (x["_us"] > acc["anchor"] + within_us)
-        emit = closed & (acc["n"] >= min_fails)
-        out = F.when(emit, F.array_append(acc["out"], F.struct(
-            acc["head"].alias("h"), acc["last"].alias("l"), acc["n"].alias("n")))
-        ).otherwise(acc["out"])
-        anchor = F.when(closed, F.lit(None).cast("long")).otherwise(acc["anchor"])
-        n = F.when(closed, F.lit(0).cast("long")).otherwise(acc["n"])
-        head = F.when(closed, F.lit(None).cast("long")).otherwise(acc["head"])
-        fail = x["_fail"]
-        none = F.lit(None).cast("long")
-        return F.struct(
-            F.when(fail, F.coalesce(anchor, x["_us"])).otherwise(none).alias("anchor"),
-            F.when(fail, n + 1).otherwise(F.lit(0).cast("long")).alias("n"),
-            F.when(fail, F.when(anchor.isNull(), x["_us"]).otherwise(head)).otherwise(none).alias("head"),
-            F.when(fail, x["_us"]).otherwise(none).alias("last"),
-            out.alias("out"))
-
-    def finish(acc):
-        tail = acc["anchor"].isNotNull() & (acc["n"] >= min_fails)
-        return F.when(tail, F.array_append(acc["out"], F.struct(
-            acc["head"].alias("h"), acc["last"].alias("l"), acc["n"].alias("n")))
-        ).otherwise(acc["out"])
-
-    return F.aggregate(events, init, step, finish)
-
-
 def failure_bursts(df: DataFrame, key: str, ts: str, arrival: str, fail: Column,
                    within="2 seconds", min_fails: int = 2, bucket=None,
-                   fold_limit: int = 4096) -> DataFrame:
+                   **chain) -> DataFrame:
     """Output: key, first_fail, last_fail (instants), n_fails, msg.
 
-    Segments of at most ``fold_limit`` events are folded as one group; longer
-    ones (a user failing continuously) take the exact parallel chain path of
-    ``operators.chains`` so no group grows with the data."""
+    ``chain`` (fan, levels) is handed to ``chains.chain_bursts``."""
     w_us = duration_us(within)
     b_us = _bucket_len(w_us, bucket)
     us = F.unix_micros(F.col(ts))
@@ -141,27 +103,24 @@ def failure_bursts(df: DataFrame, key: str, ts: str, arrival: str, fail: Column,
     seg_mark = F.when(F.col("_start"), F.struct(F.col("_us"), F.col(arrival)))
     segs = running_agg(starts, [key], [F.col("_us"), F.col(arrival)], seg_mark, "_seg",
                        block=F.col("_b"), fn="max")
-    seg_rows = segs.select(key, F.col(arrival).alias("_arr"), "_us", "_fail",
-                           F.col("_seg._us").alias("_su"), F.col("_seg").getField(arrival).alias("_sa"))
-    # only segments with enough fails can report; the fold never sees the rest
-    seg_win = Window.partitionBy(key, "_su", "_sa")
-    candidates = (seg_rows.withColumn("_nf", F.sum(F.col("_fail").cast("int")).over(seg_win))
-                          .withColumn("_ne", F.count(F.lit(1)).over(seg_win))
-                          .filter(F.col("_nf") >= min_fails).drop("_nf"))
-    long_rows = candidates.filter(F.col("_ne") > fold_limit).drop("_ne")
-    candidates = candidates.filter(F.col("_ne") <= fold_limit).drop("_ne")
-    per_seg = candidates.groupBy(key, "_su", "_sa").agg(
-        F.array_sort(F.collect_list(F.struct("_us", "_arr", "_fail"))).alias("_ev"))
-    bursts = per_seg.select(key, F.explode(_burst_fold(F.col("_ev"), w_us, min_fails)).alias("_b"))
-    bursts = bursts.select(key, F.col("_b.h").alias("_head"), F.col("_b.l").alias("_last"),
-                           F.col("_b.n").alias("n_fails"))
-    # a segment can only exceed fold_limit if its key has that many events:
-    # a cheap per-key count (map-side combined) before the exact check
-    heavy = df.groupBy(key).count().filter(F.col("count") > fold_limit).take(1)
-    if heavy and long_rows.take(1):
-        from .chains import chain_bursts
-        chained = chain_bursts(long_rows, [key, "_su", "_sa"], w_us, min_fails)
-        bursts = bursts.unionByName(chained.select(key, "_head", "_last", "n_fails"))
+    seg = [key, "_su", "_sa"]
+    seg_rows = segs.select(key, "_us", "_fail", F.col("_seg._us").alias("_su"),
+                           F.col("_seg").getField(arrival).alias("_sa"))
+    spans = seg_rows.groupBy(*seg).agg(
+        F.max("_us").alias("_last"), F.count_if("_fail").alias("n_fails"),
+        F.count_if(~F.col("_fail")).alias("_bad")).filter(F.col("n_fails") >= min_fails)
+    # only a segment's last event can be a success: within w it cancels the burst
+    short = spans.filter((F.col("_last") - F.col("_su") <= w_us) & (F.col("_bad") == 0))
+    # rows of long segments, matched per time block, not per segment
+    block = 64 * w_us
+    long_blocks = spans.filter(F.col("_last") - F.col("_su") > w_us).select(
+        *seg, F.explode(F.sequence(floor_div(F.col("_su"), block),
+                                   floor_div(F.col("_last"), block))).alias("_lb"))
+    long_rows = (seg_rows.withColumn("_lb", floor_div(F.col("_us"), block))
+                         .join(long_blocks, [*seg, "_lb"], "left_semi").drop("_lb"))
+    bursts = short.select(key, F.col("_su").alias("_head"), "_last", "n_fails").unionByName(
+        chain_bursts(long_rows, seg, "_su", w_us, min_fails, **chain)
+        .select(key, "_head", "_last", "n_fails"))
     a, b, c = BURST_MESSAGE
     return bursts.select(
         key, F.timestamp_micros("_head").alias("first_fail"),

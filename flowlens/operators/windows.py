@@ -20,6 +20,10 @@ from pyspark.sql import functions as F
 from ..functions.time import duration_us, floor_div
 
 
+#: Window ends per block of ``count_runs_split``.
+RUN_BLOCK = 4096
+
+
 def window_geometry(size, slide=None) -> tuple[int, int, int]:
     size_us = duration_us(size)
     slide_us = duration_us(slide) if slide is not None else size_us
@@ -73,15 +77,49 @@ def count_runs(deltas: DataFrame, keys: Sequence[str], names: Sequence[str]) ->
     runs = deltas.select(*keys, F.col("_pos").alias("_from"),
                          (F.lead("_pos").over(win) - 1).alias("_to"),
                          *[F.sum(n).over(upto).alias(n) for n in names])
+    return _live_runs(runs, names)
+
+
+def _live_runs(runs: DataFrame, names: Sequence[str]) -> DataFrame:
     nonzero = F.lit(False)
     for n in names:
         nonzero = nonzero | (F.col(n) != 0)
     return runs.filter(F.col("_to").isNotNull() & (F.col("_to") >= F.col("_from")) & nonzero)
 
 
+def count_runs_split(deltas: DataFrame, keys: Sequence[str], names: Sequence[str],
+                     block: int = RUN_BLOCK) -> DataFrame:
+    """``count_runs`` for few keys (or none): the positions of a key are cut
+    into blocks of ``block`` window ends.  Running totals and next change
+    points are found per (key, block); what precedes and follows a block comes
+    from a table with one row per block, so only that table is ever ordered
+    per key.  The runs stay spread over (key, block)."""
+    at = (deltas.groupBy(*keys, "_pos").agg(*[F.sum(n).alias(n) for n in names])
+                .withColumn("_blk", floor_div(F.col("_pos"), block)))
+    by_key = Window.partitionBy(*keys).orderBy("_blk")
+    before = by_key.rowsBetween(Window.unboundedPreceding, -1)
+    offsets = (at.groupBy(*keys, "_blk")
+                 .agg(F.min("_pos").alias("_first"), *[F.sum(n).alias(n) for n in names])
+                 .select(*[F.col(k).alias("_k_" + k) for k in keys], F.col("_blk").alias("_k_blk"),
+                         F.lead("_first").over(by_key).alias("_next"),
+                         *[F.sum(n).over(before).alias("_off_" + n) for n in names]))
+    in_block = Window.partitionBy(*keys, "_blk").orderBy("_pos")
+    upto = in_block.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    local = at.select(*keys, "_blk", F.col("_pos").alias("_from"),
+                      F.lead("_pos").over(in_block).alias("_then"),
+                      *[F.sum(n).over(upto).alias(n) for n in names])
+    same = F.col("_blk") == F.col("_k_blk")
+    for k in keys:
+        same = same & F.col(k).eqNullSafe(F.col("_k_" + k))
+    runs = local.join(offsets, same).select(
+        *keys, "_from", (F.coalesce("_then", "_next") - 1).alias("_to"),
+        *[(F.col(n) + F.coalesce("_off_" + n, F.lit(0))).alias(n) for n in names])
+    return _live_runs(runs, names)
+
+
 def windowed_count(df: DataFrame, ts: str, size, slide=None,
                    keys: Sequence[str] | str = (), count_col: str = "cnt",
-                   method: str = "runs") -> DataFrame:
+                   method: str = "runs", split: bool = False) -> DataFrame:
     """Count rows per (keys, window).  Output: keys, window_start, window_end, cnt.
 
     Only windows holding at least one row are emitted, as in the reference.
@@ -90,6 +128,8 @@ def windowed_count(df: DataFrame, ts: str, size, slide=None,
     constant-count runs, and windows are expanded from runs only at the end;
     'fanout' — each pane count is copied to its size/slide windows and summed;
     'direct' — ``F.window`` (per-row expansion), for comparison.
+    ``split`` spreads the runs of one key over blocks of time: for jobs with
+    few keys or none, whose keys alone would not fill a cluster.
     """
     keys = _keys(keys)
     size_us, slide_us, n = window_geometry(size, slide)
@@ -109,8 +149,9 @@ def windowed_count(df: DataFrame, ts: str, size, slide=None,
             *keys, F.explode(F.sequence(F.col("_pane") + 1, F.col("_pane") + n)).alias("_e"), "_c")
         summed = fanned.groupBy(*keys, "_e").agg(F.sum("_c").alias(count_col))
         return summed.select(*keys, *_bounds(F.col("_e"), slide_us, n), count_col)
-    runs = count_runs(delta_rows(panes, keys, [(F.col("_pane") + 1, F.col("_pane") + n,
-                                                {count_col: F.col("_c")})]), keys, [count_col])
+    deltas = delta_rows(panes, keys, [(F.col("_pane") + 1, F.col("_pane") + n,
+                                       {count_col: F.col("_c")})])
+    runs = (count_runs_split if split else count_runs)(deltas, keys, [count_col])
     return expand_runs(runs, keys, slide_us, n, [count_col])
 
 
@@ -128,8 +169,9 @@ def window_count_profile(df: DataFrame, ts: str, size, slide=None,
     size_us, slide_us, n = window_geometry(size, slide)
     panes = (df.groupBy(*keys, pane_index(F.col(ts), slide_us).alias("_pane"))
                .agg(F.count(F.lit(1)).alias("_c")))
-    runs = count_runs(delta_rows(panes, keys, [(F.col("_pane") + 1, F.col("_pane") + n,
-                                                {"cnt": F.col("_c")})]), keys, ["cnt"])
+    deltas = delta_rows(panes, keys, [(F.col("_pane") + 1, F.col("_pane") + n,
+                                       {"cnt": F.col("_c")})])
+    runs = count_runs_split(deltas, keys, ["cnt"])
     length = F.col("_to") - F.col("_from") + 1
     return runs.groupBy(*keys).agg(
         F.sum(length).alias("n_windows"), F.max("cnt").alias("max_cnt"),

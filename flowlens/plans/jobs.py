@@ -7,6 +7,8 @@ the same jobs live in ``flowlens.streaming``.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -102,7 +104,7 @@ def marketing_by_channel(market: DataFrame, size="1 hour", slide="5 seconds",
     """Counts per (channel, behavior) and sliding window, bounds rendered
     like ``java.sql.Timestamp.toString`` (UTC)."""
     rows = market.filter(behavior_is_not("behavior", uninstall)).select("channel", "behavior", "ts")
-    c = windowed_count(rows, "ts", size, slide, keys=["channel", "behavior"])
+    c = windowed_count(rows, "ts", size, slide, keys=["channel", "behavior"], split=True)
     return c.select(java_timestamp_string(F.col("window_start")).alias("window_start"),
                     java_timestamp_string(F.col("window_end")).alias("window_end"),
                     "channel", "behavior", "cnt")
@@ -112,7 +114,7 @@ def marketing_total(market: DataFrame, size="1 hour", slide="5 seconds",
                     uninstall: str = "UNINSTALL") -> DataFrame:
     """All-channel counts per sliding window; bounds as epoch-ms strings."""
     rows = market.filter(behavior_is_not("behavior", uninstall)).select("ts")
-    c = windowed_count(rows, "ts", size, slide)
+    c = windowed_count(rows, "ts", size, slide, split=True)
     return c.select(epoch_ms(F.col("window_start")).cast("string").alias("window_start"),
                     epoch_ms(F.col("window_end")).cast("string").alias("window_end"),
                     F.lit("total").alias("channel"), F.lit("total").alias("behavior"), "cnt")
@@ -120,12 +122,17 @@ def marketing_total(market: DataFrame, size="1 hour", slide="5 seconds",
 
 def ad_clicks_by_province(clicks: DataFrame, arrival: str, max_count: int = 100,
                           size="1 hour", slide="5 seconds", day: str = "event",
-                          ad_key: str = "ad_id") -> tuple[DataFrame, DataFrame]:
-    """(province counts over clicks that passed the cap, blacklist warnings)."""
+                          ad_key: str = "ad_id", locate: Callable[[DataFrame], DataFrame] | None = None
+                          ) -> tuple[DataFrame, DataFrame]:
+    """(province counts over clicks that passed the cap, blacklist warnings).
+
+    ``locate`` attaches the province where the clicks lack it; it runs after
+    the cap, so only passed clicks are joined."""
     passed, warnings = frequency_cap(clicks, ["user_id", ad_key],
                                      [F.col("ts"), F.col(arrival)], max_count, "ts", day)
+    passed = locate(passed) if locate else passed
     counts = windowed_count(passed.select("province", "ts"), "ts", size, slide,
-                            keys=["province"])
+                            keys=["province"], split=True)
     out = counts.select("province", java_timestamp_string(F.col("window_end")).alias("window_end"),
                         "cnt")
     return out, warnings

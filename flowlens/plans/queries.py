@@ -5,8 +5,8 @@ Window bounds are epoch milliseconds (the reference's ``windowEnd: Long``)
 unless the reference job renders them as strings.  Parameters are the
 reference's, except where its literal thresholds are empty on this data:
 login windows are 1 hour instead of 2 seconds, the click cap is 2 instead of
-100, and the 1 h / 5 s sliding jobs are reported both in full at a 15 min
-slide and as per-key summaries at the 5 s slide.
+100.  The 1 h / 5 s sliding jobs are registered in full (``_5s_windows``), at a
+15 min slide, and as per-key summaries of the 5 s windows.
 """
 
 from __future__ import annotations
@@ -17,8 +17,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.hashing import poly_hash
-from ..functions.time import epoch_ms, java_timestamp_string
-from ..operators import approx_unique_visitors, frequency_cap, windowed_count
+from ..functions.time import epoch_ms
+from ..operators import approx_unique_visitors, frequency_cap
 from ..operators.windows import window_count_profile
 from ..sources.files import parse_access_log, parse_behavior_lines
 from ..sources.tables import load_table
@@ -185,6 +185,22 @@ def running_unique_visitors(spark, d):
 
 
 # ---------------------------------------------------------------- J7 / J8
+def _packed(rows: DataFrame, *keys: str) -> DataFrame:
+    """All windows of a job, those that end in one hour as one row: without
+    loss, and few enough rows for a driver to collect."""
+    windows = F.array_sort(F.collect_list(F.struct("window_end", "cnt")))
+    text = F.transform(windows, lambda w: F.concat(
+        F.substring(w["window_end"], 15, 5), F.lit("="), w["cnt"].cast("string")))
+    return rows.groupBy(*keys, F.substring("window_end", 1, 13).alias("hour")).agg(
+        F.count(F.lit(1)).alias("n_windows"), F.array_join(text, ",").alias("counts"))
+
+
+def _packed_sql(keys: str) -> str:
+    return (f"SELECT {keys}, substr(window_end, 1, 13) AS hour, count(*) AS n_windows, "
+            "string_agg(substr(window_end, 15, 5) || '=' || CAST(cnt AS VARCHAR), ',' "
+            f"ORDER BY window_end) AS counts FROM j GROUP BY {keys}, hour")
+
+
 _MARKET_SRC = ("(SELECT 'ch' || CAST(user_id % 4 AS VARCHAR) AS channel, event_type AS behavior, ts "
                "FROM events WHERE event_type <> 'signup')")
 
@@ -198,6 +214,17 @@ def market_by_channel(spark, d):
                                   uninstall=A.UNINSTALL)
 
 
+# J7 at the job's own 1 h / 5 s: every window, the rows of an hour packed as one
+@query("market_by_channel_5s_windows", f"""
+WITH c AS ({_sliding_sql(_MARKET_SRC, 'channel, behavior', 5000000, 720)}),
+j AS (SELECT {_java_ts('(e - 720) * 5000000')} AS window_start,
+             {_java_ts('e * 5000000')} AS window_end, channel, behavior, cnt FROM c)
+{_packed_sql('channel, behavior')}""")
+def market_by_channel_5s_windows(spark, d):
+    return _packed(J.marketing_by_channel(A.marketing(_ev(spark, d)), uninstall=A.UNINSTALL),
+                   "channel", "behavior")
+
+
 @query("market_total", f"""
 WITH c AS ({_sliding_sql(_MARKET_SRC, '', 900000000, 4)})
 SELECT CAST((e - 4) * 900000 AS VARCHAR) AS window_start, CAST(e * 900000 AS VARCHAR) AS window_end,
@@ -268,19 +295,27 @@ p AS (SELECT coalesce(prov.n_name, 'unknown') AS province, r.ts
       FROM r LEFT JOIN prov ON r.user_id = prov.c_custkey WHERE r.n <= 2)"""
 
 
+def _by_province(spark, d, slide):
+    customer, nation = _t(spark, d, "customer"), _t(spark, d, "nation")
+    counts, _ = J.ad_clicks_by_province(
+        A.ad_clicks(_ev(spark, d)), "event_id", 2, slide=slide,
+        locate=lambda passed: A.with_province(passed, customer, nation))
+    return counts
+
+
 @query("ad_counts_by_province", _PROV_SQL + f""",
 c AS ({_sliding_sql('p', 'province', 900000000, 4)})
 SELECT province, {_java_ts('e * 900000000')} AS window_end, cnt FROM c""")
 def ad_counts_by_province(spark, d):
-    # J9 with the cap applied before the province join: only passed clicks
-    # are joined, and the cap does not depend on the province
-    passed, _ = frequency_cap(A.ad_clicks(_ev(spark, d)), ["user_id", "ad_id"],
-                              [F.col("ts"), F.col("event_id")], 2)
-    located = A.with_province(passed, _t(spark, d, "customer"), _t(spark, d, "nation"))
-    counts = windowed_count(located.select("province", "ts"), "ts", "1 hour", "15 minutes",
-                            keys=["province"])
-    return counts.select("province", java_timestamp_string(F.col("window_end")).alias("window_end"),
-                         "cnt")
+    return _by_province(spark, d, "15 minutes")
+
+
+@query("ad_counts_by_province_5s_windows", _PROV_SQL + f""",
+c AS ({_sliding_sql('p', 'province', 5000000, 720)}),
+j AS (SELECT province, {_java_ts('e * 5000000')} AS window_end, cnt FROM c)
+{_packed_sql('province')}""")
+def ad_counts_by_province_5s_windows(spark, d):
+    return _packed(_by_province(spark, d, "5 seconds"), "province")
 
 
 @query("ad_counts_by_province_5s", _PROV_SQL + f""",

@@ -41,8 +41,12 @@ def fan_out(df: DataFrame, tag_col: str, writers: dict[str, Callable[[DataFrame,
     """One streaming query; each micro-batch is split by ``tag_col`` and every
     part handed to its writer(batch_df, batch_id)."""
     def route(batch: DataFrame, batch_id: int) -> None:
-        for tag, write in writers.items():
-            write(batch.filter(F.col(tag_col) == tag).drop(tag_col), batch_id)
+        batch.persist()  # read once for all tags
+        try:
+            for tag, write in writers.items():
+                write(batch.filter(F.col(tag_col) == tag).drop(tag_col), batch_id)
+        finally:
+            batch.unpersist()
     w = (df.writeStream.queryName(name).foreachBatch(route)
            .option("checkpointLocation", checkpoint or stream_checkpoint(df.sparkSession, name)))
     if trigger:

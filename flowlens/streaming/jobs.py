@@ -12,11 +12,12 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.hashing import poly_hash
-from ..functions.time import duration_us
+from ..functions.time import duration_us, epoch_ms, java_timestamp_string
+from ..operators.skew import spread_key
 from ..operators.topn import top_n_per_window
 from .processors import FailureBurstProcessor, FrequencyCapProcessor, SequenceMatchProcessor
 
@@ -27,7 +28,7 @@ def _dur(d) -> str:
 
 def stream_windowed_count(sdf: DataFrame, ts: str, size, slide=None, keys: Sequence[str] = (),
                           delay="0 seconds", count_col: str = "cnt",
-                          method: str = "direct") -> DataFrame:
+                          method: str = "direct", keep: Column | None = None) -> DataFrame:
     """Count per (keys, window); ``delay`` is the out-of-orderness
     bound (0 = ascending timestamps) plus any allowed lateness.
 
@@ -35,19 +36,29 @@ def stream_windowed_count(sdf: DataFrame, ts: str, size, slide=None, keys: Seque
     (tumbling), then the pane counts — placed at their ``window_time`` — are
     summed into the sliding windows.  The sliding expansion then applies to
     pane counts instead of events, which pays when many events share a pane
-    (1 h / 5 s windows copy every input 720 times in the direct form)."""
+    (1 h / 5 s windows copy every input 720 times in the direct form).
+
+    ``keep`` marks the rows that count.  The others still advance the
+    watermark, which a filter would keep from them (it is pushed below the
+    watermark); they meet in one group without key, which is not returned."""
     keys = list(keys)
     x = sdf.withWatermark(ts, _dur(delay))
+    one = F.lit(1).cast("long")
+    if keep is not None:
+        kept = F.coalesce(keep, F.lit(False))
+        one = F.when(kept, 1).otherwise(0).cast("long")
+        x = x.select(ts, *[F.when(kept, F.col(k)).alias(k) for k in keys], one.alias("_one"))
+        one = F.col("_one")
     if method == "panes" and slide:
         panes = (x.groupBy(F.window(ts, _dur(slide)).alias("pane"), *keys)
-                  .agg(F.count(F.lit(1)).alias("_c"))
+                  .agg(F.sum(one).alias("_c"))
                   .select(F.window_time("pane").alias("_wt"), *keys, "_c"))
         w = F.window("_wt", _dur(size), _dur(slide))
         agg = panes.groupBy(w.alias("window"), *keys).agg(F.sum("_c").alias(count_col))
     else:
         w = F.window(ts, _dur(size), _dur(slide) if slide else None)
-        agg = x.groupBy(w.alias("window"), *keys).agg(F.count(F.lit(1)).alias(count_col))
-    return agg.select(F.col("window.start").alias("window_start"),
+        agg = x.groupBy(w.alias("window"), *keys).agg(F.sum(one).alias(count_col))
+    return agg.filter(F.col(count_col) > 0).select(F.col("window.start").alias("window_start"),
                       F.col("window.end").alias("window_end"), *keys, count_col)
 
 
@@ -66,18 +77,57 @@ def top_n_writer(n: int, key: str, sink: Callable[[DataFrame, int], None],
 def stream_hot_items(behavior: DataFrame, pv: str = "pv", size="60 minutes",
                      slide="15 minutes") -> DataFrame:
     """J1 (stream): finalized (window, item) counts; rank with ``top_n_writer``."""
-    views = behavior.filter(F.col("behavior") == pv).select("item_id", "ts")
-    return stream_windowed_count(views, "ts", size, slide, keys=["item_id"])
+    return stream_windowed_count(behavior, "ts", size, slide, keys=["item_id"],
+                                 keep=F.col("behavior") == pv)
 
 
 def stream_page_views(behavior: DataFrame, pv: str = "pv", size="1 hour") -> DataFrame:
     """J3/J4 (stream): Spark's partial aggregation already spreads the single
     'pv' key over all tasks before the shuffle."""
-    views = behavior.filter(F.col("behavior") == pv).select("ts")
-    return stream_windowed_count(views, "ts", size).select(
+    return stream_windowed_count(behavior, "ts", size, keep=F.col("behavior") == pv).select(
         "window_end", F.lit("pv").alias("key"), "cnt")
 
 
+def stream_page_view_partials(behavior: DataFrame, pv: str = "pv", size="1 hour",
+                              n_salts: int = 4, salt: Column | None = None) -> DataFrame:
+    """J4 (stream), first stage: counts per (window, spread key)."""
+    salt = salt if salt is not None else spread_key([F.col("user_id"), F.col("ts")], n_salts)
+    return stream_windowed_count(behavior.withColumn("salt", salt), "ts", size, keys=["salt"],
+                                 keep=F.col("behavior") == pv)
+
+
+def stream_page_views_salted(behavior: DataFrame, pv: str = "pv", size="1 hour",
+                             n_salts: int = 4, salt: Column | None = None) -> DataFrame:
+    """J4 (stream), both stages: the partial counts chained into the total."""
+    salt = salt if salt is not None else spread_key([F.col("user_id"), F.col("ts")], n_salts)
+    views = behavior.withWatermark("ts", "0 seconds").select(
+        "ts", salt.alias("salt"), (F.col("behavior") == pv).alias("_pv"))
+    partials = views.groupBy(F.window("ts", _dur(size)).alias("window"), "salt").agg(
+        F.count_if("_pv").alias("_c"))
+    total = partials.groupBy("window").agg(F.sum("_c").alias("cnt")).filter("cnt > 0")
+    return total.select(F.col("window.end").alias("window_end"), F.lit("pv").alias("key"), "cnt")
+
+
+def stream_marketing_by_channel(market: DataFrame, size="1 hour", slide="5 seconds",
+                                uninstall: str = "UNINSTALL") -> DataFrame:
+    """J7 (stream): counts per (channel, behavior) and sliding window."""
+    c = stream_windowed_count(market, "ts", size, slide, keys=["channel", "behavior"],
+                              method="panes", keep=F.col("behavior") != uninstall)
+    return c.select(java_timestamp_string(F.col("window_start")).alias("window_start"),
+                    java_timestamp_string(F.col("window_end")).alias("window_end"),
+                    "channel", "behavior", "cnt")
+
+
+def stream_marketing_total(market: DataFrame, size="1 hour", slide="5 seconds",
+                           uninstall: str = "UNINSTALL") -> DataFrame:
+    """J8 (stream): all-channel counts per sliding window."""
+    c = stream_windowed_count(market, "ts", size, slide, method="panes",
+                              keep=F.col("behavior") != uninstall)
+    return c.select(epoch_ms(F.col("window_start")).cast("string").alias("window_start"),
+                    epoch_ms(F.col("window_end")).cast("string").alias("window_end"),
+                    F.lit("total").alias("channel"), F.lit("total").alias("behavior"), "cnt")
+
+
 def stream_unique_visitors(behavior: DataFrame, pv: str = "pv", size="1 hour") -> DataFrame:
     """J5 (stream): exact distinct users — (window, user) aggregate chained into
     a per-window count (``count_distinct`` is not allowed on streams)."""
@@ -101,16 +151,30 @@ def stream_unique_visitors_bitmap(behavior: DataFrame, pv: str = "pv",
     return uv.select(F.col("window.end").alias("window_end"), "uv")
 
 
-def stream_ad_clicks(clicks: DataFrame, max_count: int = 100, day: str = "event") -> DataFrame:
-    """B1 (stream): tagged rows, kind='pass' (clicks that count) or 'warn'.
-    Follow with ``withWatermark`` + ``stream_windowed_count`` on the passed
-    rows (B2) and a filter for the warnings (side output).  ``day='processing'``
-    resets at the next UTC midnight of the wall clock with a processing-time
-    timer, as the reference does (use a processing-time trigger with it)."""
-    time_mode = "ProcessingTime" if day == "processing" else "None"
-    return (clicks.groupBy("user_id", "ad_id")
-                  .transformWithState(FrequencyCapProcessor(max_count, day),
-                                      FrequencyCapProcessor.OUTPUT, "append", time_mode))
+def stream_ad_clicks(clicks: DataFrame, max_count: int = 100, day: str = "event",
+                     bound="1 day") -> DataFrame:
+    """B1 (stream): tagged rows, kind='pass' (clicks that count) or 'warn';
+    ``sinks.fan_out`` writes both.  ``bound`` is how late a click may come
+    before its day is closed.  ``day='processing'`` resets at the next UTC
+    midnight of the wall clock with a processing-time timer (use a
+    processing-time trigger with it)."""
+    mode = {"event": "EventTime", "processing": "ProcessingTime"}.get(day, "None")
+    x = clicks.withWatermark("ts", _dur(bound)) if day == "event" else clicks
+    return x.groupBy("user_id", "ad_id").transformWithState(
+        FrequencyCapProcessor(max_count, day), FrequencyCapProcessor.OUTPUT, "append", mode,
+        eventTimeColumnName="ts" if day == "event" else "")
+
+
+def stream_ad_clicks_by_province(clicks: DataFrame, max_count: int = 100, size="1 hour",
+                                 slide="5 seconds", bound="1 day") -> DataFrame:
+    """J9 / B2 (stream): the clicks that pass the cap, counted per province and
+    sliding window.  The warnings of the same clicks are the 'warn' rows of
+    ``stream_ad_clicks``."""
+    passed = stream_ad_clicks(clicks, max_count, "event", bound).filter("kind = 'pass'")
+    w = F.window("ts", _dur(size), _dur(slide))
+    c = passed.groupBy(w.alias("window"), "province").agg(F.count(F.lit(1)).alias("cnt"))
+    return c.select("province",
+                    java_timestamp_string(F.col("window.end")).alias("window_end"), "cnt")
 
 
 def stream_running_unique_visitors(behavior: DataFrame, pv: str = "pv", size="1 hour",
@@ -151,9 +215,9 @@ def stream_hot_urls(log: DataFrame, size="10 minutes", slide="5 seconds", bound=
     released once, with the accumulated count a late re-firing would reach;
     rank with ``top_n_writer`` and store with ``sinks.upsert_by_window``."""
     from ..operators.filters import not_static
-    rows = log.filter(not_static("url", static_mode)).select("url", "ts")
     delay = duration_us(bound) + duration_us(lateness)
-    return stream_windowed_count(rows, "ts", size, slide, keys=["url"], delay=delay)
+    return stream_windowed_count(log, "ts", size, slide, keys=["url"], delay=delay,
+                                 keep=not_static("url", static_mode))
 
 
 def late_rows_writer(state_path: str, sink: Callable[[DataFrame, int], None], size="10 minutes",

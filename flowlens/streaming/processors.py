@@ -1,12 +1,15 @@
 """Per-key ordered state for the streaming forms of B1, C3 and C4, as
 ``transformWithState`` processors (row API).
 
-Rows of one key inside a micro-batch are processed in (event time, arrival)
-order, so results do not depend on how Spark orders the batch.
+The cap (B1) counts rows as they arrive, those of one micro-batch in (event
+time, arrival) order.  The login processors (C3, C4) hold rows back until the
+watermark passes them and then take them in (event time, arrival) order, so
+their results do not depend on the micro-batch boundaries.
 """
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Iterator
 
 from pyspark.sql import Row
@@ -16,14 +19,14 @@ from ..operators.frequency import WARNING_TEMPLATE
 from ..operators.sequences import BURST_MESSAGE, MATCH_MESSAGE, _duration_text
 
 DAY_MS = 86_400_000
+EPOCH = dt.datetime(1970, 1, 1, tzinfo=dt.timezone.utc)
 
 
-def _ms(ts) -> int:
-    """datetime (aware or naive-UTC) -> epoch ms."""
-    import datetime as dt
+def _us(ts: dt.datetime) -> int:
+    """datetime (aware or naive-UTC) -> epoch microseconds."""
     if ts.tzinfo is None:
         ts = ts.replace(tzinfo=dt.timezone.utc)
-    return int(ts.timestamp() * 1000)
+    return (ts - EPOCH) // dt.timedelta(microseconds=1)
 
 
 def _sorted(rows: Iterator[Row], ts: str, arrival: str) -> list[Row]:
@@ -31,9 +34,12 @@ def _sorted(rows: Iterator[Row], ts: str, arrival: str) -> list[Row]:
 
 
 class FrequencyCapProcessor(StatefulProcessor):
-    """B1 keyed by (user, ad): rows 1..N pass, row N+1 emits the one warning,
-    later rows are dropped; counts reset when the UTC event day changes
-    (``day='event'``) or never (``day='none'``).
+    """B1 keyed by (user, ad): rows 1..N of a day pass, row N+1 emits the one
+    warning, later rows are dropped.  ``day='event'`` counts per UTC event day,
+    so rows of two days may interleave; a day is forgotten when the watermark
+    passes its midnight (later rows of it are dropped as late).  ``'none'``
+    counts over all days, ``'processing'`` until the next midnight of the wall
+    clock.
 
     Output rows are tagged: kind='pass' (the input row) or kind='warn'.
     """
@@ -49,143 +55,154 @@ class FrequencyCapProcessor(StatefulProcessor):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.count = handle.getValueState("count", "count long")
-        self.sent = handle.getValueState("sent", "sent boolean")
-        self.day_no = handle.getValueState("day_no", "day_no long")
+        self.days = handle.getMapState("days", "day long", "count long, sent boolean")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
         msg = f"{WARNING_TEMPLATE[0]}{self.max_count}{WARNING_TEMPLATE[1]}"
-        count = self.count.get()[0] if self.count.exists() else 0
-        sent = self.sent.get()[0] if self.sent.exists() else False
-        day_no = self.day_no.get()[0] if self.day_no.exists() else None
-        if self.day == "processing" and count == 0:
-            # the reference's reset: a processing-time timer at the next UTC midnight
+        if self.day == "processing" and not self.days.exists():
             now = timerValues.getCurrentProcessingTimeInMs()
             self.handle.registerTimer((now // DAY_MS + 1) * DAY_MS)
+        seen: dict[int, tuple[int, bool]] = {}
         for r in _sorted(rows, "ts", "event_id"):
-            if self.day == "event":
-                d = _ms(r["ts"]) // DAY_MS
-                if d != day_no:
-                    count, sent, day_no = 0, False, d
-            if count >= self.max_count:
-                if not sent:
-                    sent = True
-                    yield Row(kind="warn", user_id=r["user_id"], ad_id=str(r["ad_id"]),
-                              province=r["province"], ts=r["ts"], event_id=r["event_id"], msg=msg)
-                continue
-            count += 1
-            yield Row(kind="pass", user_id=r["user_id"], ad_id=str(r["ad_id"]),
-                      province=r["province"], ts=r["ts"], event_id=r["event_id"], msg=None)
-        self.count.update((count,))
-        self.sent.update((sent,))
-        if day_no is not None:
-            self.day_no.update((day_no,))
+            d = _us(r["ts"]) // (DAY_MS * 1000) if self.day == "event" else 0
+            if d not in seen:
+                known = self.days.containsKey((d,))
+                seen[d] = tuple(self.days.getValue((d,))) if known else (0, False)
+                if self.day == "event" and not known:
+                    self.handle.registerTimer((d + 1) * DAY_MS)
+            count, sent = seen[d]
+            out = dict(user_id=r["user_id"], ad_id=str(r["ad_id"]), province=r["province"],
+                       ts=r["ts"], event_id=r["event_id"])
+            if count < self.max_count:
+                seen[d] = (count + 1, sent)
+                yield Row(kind="pass", **out, msg=None)
+            elif not sent:
+                seen[d] = (count, True)
+                yield Row(kind="warn", **out, msg=msg)
+        for d, state in seen.items():
+            self.days.updateValue((d,), state)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        # midnight (processing time): forget today's counts and warning
-        self.count.clear()
-        self.sent.clear()
+        if self.day == "event":
+            over = expiredTimerInfo.getExpiryTimeInMs() // DAY_MS - 1
+            if self.days.containsKey((over,)):
+                self.days.removeKey((over,))
+        else:
+            self.days.clear()
         return iter([])
 
     def close(self) -> None:
         pass
 
 
-class FailureBurstProcessor(StatefulProcessor):
-    """C3 with event-time timers, as the reference's login job: the first fail
-    arms a timer at t + within; a success deletes it and forgets the fails;
-    when the timer fires, >= min_fails buffered fails produce a warning."""
+class _InOrderProcessor(StatefulProcessor):
+    """Rows wait until the watermark passes them; ``release`` gets them in
+    (event time, arrival) order.  One timer per key, at the earliest time at
+    which there is something to do."""
 
-    OUTPUT = "user_id long, first_fail timestamp, last_fail timestamp, n_fails long, msg string"
+    ROW = "ts timestamp, event_id long, is_fail boolean"
 
-    def __init__(self, within_ms: int = 2000, min_fails: int = 2, fail_value: str = "fail"):
-        self.within_ms = within_ms
-        self.min_fails = min_fails
+    def __init__(self, within_ms: int = 2000, fail_value: str = "fail"):
+        self.within_us = within_ms * 1000
         self.fail_value = fail_value
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.fails = handle.getListState("fails", "ts timestamp")
+        self.buffer = handle.getListState("buffer", self.ROW)
         self.timer = handle.getValueState("timer", "timer long")
 
+    def _wake(self, at_us: int) -> None:
+        at = -(-at_us // 1000)
+        if self.timer.exists():
+            if self.timer.get()[0] <= at:
+                return
+            self.handle.deleteTimer(self.timer.get()[0])
+        self.handle.registerTimer(at)
+        self.timer.update((at,))
+
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        # A micro-batch runs timers after its input rows; a row of this key
-        # later than the armed timer closes the burst first, so results follow
-        # the event-time rule whatever the batch boundaries are.
-        for r in _sorted(rows, "ts", "event_id"):
-            if self.timer.exists() and _ms(r["ts"]) > self.timer.get()[0]:
-                self.handle.deleteTimer(self.timer.get()[0])
-                yield from self._fire(key)
-            if r["event_type"] == self.fail_value:
-                self.fails.appendValue((r["ts"],))
-                if not self.timer.exists():
-                    t = _ms(r["ts"]) + self.within_ms
-                    self.handle.registerTimer(t)
-                    self.timer.update((t,))
-            else:
-                if self.timer.exists():
-                    self.handle.deleteTimer(self.timer.get()[0])
-                self.fails.clear()
-                self.timer.clear()
+        new = [(r["ts"], r["event_id"], r["event_type"] == self.fail_value) for r in rows]
+        self.buffer.appendList(new)
+        self._wake(min(_us(r[0]) for r in new))
+        return iter([])
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        yield from self._fire(key)
-
-    def _fire(self, key) -> Iterator[Row]:
-        fails = [f[0] for f in self.fails.get()] if self.fails.exists() else []
-        self.fails.clear()
+        passed = timerValues.getCurrentWatermarkInMs() * 1000
         self.timer.clear()
-        if len(fails) >= self.min_fails:
-            a, b, c = BURST_MESSAGE
-            text = f"{a}{_duration_text(self.within_ms * 1000)}{b}{len(fails)}{c}"
-            yield Row(user_id=key[0], first_fail=fails[0], last_fail=fails[-1],
-                      n_fails=len(fails), msg=text)
+        held = [tuple(r) for r in self.buffer.get()] if self.buffer.exists() else []
+        ready = sorted((r for r in held if _us(r[0]) <= passed), key=lambda r: (r[0], r[1]))
+        keep = [r for r in held if _us(r[0]) > passed]
+        if keep:
+            self.buffer.put(keep)
+            self._wake(min(_us(r[0]) for r in keep))
+        else:
+            self.buffer.clear()
+        yield from self.release(key, ready, passed)
 
     def close(self) -> None:
         pass
 
 
-class SequenceMatchProcessor(StatefulProcessor):
-    """C4: strict-contiguity 'fail next fail within w' on a stream.  Rows are
-    buffered until the watermark passes them, then matched in event-time
-    order against the key's last released event."""
+class FailureBurstProcessor(_InOrderProcessor):
+    """The first fail opens a burst; fails within the closed interval join
+    it; a success in it cancels it; it is reported, if it holds min_fails
+    fails, when a later row or the watermark passes its end."""
 
-    OUTPUT = ("user_id long, first_fail timestamp, last_fail timestamp, "
-              "first_arrival long, last_arrival long, msg string")
-    ROW = "ts timestamp, event_id long, is_fail boolean"
+    OUTPUT = "user_id long, first_fail timestamp, last_fail timestamp, n_fails long, msg string"
 
-    def __init__(self, within_ms: int = 2000, fail_value: str = "fail"):
-        self.within_ms = within_ms
-        self.fail_value = fail_value
+    def __init__(self, within_ms: int = 2000, min_fails: int = 2, fail_value: str = "fail"):
+        super().__init__(within_ms, fail_value)
+        self.min_fails = min_fails
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
-        self.buffer = handle.getListState("buffer", self.ROW)
-        self.last = handle.getValueState("last", self.ROW)
+        super().init(handle)
+        self.burst = handle.getValueState("burst", "head timestamp, last timestamp, n long")
+
+    def release(self, key, ready, passed) -> Iterator[Row]:
+        burst = tuple(self.burst.get()) if self.burst.exists() else None
+        for ts, _, is_fail in ready:
+            if burst and _us(ts) > _us(burst[0]) + self.within_us:
+                yield from self._report(key, burst)
+                burst = None
+            if not is_fail:
+                burst = None
+            else:
+                burst = (burst[0], ts, burst[2] + 1) if burst else (ts, ts, 1)
+        # rows up to the watermark can no longer arrive
+        if burst and _us(burst[0]) + self.within_us <= passed:
+            yield from self._report(key, burst)
+            burst = None
+        if burst:
+            self.burst.update(burst)
+            self._wake(_us(burst[0]) + self.within_us)
+        else:
+            self.burst.clear()
 
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        for r in rows:
-            self.buffer.appendValue((r["ts"], r["event_id"], r["event_type"] == self.fail_value))
-            self.handle.registerTimer(_ms(r["ts"]))
-        return iter([])
+    def _report(self, key, burst) -> Iterator[Row]:
+        head, last, n = burst
+        if n >= self.min_fails:
+            a, b, c = BURST_MESSAGE
+            yield Row(user_id=key[0], first_fail=head, last_fail=last, n_fails=n,
+                      msg=f"{a}{_duration_text(self.within_us)}{b}{n}{c}")
 
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        wm = timerValues.getCurrentWatermarkInMs()
-        pending = sorted(self.buffer.get(), key=lambda x: (x[0], x[1])) if self.buffer.exists() else []
-        ready = [x for x in pending if _ms(x[0]) <= wm]
-        keep = [x for x in pending if _ms(x[0]) > wm]
-        last = self.last.get() if self.last.exists() else None
-        for x in ready:
-            if last is not None and last[2] and x[2] and _ms(x[0]) - _ms(last[0]) < self.within_ms:
-                yield Row(user_id=key[0], first_fail=last[0], last_fail=x[0],
-                          first_arrival=last[1], last_arrival=x[1], msg=MATCH_MESSAGE)
-            last = x
-        if last is not None:
-            self.last.update(tuple(last))
-        if keep:
-            self.buffer.put(keep)
-        else:
-            self.buffer.clear()
 
-    def close(self) -> None:
-        pass
+class SequenceMatchProcessor(_InOrderProcessor):
+    """C4: strict-contiguity 'fail next fail within w' against the key's last
+    released row."""
+
+    OUTPUT = ("user_id long, first_fail timestamp, last_fail timestamp, "
+              "first_arrival long, last_arrival long, msg string")
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        super().init(handle)
+        self.last = handle.getValueState("last", self.ROW)
+
+    def release(self, key, ready, passed) -> Iterator[Row]:
+        last = tuple(self.last.get()) if self.last.exists() else None
+        for row in ready:
+            if last and last[2] and row[2] and _us(row[0]) - _us(last[0]) < self.within_us:
+                yield Row(user_id=key[0], first_fail=last[0], last_fail=row[0],
+                          first_arrival=last[1], last_arrival=row[1], msg=MATCH_MESSAGE)
+            last = row
+        if last:
+            self.last.update(last)

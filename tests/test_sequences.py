@@ -110,34 +110,47 @@ def test_against_brute_force_with_small_buckets(spark):
         assert got == _brute_bursts(pdf, w, 2)
 
 
-def test_chain_path_equals_fold(spark):
-    """Long segments take the pointer-doubling path; force it for every
-    segment and compare with the fold and with brute force."""
-    ev = A.logins(load_table(spark, SF001, "events"))
-    pdf = ev.select("user_id", "event_id", F.unix_micros("ts").alias("us"),
-                    (F.col("event_type") == "error").alias("fail")).toPandas()
-    for within, w in (("1 day", 86400 * 1_000_000), ("3 days", 3 * 86400 * 1_000_000)):
-        b = failure_bursts(ev, "user_id", "ts", "event_id", F.col("event_type") == "error",
-                           within, 2, fold_limit=0)
-        got = set((r["user_id"], r["h"], r["l"], r["n_fails"]) for r in b.select(
-            "user_id", F.unix_micros("first_fail").alias("h"), F.unix_micros("last_fail").alias("l"),
-            "n_fails").collect())
-        assert got == _brute_bursts(pdf, w, 2)
+def _check(df, fail, within, w, **chain):
+    pdf = df.select("user_id", "event_id", F.unix_micros("ts").alias("us"),
+                    fail.alias("fail")).toPandas()
+    b = failure_bursts(df, "user_id", "ts", "event_id", fail, within, 2, **chain)
+    got = sorted((r["user_id"], r["h"], r["l"], r["n_fails"]) for r in b.select(
+        "user_id", F.unix_micros("first_fail").alias("h"), F.unix_micros("last_fail").alias("l"),
+        "n_fails").collect())
+    exp = sorted(_brute_bursts(pdf, w, 2))
+    assert got == exp
+    return exp
 
 
-def test_chain_path_dense_run(spark):
-    # one user failing every 0.7 s for 60 s, w = 2 s, then a success inside
-    # the last burst's interval; anchors every 2.1 s
-    data = [(i, 5, "fail", T0 + 700 * i) for i in range(86)]
-    data.append((1000, 5, "success", T0 + 700 * 85 + 100))
-    df = _logins(spark, data)
-    pdf = df.select("user_id", "event_id", F.unix_micros("ts").alias("us"),
-                    (F.col("event_type") == "fail").alias("fail")).toPandas()
-    exp = _brute_bursts(pdf, 2_000_000, 2)
-    for limit in (0, 4096):
-        b = failure_bursts(df, "user_id", "ts", "event_id", F.col("event_type") == "fail",
-                           "2 seconds", 2, fold_limit=limit)
-        got = set((r["user_id"], r["h"], r["l"], r["n_fails"]) for r in b.select(
-            "user_id", F.unix_micros("first_fail").alias("h"), F.unix_micros("last_fail").alias("l"),
-            "n_fails").collect())
-        assert got == exp, limit
+def test_long_segments_equal_brute_force(spark):
+    ev = A.logins(load_table(spark, SF001, "events"))
+    for within, w in (("1 day", 86400 * 1_000_000), ("3 days", 3 * 86400 * 1_000_000)):
+        for chain in ({}, {"fan": 2, "levels": 2}):
+            assert _check(ev, F.col("event_type") == "error", within, w, **chain)
+
+
+def test_dense_run_over_many_blocks(spark):
+    # one user failing at uneven steps below w = 2 s, some at the same time,
+    # then a success inside the last burst's interval; another user without
+    fail = F.col("event_type") == "fail"
+    for user_ends in ("success", "fail"):
+        data, t = [], T0
+        for i in range(600):
+            t += (i * 7919) % 1900
+            data.append((i, 5, "fail", t))
+            data.append((1000 + i, 6, "fail", T0 + 700 * i))
+        data.append((5000, 5, user_ends, t + 100))
+        df = _logins(spark, data)
+        for chain in ({}, {"fan": 2, "levels": 1}, {"fan": 3, "levels": 3}):
+            assert len(_check(df, fail, "2 seconds", 2_000_000, **chain)) > 200
+
+
+def test_building_the_query_starts_no_job(spark):
+    df = _logins(spark, [(i, 5, "fail", T0 + 700 * i) for i in range(50)])
+    sc = spark.sparkContext
+    sc.setJobGroup("burst-plan", "build only")
+    try:
+        _bursts(df)
+        assert not sc.statusTracker().getJobIdsForGroup("burst-plan")
+    finally:
+        sc.setLocalProperty("spark.jobGroup.id", None)

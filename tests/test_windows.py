@@ -23,6 +23,29 @@ def test_runs_equal_fanout_and_direct_sliding(spark):
     assert rows(runs) == rows(direct)
 
 
+def test_split_runs_equal_fanout_over_many_blocks(spark):
+    ev = _events(spark)
+    for keys in ([], ["behavior"]):
+        for size, slide in (("60 minutes", "15 minutes"), ("1 hour", "5 seconds")):
+            split = windowed_count(ev, "ts", size, slide, keys=keys, split=True)
+            fan = windowed_count(ev, "ts", size, slide, keys=keys, method="fanout")
+            assert rows(split) == rows(fan)
+
+
+def test_split_runs_of_no_key_stay_spread(spark):
+    """Only the table of blocks is ordered in one partition, not the panes."""
+    ev = _events(spark)
+    plan = windowed_count(ev, "ts", "1 hour", "5 seconds", split=True)
+    text = plan._jdf.queryExecution().sparkPlan().toString()
+    single = [w for w in text.splitlines() if "Window " in w and "_blk" not in w]
+    assert not single, single
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        assert plan.select(F.spark_partition_id().alias("p")).distinct().count() > 1
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
 def test_tumbling_equals_direct(spark):
     ev = _events(spark)
     a = windowed_count(ev, "ts", "1 hour", keys=["item_id"])
