@@ -111,7 +111,8 @@ def count_runs_split(deltas: DataFrame, keys: Sequence[str], names: Sequence[str
     same = F.col("_blk") == F.col("_k_blk")
     for k in keys:
         same = same & F.col(k).eqNullSafe(F.col("_k_" + k))
-    runs = local.join(offsets, same).select(
+    # a merge join leaves the runs where they are: the table of blocks comes to them
+    runs = local.join(offsets.hint("merge"), same).select(
         *keys, "_from", (F.coalesce("_then", "_next") - 1).alias("_to"),
         *[(F.col(n) + F.coalesce("_off_" + n, F.lit(0))).alias(n) for n in names])
     return _live_runs(runs, names)
