@@ -42,7 +42,7 @@ def _walk(hops: dict[int, int], at: int) -> Iterator[int]:
 
 
 def chain_bursts(rows: DataFrame, seg: list[str], start: str, within_us: int, min_fails: int,
-                 fan: int = 64, levels: int = 3) -> DataFrame:
+                 fan: int = 64, levels: int = 2) -> DataFrame:
     """rows: the columns of ``seg`` (``start`` among them, the time of the
     segment's first event), _us, _fail.  Returns seg + _head, _last, n_fails."""
     w = within_us

@@ -86,11 +86,19 @@ def late_corrections(accepted: DataFrame, ts: str, keys: Sequence[str], size, sl
     return out.select(*keys, "window_start", "window_end", on, fin)
 
 
+def final_count_runs(accepted: DataFrame, ts: str, keys: Sequence[str], size, slide,
+                     lateness, count_col: str = "cnt") -> tuple[DataFrame, int, int]:
+    """(runs of the last reported counts, slide in us, windows a row is in)."""
+    keys = list(keys)
+    ranges, slide_us, n = _ranges(accepted, ts, keys, size, slide, lateness, with_on_time=False)
+    deltas = delta_rows(ranges, keys, [(F.col("_lo_keep"), F.col("_hi"),
+                                        {count_col: F.col("_c")})])
+    return count_runs(deltas, keys, [count_col]), slide_us, n
+
+
 def final_counts(accepted: DataFrame, ts: str, keys: Sequence[str], size, slide,
                  lateness, count_col: str = "cnt") -> DataFrame:
     """Per (keys, window) the last reported (accumulated) count."""
     keys = list(keys)
-    ranges, slide_us, n = _ranges(accepted, ts, keys, size, slide, lateness, with_on_time=False)
-    runs = count_runs(delta_rows(ranges, keys, [(F.col("_lo_keep"), F.col("_hi"),
-                                                 {count_col: F.col("_c")})]), keys, [count_col])
+    runs, slide_us, n = final_count_runs(accepted, ts, keys, size, slide, lateness, count_col)
     return expand_runs(runs, keys, slide_us, n, [count_col])

@@ -34,6 +34,47 @@ def top_n_per_window(counts: DataFrame, key: str, n: int = 5, count_col: str = "
     return top_n(counts, [window_col], [F.col(count_col).desc(), F.col(key).asc()], n)
 
 
+def top_n_of_runs(runs: DataFrame, key: str, n: int, size: int, count_col: str = "cnt",
+                  end_col: str = "_e") -> DataFrame:
+    """Top n per window end, from runs ``[_from, _to]`` of constant count.
+
+    A run is cut into aligned intervals of 1, 2, 4, … window ends, at most two
+    of each length below ``size`` (its usual greatest length), and the keys are
+    ranked per interval.  A window lies in one interval of each length, and in
+    an interval the order of its runs is the same for all windows, so the first
+    n of a window are among the first n of its intervals: only those are
+    expanded to windows and ranked again.
+    """
+    top = size.bit_length() - 1
+    lo, past = F.col("_from"), F.col("_to") + 1
+
+    def bounds(level: int) -> tuple[Column, Column]:
+        return F.shiftright(lo + ((1 << level) - 1), level), F.shiftright(past, level)
+
+    def interval(level: int, at: Column) -> Column:
+        return F.struct(F.lit(level).alias("_level"), at.alias("_at"))
+
+    cut = []
+    for level in range(top):
+        a, b = bounds(level)
+        cut += [F.when((a < b) & (a.bitwiseAND(1) == 1), interval(level, a)),
+                F.when((a < b) & (b.bitwiseAND(1) == 1), interval(level, b - 1))]
+    a, b = bounds(top)
+    long = F.when(a < b, F.transform(F.sequence(a, F.greatest(a, b - 1)),
+                                     lambda at: interval(top, at)))
+    rest = F.coalesce(long, F.array().cast("array<struct<_level:int,_at:bigint>>"))
+    cells = runs.select(key, count_col, F.explode(
+        F.concat(F.array_compact(F.array(*cut)), rest)).alias("_i")) if cut else runs.select(
+        key, count_col, F.explode(rest).alias("_i"))
+    order = [F.col(count_col).desc(), F.col(key).asc()]
+    first = top_n(cells.select(key, count_col, "_i._level", "_i._at"), ["_level", "_at"], order,
+                  n, "_rank").drop("_rank")
+    width = F.expr("shiftleft(1L, _level)")
+    ends = first.select(key, count_col, F.explode(
+        F.sequence(F.col("_at") * width, (F.col("_at") + 1) * width - 1)).alias(end_col))
+    return top_n(ends, [end_col], order, n)
+
+
 def format_ranking(ranked: DataFrame, key: str, count_col: str = "cnt",
                    window_col: str = "window_end", rank_col: str = "rank",
                    style: str = "items") -> DataFrame:

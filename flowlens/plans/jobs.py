@@ -17,8 +17,8 @@ from ..operators import (behavior_is, behavior_is_not, bitmap_unique_visitors,
                          failure_bursts, format_ranking, frequency_cap, is_fail,
                          late_corrections, not_static, running_unique_visitors,
                          salted_count, salted_partials, sequence_match, split_late,
-                         spread_key, top_n_per_window, unique_visitors,
-                         windowed_count, with_watermark, final_counts)
+                         spread_key, top_n_of_runs, top_n_per_window, unique_visitors,
+                         windowed_count, with_watermark, final_count_runs)
 
 
 def hot_items(behavior: DataFrame, n: int = 5, size="60 minutes", slide="15 minutes",
@@ -52,8 +52,9 @@ def hot_urls(log: DataFrame, arrival_us: str, tiebreak: str, n: int = 5, size="1
                         [floor_div(F.col(arrival_us), arrival_outer_block_us)])
     rows = wm.filter(not_static("url", static_mode))
     accepted, late = split_late(rows, "ts", size, slide, lateness)
-    counts = final_counts(accepted, "ts", ["url"], size, slide, lateness)
-    ranked = top_n_per_window(counts, "url", n).select("window_end", "rank", "url", "cnt")
+    runs, slide_us, per_row = final_count_runs(accepted, "ts", ["url"], size, slide, lateness)
+    ranked = top_n_of_runs(runs, "url", n, per_row).select(
+        F.timestamp_micros(F.col("_e") * slide_us).alias("window_end"), "rank", "url", "cnt")
     corrections = late_corrections(accepted, "ts", ["url"], size, slide, lateness)
     return ranked, late, corrections
 

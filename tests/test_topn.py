@@ -38,3 +38,27 @@ def test_hot_urls_report_job(spark):
     df = df.withColumn("window_end", event_time(df, "window_end"))
     r = J.hot_urls_report(df).collect()[0]["report"]
     assert r.startswith("时间： 2024-01-01 00:10:05.0\nNo.1: URL=/a 访问量=2\n")
+
+
+def test_top_n_of_runs_equals_expanded_ranking(spark):
+    """Ranking per aligned interval, then per window, against ranking every
+    window; ends below zero and runs longer than ``size`` included."""
+    import random
+
+    from flowlens.operators import top_n_of_runs
+    rng = random.Random(5)
+    data, best = [], {}
+    for k in range(25):
+        at = rng.randrange(-60, 0)
+        for _ in range(rng.randrange(1, 6)):
+            to = at + rng.randrange(0, 45)
+            cnt = rng.randrange(1, 6)
+            data.append((f"/u{k:02d}", at, to, cnt))
+            for e in range(at, to + 1):
+                best.setdefault(e, []).append((-cnt, f"/u{k:02d}"))
+            at = to + rng.randrange(1, 4)
+    exp = sorted((e, i + 1, u, -c) for e, v in best.items() for i, (c, u) in enumerate(sorted(v)[:3]))
+    runs = spark.createDataFrame(data, "url string, _from long, _to long, cnt long")
+    for size in (1, 12, 64):
+        got = top_n_of_runs(runs, "url", 3, size)
+        assert sorted((r._e, r["rank"], r.url, r.cnt) for r in got.collect()) == exp
