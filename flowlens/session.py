@@ -63,6 +63,19 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
 
 
+def subfolders(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders in ``path`` (none if it is not there)."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return [s.getPath().getName() for s in fs.listStatus(p) if s.isDirectory()] if fs.exists(p) else []
+
+
+def drop_subfolder(spark: SparkSession, path: str, name: str) -> None:
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+    p = hadoop.Path(hadoop.Path(path), name)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
 def stream_checkpoint(spark: SparkSession, name: str) -> str:
     """Checkpoint location for one streaming query under the shared folder."""
     return os.path.join(checkpoint_dir(spark), "streams", name)

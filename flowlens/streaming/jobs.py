@@ -10,7 +10,10 @@ data arrives (flush with a far-future sentinel row, or run the batch form).
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable, Sequence
+from urllib.parse import unquote
+from zoneinfo import ZoneInfo
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -131,24 +134,111 @@ def stream_marketing_total(market: DataFrame, size="1 hour", slide="5 seconds",
 def stream_unique_visitors(behavior: DataFrame, pv: str = "pv", size="1 hour") -> DataFrame:
     """J5 (stream): exact distinct users — (window, user) aggregate chained into
     a per-window count (``count_distinct`` is not allowed on streams)."""
-    views = (behavior.filter(F.col("behavior") == pv).select("user_id", "ts")
-                     .withWatermark("ts", "0 seconds"))
-    per_user = views.groupBy(F.window("ts", _dur(size)).alias("window"), "user_id").count()
-    uv = per_user.groupBy("window").agg(F.count(F.lit(1)).alias("uv"))
-    return uv.select(F.col("window.end").alias("window_end"), "uv")
+    rows = behavior.withWatermark("ts", "0 seconds").select(
+        "ts", *_if_view(pv, F.col("user_id").alias("user_id")))
+    per_user = rows.groupBy(F.window("ts", _dur(size)).alias("window"), "user_id").agg(
+        F.sum("_view").alias("_views"))
+    uv = per_user.groupBy("window").agg(F.count("user_id").alias("uv"),
+                                        F.sum("_views").alias("_views"))
+    return uv.filter("_views > 0").select(F.col("window.end").alias("window_end"), "uv")
 
 
 def stream_unique_visitors_bitmap(behavior: DataFrame, pv: str = "pv",
                                   size="1 hour") -> DataFrame:
     """J6 (stream): bitmaps per (window, bucket) chained into a per-window sum."""
-    views = (behavior.filter(F.col("behavior") == pv)
-                     .select(poly_hash(F.col("user_id")).alias("h"), "ts")
-                     .withWatermark("ts", "0 seconds"))
-    per_bucket = views.groupBy(F.window("ts", _dur(size)).alias("window"),
-                               F.bitmap_bucket_number("h").alias("b")).agg(
-        F.bitmap_construct_agg(F.bitmap_bit_position("h")).alias("bm"))
-    uv = per_bucket.groupBy("window").agg(F.sum(F.bitmap_count("bm")).alias("uv"))
-    return uv.select(F.col("window.end").alias("window_end"), "uv")
+    per_bucket = _visitor_bitmaps(behavior, pv, size)
+    uv = per_bucket.groupBy("window").agg(F.sum(F.bitmap_count("bm")).alias("uv"),
+                                          F.sum("_views").alias("_views"))
+    return uv.filter("_views > 0").select(F.col("window.end").alias("window_end"), "uv")
+
+
+def _if_view(pv: str, value: Column) -> list[Column]:
+    """``value`` (null in rows that are no page view) and 1 or 0.  Rows that do
+    not count still advance the watermark; they meet in the group without value."""
+    view = F.coalesce(F.col("behavior") == pv, F.lit(False))
+    return [F.when(view, value).alias("user_id"),
+            F.when(view, 1).otherwise(0).cast("long").alias("_view")]
+
+
+def _visitor_bitmaps(behavior: DataFrame, pv: str, size) -> DataFrame:
+    """(window, bucket, bm, _views): the bitmaps of hashed visitors."""
+    rows = behavior.withWatermark("ts", "0 seconds").select(
+        "ts", *_if_view(pv, F.col("user_id")))
+    h = rows.select("ts", "_view", poly_hash(F.col("user_id")).alias("h"))
+    return h.groupBy(F.window("ts", _dur(size)).alias("window"),
+                     F.bitmap_bucket_number("h").alias("bucket")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position("h")).alias("bm"),
+        F.sum("_view").alias("_views"))
+
+
+def stream_running_bitmap(behavior: DataFrame, pv: str = "pv", size="1 hour") -> DataFrame:
+    """A10 (stream, update mode): set bits of every (window, bucket) that the
+    micro-batch changed; ``running_visitors_writer`` adds them up."""
+    changed = _visitor_bitmaps(behavior, pv, size).filter("bucket IS NOT NULL")
+    return changed.select(F.col("window.end").alias("window_end"), "bucket",
+                          F.bitmap_count("bm").alias("bits"))
+
+
+def running_visitors_writer(table_path: str, sink: Callable[[DataFrame, int], None]
+                            ) -> Callable[[DataFrame, int], None]:
+    """A10: foreachBatch writer over ``stream_running_bitmap``; hands the new
+    visitor count (window_end, uv) of every changed window to ``sink``.  The
+    bits per bucket are kept in a table partitioned by window end."""
+    def write(batch: DataFrame, batch_id: int) -> None:
+        merged = _merge_by_window(batch, table_path, "bucket")
+        sink(merged.groupBy("window_end").agg(F.sum("bits").alias("uv")), batch_id)
+    return write
+
+
+def _merge_by_window(batch: DataFrame, table_path: str, key: str) -> DataFrame:
+    """Puts the rows of ``batch`` into the table in place of those of the same
+    (window_end, key); returns all rows of the windows it touched.  A replayed
+    batch writes the same rows again."""
+    from ..session import checkpoint_dir, path_exists
+    spark = batch.sparkSession
+    checkpoint_dir(spark)
+    merged = batch
+    if path_exists(spark, table_path):
+        stored = spark.read.schema(batch.schema).parquet(table_path)
+        kept = stored.join(batch.select("window_end", key), ["window_end", key], "left_anti")
+        merged = batch.unionByName(
+            kept.join(batch.select("window_end").distinct(), "window_end", "left_semi"))
+    merged = merged.checkpoint()
+    (merged.write.mode("overwrite").partitionBy("window_end")
+           .option("partitionOverwriteMode", "dynamic").parquet(table_path))
+    return merged
+
+
+def _previous_max(spark, state_path: str, batch_id: int) -> int | None:
+    """Largest event time (us) of the batches before ``batch_id``."""
+    from ..session import path_exists
+    if not path_exists(spark, state_path):  # first batch
+        return None
+    return (spark.read.parquet(state_path).filter(F.col("batch_id") < batch_id)
+                 .agg(F.max("max_us")).collect()[0][0])
+
+
+def _store_max(spark, state_path: str, batch_id: int, max_us: int) -> None:
+    """Records the running maximum.  The last record before this batch stays,
+    for a replay; older ones go."""
+    from ..session import drop_subfolder, subfolders
+    (spark.createDataFrame([(batch_id, max_us)], "batch_id long, max_us long")
+          .write.mode("overwrite").parquet(f"{state_path}/batch={batch_id}"))
+    ids = sorted(int(f.split("=")[1]) for f in subfolders(spark, state_path) if f.startswith("batch="))
+    for old in [i for i in ids if i < batch_id][:-1]:
+        drop_subfolder(spark, state_path, f"batch={old}")
+
+
+def _expire_windows(spark, table_path: str, before_us: int) -> None:
+    """Drops the partitions of windows that ended by ``before_us``."""
+    from ..session import drop_subfolder, subfolders
+    zone = ZoneInfo(spark.conf.get("spark.sql.session.timeZone"))
+    epoch = dt.datetime(1970, 1, 1, tzinfo=dt.timezone.utc)
+    for folder in subfolders(spark, table_path):
+        if folder.startswith("window_end="):
+            end = dt.datetime.fromisoformat(unquote(folder.split("=", 1)[1])).replace(tzinfo=zone)
+            if (end - epoch) // dt.timedelta(microseconds=1) <= before_us:
+                drop_subfolder(spark, table_path, folder)
 
 
 def stream_ad_clicks(clicks: DataFrame, max_count: int = 100, day: str = "event",
@@ -179,10 +269,10 @@ def stream_ad_clicks_by_province(clicks: DataFrame, max_count: int = 100, size="
 
 def stream_running_unique_visitors(behavior: DataFrame, pv: str = "pv", size="1 hour",
                                    rsd: float = 0.01) -> DataFrame:
-    """A10 (stream): the per-window visitor count as it grows — update mode
-    re-emits each window whose count changed in the micro-batch.  HyperLogLog
-    keeps the state bounded per window (the reference bounds it with a bitmap);
-    the exact per-arrival count is the batch ``running_unique_visitors``."""
+    """A10 (stream, approximate): the per-window visitor count as it grows —
+    update mode re-emits each window whose count changed in the micro-batch.
+    ``stream_running_bitmap`` counts by the bitmap; the count after every single
+    arrival is the batch ``running_unique_visitors``."""
     views = (behavior.filter(F.col("behavior") == pv).select("user_id", "ts")
                      .withWatermark("ts", "0 seconds"))
     agg = views.groupBy(F.window("ts", _dur(size)).alias("window")).agg(
@@ -236,16 +326,9 @@ def late_rows_writer(state_path: str, sink: Callable[[DataFrame, int], None], si
     size_us, slide_us, _ = window_geometry(size, slide)
     bound_us, late_us = duration_us(bound), duration_us(lateness)
 
-    def previous_max(spark, batch_id):
-        from ..session import path_exists
-        if not path_exists(spark, state_path):  # no state written yet
-            return None
-        return (spark.read.parquet(state_path).filter(F.col("batch_id") < batch_id)
-                     .agg(F.max("max_us")).collect()[0][0])
-
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        prev = previous_max(spark, batch_id)
+        prev = _previous_max(spark, state_path, batch_id)
         if prev is not None:
             latest_end = pane_index(F.col("ts"), slide_us) * slide_us + size_us
             late = batch.filter(latest_end - TICK_US + late_us <= F.lit(prev - bound_us))
@@ -253,8 +336,7 @@ def late_rows_writer(state_path: str, sink: Callable[[DataFrame, int], None], si
         cur = batch.agg(F.max(F.unix_micros("ts"))).collect()[0][0]
         seen = [v for v in (prev, cur) if v is not None]
         if seen:
-            (spark.createDataFrame([(batch_id, max(seen))], "batch_id long, max_us long")
-                  .write.mode("overwrite").parquet(f"{state_path}/batch={batch_id}"))
+            _store_max(spark, state_path, batch_id, max(seen))
     return write
 
 
@@ -264,14 +346,15 @@ def stream_url_counts_updates(log: DataFrame, size="10 minutes", slide="5 second
     """J2 counts for update mode: every micro-batch re-emits the (window, url)
     counts it changed, with the group's latest event time (``max_ts``) so the
     report writer can follow event-time progress.  Rows are accepted until the
-    window end + bound + lateness has passed, as with allowed lateness."""
+    window end + bound + lateness has passed, as with allowed lateness.  Static
+    URLs advance event time as well: their rows come out with url null, cnt 0."""
     from ..operators.filters import not_static
-    rows = log.filter(not_static("url", static_mode)).select("url", "ts")
+    rows = log.select(F.when(not_static("url", static_mode), F.col("url")).alias("url"), "ts")
     delay = duration_us(bound) + duration_us(lateness)
     w = F.window("ts", _dur(size), _dur(slide))
     agg = (rows.withWatermark("ts", _dur(delay))
                .groupBy(w.alias("window"), "url")
-               .agg(F.count(F.lit(1)).alias("cnt"), F.max("ts").alias("max_ts")))
+               .agg(F.count("url").alias("cnt"), F.max("ts").alias("max_ts")))
     return agg.select(F.col("window.end").alias("window_end"), "url", "cnt", "max_ts")
 
 
@@ -285,25 +368,24 @@ def hot_url_reports_writer(table_path: str, state_path: str,
     window end (the reference's per-window map state), and reports a window's
     top n when the watermark (max event time - bound) first passes its end
     (on-time report) and again in every later batch that changes it within
-    the allowed lateness (re-ranking after late updates).  The table keeps the
-    final counts of closed windows (a K4-style store).  Reports carry
-    window_end and batch id, so consumers upsert them.
+    the allowed lateness (re-ranking after late updates).  A window leaves the
+    table when the previous batch's watermark has passed its end and the
+    lateness: no later row can change it.  Reports carry window_end and batch
+    id, so consumers upsert them.
     """
     from ..operators.lateness import TICK_US
     bound_us, late_us = duration_us(bound), duration_us(lateness)
 
-    def stored_max(spark, batch_id):
-        from ..session import path_exists
-        if not path_exists(spark, state_path):  # first batch
-            return None
-        return (spark.read.parquet(state_path).filter(F.col("batch_id") < batch_id)
-                     .agg(F.max("max_us")).collect()[0][0])
-
     def write(batch: DataFrame, batch_id: int) -> None:
-        from ..session import checkpoint_dir, path_exists
+        batch.persist()
+        try:
+            report(batch, batch_id)
+        finally:
+            batch.unpersist()
+
+    def report(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        checkpoint_dir(spark)
-        prev = stored_max(spark, batch_id)
+        prev = _previous_max(spark, state_path, batch_id)
         cur_b = batch.agg(F.max(F.unix_micros("max_ts"))).collect()[0][0]
         seen = [v for v in (prev, cur_b) if v is not None]
         if not seen:
@@ -312,19 +394,9 @@ def hot_url_reports_writer(table_path: str, state_path: str,
         wm_prev = prev - bound_us if prev is not None else None
         wm_cur = cur - bound_us
         end_us = F.unix_micros("window_end") - TICK_US
-        stored = spark.read.parquet(table_path) if path_exists(spark, table_path) else None
-        touched = batch.select("window_end").distinct()
-        fresh = batch.select("window_end", "url", "cnt")
-        if stored is not None:
-            keep = stored.join(fresh.select("window_end", "url"), ["window_end", "url"], "left_anti")
-            old = keep.join(touched, "window_end", "left_semi")
-            merged = fresh.unionByName(old.select("window_end", "url", "cnt"))
-        else:
-            merged = fresh
-        merged = merged.checkpoint()
-        (merged.write.mode("overwrite").partitionBy("window_end")
-               .option("partitionOverwriteMode", "dynamic").parquet(table_path))
-        current = spark.read.parquet(table_path)
+        merged = _merge_by_window(batch.filter("url IS NOT NULL").select("window_end", "url", "cnt"),
+                                  table_path, "url")
+        current = spark.read.schema(merged.schema).parquet(table_path)
         due_now = end_us <= F.lit(wm_cur)
         newly_due = due_now if wm_prev is None else due_now & (end_us > F.lit(wm_prev))
         report_windows = (current.filter(newly_due).select("window_end")
@@ -333,6 +405,7 @@ def hot_url_reports_writer(table_path: str, state_path: str,
                                   "url", n)
         sink(ranked.select("window_end", "rank", "url", "cnt")
                    .withColumn("batch_id", F.lit(batch_id).cast("long")), batch_id)
-        (spark.createDataFrame([(batch_id, cur)], "batch_id long, max_us long")
-              .write.mode("overwrite").parquet(f"{state_path}/batch={batch_id}"))
+        _store_max(spark, state_path, batch_id, cur)
+        if wm_prev is not None:
+            _expire_windows(spark, table_path, wm_prev - late_us + TICK_US)
     return write

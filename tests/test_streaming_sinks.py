@@ -134,3 +134,53 @@ def test_bitmap_uv_stream_into_window_upsert(spark):
     got = spark.read.parquet(table).filter(F.unix_seconds("window_end") < SENTINEL_S)
     exp = J.unique_visitors_bitmap_job(b, pv=A.PV)
     assert rows(got, "window_end", "uv") == rows(exp, "window_end", "uv")
+
+
+def test_running_bitmap_counts_after_every_batch(spark):
+    """A10 as a stream: the count of every changed window after each
+    micro-batch; a row that is no page view closes a window all the same."""
+    from flowlens.streaming import running_visitors_writer, stream_running_bitmap
+    mk = lambda data: spark.createDataFrame(
+        data, "user_id long, behavior string, s long").select(
+        "user_id", "behavior", F.timestamp_seconds(F.col("s") + BASE).alias("ts"))
+    parts = [[(1, "pv", 0), (2, "pv", 5), (1, "pv", 9)],
+             [(2, "pv", 20), (3, "pv", 21), (4, "buy", 22)],
+             [(9, "buy", 4000), (7, "pv", 3700)],
+             [(9, "buy", 4001)],
+             # 30 s is late: the buy row at 4000 s closed its window, one batch later
+             [(8, "pv", 30), (8, "pv", 4100)]]
+    d, src = _files(spark, [mk(p) for p in parts], mk(parts[0]).schema)
+    out = f"{d}/uv"
+    writer = running_visitors_writer(f"{d}/bits", lambda b, i: b.withColumn(
+        "batch", F.lit(i)).write.mode("append").parquet(out))
+    q = (stream_running_bitmap(src).writeStream.outputMode("update").foreachBatch(writer)
+            .option("checkpointLocation", f"{d}/ck").trigger(availableNow=True).start())
+    q.awaitTermination(600)
+    assert q.exception() is None
+    got = {(r.batch, int(r.s) - BASE): r.uv for r in
+           spark.read.parquet(out).withColumn("s", F.unix_seconds("window_end")).collect()}
+    assert got == {(0, 3600): 2, (1, 3600): 3, (2, 7200): 1, (4, 7200): 2}
+
+
+def test_hot_url_table_expires_and_static_rows_advance_time(spark):
+    from flowlens.streaming import hot_url_reports_writer, stream_url_counts_updates
+    mk = lambda data: spark.createDataFrame(data, "url string, s long").select(
+        "url", F.timestamp_seconds(F.col("s") + BASE).alias("ts"))
+    batches = [mk([("/x/css", 0)]), mk([("/a", 1), ("/b", 2)]), mk([("/x/js", 2000)]),
+               mk([("/c", 2001)]), mk([("/d", 2002)])]
+    d, src = _files(spark, batches, batches[0].schema)
+    out, table = f"{d}/reports", f"{d}/table"
+    writer = hot_url_reports_writer(table, f"{d}/state",
+                                    lambda b, i: b.write.mode("append").parquet(out))
+    q = (stream_url_counts_updates(src).writeStream.outputMode("update").foreachBatch(writer)
+            .option("checkpointLocation", f"{d}/ck").trigger(availableNow=True).start())
+    q.awaitTermination(600)
+    assert q.exception() is None
+    # the static row at 2000 s closes the first windows in its own batch
+    reports = spark.read.parquet(out).select("batch_id", F.unix_seconds("window_end").alias("s"), "url")
+    assert {(r.batch_id, r.url) for r in reports.filter(F.col("s") < BASE + 700).collect()} == {
+        (2, "/a"), (2, "/b")}
+    left = spark.read.parquet(table).select(F.min(F.unix_seconds("window_end"))).collect()[0][0]
+    assert left > BASE + 2000
+    # the last batch's record and the one before, which a replay would read
+    assert len([f for f in os.listdir(f"{d}/state") if f.startswith("batch=")]) == 2
