@@ -17,8 +17,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.hashing import poly_hash
+from ..functions.text import ITEM_LINE, REPORT_FOOTER, REPORT_HEADER, URL_LINE
 from ..functions.time import epoch_ms
-from ..operators import approx_unique_visitors, frequency_cap
+from ..operators import approx_unique_visitors, frequency_cap, not_static
 from ..operators.windows import window_count_profile
 from ..sources.files import parse_access_log, parse_behavior_lines
 from ..sources.tables import load_table
@@ -88,10 +89,10 @@ def hot_items_top5(spark, d):
 
 @query("ranking_report", HOT_ITEMS_SQL + f"""
 SELECT window_end,
-       '时间： ' || {_java_ts('window_end * 1000')} || chr(10)
-       || string_agg('Top' || rank || ': 商品ID=' || item_id || ' 访问量=' || cnt || chr(10), ''
+       '{REPORT_HEADER}' || {_java_ts('window_end * 1000')} || chr(10)
+       || string_agg('{ITEM_LINE[0]}' || rank || '{ITEM_LINE[1]}' || item_id || '{ITEM_LINE[2]}' || cnt || chr(10), ''
                      ORDER BY rank)
-       || repeat('-', 46) || chr(10) || chr(10) AS report
+       || '{REPORT_FOOTER}' AS report
 FROM r WHERE rank <= 5 GROUP BY window_end""")
 def ranking_report(spark, d):
     r = J.hot_items(A.behavior(_ev(spark, d)), n=5, pv=A.PV)
@@ -115,6 +116,15 @@ def page_views_salted(spark, d):
     return totals.select(_ms("window_end"), "cnt")
 
 
+@query("page_views_spread", """
+SELECT (epoch_us(ts) // 3600000000 + 1) * 3600000 AS window_end, count(*) AS cnt
+FROM events WHERE event_type = 'view' GROUP BY 1""")
+def page_views_spread(spark, d):
+    """J4 with its own spread key: the totals are J3's."""
+    totals, _ = J.page_views_salted(A.behavior(_ev(spark, d)), pv=A.PV)
+    return totals.select(_ms("window_end"), "cnt")
+
+
 @query("pv_partials", """
 SELECT (epoch_us(ts) // 3600000000 + 1) * 3600000 AS window_end, event_id % 4 AS salt,
        count(*) AS cnt
@@ -410,6 +420,31 @@ def hot_urls_top5(spark, d):
     return ranked.select(_ms("window_end"), "rank", "url", "cnt")
 
 
+@query("static_filter", f"""
+WITH {_URL_SRC}
+SELECT event_id, url FROM f""")
+def static_filter(spark, d):
+    return A.access_log(_ev(spark, d)).filter(not_static("url")).select("event_id", "url")
+
+
+@query("url_report", f"""
+WITH {_URL_SRC},
+c AS ({_sliding_sql('f', 'url', 300000000, 2)}),
+r AS (SELECT e * 300000 AS window_end, url, cnt,
+             row_number() OVER (PARTITION BY e ORDER BY cnt DESC, url) AS rank FROM c)
+SELECT window_end,
+       '{REPORT_HEADER}' || {_java_ts('window_end * 1000')} || chr(10)
+       || string_agg('{URL_LINE[0]}' || rank || '{URL_LINE[1]}' || url || '{URL_LINE[2]}' || cnt || chr(10), ''
+                     ORDER BY rank)
+       || '{REPORT_FOOTER}' AS report
+FROM r WHERE rank <= 5 GROUP BY window_end""")
+def url_report(spark, d):
+    """N3 in the URL style, at a 5 min slide."""
+    ranked, _, _ = J.hot_urls(A.access_log(_ev(spark, d)), "arrival_us", "event_id",
+                              slide="5 minutes")
+    return J.hot_urls_report(ranked).select(_ms("window_end"), "report")
+
+
 _LATE_SQL = f"""
 WITH {_URL_SRC},
 a AS (SELECT event_id, url, epoch_us(ts) AS us,
