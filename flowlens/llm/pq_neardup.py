@@ -2,16 +2,21 @@
 
 Equal vectors of a label are folded into classes first.  A coarse codebook
 (spherical k-means) gives every class an inverted list; the residual is coded
-in ``SUBSPACES`` parts of 256 codewords.  Each class probes its ``probes``
-nearest lists of its label: an asymmetric table lookup estimates the cosine to
-every entry, and since the coding error of an entry is known, an entry whose
-estimate plus error stays below the threshold cannot link; the others are
-reranked by the exact cosine in double precision.  Codebooks are fitted on at
-most ``SAMPLE`` classes; every class is indexed and probes.
-
-Lists are dealt out in blocks of at most ``BLOCK`` entries and queries, so a
-large list is many tasks.  A block hands on link counts and a spanning forest,
-never all pairs.  A pair found from either side counts for both sides.
+in ``SUBSPACES`` parts of 256 codewords.  Each class probes every list of its
+label that can hold a linked entry (at least the ``probes`` nearest): a list is
+left out only if its angular radius, or the plane that parts it from the
+class's own list, puts all its entries below the threshold.  An asymmetric
+table lookup estimates the cosine to every entry, and since the coding error
+of an entry is known, an entry whose estimate plus error stays below the
+threshold cannot link; the others are reranked by the exact cosine in double
+precision.  So every pair is found.  Codebooks are fitted on at most
+``SAMPLE`` classes; every class is indexed and probes.
+
+Neighbouring small lists of a label share a part, so that a class goes to a
+part once, not to each list.  Parts are dealt out in blocks of at most about
+``BLOCK`` entries and queries, so a large list is many tasks.  A block hands on link counts and a spanning forest,
+never all pairs.  Lists are probed from the lower list's side only; a pair
+found there counts for both sides.
 
 Defined cases: null labels, and vectors that are null, empty, zero, of another
 length than most, or hold null or non-finite components, link with nothing; a
@@ -25,6 +30,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import FloatType
 
 from flowlens.llm.common import Forest, components, prepare, written
 
@@ -32,6 +38,7 @@ SAMPLE = 16_384
 SUBSPACES = 8
 CODES = 256
 BLOCK = 4096
+#: Nearest lists that are probed even if their bounds rule out a link.
 PROBES = 24
 
 
@@ -77,13 +84,33 @@ class Codebook:
         err = rest - np.stack([w[codes[:, m]] for m, w in enumerate(self.words)], 1)
         return own, codes.astype(np.uint8), np.sqrt((err ** 2).sum((1, 2)))
 
-    def probes(self, x: np.ndarray, n: int) -> np.ndarray:
-        return np.argsort(-(x @ self.coarse.T), axis=1, kind="stable")[:, :n]
-
-    def estimate(self, q: np.ndarray, which_list: int, codes: np.ndarray) -> np.ndarray:
-        """Estimated cosines of queries to coded entries of one list."""
+    def angles(self, x: np.ndarray) -> np.ndarray:
+        return np.arccos(np.clip(x @ self.coarse.T, -1, 1))
+
+    def probes(self, x: np.ndarray, own: np.ndarray, n: int, threshold: float,
+               radii: np.ndarray) -> np.ndarray:
+        """Whether each of the unit vectors probes each list: the ``n`` nearest
+        and all that can hold an entry with a cosine of ``threshold`` or more.
+        ``radii`` has the smallest and largest angle of each list's entries
+        to its center."""
+        reach = np.arccos(np.clip(threshold, -1, 1)) + 1e-6
+        angle = self.angles(x)
+        can = (angle - radii[:, 1] <= reach) & (radii[:, 0] - angle <= reach)
+        if threshold >= 0:
+            # an entry is nearer to its own center than to this vector's
+            cos = x @ self.coarse.T
+            gap = np.sqrt(np.maximum(2 - 2 * self.coarse @ self.coarse.T, 0))
+            plane = cos[np.arange(len(x)), own][:, None] - cos <= np.sin(reach) * gap[own] + 1e-6
+            odd = np.abs(np.linalg.norm(self.coarse, axis=1) - 1) > 1e-6
+            can &= plane | odd | odd[own][:, None]
+        near = np.argsort(angle, axis=1, kind="stable")[:, :n]
+        can[np.arange(len(x))[:, None], near] = True
+        return can
+
+    def estimate(self, q: np.ndarray, own: np.ndarray, codes: np.ndarray) -> np.ndarray:
+        """Estimated cosines of queries to coded entries of the lists ``own``."""
         parts = self._parts(q)
-        out = np.repeat((q @ self.coarse[which_list])[:, None], len(codes), 1)
+        out = (q @ self.coarse.T)[:, own]
         for m, w in enumerate(self.words):
             out += (parts[:, m] @ w.T)[:, codes[:, m]]
         return out
@@ -101,17 +128,18 @@ def can_link(dim: int) -> Column:
                       & (F.size(v) == dim) & finite & F.exists(v, lambda x: x != 0), F.lit(False))
 
 
-_ROW = ("label long, list long, query boolean, rep long, n long, own long, err double, "
-        "probes array<long>, codes binary, vec binary")
 _ROW_TYPES = pa.schema([
-    ("label", pa.int64()), ("list", pa.int64()), ("query", pa.bool_()), ("rep", pa.int64()),
-    ("n", pa.int64()), ("own", pa.int64()), ("err", pa.float64()),
-    ("probes", pa.list_(pa.int64())), ("codes", pa.binary()), ("vec", pa.binary())])
+    ("label", pa.int64()), ("part", pa.int64()), ("query", pa.bool_()), ("rep", pa.int64()),
+    ("n", pa.int64()), ("list", pa.int64()), ("err", pa.float64()), ("codes", pa.binary()),
+    ("vec", pa.binary())])
+_ROW = ("label long, part long, query boolean, rep long, n long, list long, err double, "
+        "codes binary, vec binary")
 _LINK_TYPES = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("links", pa.int64())])
 
 
-def _index_rows(classes: DataFrame, book: Codebook, probes: int) -> DataFrame:
-    """An entry row of each class in its own list, a query row in each probed one."""
+def _index_rows(classes: DataFrame, book: Codebook, dtype: str, width: int) -> DataFrame:
+    """An entry row of each class, with its angle to the center of its list;
+    ``width`` lists are a part."""
 
     def run(batches):
         for b in batches:
@@ -120,25 +148,51 @@ def _index_rows(classes: DataFrame, book: Codebook, probes: int) -> DataFrame:
             raw = np.array(b.column(2).to_pylist(), dtype=np.float64)
             x = unit(raw)
             own, codes, err = book.encode(x)
-            near = book.probes(x, probes)
-            n = near.shape[1]
-            pick = np.concatenate((np.arange(len(x)), np.repeat(np.arange(len(x)), n)))
-            lists = np.concatenate((own, near.ravel()))
-            take = pa.array(pick)
-            cols = [b.column(1).take(take), pa.array(lists), pa.array(
-                np.arange(len(pick)) >= len(x)), b.column(0).take(take), b.column(3).take(take),
-                pa.array(own[pick]), pa.array(err[pick]),
-                pa.array(near.tolist(), pa.list_(pa.int64())).take(take),
-                pa.array([c.tobytes() for c in codes], pa.binary()).take(take),
-                pa.array([v.tobytes() for v in raw], pa.binary()).take(take)]
-            yield pa.RecordBatch.from_arrays(cols, schema=_ROW_TYPES)
+            angle = book.angles(x)[np.arange(len(x)), own]
+            cols = [b.column(1), pa.array(own // width), pa.array(np.zeros(len(x), bool)), b.column(0),
+                    b.column(3), pa.array(own), pa.array(err),
+                    pa.array([c.tobytes() for c in codes], pa.binary()),
+                    pa.array([v.tobytes() for v in raw.astype(dtype)], pa.binary()),
+                    pa.array(angle)]
+            yield pa.RecordBatch.from_arrays(
+                cols, schema=_ROW_TYPES.append(pa.field("angle", pa.float64())))
 
     return classes.select("rep", F.col("label").cast("long"), "embedding", "n").mapInArrow(
-        run, _ROW)
+        run, f"{_ROW}, angle double")
 
 
-def _search(book: Codebook, threshold: float):
+def _query_rows(index: DataFrame, book: Codebook, dtype: str, width: int, probes: int,
+                threshold: float, radii: np.ndarray) -> DataFrame:
+    """A query row of each class in each part with lists that it probes, from
+    its own list on; ``codes`` has one bit for each list of the part."""
+
+    def run(batches):
+        for b in batches:
+            if not b.num_rows:
+                continue
+            own = b.column(5).to_numpy()
+            x = unit(np.stack([np.frombuffer(v, dtype) for v in b.column(8).to_pylist()])
+                     .astype(np.float64))
+            near = book.probes(x, own, probes, threshold, radii)
+            near &= np.arange(near.shape[1]) >= own[:, None]
+            near = np.pad(near, ((0, 0), (0, -near.shape[1] % width)))
+            near = near.reshape(len(x), -1, width)
+            pick, part = np.nonzero(near.any(2))
+            for at in range(0, len(pick), 8192):
+                i, j = pick[at:at + 8192], part[at:at + 8192]
+                cols = [c.take(pa.array(i)) for c in b.columns]
+                cols[1] = pa.array(j)
+                cols[2] = pa.array(np.ones(len(i), bool))
+                cols[7] = pa.array([c.tobytes() for c in np.packbits(near[i, j], axis=1)],
+                                   pa.binary())
+                yield pa.RecordBatch.from_arrays(cols, schema=_ROW_TYPES)
+
+    return index.select(*_ROW_TYPES.names).mapInArrow(run, _ROW)
+
+
+def _search(book: Codebook, threshold: float, dtype: str, width: int):
     def run(t: pa.Table) -> pa.Table:
+        t = t.sort_by("list")  # queries of a list probe much the same lists
         is_query = t.column("query").to_numpy()
         q, e = t.filter(pa.array(is_query)), t.filter(pa.array(~is_query))
         if not q.num_rows or not e.num_rows:
@@ -150,25 +204,27 @@ def _search(book: Codebook, threshold: float):
         def matrix(x, c, dtype):
             return np.stack([np.frombuffer(v, dtype) for v in x.column(c).to_pylist()])
 
-        which = int(col(e, "list")[0])
-        codes, e_vec = matrix(e, "codes", np.uint8), unit(matrix(e, "vec", np.float64))
-        q_vec = unit(matrix(q, "vec", np.float64))
+        codes, e_vec = matrix(e, "codes", np.uint8), unit(matrix(e, "vec", dtype).astype(np.float64))
+        q_vec = unit(matrix(q, "vec", dtype).astype(np.float64))
         q_rep, e_rep, q_n, e_n = col(q, "rep"), col(e, "rep"), col(q, "n"), col(e, "n")
-        q_own, e_err = col(q, "own"), col(e, "err")
-        e_probes = np.array(e.column("probes").to_pylist(), dtype=np.int64)
+        q_list, e_list, e_err = col(q, "list"), col(e, "list"), col(e, "err")
+        asked = np.unpackbits(matrix(q, "codes", np.uint8), axis=1)[:, e_list % width] > 0
         counts: dict[int, int] = {}
         forest, edges = Forest(), []
         for at in range(0, len(q_rep), 256):
             part = slice(at, at + 256)
-            est = book.estimate(q_vec[part], which, codes)
-            i, j = np.nonzero(est + e_err >= threshold - 1e-6)
-            i += at
-            exact = (q_vec[i] * e_vec[j]).sum(1) >= threshold
+            some = np.flatnonzero(asked[part].any(0))
+            est = book.estimate(q_vec[part], e_list[some], codes[some])
+            i, j = np.nonzero(asked[part][:, some] & (est + e_err[some] >= threshold - 1e-6))
+            i, j = i + at, some[j]
+            exact = np.concatenate([np.zeros(0, bool)] + [
+                (q_vec[i[k:k + 65536]] * e_vec[j[k:k + 65536]]).sum(1) >= threshold
+                for k in range(0, len(i), 65536)])
             i, j = i[exact], j[exact]
             other = q_rep[i] != e_rep[j]
             i, j = i[other], j[other]
-            # the entry finds this query itself if it probes the query's list
-            alone = ~(e_probes[j] == q_own[i][:, None]).any(1)
+            # within a list the entry finds this query itself
+            alone = q_list[i] != e_list[j]
             for rep, n in ((q_rep[i], e_n[j]), (e_rep[j[alone]], q_n[i[alone]])):
                 ids, place = np.unique(rep, return_inverse=True)
                 for r, c in zip(ids.tolist(), np.bincount(place, n).astype(int).tolist(),
@@ -206,20 +262,27 @@ def embedding_groups(rows: DataFrame, threshold: float = 0.93, probes: int = PRO
     drawn = classes.orderBy(F.xxhash64("rep"), "rep").limit(SAMPLE).select("embedding").collect()
     sample = unit(np.array([r[0] for r in drawn], dtype=np.float64))
     book = Codebook(sample, lists or int(min(1024, max(16, 2 ** round(np.log2(n ** 0.5))))))
-    index = _index_rows(classes, book, probes)
-    index = written(index, "vector-index")
-    parts = index.groupBy("label", "list").agg(
+    dtype = "<f4" if rows.schema["embedding"].dataType.elementType == FloatType() else "<f8"
+    n_labels = classes.agg(F.count_distinct("label")).first()[0]
+    width = min(len(book.coarse), max(1, len(book.coarse) * block * n_labels // n))
+    index = written(_index_rows(classes, book, dtype, width), "vector-index")
+    radii = np.array([[np.inf, -np.inf]] * len(book.coarse))  # an empty list is out of reach
+    for r in index.groupBy("list").agg(F.min("angle"), F.max("angle")).collect():
+        radii[r[0]] = r[1:]
+    index = index.drop("angle").union(
+        _query_rows(index, book, dtype, width, probes, threshold, radii))
+    parts = index.groupBy("label", "part").agg(
         F.ceil(F.count_if(~F.col("query")) / block).alias("blocks"),
         F.ceil(F.count_if(F.col("query")) / block).alias("turns")).where("blocks > 0")
     spread = F.when(F.col("query"), F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)) \
         .otherwise(F.array(F.pmod(F.xxhash64("rep"), "blocks")))
     turns = F.when(F.col("query"), F.array(F.pmod(F.xxhash64("rep"), "turns"))) \
         .otherwise(F.sequence(F.lit(0).cast("long"), F.greatest(F.col("turns"), F.lit(1)) - 1))
-    dealt = (index.join(parts, ["label", "list"])
+    dealt = (index.join(parts, ["label", "part"])
              .withColumn("block", F.explode(spread)).withColumn("turn", F.explode(turns)))
     found = written(dealt.select(*_ROW_TYPES.names, "block", "turn").groupBy(
-        "label", "list", "block", "turn").applyInArrow(
-            _search(book, threshold), "a long, b long, links long"), "vector-links")
+        "label", "part", "block", "turn").applyInArrow(
+            _search(book, threshold, dtype, width), "a long, b long, links long"), "vector-links")
     links = found.where("b is null").groupBy("a").agg(F.sum("links").alias("links"))
     label = components(found.where("b is not null").select("a", "b"))
     named = (classes.join(links, classes.rep == links.a, "left")

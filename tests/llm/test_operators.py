@@ -275,6 +275,20 @@ def test_embedding_recall_with_few_probes(spark):
     assert sum(some.values()) >= 0.9 * sum(all_lists.values())
 
 
+def test_embedding_dense_cluster_with_many_lists(spark):
+    """Hot group near the threshold, 1024 lists, vectors of one label."""
+    rng = np.random.default_rng(9)
+    unit = pq_neardup.unit
+    base = unit(rng.normal(size=(1, 64)))
+    hot = unit(base + rng.normal(size=(1200, 64)) * (0.0986 ** .5 / 8))  # mean pair cosine 0.91
+    vec = np.concatenate((hot, unit(rng.normal(size=(1800, 64)))))
+    df = spark.createDataFrame([(i, v.tolist(), 0) for i, v in enumerate(vec)],
+                               "vec_id long, embedding array<double>, label int")
+    near = vec @ vec.T >= .93
+    got = pq_neardup.embedding_groups(df, lists=1024).select("vec_id", "n_links").collect()
+    assert {r[0]: r[1] for r in got} == dict(enumerate((near.sum(1) - 1).tolist()))
+
+
 def test_language_id(spark, docs):
     got = hd_langid.language_id(docs).collect()
     assert len(got) == docs.count()
