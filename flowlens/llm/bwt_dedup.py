@@ -1,7 +1,7 @@
 """Byte-substring duplicates by merging shard Burrows-Wheeler orders (operator 6).
 
 Window runs are routed to shards by minimizers (``window_runs``).  In a shard
-the distinct runs are cut into blocks; every block gets the order of its
+the distinct runs (but for those of hot grams, see there) are cut into blocks; every block gets the order of its
 suffixes (what its Burrows-Wheeler transform lists) up to ``length`` bytes.
 The block orders are then merged by interleave refinement: suffixes start
 interleaved by their first symbol, and each round refines the interleave by
@@ -27,10 +27,11 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-from flowlens.llm.common import batch, prepare, written
+from flowlens.llm.common import batch, prepare
 from flowlens.llm.window_runs import (
-    hit_arrays, mix, prefix_hash, run_contents, runs_of, shared_runs, span_hash, with_hits)
+    hit_arrays, hits_of, mix, prefix_hash, run_contents, runs_of, shared_runs, span_hash, with_hits)
 
 GRAM = 64
 STEP = 40
@@ -197,6 +198,13 @@ def byte_content(length: int):
     return of
 
 
+def byte_windows(length: int):
+    def of(content: bytes, windows: int):
+        return (content[i:i + length] for i in range(windows))
+
+    return of
+
+
 _HITS = pa.schema([("key", pa.int64()), ("chash", pa.int64()), ("windows", pa.int64()),
                    ("hits", pa.list_(pa.int64()))])
 
@@ -208,7 +216,8 @@ def repeated_spans(docs: DataFrame, length: int = 200, shard_runs: int = 5000) -
         raise ValueError(f"length must be at least {GRAM}")
     rows = shared_runs(
         docs, byte_runs(length),
-        lambda k: k.groupBy("key").count().where("count > 1").select("key"), "byte-runs")
+        lambda k: k.groupBy("key").agg(F.count(F.lit(1)).alias("n_runs")).where("n_runs > 1"),
+        shard_runs, "byte-runs")
     contents = run_contents(docs, rows, byte_content(length), shard_runs)
 
     def search(t: pa.Table) -> pa.Table:
@@ -225,9 +234,16 @@ def repeated_spans(docs: DataFrame, length: int = 200, shard_runs: int = 5000) -
             [t.column("key"), t.column("chash"), t.column("windows"),
              pa.array(hits, pa.list_(pa.int64()))], schema=_HITS)
 
-    hits = contents.groupBy("shard").applyInArrow(
-        search, "key long, chash long, windows long, hits array<long>")
-    return with_hits(docs, rows, written(hits.where("size(hits) > 0"), "byte-hits"))
+    def hot_hits(windows: DataFrame) -> DataFrame:
+        at = (windows.where("coalesce(shared_n, n) > 1").groupBy("key", "chash", "windows")
+              .agg(F.array_sort(F.collect_set("i")).alias("at")))
+        begin = F.filter("at", lambda i: ~F.array_contains("at", i - 1))
+        end = F.filter("at", lambda i: ~F.array_contains("at", i + 1))
+        return at.withColumn("hits", F.flatten(F.zip_with(
+            begin, end, lambda a, b: F.array(a, b + length))))
+
+    hits = hits_of(rows, contents, search, byte_windows(length), hot_hits, "byte")
+    return with_hits(docs, rows, hits.where("size(hits) > 0"))
 
 
 def covered_bytes(n_bytes: np.ndarray, runs: pa.ListArray) -> np.ndarray:

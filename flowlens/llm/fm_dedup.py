@@ -1,7 +1,7 @@
 """Substring duplicates over word windows with FM-index shards (operator 3).
 
 Window runs are routed to shards by minimizers (``window_runs``).  Each shard
-indexes its distinct runs: suffixes sorted to the window length, the
+indexes its distinct runs (but for those of hot grams, see there): suffixes sorted to the window length, the
 Burrows-Wheeler transform in a wavelet matrix with bit-packed ranks.  The runs
 are then streamed against the index from right to left: backward search keeps
 the interval of the longest match up to ``length`` words (a failing or full
@@ -27,9 +27,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from flowlens.llm.common import batch, prepare, words, written
+from flowlens.llm.common import batch, prepare, words
 from flowlens.llm.window_runs import (
-    hit_arrays, mix, prefix_hash, run_contents, runs_of, shared_runs, span_hash, with_hits)
+    hit_arrays, hits_of, mix, prefix_hash, run_contents, runs_of, shared_runs, span_hash, with_hits)
 
 NO_DOC = (1 << 63) - 1
 
@@ -219,6 +219,14 @@ def word_content(length: int):
     return of
 
 
+def word_windows(length: int):
+    def of(content: bytes, windows: int):
+        w = content.split()
+        return (b" ".join(w[i:i + length]) for i in range(windows))
+
+    return of
+
+
 _HITS = pa.schema([("key", pa.int64()), ("chash", pa.int64()), ("windows", pa.int64()),
                    ("hits", pa.list_(pa.int64()))])
 
@@ -229,8 +237,9 @@ def window_holders(docs: DataFrame, length: int = 13, gram: int = 5, shard_runs:
     doc_id that holds each, as list of (loc, hits)."""
     rows = shared_runs(
         docs, word_runs(length, gram),
-        lambda k: k.groupBy("key").agg(F.min("rk").alias("a"), F.max("rk").alias("b"))
-        .where("a <> b").select("key"), "word-runs")
+        lambda k: k.groupBy("key").agg(F.min("rk").alias("a"), F.max("rk").alias("b"),
+                                   F.count(F.lit(1)).alias("n_runs"))
+        .where("a <> b").select("key", "n_runs"), shard_runs, "word-runs")
     contents = run_contents(docs, rows, word_content(length), shard_runs)
 
     def search(t: pa.Table) -> pa.Table:
@@ -242,10 +251,15 @@ def window_holders(docs: DataFrame, length: int = 13, gram: int = 5, shard_runs:
             [t.column("key"), t.column("chash"), t.column("windows"),
              pa.array(hits, pa.list_(pa.int64()))], schema=_HITS)
 
-    hits = contents.groupBy("shard").applyInArrow(
-        search, "key long, chash long, windows long, hits array<long>")
+    def hot_hits(windows: DataFrame) -> DataFrame:
+        holder = F.coalesce("shared_low", "low", F.lit(NO_DOC)).alias("holder")
+        return windows.groupBy("key", "chash", "windows").agg(F.transform(
+            F.array_sort(F.collect_set(F.struct("i", holder))),
+            lambda w: w.holder).alias("hits"))
+
+    hits = hits_of(rows, contents, search, word_windows(length), hot_hits, "word")
     own = F.coalesce("doc_id", F.lit(NO_DOC))
-    return with_hits(docs, rows, written(hits, "word-hits"), keep,
+    return with_hits(docs, rows, hits, keep,
                      F.exists("hits", lambda h: h < own))
 
 

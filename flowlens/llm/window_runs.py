@@ -6,15 +6,21 @@ windows have equal grams, so sending runs to shards by the gram's hash brings
 all occurrences of every window together, and a run whose gram occurs only
 once cannot hold a repeated window: it is dropped before any text moves.
 
-A run row is (key, chash, rk, doc_id, loc): gram hash, hash of the run's
-content, hash of the document row, and start << 12 | number of windows.  Runs
-are told apart by key, content hash and length, 128 hash bits together.
+A gram with more than ``shard_runs`` runs is hot: its different runs would all
+meet in one shard.  They are cut into their windows instead, and those meet by
+gram and 128-bit hash of the window in ordinary aggregates.
+
+A run row is (key, chash, rk, doc_id, loc, hot): gram hash, hash of the run's
+content, hash of the document row, start << 12 | number of windows, and whether
+the gram is hot.  Runs are told apart by key, content hash and length, 128 hash
+bits together.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -108,10 +114,10 @@ def keyed(docs: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
                        F.col("text").cast("string").alias("text"), *keep)
 
 
-def shared_runs(docs: DataFrame, runs, shared, name: str) -> DataFrame:
+def shared_runs(docs: DataFrame, runs, shared, shard_runs: int, name: str) -> DataFrame:
     """Run rows whose gram is shared.  ``runs(text)`` gives (start, windows,
     key, content hash) arrays of one text; ``shared(keys)`` turns the table of
-    (key) occurrences into the keys to keep."""
+    (key) occurrences into the keys to keep with their number of runs."""
     prepare(docs.sparkSession)
 
     def emit_keys(batches):
@@ -138,28 +144,36 @@ def shared_runs(docs: DataFrame, runs, shared, name: str) -> DataFrame:
     base = keyed(docs)
     # written first: the join then sees two plain shuffles and can split a hot key
     keep = written(shared(base.mapInArrow(emit_keys, "key long, rk long")), f"{name}-keys")
-    return written(base.mapInArrow(emit_runs, RUN_DDL).join(keep, "key", "left_semi"), name)
+    keep = keep.select("key", (F.col("n_runs") > shard_runs).alias("hot"))
+    return written(base.mapInArrow(emit_runs, RUN_DDL).join(keep, "key"), name)
 
 
 def run_contents(docs: DataFrame, rows: DataFrame, content, shard_runs: int) -> DataFrame:
-    """(shard, key, chash, windows, low, n, content): every distinct run once,
+    """(shard, key, chash, windows, low, n, content): every distinct run once
+    (or as often as the row it is taken from is repeated),
     with the smallest doc_id it stands in and its number of occurrences.
     ``content(text)`` returns a function (start, windows) -> bytes.  A shard
-    holds about ``shard_runs`` runs."""
-    distinct = rows.agg(F.approx_count_distinct("chash")).first()[0]
+    holds about ``shard_runs`` runs; runs of hot grams have shard -1."""
+    distinct = rows.where("not hot").agg(F.approx_count_distinct("chash")).first()[0]
     n_shards = max(1, -(-distinct // shard_runs))
     reps = (rows.groupBy("key", "chash", (F.col("loc") % 4096).alias("windows"))
             .agg(F.min(F.struct("rk", "doc_id", "loc")).alias("at"), F.min("doc_id").alias("low"),
-                 F.count(F.lit(1)).alias("n"))
+                 F.count(F.lit(1)).alias("n"), F.bool_or("hot").alias("hot"))
             .groupBy(F.col("at.rk").alias("rk"), F.col("at.doc_id").alias("of"))
-            .agg(F.collect_list(F.struct("key", "chash", "low", "n", "at.loc")).alias("runs")))
+            .agg(F.collect_list(F.struct("key", "chash", "low", "n", "at.loc", "hot")).alias("runs")))
     # repeated rows: any of them has the text
     texts = keyed(docs).join(reps, "rk").where("doc_id <=> of").select("text", "runs", "rk", "of")
     schema = pa.schema([(c, pa.int64()) for c in ("shard", "key", "chash", "windows", "low", "n")]
                        + [("content", pa.binary())])
 
     def emit(batches):
+        last = np.zeros(0, np.int64)
         for b in batches:
+            # equal rows mostly follow each other here: one of them will do
+            rk = np.concatenate((last, b.column(2).to_numpy()))
+            new = np.concatenate((np.ones(1 - len(last), bool), rk[1:] != rk[:-1]))[:b.num_rows]
+            last = rk[-1:]
+            b = b.filter(pa.array(new))
             out: list[bytes] = []
             runs_field = b.column(1).flatten().field("loc")
             locs = pa.ListArray.from_arrays(_offsets(b.column(1)), runs_field)
@@ -168,13 +182,57 @@ def run_contents(docs: DataFrame, rows: DataFrame, content, shard_runs: int) ->
                 out += [part(r >> 12, r & 4095) for r in runs]
             flat = b.column(1).flatten()
             key, loc = (flat.field(c).to_numpy() for c in ("key", "loc"))
-            yield batch(schema, key % n_shards, key, flat.field("chash"), loc & 4095,
+            hot = flat.field("hot").to_numpy(zero_copy_only=False)
+            yield batch(schema, np.where(hot, -1, key % n_shards), key, flat.field("chash"), loc & 4095,
                         flat.field("low"), flat.field("n"), out)
 
-    return texts.select("text", "runs").mapInArrow(
+    return texts.select("text", "runs", "rk").mapInArrow(
         emit, "shard long, key long, chash long, windows long, low long, n long, content binary")
 
 
+def hits_of(rows: DataFrame, contents: DataFrame, search, windows_of, hot_hits,
+            name: str) -> DataFrame:
+    """(key, chash, windows, hits) of all distinct runs: ``search`` turns the
+    table of a shard into them, ``hot_hits`` the table of ``shared_windows``."""
+    ddl = "key long, chash long, windows long, hits array<long>"
+    if rows.where("hot").isEmpty():
+        return written(contents.groupBy("shard").applyInArrow(search, ddl), f"{name}-hits")
+    contents = written(contents, f"{name}-contents")
+    cold = contents.where("shard >= 0").groupBy("shard").applyInArrow(search, ddl)
+    hot = hot_hits(shared_windows(contents.where("shard < 0"), windows_of, name))
+    return written(cold.union(hot.select("key", "chash", "windows", "hits")), f"{name}-hits")
+
+
+def shared_windows(contents: DataFrame, windows_of, name: str) -> DataFrame:
+    """(key, chash, windows, i, low, n, shared_low, shared_n) of every window
+    of the runs: the smallest doc_id and the number of occurrences of its run,
+    and those of all runs of the gram that hold the window (null if there is no
+    other).  ``windows_of(content, windows)`` gives the bytes of each window."""
+    schema = pa.schema([(c, pa.int64()) for c in (
+        "key", "chash", "windows", "i", "low", "n", "a", "b")])
+
+    def emit(batches):
+        for b in batches:
+            sizes = b.column(2).to_numpy()
+            digests = b"".join(
+                xxhash.xxh3_128_digest(w)
+                for c, n in zip(b.column(5).to_pylist(), sizes.tolist(), strict=True)
+                for w in windows_of(c, n))
+            owner = np.repeat(np.arange(len(sizes)), sizes)
+            i = np.arange(len(owner)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+            own = [b.column(k).take(pa.array(owner)) for k in (0, 1, 2, 3, 4)]
+            halves = np.frombuffer(digests, "<i8").reshape(-1, 2)
+            yield batch(schema, *own[:3], i, *own[3:], halves[:, 0], halves[:, 1])
+
+    every = written(contents.select("key", "chash", "windows", "low", "n", "content").mapInArrow(
+        emit, ", ".join(f"{c} long" for c in schema.names)), f"{name}-hot")
+    # written first: the join then sees two plain shuffles and can split a hot window
+    shared = written(every.groupBy("key", "a", "b").agg(
+        F.min("low").alias("shared_low"), F.sum("n").alias("shared_n"),
+        F.count(F.lit(1)).alias("holders")).where("holders > 1").drop("holders"), f"{name}-shared")
+    return every.join(shared, ["key", "a", "b"], "left").drop("a", "b")
+
+
 def with_hits(docs: DataFrame, rows: DataFrame, hits: DataFrame,
               keep: tuple[str, ...] = (), useful: Column | None = None) -> DataFrame:
     """doc_id, text, the list of (loc, hits) that are ``useful`` and ``keep`` columns of every row

@@ -176,6 +176,44 @@ def test_byte_dedup_brute_force(docs):
     assert as_rows(bwt_dedup.byte_dedup(docs)) == sorted(exp, key=repr)
 
 
+@pytest.fixture(scope="module")
+def boilerplate(spark):
+    """Passages with different text around them in every document; some
+    documents share that text, some have no id or are repeated."""
+    random.seed(12)
+    vocab = [f"v{i}" for i in range(3000)]
+    short, long = (" ".join(random.choices(vocab, k=k)) for k in (17, 70))
+    rows = []
+    for i in range(90):
+        own = [" ".join(random.choices(vocab, k=60)) for _ in range(2)]
+        near = random.choice([short, short[7:-9], long])
+        rows.append((None if i % 20 == 7 else i, f"{own[0]} {near} {own[1]} {long}"))
+    rows += [(200, rows[3][1][30:]), rows[5], rows[5], (None, rows[7][1]), (201, long)]
+    return spark.createDataFrame(rows, "doc_id long, text string")
+
+
+@pytest.mark.parametrize("op", ["substring", "byte"])
+def test_hot_grams_leave_their_shard(boilerplate, monkeypatch, op):
+    from flowlens.llm import window_runs
+
+    spans, largest = {"substring": fm_dedup.window_holders, "byte": bwt_dedup.repeated_spans}[op], []
+    module = fm_dedup if op == "substring" else bwt_dedup
+    whole = window_runs.run_contents
+
+    def spied(*args):
+        out = whole(*args)
+        largest.append(out.where("shard >= 0").groupBy("key").count().agg({"count": "max"}).first()[0])
+        return out
+
+    monkeypatch.setattr(module, "run_contents", spied)
+    check = test_substring_dedup_brute_force if op == "substring" else test_byte_dedup_brute_force
+    check(boilerplate)
+    monkeypatch.setattr(module, spans.__name__,
+                        lambda *a, **k: spans(*a, **k, shard_runs=6))
+    check(boilerplate)
+    assert largest[0] > 6 >= (largest[1] or 0)
+
+
 def test_merged_orders_find_repeats():
     random.seed(5)
     for trial in range(80):
