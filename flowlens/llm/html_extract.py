@@ -63,40 +63,97 @@ _CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "t
 _CUT_OFF = re.compile(r"</?[a-zA-Z!][^<>]*$")
 _DIGITS = re.compile(r"\d+")
 _PARTS = re.compile(r"[^a-z0-9]+")
+#: Parts of names that tell of a layout or of something missing.
+_LAYOUT_WORDS = {"no", "not", "non", "without", "with", "has", "free", "open", "opened", "closed",
+                 "active", "enabled", "disabled", "layout"}
+_COMMENT_WORDS = {"comment", "comments", "commentlist", "respond", "disqus", "discussion",
+                  "replies", "reply"}
+#: Raw elements that may be left unclosed without swallowing the page.
+_NESTED_RAW = {"svg", "math", "object", "canvas"}
+_FOREIGN = {"svg", "math"}
+_BREAK_OUT = re.compile(r"<foreignobject|<(article|main|section|blockquote|body|center|dd|div|dl|dt"
+                        r"|h[1-6]|hr|li|ol|p|pre|table|ul)(?=[\s/>])", re.I)
+#: An element with a junk name and no article is kept if it holds this many
+#: times the text outside such elements.
+_MOST = 3
 _GOOD = {"article": 1.3, "main": 1.2}
 _DECAY = 0.7
 
 
 class Element:
-    __slots__ = ("tag", "path", "up", "junk", "inside", "score", "order")
+    """``hard``: left out for sure, like everything below it; ``soft``: left
+    out by its name, unless it turns out to hold the page's text."""
 
-    def __init__(self, tag, path, up, junk, inside, order):
-        self.tag, self.path, self.up = tag, path, up
-        self.junk, self.inside, self.score, self.order = junk, inside, 0.0, order
+    __slots__ = ("tag", "path", "up", "hard", "soft", "inside", "score", "order", "comments")
+
+    def __init__(self, tag, path, up, hard, soft, inside, order, comments=False):
+        self.tag, self.path, self.up, self.hard, self.soft = tag, path, up, hard, soft
+        self.inside, self.score, self.order, self.comments = inside, 0.0, order, comments
+
+    def chain(self):
+        e = self
+        while e is not None:
+            yield e
+            e = e.up
+
+    @property
+    def junk(self) -> bool:
+        return self.hard or any(e.soft for e in self.chain())
 
 
 def _attributes(text: str) -> dict[str, str]:
     return {m[1].lower(): m[2] or m[3] or m[4] or "" for m in _ATTR.finditer(text)}
 
 
-def _is_junk(tag: str, attrs: dict[str, str], inside: bool) -> bool:
+def _is_hard(tag: str, attrs: dict[str, str], inside: bool) -> bool:
     if tag in _JUNK_TAGS or (tag == "header" and not inside):
         return True
     if attrs.get("role", "").lower() in _JUNK_ROLES or "hidden" in attrs:
         return True
-    if attrs.get("aria-hidden") == "true" or "display:none" in attrs.get("style", "").replace(
-            " ", "").lower():
-        return True
+    return attrs.get("aria-hidden") == "true" or "display:none" in attrs.get(
+        "style", "").replace(" ", "").lower()
+
+
+def _names(tag: str, attrs: dict[str, str], inside: bool) -> set[str]:
+    """Words of class and id that make an element junk.  A name that only says
+    how a page is laid out (no-sidebar, nav-open) says nothing of its content."""
     if tag in ("article", "main", "body", "html"):
-        return False
-    names = set(_PARTS.split(f"{attrs.get('class', '')} {attrs.get('id', '')}".lower()))
-    return bool(names & _JUNK_WORDS) or (not inside and bool(names & _HEAD_WORDS))
+        return set()
+    found = set()
+    for name in f"{attrs.get('class', '')} {attrs.get('id', '')}".lower().split():
+        parts = set(_PARTS.split(name))
+        if not parts & _LAYOUT_WORDS:
+            found |= parts
+    return found & (_JUNK_WORDS if inside else _JUNK_WORDS | _HEAD_WORDS)
+
+
+def _raw_end(page: str, tag: str, pos: int, closed: bool) -> int:
+    """Where the content of a raw element ends that starts at ``pos``."""
+    if tag not in _NESTED_RAW:
+        close = re.compile(rf"</{re.escape(tag)}\s*>", re.I).search(page, pos)
+        return close.end() if close else len(page)
+    if closed and tag in _FOREIGN:
+        return pos
+    depth, end = 1, None
+    for m in re.compile(rf"<(/?){tag}(?=[\s/>])[^>]*>", re.I).finditer(page, pos):
+        if m[1]:
+            depth -= 1
+        elif not (tag in _FOREIGN and m[0].endswith("/>")):
+            depth += 1
+        if not depth:
+            end = m.end()
+            break
+    if tag in _FOREIGN:  # a block of the page ends a drawing that was not closed
+        out = _BREAK_OUT.search(page, pos, len(page) if end is None else end)
+        if out and out[1]:
+            return out.start()
+    return pos if end is None else end
 
 
 def parse(page: str) -> tuple[list[Element], list[tuple[Element, str, int]]]:
     """Containers, and the text blocks in page order as (innermost element,
     raw text, characters in links)."""
-    root = Element("", "", None, False, False, 0)
+    root = Element("", "", None, False, False, False, 0)
     found, blocks, stack = [], [], [root]
     buffer: list[str] = []
     linked, in_link = 0, 0
@@ -123,8 +180,7 @@ def parse(page: str) -> tuple[list[Element], list[tuple[Element, str, int]]]:
         pos = m.end()
         tag, end = (m[1] or "").lower(), (m[3] or "").lower()
         if tag in _RAW:
-            close = re.compile(rf"</{re.escape(tag)}\s*>", re.I).search(page, pos)
-            pos = close.end() if close else len(page)
+            pos = _raw_end(page, tag, pos, m[2].endswith("/"))
         elif tag == "a":
             in_link = 1
         elif end == "a":
@@ -134,8 +190,8 @@ def parse(page: str) -> tuple[list[Element], list[tuple[Element, str, int]]]:
         elif tag and (tag in _BLOCKS or " class" in m[2] or " id" in m[2] or " role" in m[2]):
             attrs = _attributes(m[2]) if m[2] else {}
             up = stack[-1]
-            junk = up.junk or _is_junk(tag, attrs, up.inside)
-            if tag not in _BLOCKS and junk == up.junk:
+            if tag not in _BLOCKS and not _names(tag, attrs, up.inside) and (
+                    up.hard or not _is_hard(tag, attrs, up.inside)):
                 continue
             flush()
             if tag in _BLOCKS:
@@ -144,15 +200,16 @@ def parse(page: str) -> tuple[list[Element], list[tuple[Element, str, int]]]:
                 while stack[-1].tag in closes:
                     stack.pop()
                 up = stack[-1]
-            junk = up.junk or _is_junk(tag, attrs, up.inside)
+            names = _names(tag, attrs, up.inside)
             if tag in _VOID:
                 continue
             name = ".".join([tag, *sorted(set(_DIGITS.sub("#", attrs.get("class", "")
                                                           .lower()).split()))])
-            e = Element(tag, f"{up.path}/{name}", up, junk,
-                        up.inside or tag in ("article", "main"), len(found))
+            e = Element(tag, f"{up.path}/{name}", up, up.hard or _is_hard(tag, attrs, up.inside),
+                        bool(names), up.inside or tag in ("article", "main"), len(found),
+                        bool(names & _COMMENT_WORDS))
             stack.append(e)
-            if tag in _CONTAINERS and not junk:
+            if tag in _CONTAINERS and not e.hard:
                 found.append(e)
         elif end and any(e.tag == end for e in stack[1:]):
             flush()
@@ -167,15 +224,48 @@ def clean(raw: str) -> str:
     return " ".join(entities.unescape(raw).split())
 
 
+def _keep_wrappers(blocks: list[tuple[Element, str, float]]) -> None:
+    """Take back ``soft`` of elements that hold the page's text: a main; an
+    article and more text than is left without; or most of the text.  Comments
+    only if they hold a main, or an article and nothing is left without."""
+    while True:
+        outside, inside, holds = 0.0, {}, {}
+        for e, _, weight in blocks:
+            soft, tags = None, set()
+            seen = set()
+            for up in e.chain():
+                seen.add(up.tag)
+                if up.soft:
+                    soft, tags = up, set(seen)
+            if soft is None:
+                outside += max(weight, 0)
+            else:
+                inside[soft] = inside.get(soft, 0) + max(weight, 0)
+                holds.setdefault(soft, set()).update(tags)
+        changed = False
+        for e, size in inside.items():
+            article = "article" in holds[e]
+            if "main" in holds[e] or (article and not outside and size if e.comments else
+                                      size > outside * (1 if article else _MOST)):
+                e.soft, changed = False, True
+        if not changed:
+            return
+
+
 def scored(page: str):
-    """Containers with scores, and the kept blocks (element, text)."""
+    """Containers with scores, and the kept blocks (element, text, weight)."""
     found, blocks = parse(page)
+    texts = [(e, clean(raw), linked) for e, raw, linked in blocks if not e.hard]
+    texts = [(e, text, len(text) - 1.5 * min(linked, len(text))) for e, text, linked in texts
+             if text]
+    if any(e.soft for b in texts for e in b[0].chain()):
+        _keep_wrappers(texts)
+    found = [e for e in found if not e.junk]
     kept = []
-    for e, raw, linked in blocks:
-        if e.junk or not (text := clean(raw)):
+    for e, text, weight in texts:
+        if e.junk:
             continue
-        kept.append((e, text))
-        weight = len(text) - 1.5 * min(linked, len(text))
+        kept.append((e, text, weight))
         part, up = 1.0, e
         while up is not None:
             if up.tag in _CONTAINERS:
@@ -199,16 +289,8 @@ def main_text(page: str | None, path: str | None) -> str:
     found, kept = scored(page)
     chosen = (best_container(found, path) if path else None) or best_container(found)
     if chosen is None:
-        return "\n\n".join(t for _, t in kept)
-
-    def within(e):
-        while e is not None:
-            if e is chosen:
-                return True
-            e = e.up
-        return False
-
-    return "\n\n".join(t for e, t in kept if within(e))
+        return "\n\n".join(t for _, t, _ in kept)
+    return "\n\n".join(t for e, t, _ in kept if chosen in e.chain())
 
 
 def host_of(url: str | None) -> str | None:

@@ -360,6 +360,23 @@ def test_html_blocks(spark):
     assert got[10]["text"] == got[11]["text"] == "" and got[12]["text"] == "cut off"
 
 
+LONG = "A sentence of the article that goes on for a while. " * 20
+
+WRAPPERS = ["layout with-sidebar", "no-sidebar", "ad-free", "nav-open", "sidebar", "menu widget"]
+
+
+@pytest.mark.parametrize("page", [
+    *(f"<div class='{w}'><article><p>{LONG}</p></article><div class=ad>Buy</div></div>"
+      for w in WRAPPERS),
+    f"<div class='promo'><p>{LONG}</p></div><div>Slogan</div>",
+    f"<svg width=1 /><article><p>{LONG}</p><svg><path/></svg></article>",
+    f"<svg><path><article><p>{LONG}</p></article><svg><text>No</text></svg>",
+    f"<object data=x><article><p>{LONG}</p></article>",
+    f"<article><p>{LONG}</p></article><div class=comments><article><p>{LONG * 3}</p></article></div>"])
+def test_html_wrappers_and_raw_elements(page):
+    assert html_extract.main_text(f"<html><body>{page}</body></html>", None) == LONG.strip()
+
+
 def test_preference_pairs(spark):
     t = "array<struct<role:string,text:string>>"
     a = [("user", "q"), ("assistant", "x"), ("user", "r"), ("assistant", "yes")]
