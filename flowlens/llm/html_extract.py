@@ -76,6 +76,7 @@ _BREAK_OUT = re.compile(r"<foreignobject|<(article|main|section|blockquote|body|
 #: An element with a junk name and no article is kept if it holds this many
 #: times the text outside such elements.
 _MOST = 3
+_HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
 _GOOD = {"article": 1.3, "main": 1.2}
 _DECAY = 0.7
 
@@ -282,12 +283,37 @@ def best_container(found: list[Element], path: str | None = None) -> Element | N
     return max(own, key=lambda e: (e.score, -e.order), default=None)
 
 
+def whole(e: Element | None, kept: list[tuple[Element, str, float]]) -> Element | None:
+    """The element that holds the whole article of which ``e`` is a part: the
+    nearest article or main, else the highest container all of whose text
+    beside ``e`` is that of headings, paragraphs, sections or the like, with
+    few links; of the body only what stands directly in it counts."""
+    if e is None:
+        return None
+    for up in e.chain():
+        if up.tag in ("article", "main"):
+            return up
+    top, up = e, e.up
+    while up is not None and up.tag not in ("", "html"):
+        added = [b for b in kept if up in (c := list(b[0].chain())) and top not in c]
+        if any(w < len(t) / 2 or b.tag in ("div", "body", "center", "header", "")
+               or up.tag == "body" and (b.up is not up or b.tag not in _HEADINGS | {"p"})
+               for b, t, w in added):
+            break
+        if added and up.tag in _CONTAINERS:
+            top = up
+        up = up.up
+    return top
+
+
 def main_text(page: str | None, path: str | None) -> str:
-    """Text of the element on ``path``, or of the page's best container."""
+    """Text of the element on ``path``, or of the page's best container, with
+    the rest of its article."""
     if not page:
         return ""
     found, kept = scored(page)
     chosen = (best_container(found, path) if path else None) or best_container(found)
+    chosen = whole(chosen, kept)
     if chosen is None:
         return "\n\n".join(t for _, t, _ in kept)
     return "\n\n".join(t for e, t, _ in kept if chosen in e.chain())
@@ -312,8 +338,10 @@ def host_paths(pages: DataFrame) -> DataFrame:
             rows = []
             for url, page in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
                 host = host_of(url)
-                top = best_container(scored(page)[0]) if host and page else None
+                found, kept = scored(page) if host and page else ([], [])
+                top = best_container(found)
                 if top is not None and top.score > 0:
+                    top = whole(top, kept)
                     rows.append((host, top.path, top.score))
             yield batch(_VOTE, *(zip(*rows, strict=True) if rows else ([], [], [])))
 

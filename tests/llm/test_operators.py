@@ -361,6 +361,21 @@ def test_html_blocks(spark):
 
 
 LONG = "A sentence of the article that goes on for a while. " * 20
+HTML_WHOLE = {
+    "heading": f"<article><h1>Head</h1><div class=body><p>{LONG}</p></div></article>",
+    "sections": f"<main><section><p>{LONG}</p></section><section><p>Short</p></section></main>",
+    "lead": f"<div id=p><p>Lead</p><div class=body><p>{LONG}</p></div></div><div>Slogan</div>",
+    "body": f"<h1>Head</h1><div><p>{LONG}</p></div>",
+}
+
+
+@pytest.mark.parametrize("kind", HTML_WHOLE)
+def test_html_text_beside_the_inner_container(kind):
+    page = f"<html><body><nav>Menu</nav>{HTML_WHOLE[kind]}</body></html>"
+    out = html_extract.main_text(page, None).split("\n\n")
+    own = {"heading": "Head", "sections": "Short", "lead": "Lead", "body": "Head"}[kind]
+    assert sorted(out) == sorted([own, LONG.strip()])
+
 
 WRAPPERS = ["layout with-sidebar", "no-sidebar", "ad-free", "nav-open", "sidebar", "menu widget"]
 
