@@ -34,12 +34,10 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each SimHash group stays: the one with the smallest
-    doc_id (rows that repeat it go too, and so do rows without an id)."""
+    """One row of each SimHash group stays, with or without an id: the first by
+    doc_id (nulls last), then by the text's digest (rows that repeat it go)."""
     release_shuffles(spark)
-    groups = simhash_cover.simhash_groups(docs)
-    keep = groups.where("doc_id = component_id").select("doc_id").distinct()
-    return docs.join(keep, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(*COLUMNS)
+    return simhash_cover.one_of_each_group(docs.select(*COLUMNS))
 
 
 def drop_substring_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -47,7 +45,7 @@ def drop_substring_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str)
     go; a text that loses none stays as it is, one that loses all goes."""
     release_shuffles(spark)
     left = fm_dedup.substring_dedup(docs, text=True, keep=("lang", "source"))
-    return left.where("n_removed < n_words").select(
+    return left.where("n_removed = 0 or n_removed < n_words").select(
         "doc_id", F.col("kept").alias("text"), "lang", "source",
         F.length("kept").cast("long").alias("n_chars"))
 

@@ -13,8 +13,9 @@ bucket ends as one of bounded size (two levels leave about seven free bits).
 
 Defined cases: a null or word-less text has fingerprint 0 and links like any
 other; repeated rows are returned once each; an empty table gives no rows;
-other columns of the input are ignored; a null doc_id is returned, but takes
-part in links only through a row of equal fingerprint that has an id.
+other columns of the input are ignored; links are those of fingerprints, so a
+row without doc_id takes part in them like any other; component_id is null only
+where no row of the group has an id.
 """
 
 from __future__ import annotations
@@ -24,6 +25,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from flowlens.llm.common import Forest, batch, components, cut, prepare
 
@@ -68,19 +70,23 @@ def _signed(x: int) -> int:
     return x - (1 << 64) if x >> 63 else x
 
 
-def fingerprints(docs: DataFrame, shingle: int = 3, seed: int = 42) -> DataFrame:
-    """(doc_id, fp) of every row of ``docs``."""
+def fingerprints(docs: DataFrame, shingle: int = 3, seed: int = 42,
+                 keep: tuple[str, ...] = ()) -> DataFrame:
+    """(doc_id, fp) and ``keep`` columns of every row of ``docs``."""
     prepare(docs.sparkSession)
 
     def run(batches):
         for b in batches:
             fps = np.array([simhash(t, shingle, seed) for t in b.column(1).to_pylist()],
                            dtype=np.uint64).view(np.int64)
-            yield batch(_FP, b.column(0), fps)
+            done = batch(_FP, b.column(0), fps)
+            yield pa.RecordBatch.from_arrays([*done.columns, *b.columns[2:]],
+                                             names=[*_FP.names, *keep])
 
+    out_type = StructType([*StructType.fromDDL("doc_id long, fp long").fields,
+                           *docs.select(*keep).schema.fields])
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"),
-                       F.col("text").cast("string").alias("text")).mapInArrow(
-                           run, "doc_id long, fp long")
+                       F.col("text").cast("string").alias("text"), *keep).mapInArrow(run, out_type)
 
 
 def _links(fp: np.ndarray, run_id: np.ndarray, ids: np.ndarray, radius: int):
@@ -197,14 +203,40 @@ def near_links(rows: DataFrame, radius: int = 3, bucket_rows: int = 2048,
     return links
 
 
+def fingerprint_groups(fps: DataFrame, radius: int = 3, bucket_rows: int = 2048) -> DataFrame:
+    """(fp, node, low) of every fingerprint: ``node`` is the smallest
+    fingerprint reachable by links."""
+    rows = fps.groupBy("fp").agg(F.min("doc_id").alias("low"))
+    label = components(near_links(rows.select(F.col("fp").alias("rep"), "fp"), radius, bucket_rows))
+    return rows.join(label.withColumnRenamed("node", "fp"), "fp", "left").select(
+        "fp", F.coalesce("component", "fp").alias("node"), "low")
+
+
 def simhash_groups(docs: DataFrame, shingle: int = 3, radius: int = 3, seed: int = 42,
                    bucket_rows: int = 2048) -> DataFrame:
     """One row per document: doc_id, fingerprint (16 hex digits),
     component_id (smallest doc_id reachable by links)."""
     fps = cut(fingerprints(docs, shingle, seed))
-    rows = fps.groupBy("fp").agg(F.min("doc_id").alias("rep"))
-    label = components(near_links(rows.where("rep is not null"), radius, bucket_rows))
-    named = rows.join(label, rows.rep == label.node, "left").select(
-        "fp", F.coalesce("component", "rep").alias("component_id"))
+    groups = cut(fingerprint_groups(fps, radius, bucket_rows))
+    low = cut(groups.groupBy("node").agg(F.min("low").alias("component_id")))
+    named = groups.join(low, "node").select("fp", "component_id")
     return fps.join(named, "fp").select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def one_of_each_group(docs: DataFrame, shingle: int = 3, radius: int = 3, seed: int = 42,
+                      bucket_rows: int = 2048) -> DataFrame:
+    """The first row of each group by doc_id (nulls last), SHA-256 of the text
+    and a hash of the row."""
+    flags = [F.col(c).isNull() for c in docs.columns]
+    marked = docs.withColumns({
+        "row_a": F.xxhash64(*docs.columns, *flags),
+        "row_b": F.xxhash64(F.lit(1), *docs.columns, *flags),
+        "digest": F.sha2(F.coalesce(F.col("text").cast("string"), F.lit("")), 256)})
+    fps = cut(fingerprints(marked, shingle, seed, ("digest", "row_a", "row_b")))
+    groups = fingerprint_groups(fps, radius, bucket_rows).select("fp", "node")
+    first = fps.join(groups, "fp").groupBy("node").agg(F.min(F.struct(
+        F.col("doc_id").isNull(), "doc_id", "digest", "row_a", "row_b")).alias("first"))
+    keep = first.select("first.row_a", "first.row_b")
+    return marked.join(keep, ["row_a", "row_b"], "left_semi").dropDuplicates(
+        ["row_a", "row_b"]).select(*docs.columns)

@@ -114,6 +114,45 @@ def test_simhash_fingerprints_and_links(docs):
         assert len(got) == len(rows)
 
 
+def near_texts():
+    """Three texts, of which only the middle one is within 3 bits of both others."""
+    random.seed(8)
+    w = [f"n{i}" for i in random.choices(range(900), k=400)]
+    texts, fps = [" ".join(w)], [simhash_cover.simhash(" ".join(w))]
+    while len(texts) < 3:
+        x = texts[-1].split()
+        for k in random.sample(range(400), 2):
+            x[k] = f"m{random.randrange(900)}"
+        fp = simhash_cover.simhash(" ".join(x))
+        if 0 < (fp ^ fps[-1]).bit_count() <= 3 and (len(fps) < 2 or (fp ^ fps[0]).bit_count() > 3):
+            texts, fps = texts + [" ".join(x)], fps + [fp]
+    return texts
+
+
+def test_simhash_links_through_rows_without_id(spark):
+    a, b, c = near_texts()
+    df = spark.createDataFrame([(7, a), (None, b), (9, c), (None, "quite other words here now")],
+                               "doc_id long, text string")
+    got = collections.Counter((r[0], r[2]) for r in simhash_cover.simhash_groups(df).collect())
+    assert got == {(7, 7): 1, (None, 7): 1, (9, 7): 1, (None, None): 1}
+
+
+def test_simhash_stage_keeps_one_row_of_every_group(spark):
+    import corpus_pipeline as pipe
+
+    a, b, c = near_texts()
+    alone = [" ".join(f"{k}x{i}" for i in range(80)) for k in "pqrst"]
+    rows = [(7, a), (None, b), (9, c), (9, alone[0]), (None, alone[1]), (None, alone[1]),
+            (None, alone[2]), (4, alone[3]), (4, alone[3]), (4, alone[4])]
+    df = spark.createDataFrame([(d, t, "en", None, 1) for d, t in rows],
+                               "doc_id long, text string, lang string, source string, n_chars long")
+    got = pipe.drop_near_duplicates(spark, df, "").collect()
+    exp = [(7, a), (9, alone[0]), (None, alone[1]), (None, alone[2]), (4, alone[3]), (4, alone[4])]
+    assert collections.Counter((r[0], r[1]) for r in got) == collections.Counter(exp)
+    words = spark.createDataFrame([(1, " \x0b", "en", "s", 2)], df.schema)
+    assert [r["text"] for r in pipe.drop_substring_duplicates(spark, words, "").collect()] == [" \x0b"]
+
+
 def test_covering_masks_meet_every_near_pair():
     masks = simhash_cover.covering_masks((1 << 64) - 1, 3)
     assert len(masks) == 15
