@@ -18,9 +18,12 @@ part once, not to each list.  Parts are dealt out in blocks of at most about
 never all pairs.  Lists are probed from the lower list's side only; a pair
 found there counts for both sides.
 
-Defined cases: null labels, and vectors that are null, empty, zero, of another
-length than most, or hold null or non-finite components, link with nothing; a
-repeated row is a vector of its own; an empty table gives no rows; other
+The codebook is that of the most frequent length.  Vectors of another length
+link within their label and length; they are compared block by block without
+codes (list number: minus the length).
+
+Defined cases: null labels, and vectors that are null, empty, zero, or hold
+null or non-finite components, link with nothing; a repeated row is a vector of its own; an empty table gives no rows; other
 columns are ignored.
 """
 
@@ -28,6 +31,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import FloatType
@@ -120,12 +124,12 @@ def unit(x: np.ndarray) -> np.ndarray:
     return x / np.linalg.norm(x, axis=1, keepdims=True)
 
 
-def can_link(dim: int) -> Column:
+def can_link() -> Column:
     """False (never null) for rows that link with nothing."""
     v = F.col("embedding")
     finite = F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
     return F.coalesce(F.col("vec_id").isNotNull() & F.col("label").isNotNull()
-                      & (F.size(v) == dim) & finite & F.exists(v, lambda x: x != 0), F.lit(False))
+                      & finite & F.exists(v, lambda x: x != 0), F.lit(False))
 
 
 _ROW_TYPES = pa.schema([
@@ -145,14 +149,21 @@ def _index_rows(classes: DataFrame, book: Codebook, dtype: str, width: int) -> D
         for b in batches:
             if not b.num_rows:
                 continue
-            raw = np.array(b.column(2).to_pylist(), dtype=np.float64)
-            x = unit(raw)
-            own, codes, err = book.encode(x)
-            angle = book.angles(x)[np.arange(len(x)), own]
-            cols = [b.column(1), pa.array(own // width), pa.array(np.zeros(len(x), bool)), b.column(0),
-                    b.column(3), pa.array(own), pa.array(err),
-                    pa.array([c.tobytes() for c in codes], pa.binary()),
-                    pa.array([v.tobytes() for v in raw.astype(dtype)], pa.binary()),
+            vectors = [np.array(v, dtype=np.float64) for v in b.column(2).to_pylist()]
+            sizes = np.array([len(v) for v in vectors])
+            usual = sizes == book.dim
+            own, err, angle = -sizes, np.zeros(len(sizes)), np.zeros(len(sizes))
+            codes = [b""] * len(sizes)
+            if usual.any():
+                x = unit(np.stack([v for v, u in zip(vectors, usual, strict=True) if u]))
+                own[usual], found, err[usual] = book.encode(x)
+                angle[usual] = book.angles(x)[np.arange(len(x)), own[usual]]
+                for i, c in zip(np.flatnonzero(usual).tolist(), found, strict=True):
+                    codes[i] = c.tobytes()
+            cols = [b.column(1), pa.array(np.where(usual, own // width, own)),
+                    pa.array(np.zeros(len(own), bool)), b.column(0), b.column(3), pa.array(own),
+                    pa.array(err), pa.array(codes, pa.binary()),
+                    pa.array([v.astype(dtype).tobytes() for v in vectors], pa.binary()),
                     pa.array(angle)]
             yield pa.RecordBatch.from_arrays(
                 cols, schema=_ROW_TYPES.append(pa.field("angle", pa.float64())))
@@ -168,6 +179,15 @@ def _query_rows(index: DataFrame, book: Codebook, dtype: str, width: int, probes
 
     def run(batches):
         for b in batches:
+            if not b.num_rows:
+                continue
+            usual = pc.greater_equal(b.column(5), 0)
+            other = b.filter(pc.invert(usual))
+            if other.num_rows:  # they meet all of their length and label
+                yield pa.RecordBatch.from_arrays(
+                    [*other.columns[:2], pa.array(np.ones(other.num_rows, bool)),
+                     *other.columns[3:]], schema=_ROW_TYPES)
+            b = b.filter(usual)
             if not b.num_rows:
                 continue
             own = b.column(5).to_numpy()
@@ -204,19 +224,26 @@ def _search(book: Codebook, threshold: float, dtype: str, width: int):
         def matrix(x, c, dtype):
             return np.stack([np.frombuffer(v, dtype) for v in x.column(c).to_pylist()])
 
-        codes, e_vec = matrix(e, "codes", np.uint8), unit(matrix(e, "vec", dtype).astype(np.float64))
+        e_vec = unit(matrix(e, "vec", dtype).astype(np.float64))
         q_vec = unit(matrix(q, "vec", dtype).astype(np.float64))
         q_rep, e_rep, q_n, e_n = col(q, "rep"), col(e, "rep"), col(q, "n"), col(e, "n")
         q_list, e_list, e_err = col(q, "list"), col(e, "list"), col(e, "err")
-        asked = np.unpackbits(matrix(q, "codes", np.uint8), axis=1)[:, e_list % width] > 0
+        coded = e_list[0] >= 0
+        if coded:
+            codes = matrix(e, "codes", np.uint8)
+            asked = np.unpackbits(matrix(q, "codes", np.uint8), axis=1)[:, e_list % width] > 0
         counts: dict[int, int] = {}
         forest, edges = Forest(), []
         for at in range(0, len(q_rep), 256):
             part = slice(at, at + 256)
-            some = np.flatnonzero(asked[part].any(0))
-            est = book.estimate(q_vec[part], e_list[some], codes[some])
-            i, j = np.nonzero(asked[part][:, some] & (est + e_err[some] >= threshold - 1e-6))
-            i, j = i + at, some[j]
+            if coded:
+                some = np.flatnonzero(asked[part].any(0))
+                est = book.estimate(q_vec[part], e_list[some], codes[some])
+                i, j = np.nonzero(asked[part][:, some] & (est + e_err[some] >= threshold - 1e-6))
+                j = some[j]
+            else:
+                i, j = np.nonzero(q_vec[part] @ e_vec.T >= threshold - 1e-6)
+            i += at
             exact = np.concatenate([np.zeros(0, bool)] + [
                 (q_vec[i[k:k + 65536]] * e_vec[j[k:k + 65536]]).sum(1) >= threshold
                 for k in range(0, len(i), 65536)])
@@ -247,19 +274,17 @@ def embedding_groups(rows: DataFrame, threshold: float = 0.93, probes: int = PRO
     spark = rows.sparkSession
     prepare(spark, 1024)
     rows = rows.select(F.col("vec_id").cast("long").alias("vec_id"), "embedding", "label")
-    size = rows.where("size(embedding) > 0").groupBy(F.size("embedding").alias("d")).count() \
-        .orderBy(F.desc("count"), "d").first()
     plain = rows.select("vec_id", F.lit(0).cast("long").alias("n_links"),
                         F.col("vec_id").alias("component_id"), F.lit(True).alias("kept"))
-    if size is None:
-        return plain
-    valid = rows.where(can_link(size["d"]))
+    valid = rows.where(can_link())
     classes = written(valid.groupBy("label", "embedding").agg(
         F.min("vec_id").alias("rep"), F.count(F.lit(1)).alias("n")), "vector-classes")
-    n = classes.count()
-    if not n:
+    size = classes.groupBy(F.size("embedding").alias("d")).count().orderBy(
+        F.desc("count"), "d").first()
+    if size is None:
         return plain
-    drawn = classes.orderBy(F.xxhash64("rep"), "rep").limit(SAMPLE).select("embedding").collect()
+    n = size["count"]
+    drawn = classes.where(F.size("embedding") == size["d"]).orderBy(F.xxhash64("rep"), "rep").limit(SAMPLE).select("embedding").collect()
     sample = unit(np.array([r[0] for r in drawn], dtype=np.float64))
     book = Codebook(sample, lists or int(min(1024, max(16, 2 ** round(np.log2(n ** 0.5))))))
     dtype = "<f4" if rows.schema["embedding"].dataType.elementType == FloatType() else "<f8"
@@ -267,7 +292,7 @@ def embedding_groups(rows: DataFrame, threshold: float = 0.93, probes: int = PRO
     width = min(len(book.coarse), max(1, len(book.coarse) * block * n_labels // n))
     index = written(_index_rows(classes, book, dtype, width), "vector-index")
     radii = np.array([[np.inf, -np.inf]] * len(book.coarse))  # an empty list is out of reach
-    for r in index.groupBy("list").agg(F.min("angle"), F.max("angle")).collect():
+    for r in index.where("list >= 0").groupBy("list").agg(F.min("angle"), F.max("angle")).collect():
         radii[r[0]] = r[1:]
     index = index.drop("angle").union(
         _query_rows(index, book, dtype, width, probes, threshold, radii))
@@ -293,7 +318,7 @@ def embedding_groups(rows: DataFrame, threshold: float = 0.93, probes: int = PRO
     keyed = valid.select("vec_id", "label", "embedding")
     linked = keyed.join(named, ["label", "embedding"]).select(
         "vec_id", F.col("links").alias("n_links"), F.col("component").alias("component_id"))
-    rest = rows.where(~can_link(size["d"]))
+    rest = rows.where(~can_link())
     return linked.select("vec_id", "n_links", "component_id",
                          (F.col("vec_id") == F.col("component_id")).alias("kept")).union(
         rest.select("vec_id", F.lit(0).cast("long"), F.col("vec_id"), F.lit(True)))

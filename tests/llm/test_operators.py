@@ -366,6 +366,18 @@ def test_embedding_dense_cluster_with_many_lists(spark):
     assert {r[0]: r[1] for r in got} == dict(enumerate((near.sum(1) - 1).tolist()))
 
 
+def test_embedding_links_of_every_length(spark):
+    rng = np.random.default_rng(4)
+    vec = [rng.normal(size=16) for _ in range(30)] + [rng.normal(size=6) for _ in range(12)]
+    vec += [v + rng.normal(size=len(v)) * .1 for v in vec[-20:]] + vec[38:42]
+    rows = [(i, v.tolist(), 0) for i, v in enumerate(vec)]
+    x = [v / np.linalg.norm(v) for v in vec]
+    links = {i: sum(len(a) == len(b) and a @ b >= .93 for b in x) - 1 for i, a in enumerate(x)}
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
+    got = pq_neardup.embedding_groups(df, block=8).select("vec_id", "n_links").collect()
+    assert {r[0]: r[1] for r in got} == links
+
+
 def test_language_id(spark, docs):
     got = hd_langid.language_id(docs).collect()
     assert len(got) == docs.count()
