@@ -6,8 +6,9 @@ suffixes (what its Burrows-Wheeler transform lists) up to ``length`` bytes.
 The block orders are then merged by interleave refinement: suffixes start
 interleaved by their first symbol, and each round refines the interleave by
 the interval that the suffix one symbol on stands in, as a step of the LF
-mapping does.  Only intervals with suffixes of several blocks are touched; an
-interval of one block keeps that block's order, so no suffix is sorted again.
+mapping does.  Only intervals with suffixes of several blocks are refined; an
+interval of one block keeps that block's order.  The first symbols of all
+suffixes are sorted again, and only the repeats are used, not the merged order.
 A symbol stands for up to ``STEP`` bytes (a 64-bit hash of them; any fixed
 order of the alphabet will do), so 200 bytes need five rounds; the round in
 which neighbours part gives their common prefix.  Intervals left
