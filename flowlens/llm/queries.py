@@ -9,8 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from flowlens.llm import (
-    bmw_search, bwt_dedup, byte_bpe, fm_dedup, hd_langid, html_extract, mixing, pq_neardup,
-    preference, simhash_cover)
+    bmw_search, bwt_dedup, byte_bpe, fm_dedup, hd_langid, html_extract, mil_quality, mixing,
+    pq_neardup, preference, qd_whiten, simhash_cover, token_align)
 from flowlens.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -184,3 +184,23 @@ SELECT conv_id, (j - (a IS DISTINCT FROM b)::INT)::INTEGER AS n_prompt_turns,
        CASE WHEN b IS NULL OR a = b THEN '' ELSE '14-' || (14 + length(b)) END AS rejected_mask
 FROM pair LEFT JOIN lead USING (conv_id)
 """
+
+
+@query
+def op11_mil_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return mil_quality.quality(docs, table(spark, sf_dir, "labels"))
+
+
+@query
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    with open(public_tokenizers.path("byte_bpe_50k.json"), encoding="utf-8") as f:
+        a_json = f.read()
+    with open(public_tokenizers.path("piece_bpe_32k.model"), "rb") as f:
+        b_model = f.read()
+    return token_align.align_tokenizers(table(spark, sf_dir, "documents"), a_json, b_model)
+
+
+@query
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return qd_whiten.whiten(table(spark, sf_dir, "embeddings"))
