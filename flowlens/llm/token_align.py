@@ -36,6 +36,7 @@ from itertools import chain, pairwise
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -322,7 +323,7 @@ def aligned_rows(docs: DataFrame, a_json: str, b_model: bytes) -> DataFrame:
 
 def _portions(texts: pa.Array, limit: int = 1 << 21):
     """(first row, texts) of about ``limit`` bytes together, a longer text alone."""
-    sizes = pa.compute.fill_null(pa.compute.binary_length(texts), 0).to_numpy(zero_copy_only=False)
+    sizes = pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False)
     lo, held = 0, 0
     for i, n in enumerate(sizes.tolist()):
         if held and held + n > limit:
