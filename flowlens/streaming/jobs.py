@@ -19,10 +19,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.hashing import poly_hash
-from ..functions.time import duration_us, epoch_ms, java_timestamp_string
+from ..functions.time import duration_us, epoch_ms, floor_div, java_timestamp_string
 from ..operators.skew import spread_key
 from ..operators.topn import top_n_per_window
-from .processors import FailureBurstProcessor, FrequencyCapProcessor, SequenceMatchProcessor
+from .processors import (FailureBurstProcessor, FrequencyCapProcessor, RunningVisitorsProcessor,
+                         SequenceMatchProcessor, TopNReportProcessor)
+from .ring import above_watermark, ring_counts
 
 
 def _dur(d) -> str:
@@ -41,6 +43,9 @@ def stream_windowed_count(sdf: DataFrame, ts: str, size, slide=None, keys: Seque
     pane counts instead of events, which pays when many events share a pane
     (1 h / 5 s windows copy every input 720 times in the direct form).
 
+    ``method='ring'`` copies nothing: pane counts as above go into a ring per
+    key (``ring``), which sums them up to its windows.
+
     ``keep`` marks the rows that count.  The others still advance the
     watermark, which a filter would keep from them (it is pushed below the
     watermark); they meet in one group without key, which is not returned."""
@@ -52,10 +57,13 @@ def stream_windowed_count(sdf: DataFrame, ts: str, size, slide=None, keys: Seque
         one = F.when(kept, 1).otherwise(0).cast("long")
         x = x.select(ts, *[F.when(kept, F.col(k)).alias(k) for k in keys], one.alias("_one"))
         one = F.col("_one")
-    if method == "panes" and slide:
+    if method in ("panes", "ring") and slide:
         panes = (x.groupBy(F.window(ts, _dur(slide)).alias("pane"), *keys)
                   .agg(F.sum(one).alias("_c"))
                   .select(F.window_time("pane").alias("_wt"), *keys, "_c"))
+        if method == "ring":
+            c = ring_counts(panes, keys, size, slide, ts="_wt", weight="_c", final=True)
+            return c.select("window_start", "window_end", *keys, F.col("cnt").alias(count_col))
         w = F.window("_wt", _dur(size), _dur(slide))
         agg = panes.groupBy(w.alias("window"), *keys).agg(F.sum("_c").alias(count_col))
     else:
@@ -115,7 +123,7 @@ def stream_marketing_by_channel(market: DataFrame, size="1 hour", slide="5 secon
                                 uninstall: str = "UNINSTALL") -> DataFrame:
     """J7 (stream): counts per (channel, behavior) and sliding window."""
     c = stream_windowed_count(market, "ts", size, slide, keys=["channel", "behavior"],
-                              method="panes", keep=F.col("behavior") != uninstall)
+                              method="ring", keep=F.col("behavior") != uninstall)
     return c.select(java_timestamp_string(F.col("window_start")).alias("window_start"),
                     java_timestamp_string(F.col("window_end")).alias("window_end"),
                     "channel", "behavior", "cnt")
@@ -124,7 +132,7 @@ def stream_marketing_by_channel(market: DataFrame, size="1 hour", slide="5 secon
 def stream_marketing_total(market: DataFrame, size="1 hour", slide="5 seconds",
                            uninstall: str = "UNINSTALL") -> DataFrame:
     """J8 (stream): all-channel counts per sliding window."""
-    c = stream_windowed_count(market, "ts", size, slide, method="panes",
+    c = stream_windowed_count(market, "ts", size, slide, method="ring",
                               keep=F.col("behavior") != uninstall)
     return c.select(epoch_ms(F.col("window_start")).cast("string").alias("window_start"),
                     epoch_ms(F.col("window_end")).cast("string").alias("window_end"),
@@ -242,7 +250,7 @@ def _expire_windows(spark, table_path: str, before_us: int) -> None:
 
 
 def stream_ad_clicks(clicks: DataFrame, max_count: int = 100, day: str = "event",
-                     bound="1 day") -> DataFrame:
+                     bound="1 day", clock_offset_ms: int = 0) -> DataFrame:
     """B1 (stream): tagged rows, kind='pass' (clicks that count) or 'warn';
     ``sinks.fan_out`` writes both.  ``bound`` is how late a click may come
     before its day is closed.  ``day='processing'`` resets at the next UTC
@@ -251,7 +259,7 @@ def stream_ad_clicks(clicks: DataFrame, max_count: int = 100, day: str = "event"
     mode = {"event": "EventTime", "processing": "ProcessingTime"}.get(day, "None")
     x = clicks.withWatermark("ts", _dur(bound)) if day == "event" else clicks
     return x.groupBy("user_id", "ad_id").transformWithState(
-        FrequencyCapProcessor(max_count, day), FrequencyCapProcessor.OUTPUT, "append", mode,
+        FrequencyCapProcessor(max_count, day, clock_offset_ms), FrequencyCapProcessor.OUTPUT, "append", mode,
         eventTimeColumnName="ts" if day == "event" else "")
 
 
@@ -261,10 +269,8 @@ def stream_ad_clicks_by_province(clicks: DataFrame, max_count: int = 100, size="
     sliding window.  The warnings of the same clicks are the 'warn' rows of
     ``stream_ad_clicks``."""
     passed = stream_ad_clicks(clicks, max_count, "event", bound).filter("kind = 'pass'")
-    w = F.window("ts", _dur(size), _dur(slide))
-    c = passed.groupBy(w.alias("window"), "province").agg(F.count(F.lit(1)).alias("cnt"))
-    return c.select("province",
-                    java_timestamp_string(F.col("window.end")).alias("window_end"), "cnt")
+    c = ring_counts(passed, ["province"], size, slide, ts="ts")
+    return c.select("province", java_timestamp_string(F.col("window_end")).alias("window_end"), "cnt")
 
 
 def stream_running_unique_visitors(behavior: DataFrame, pv: str = "pv", size="1 hour",
@@ -280,48 +286,101 @@ def stream_running_unique_visitors(behavior: DataFrame, pv: str = "pv", size="1
     return agg.select(F.col("window.end").alias("window_end"), "uv")
 
 
+def stream_running_visitors(behavior: DataFrame, arrival: str = "event_id", pv: str = "pv",
+                            size="1 hour") -> DataFrame:
+    """A10 (stream): after every arrival the visitors seen so far in its window
+    (window_end, arrival, user_id, uv_so_far), by the bitmap of hashed ids."""
+    size_us = duration_us(size)
+    end = (floor_div(F.unix_micros("ts"), size_us) + 1) * size_us
+    # the event time is shifted by the window, so a row is late once its window is closed
+    x = behavior.withColumn("clock", F.timestamp_micros(F.unix_micros("ts") + size_us)).withWatermark(
+        "clock", _dur(size_us)).filter(above_watermark(F.col("behavior") == pv, "clock"))
+    x = x.select(end.alias("end_us"), "clock", F.col(arrival).cast("long").alias("arrival"),
+                 F.col("user_id").cast("long").alias("user_id"), poly_hash(F.col("user_id")).alias("bit"))
+    return x.groupBy("end_us").transformWithStateInPandas(
+        RunningVisitorsProcessor(), RunningVisitorsProcessor.OUTPUT, "append", "EventTime")
+
+
+def _login_rows(logins: DataFrame, bound, fail_value: str) -> DataFrame:
+    fail = F.coalesce(F.col("event_type") == fail_value, F.lit(False))
+    return logins.withWatermark("ts", _dur(bound)).select(
+        "user_id", "ts", F.unix_micros("ts").alias("us"), F.col("event_id").cast("long").alias("event_id"),
+        fail.alias("is_fail"))
+
+
 def stream_login_bursts(logins: DataFrame, within="2 seconds", min_fails: int = 2,
                         bound="3 seconds", fail_value: str = "fail") -> DataFrame:
     """J10a (stream): event-time timers per user."""
-    return (logins.withWatermark("ts", _dur(bound)).groupBy("user_id")
-                  .transformWithState(
-                      FailureBurstProcessor(duration_us(within) // 1000, min_fails, fail_value),
-                      FailureBurstProcessor.OUTPUT, "append", "EventTime"))
+    return _login_rows(logins, bound, fail_value).groupBy("user_id").transformWithStateInPandas(
+        FailureBurstProcessor(duration_us(within) // 1000, min_fails),
+        FailureBurstProcessor.OUTPUT, "append", "EventTime")
 
 
 def stream_login_pattern(logins: DataFrame, within="2 seconds", bound="3 seconds",
-                         fail_value: str = "fail") -> DataFrame:
-    """J10b / C4 (stream): buffered in-order matching per user."""
-    return (logins.withWatermark("ts", _dur(bound)).groupBy("user_id")
-                  .transformWithState(
-                      SequenceMatchProcessor(duration_us(within) // 1000, fail_value),
-                      SequenceMatchProcessor.OUTPUT, "append", "EventTime"))
+                         fail_value: str = "fail", steps: int = 2) -> DataFrame:
+    """J10b / C4 (stream): ``steps`` consecutive fails, matched in order per user."""
+    return _login_rows(logins, bound, fail_value).groupBy("user_id").transformWithStateInPandas(
+        SequenceMatchProcessor(duration_us(within) // 1000, steps),
+        SequenceMatchProcessor.OUTPUT, "append", "EventTime")
+
+
+def _open_url_rows(log: DataFrame, size, lateness, bound, static_mode: str) -> DataFrame:
+    """Page rows whose event time is shifted by size + lateness: the watermark
+    stays max event time - bound, and a row is late only when every window it
+    is in is closed."""
+    from ..operators.filters import not_static
+    shift = duration_us(size) + duration_us(lateness)
+    x = log.withColumn("clock_in", F.timestamp_micros(F.unix_micros("ts") + shift))
+    x = x.withWatermark("clock_in", _dur(shift + duration_us(bound)))
+    return x.filter(above_watermark(not_static("url", static_mode), "clock_in"))
 
 
 def stream_hot_urls(log: DataFrame, size="10 minutes", slide="5 seconds", bound="1 second",
                     lateness="60 seconds", static_mode: str = "segment") -> DataFrame:
-    """J2 (stream): finalized (window, url) counts.  The watermark delay is the
-    out-of-orderness bound plus the allowed lateness, so every window is
-    released once, with the accumulated count a late re-firing would reach;
-    rank with ``top_n_writer`` and store with ``sinks.upsert_by_window``."""
-    from ..operators.filters import not_static
-    delay = duration_us(bound) + duration_us(lateness)
-    return stream_windowed_count(log, "ts", size, slide, keys=["url"], delay=delay,
-                                 keep=not_static("url", static_mode))
+    """J2 (stream): finalized (window, url) counts from pane rings.  The
+    watermark delay is the out-of-orderness bound plus the allowed lateness, so
+    every window is released once, with the accumulated count a late re-firing
+    would reach; rank with ``top_n_writer`` and store with ``sinks``."""
+    rows = _open_url_rows(log, size, 0, duration_us(bound) + duration_us(lateness), static_mode)
+    return ring_counts(rows, ["url"], size, slide, ts="ts", event="clock_in").drop("phase")
+
+
+def stream_hot_url_reports(log: DataFrame, n: int = 5, size="10 minutes", slide="5 seconds",
+                           bound="1 second", lateness="60 seconds",
+                           static_mode: str = "segment") -> DataFrame:
+    """N2 / J2 (stream): every report of every window from state alone
+    (window_end, report, rank, url, cnt).  Report 1 is the ranking when the
+    watermark passes the window end; each micro-batch with late rows of the
+    window, up to the lateness, adds one with the accumulated counts."""
+    rows = _open_url_rows(log, size, lateness, bound, static_mode)
+    counts = ring_counts(rows, ["url"], size, slide, ts="ts", event="clock_in", lateness=lateness,
+                         clock="clock")
+    x = counts.select(F.unix_micros("window_end").alias("end_us"), "clock", F.col("url").alias("name"),
+                      "cnt", "phase")
+    return x.groupBy("end_us").transformWithStateInPandas(
+        TopNReportProcessor(n, "url", duration_us(lateness) // 1000),
+        TopNReportProcessor.OUTPUT.format(key="url"), "append", "EventTime")
 
 
 def late_rows_writer(state_path: str, sink: Callable[[DataFrame, int], None], size="10 minutes",
-                     slide="5 seconds", bound="1 second", lateness="60 seconds"
+                     slide="5 seconds", bound="1 second", lateness="60 seconds",
+                     arrival: Sequence[Column] = (), arrival_block: Column | None = None
                      ) -> Callable[[DataFrame, int], None]:
     """L2 (stream) as a foreachBatch writer: rows whose every window is already
     closed for the watermark of the previous batches (max event time seen
     before this batch minus the bound) go to ``sink``.
 
+    With ``arrival`` (ordering columns) and ``arrival_block`` (grows with that
+    order, bounds a task's share) the watermark is that of each row: the
+    largest event time of the rows that arrived before it, in this batch or an
+    earlier one.  The late rows are then those of ``split_late``, whatever the
+    batches, as long as batches follow the arrival order.
+
     The running max event time is one number per batch, stored under
     ``state_path`` keyed by batch id, so a replayed batch reads the same
     watermark and rewrites the same record.
     """
-    from ..operators.lateness import TICK_US
+    from ..operators.lateness import TICK_US, split_late, with_watermark
     from ..operators.windows import pane_index, window_geometry
     size_us, slide_us, _ = window_geometry(size, slide)
     bound_us, late_us = duration_us(bound), duration_us(lateness)
@@ -329,7 +388,14 @@ def late_rows_writer(state_path: str, sink: Callable[[DataFrame, int], None], si
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         prev = _previous_max(spark, state_path, batch_id)
-        if prev is not None:
+        if arrival:
+            marked = with_watermark(batch, "ts", arrival, bound, arrival_block)
+            if prev is not None:
+                marked = marked.withColumn("watermark", F.greatest(
+                    "watermark", F.timestamp_micros(F.lit(prev - bound_us))))
+            late = split_late(marked, "ts", size, slide, lateness)[1]
+            sink(late.select(*batch.columns), batch_id)
+        elif prev is not None:
             latest_end = pane_index(F.col("ts"), slide_us) * slide_us + size_us
             late = batch.filter(latest_end - TICK_US + late_us <= F.lit(prev - bound_us))
             sink(late, batch_id)

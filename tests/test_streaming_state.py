@@ -1,0 +1,307 @@
+"""Streaming operators that keep their results in state: pane rings, ranked
+reports, running visitors, ordered patterns; each against its batch form over
+several micro-batches."""
+
+import collections
+import random
+import tempfile
+
+import pytest
+from pyspark.sql import functions as F
+
+from conftest import SF001, rows
+from flowlens.operators import (failure_bursts, running_unique_visitors, sequence_match,
+                                windowed_count)
+from flowlens.plans import adapters as A
+from flowlens.plans import jobs as J
+from flowlens.sources.tables import load_table
+from flowlens.streaming import (above_watermark, ring_counts, stream_ad_clicks_by_province,
+                                stream_hot_url_reports, stream_hot_urls, stream_login_bursts,
+                                stream_login_pattern, stream_marketing_by_channel,
+                                stream_marketing_total, stream_running_visitors)
+
+END_S = 4102444800  # 2100-01-01
+BASE = 1704067200
+
+
+def files(spark, parts):
+    """A stream with one micro-batch per DataFrame."""
+    d = tempfile.mkdtemp(prefix="flowlens-state-")
+    for i, p in enumerate(parts):
+        p.coalesce(1).write.parquet(f"{d}/in/part{i:03d}")
+    src = (spark.readStream.schema(parts[0].schema).option("maxFilesPerTrigger", 1)
+                .option("recursiveFileLookup", "true").parquet(f"{d}/in"))
+    return d, src
+
+
+def drained(sdf, d, name):
+    q = (sdf.writeStream.format("memory").queryName(name).outputMode("append")
+            .option("checkpointLocation", f"{d}/ck-{name}").trigger(availableNow=True).start())
+    q.awaitTermination(600)
+    assert q.exception() is None
+    return sdf.sparkSession.sql(f"select * from {name}")
+
+
+def by_time(df, n, ts="ts"):
+    """``df`` in n parts that follow each other in time."""
+    cuts = df.select(F.percentile(F.unix_micros(ts).cast("double"), [i / n for i in range(1, n)])
+                     ).first()[0]
+    edges = [None, *cuts, None]
+    us = F.unix_micros(ts)
+    return [df.filter((F.lit(True) if a is None else us >= a) & (F.lit(True) if b is None else us < b))
+            for a, b in zip(edges, edges[1:])]
+
+
+def end_row(df, ts="ts"):
+    return df.limit(1).select(*[F.timestamp_seconds(F.lit(END_S)).alias(c) if c == ts else
+                                F.lit(None).cast(t).alias(c) for c, t in df.dtypes])
+
+
+@pytest.fixture(scope="module")
+def behavior(spark):
+    return A.behavior(load_table(spark, SF001, "events")).filter("user_id % 3 = 0")
+
+
+def no_sliding_expand(df, capsys):
+    df.explain()
+    return "Expand" not in capsys.readouterr().out
+
+
+def test_ring_equals_batch_for_raw_rows_and_pane_counts(spark, behavior, capsys):
+    d, src = files(spark, [*by_time(behavior, 4), end_row(behavior)])
+    exp = rows(windowed_count(behavior, "ts", "1 hour", "5 minutes", keys=["behavior"]),
+               "window_end", "behavior", "cnt")
+    x = src.withWatermark("ts", "0 seconds")
+    kept = x.filter(above_watermark(F.col("behavior").isNotNull(), "ts"))
+    raw = ring_counts(kept, ["behavior"], "1 hour", "5 minutes", ts="ts")
+    assert no_sliding_expand(raw, capsys)
+    assert rows(drained(raw, d, "ring_raw"), "window_end", "behavior", "cnt") == exp
+    from flowlens.streaming import stream_windowed_count
+    panes = stream_windowed_count(src, "ts", "1 hour", "5 minutes", keys=["behavior"], method="ring",
+                                  keep=F.col("behavior").isNotNull())
+    assert no_sliding_expand(panes, capsys)
+    assert rows(drained(panes, d, "ring_panes"), "window_end", "behavior", "cnt") == exp
+
+
+def test_ring_fires_windows_again_for_late_rows(spark):
+    """Every firing of every window, replayed by hand with the watermark that
+    each micro-batch starts with."""
+    random.seed(5)
+    size, slide, bound, late = 60, 10, 2, 30
+    parts, now = [], 0
+    for _ in range(6):
+        part = []
+        for _ in range(25):
+            now += random.choice([0, 0, 1, 4])
+            part.append((random.choice("ab"), max(0, now - random.choice([0, 0, 3, 25, 60, 120]))))
+        parts.append(part)
+    fired, exp, seen, top = {}, [], [], 0
+    for part in [*parts, [], [("end", 10_000)], []]:
+        wm = top - bound if seen else -10**9
+        for k in sorted({x for x, _ in seen}):  # on time, before the rows of the batch
+            for e in sorted({t // slide * slide + (i + 1) * slide for x, t in seen if x == k
+                             for i in range(size // slide)}):
+                if e - 0.001 <= wm and (k, e) not in fired:
+                    fired[k, e] = sum(x == k and e - size <= t < e for x, t in seen)
+                    exp.append((k, e, fired[k, e], 0))
+        touched = set()
+        for k, t in part:
+            ends = [t // slide * slide + (i + 1) * slide for i in range(size // slide)]
+            ends = [e for e in ends if e - 0.001 + late > wm]
+            if ends:
+                seen.append((k, t))
+                touched |= {(k, e) for e in ends if e - 0.001 <= wm}
+        for k, e in sorted(touched):
+            # rows that came when a window was closed do not count in it; none is reported later
+            fired[k, e] = sum(x == k and e - size <= t < e for x, t in seen)
+            exp.append((k, e, fired[k, e], 1))
+        top = max([top, *(t for _, t in part)])
+    mk = lambda data: spark.createDataFrame(data, "k string, s long").select(
+        "k", F.timestamp_seconds(F.col("s") + BASE).alias("ts"))
+    d, src = files(spark, [mk(p) for p in parts] + [mk([("end", 10_000)])])
+    shift = f"{size + late} seconds"
+    x = src.withColumn("clock_in", F.col("ts") + F.expr(f"interval {shift}")).withWatermark(
+        "clock_in", f"{size + late + bound} seconds")
+    got = drained(ring_counts(x, ["k"], f"{size} seconds", f"{slide} seconds", ts="ts",
+                              event="clock_in", lateness=f"{late} seconds"), d, "ring_late")
+    got = sorted((r.k, int(r.window_end.timestamp()) - BASE, r.cnt, r.phase) for r in got.select(
+        "k", "window_end", "cnt", "phase").collect() if r.k != "end")
+    assert sum(e[3] for e in exp) > 5
+    assert got == sorted(e for e in exp if e[0] != "end")
+
+
+def test_hot_urls_stream_from_rings(spark, capsys):
+    ev = load_table(spark, SF001, "events")
+    log = A.access_log(ev).select("event_id", "url", "ts", "arrival_us")
+    d, src = files(spark, [*by_time(log, 3), end_row(log)])
+    counts = stream_hot_urls(src)
+    assert no_sliding_expand(counts, capsys)
+    pages = log.filter(~F.col("url").rlike("/(css|js)$"))
+    exp = windowed_count(pages, "ts", "10 minutes", "5 seconds", keys=["url"])
+    assert rows(drained(counts, d, "hot_ring"), "window_end", "url", "cnt") == rows(
+        exp, "window_end", "url", "cnt")
+
+
+def test_hot_url_reports_from_state_equal_the_writer(spark):
+    mk = lambda data: spark.createDataFrame(
+        [(u, s) for u, s in data], "url string, s long").select(
+        "url", F.timestamp_seconds(F.col("s") + BASE).alias("ts"))
+    batches = [mk([("/a", 0), ("/b", 1), ("/a", 2), ("/x/css", 3)]), mk([("/d", 640), ("/c", 700)]),
+               mk([("/d", 650), ("/e", 660)]),  # late for the fired windows up to 695
+               mk([("/f", 712), ("/d", 652)]), mk([("/x/js", 2000)]), mk([("/g", 2001)])]
+    from flowlens.streaming import hot_url_reports_writer, stream_url_counts_updates
+    d, src = files(spark, batches)
+    out = f"{d}/reports"
+    writer = hot_url_reports_writer(f"{d}/table", f"{d}/state",
+                                    lambda b, i: b.write.mode("append").parquet(out))
+    q = (stream_url_counts_updates(src).writeStream.outputMode("update").foreachBatch(writer)
+            .option("checkpointLocation", f"{d}/ck").trigger(availableNow=True).start())
+    q.awaitTermination(600)
+    assert q.exception() is None
+    state = drained(stream_hot_url_reports(src), d, "reports_state").collect()
+    got = collections.defaultdict(set)
+    for r in state:
+        got[r.window_end, r.report].add((r.rank, r.url, r.cnt))
+    exp = collections.defaultdict(set)
+    order = collections.defaultdict(set)
+    table = spark.read.parquet(out).collect()
+    for r in table:
+        order[r.window_end].add(r.batch_id)
+    for r in table:
+        nth = sorted(order[r.window_end]).index(r.batch_id) + 1
+        exp[r.window_end, nth].add((r.rank, r.url, r.cnt))
+    assert any(nth > 2 for _, nth in exp)
+    assert {k: v for k, v in got.items() if k in exp} == exp  # the last windows have no writer report yet
+    assert all(w.timestamp() >= BASE + 2000 for w, _ in set(got) - set(exp))
+
+
+def test_marketing_and_province_streams_from_rings(spark, capsys):
+    ev = load_table(spark, SF001, "events").filter("user_id % 20 = 0")
+    market = A.marketing(ev)
+    d, src = files(spark, [*by_time(market, 2), end_row(market)])
+    for name, stream, batch in (
+            ("m_channel", stream_marketing_by_channel, J.marketing_by_channel),
+            ("m_total", stream_marketing_total, J.marketing_total)):
+        sdf = stream(src, slide="1 minute", uninstall=A.UNINSTALL)
+        assert no_sliding_expand(sdf, capsys)
+        exp = batch(market, slide="1 minute", uninstall=A.UNINSTALL)
+        assert rows(drained(sdf, d, name)) == rows(exp.select(*sdf.columns))
+    clicks = A.with_province(A.ad_clicks(ev), load_table(spark, SF001, "customer"),
+                             load_table(spark, SF001, "nation"))
+    d, src = files(spark, [*by_time(clicks, 3), end_row(clicks)])
+    sdf = stream_ad_clicks_by_province(src, 2, slide="1 minute")
+    assert no_sliding_expand(sdf, capsys)
+    exp, _ = J.ad_clicks_by_province(clicks, "event_id", 2, slide="1 minute")
+    got = drained(sdf, d, "province_ring")
+    assert rows(got, "province", "window_end", "cnt") == rows(exp, "province", "window_end", "cnt")
+
+
+def test_running_visitors_after_every_arrival(spark, behavior):
+    data = behavior
+    d, src = files(spark, [*by_time(data, 5), end_row(data)])
+    got = drained(stream_running_visitors(src, "event_id", pv=A.PV), d, "visitors")
+    views = data.filter(F.col("behavior") == A.PV)
+    # arrival order within an hour is the order of the batches, then event_id
+    part = F.lit(0)
+    for i, p in enumerate(by_time(data, 5)):
+        edge = p.agg(F.min("ts")).first()[0]
+        part = F.when(F.col("ts") >= F.lit(edge), i).otherwise(part)
+    views = views.withColumn("arrival", part.cast("long") * 10**9 + F.col("event_id"))
+    exp = running_unique_visitors(views, "ts", "user_id", "arrival")
+    exp = exp.select("window_end", (F.col("arrival") % 10**9).alias("arrival"), "user_id", "uv_so_far")
+    assert rows(got, "window_end", "arrival", "user_id", "uv_so_far") == rows(exp)
+
+
+def logins(spark, n, users, seed, spread):
+    random.seed(seed)
+    t, data = 0, []
+    for i in range(n):
+        t += random.choice([0, 100, 400, 900, 5000])
+        data.append((i, random.randrange(users), random.choice(["fail"] * 3 + ["success"]),
+                     t + random.randrange(spread)))
+    return spark.createDataFrame(data, "event_id long, user_id long, event_type string, ms long").select(
+        "event_id", "user_id", "event_type", F.timestamp_millis(F.col("ms") + BASE * 1000).alias("ts"))
+
+
+def login_end(df):
+    return df.limit(1).select(F.lit(-1).cast("long").alias("event_id"), F.lit(-1).cast("long").alias("user_id"),
+                              F.lit("success").alias("event_type"),
+                              F.timestamp_seconds(F.lit(END_S)).alias("ts"))
+
+
+@pytest.mark.parametrize("steps", [2, 3, 5])
+def test_pattern_of_n_steps_out_of_order(spark, steps):
+    df = logins(spark, 600, 4, steps, 2500)  # up to 2.5 s out of order, bound 3 s
+    ids = [0, 150, 151, 400, 600]
+    parts = [df.filter((F.col("event_id") >= a) & (F.col("event_id") < b)) for a, b in zip(ids, ids[1:])]
+    d, src = files(spark, [*parts, login_end(df)])
+    got = drained(stream_login_pattern(src, within="4 seconds", steps=steps), d, f"pattern{steps}")
+    exp = sequence_match(df, "user_id", "ts", "event_id", F.col("event_type") == "fail", "4 seconds",
+                         steps=steps)
+    assert rows(got, "first_arrival", "last_arrival") == rows(exp, "first_arrival", "last_arrival")
+    assert exp.count() > 5
+
+
+def test_bursts_out_of_order(spark):
+    df = logins(spark, 600, 3, 9, 2500)
+    parts = [df.filter((F.col("event_id") >= a) & (F.col("event_id") < a + 120)) for a in range(0, 600, 120)]
+    d, src = files(spark, [*parts, login_end(df)])
+    got = drained(stream_login_bursts(src), d, "bursts_state")
+    exp = failure_bursts(df, "user_id", "ts", "event_id", F.col("event_type") == "fail", "2 seconds", 2)
+    cols = ("user_id", "first_fail", "last_fail", "n_fails")
+    assert rows(got, *cols) == rows(exp, *cols)
+
+
+def test_one_key_with_many_rows(spark):
+    """100,000 rows of one user in a handful of batches."""
+    n = 100_000
+    df = spark.range(n).select(
+        F.col("id").alias("event_id"), F.lit(1).cast("long").alias("user_id"),
+        F.when(F.col("id") % 5 == 4, "success").otherwise("fail").alias("event_type"),
+        F.timestamp_millis(F.col("id") * 300 + BASE * 1000).alias("ts"))
+    parts = [df.filter((F.col("event_id") >= a) & (F.col("event_id") < a + n // 4))
+             for a in range(0, n, n // 4)]
+    d, src = files(spark, [*parts, login_end(df)])
+    got = drained(stream_login_pattern(src, steps=3), d, "big_key")
+    assert got.count() == n // 5 * 2  # of four fails in a row, two runs of three
+
+
+def test_late_rows_by_arrival(spark):
+    """L2 row by row: batch borders do not matter."""
+    from flowlens.functions.time import floor_div
+    from flowlens.operators.lateness import split_late, with_watermark
+    from flowlens.streaming import late_rows_writer
+    random.seed(6)
+    now, data = 0, []
+    for i in range(400):
+        now += random.choice([0, 1, 30])
+        data.append((i, now - random.choice([0, 0, 0, 300, 659, 664, 667, 900])))
+    df = spark.createDataFrame(data, "event_id long, s long").select(
+        "event_id", F.timestamp_seconds(F.col("s") + BASE).alias("ts"))
+    block = floor_div(F.col("event_id"), 64)
+    marked = with_watermark(df, "ts", [F.col("event_id")], "1 second", block)
+    exp = rows(split_late(marked, "ts", "10 minutes", "5 seconds", "60 seconds")[1], "event_id")
+    assert len(exp) > 20
+    for edges in ([0, 400], [0, 7, 100, 101, 399, 400]):
+        parts = [df.filter((F.col("event_id") >= a) & (F.col("event_id") < b))
+                 for a, b in zip(edges, edges[1:])]
+        d, src = files(spark, parts)
+        writer = late_rows_writer(f"{d}/state", lambda b, i: b.write.mode("append").parquet(f"{d}/late"),
+                                  arrival=[F.col("event_id")], arrival_block=block)
+        q = (src.writeStream.foreachBatch(writer).option("checkpointLocation", f"{d}/ck")
+                .trigger(availableNow=True).start())
+        q.awaitTermination(300)
+        assert q.exception() is None
+        assert rows(spark.read.parquet(f"{d}/late"), "event_id") == exp
+
+
+def test_top_n_keeps_only_the_largest():
+    from flowlens.streaming import TopNReportProcessor
+    import pandas as pd
+    random.seed(2)
+    p, counts, top = TopNReportProcessor(3, "url", 0), collections.Counter(), {}
+    for _ in range(200):
+        k = random.choice("abcdefgh")
+        counts[k] += random.randrange(1, 4)
+        top = p._merge(top, pd.DataFrame({"name": [k], "cnt": [counts[k]]}))
+        assert list(top.items()) == sorted(counts.items(), key=lambda e: (-e[1], e[0]))[:3]
