@@ -7,6 +7,7 @@ import os
 import uuid
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,6 +16,10 @@ from flowlens.session import checkpoint_dir
 #: Documents handed to Python at once; long texts make larger batches heavy.
 BATCH_ROWS = 256
 
+#: Settings of the C library and of Arrow for Python workers.
+_WORKER_MEMORY = {"MALLOC_MMAP_THRESHOLD_": "1048576", "MALLOC_TRIM_THRESHOLD_": "1048576",
+                  "MALLOC_ARENA_MAX": "2", "ARROW_DEFAULT_MEMORY_POOL": "system"}
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -33,6 +38,24 @@ def prepare(spark: SparkSession, rows: int = BATCH_ROWS) -> None:
     paths = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
     if root not in paths:
         env["PYTHONPATH"] = os.pathsep.join([*paths, root])
+    # workers live on between stages: large arrays go back to the system when freed
+    for name, value in _WORKER_MEMORY.items():
+        env.setdefault(name, value)
+
+
+def portions(texts: pa.Array, limit: int = 1 << 21):
+    """(first row, texts) of rows that follow each other, about ``limit`` bytes
+    together, so that what a task holds is bounded by bytes and not by rows; a
+    longer text comes alone."""
+    sizes = pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False)
+    lo, held = 0, 0
+    for i, n in enumerate(sizes.tolist()):
+        if held and held + n > limit:
+            yield lo, texts.slice(lo, i - lo).to_pylist()
+            lo, held = i, 0
+        held += n
+    if lo < len(sizes):
+        yield lo, texts.slice(lo).to_pylist()
 
 
 def words(text: str | None) -> list[bytes]:

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from flowlens.llm.common import batch, prepare, words
+from flowlens.llm.common import batch, portions, prepare, words
 from flowlens.llm.window_runs import (
     hit_arrays, hits_of, mix, prefix_hash, run_contents, runs_of, shared_runs, span_hash, with_hits)
 
@@ -231,7 +231,7 @@ _HITS = pa.schema([("key", pa.int64()), ("chash", pa.int64()), ("windows", pa.in
                    ("hits", pa.list_(pa.int64()))])
 
 
-def window_holders(docs: DataFrame, length: int = 13, gram: int = 5, shard_runs: int = 20_000,
+def window_holders(docs: DataFrame, length: int = 13, gram: int = 5, shard_runs: int = 8_000,
                    keep: tuple[str, ...] = ()) -> DataFrame:
     """doc_id, text, runs and ``keep`` columns; runs: for the windows shared by documents, the smallest
     doc_id that holds each, as list of (loc, hits)."""
@@ -292,23 +292,26 @@ def substring_dedup(docs: DataFrame, length: int = 13, text: bool = False,
                         ("kept_sha256", pa.string())] + [("kept", pa.string())] * text)
 
     def run(batches):
-        for b in batches:
-            doc_ids = b.column(0).to_pylist()
-            all_words = [words(t) for t in b.column(1).to_pylist()]
-            n_words = np.array([len(w) for w in all_words], dtype=np.int64)
-            stay = ~covered_words(doc_ids, n_words, b.column(2), length)
-            kept, gone, at = [], [], 0
-            for w in all_words:
-                own = stay[at:at + len(w)]
-                at += len(w)
-                left = int(own.sum())
-                kept.append(b" ".join(w if left == len(w) else compress(w, own.tolist())))
-                gone.append(len(w) - left)
-            texts = [[k.decode() if g else t for k, g, t in zip(
-                kept, gone, b.column(1).to_pylist(), strict=True)]] if text else []
-            done = batch(schema, doc_ids, n_words, gone,
-                         [hashlib.sha256(k).hexdigest() for k in kept], *texts)
-            yield pa.RecordBatch.from_arrays(
-                [*done.columns, *b.columns[3:]], names=[*schema.names, *keep])
+        for whole in batches:
+            for lo, texts in portions(whole.column(1)):
+                b = whole.slice(lo, len(texts))
+                doc_ids = b.column(0).to_pylist()
+                all_words = [words(t) for t in texts]
+                n_words = np.array([len(w) for w in all_words], dtype=np.int64)
+                stay = ~covered_words(doc_ids, n_words, b.column(2), length)
+                kept, gone, digests, at = [], [], [], 0
+                for i, w in enumerate(all_words):
+                    all_words[i] = None  # one text's words at a time from here
+                    own = stay[at:at + len(w)]
+                    at += len(w)
+                    left = int(own.sum())
+                    k = b" ".join(w if left == len(w) else compress(w, own.tolist()))
+                    gone.append(len(w) - left)
+                    digests.append(hashlib.sha256(k).hexdigest())
+                    if text:
+                        kept.append(k.decode() if gone[-1] else texts[i])
+                done = batch(schema, doc_ids, n_words, gone, digests, *([kept] if text else []))
+                yield pa.RecordBatch.from_arrays(
+                    [*done.columns, *b.columns[3:]], names=[*schema.names, *keep])
 
     return base.mapInArrow(run, out_type)

@@ -36,12 +36,11 @@ from itertools import chain, pairwise
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from flowlens.llm.byte_bpe import WHITE, byte_characters
-from flowlens.llm.common import batch, prepare, written
+from flowlens.llm.common import batch, portions, prepare, written
 
 HOT_PAIRS = 65_536
 FLUSH = 1 << 20  # irregular pairs a task holds before it adds them up
@@ -290,7 +289,7 @@ def aligned_rows(docs: DataFrame, a_json: str, b_model: bytes) -> DataFrame:
         held: list[np.ndarray] = []
         n_held = 0
         for b in batches:
-            for lo, texts in _portions(b.column(1)):
+            for lo, texts in portions(b.column(1)):
                 done = align_texts(texts, voc)
                 parts = [[], [], [], []]
                 for *_, codes, n in done:
@@ -321,19 +320,6 @@ def aligned_rows(docs: DataFrame, a_json: str, b_model: bytes) -> DataFrame:
                        F.col("text").cast("string").alias("text")).mapInArrow(run, _ROW_DDL)
 
 
-def _portions(texts: pa.Array, limit: int = 1 << 21):
-    """(first row, texts) of about ``limit`` bytes together, a longer text alone."""
-    sizes = pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False)
-    lo, held = 0, 0
-    for i, n in enumerate(sizes.tolist()):
-        if held and held + n > limit:
-            yield lo, texts.slice(lo, i - lo).to_pylist()
-            lo, held = i, 0
-        held += n
-    if lo < len(sizes):
-        yield lo, texts.slice(lo).to_pylist()
-
-
 def align_tokenizers(docs: DataFrame, a_json: str, b_model: bytes,
                      hot_pairs: int = HOT_PAIRS) -> DataFrame:
     """doc_id, n_a, n_b, n_groups, n_links, n_best, count_sum, groups_sha256."""
