@@ -153,6 +153,21 @@ def test_simhash_stage_keeps_one_row_of_every_group(spark):
     assert [r["text"] for r in pipe.drop_substring_duplicates(spark, words, "").collect()] == [" \x0b"]
 
 
+def test_components_of_chains_and_hubs(spark):
+    random.seed(12)
+    links = [(i, i + 1) for i in range(300)]  # a long chain
+    links += [(1000, 1000 + i) for i in range(1, 200)] + [(5, 5)]  # a hub, a loop
+    links += [(random.randrange(2000, 2300), random.randrange(2000, 2300)) for _ in range(250)]
+    random.shuffle(links)
+    f = Forest()
+    for a, b in links:
+        f.join(a, b)
+    got = {r[0]: r[1] for r in components(spark.createDataFrame(links, "a long, b long")).collect()}
+    assert got == {x: f.root(x) for a, b in links if a != b for x in (a, b)}
+    with pytest.raises(RuntimeError, match="not finished"):
+        components(spark.createDataFrame(links, "a long, b long"), max_rounds=1)
+
+
 def test_covering_masks_meet_every_near_pair():
     masks = simhash_cover.covering_masks((1 << 64) - 1, 3)
     assert len(masks) == 15
@@ -342,13 +357,17 @@ def test_embedding_links_brute_force(spark):
 
 
 def test_embedding_recall_with_few_probes(spark):
-    df = spark.read.parquet("/root/testdata/check_s/embeddings.parquet").limit(3000)
-    x = np.array([r["embedding"] for r in df.select("embedding").collect()], dtype=np.float64)
-    assert x.shape[1] == 64
+    """Three labels, 64 dimensions, a third of the rows in near-copy groups."""
+    rng = np.random.default_rng(64)
+    base = rng.normal(size=(2000, 64))
+    copies = base[rng.integers(0, 200, 1000)] + rng.normal(size=(1000, 64)) * 0.2
+    df = spark.createDataFrame([(i, v.tolist(), i % 3) for i, v in enumerate(np.vstack((base, copies)))],
+                               "vec_id long, embedding array<double>, label int")
     all_lists = {r[0]: r[1] for r in pq_neardup.embedding_groups(df, probes=64, lists=64)
                  .select("vec_id", "n_links").collect()}
     some = {r[0]: r[1] for r in pq_neardup.embedding_groups(df, probes=24, lists=64)
             .select("vec_id", "n_links").collect()}
+    assert sum(all_lists.values()) > 500
     assert sum(some.values()) >= 0.9 * sum(all_lists.values())
 
 
