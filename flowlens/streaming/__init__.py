@@ -1,3 +1,4 @@
+from .bounded import BoundedInput, before_end, run_for, run_to_end
 from .jobs import (hot_url_reports_writer, late_rows_writer, running_visitors_writer,
                    stream_ad_clicks,
                    stream_ad_clicks_by_province, stream_hot_items, stream_hot_url_reports, stream_hot_urls,
