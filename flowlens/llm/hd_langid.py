@@ -30,7 +30,9 @@ from flowlens.llm.common import batch, prepare
 
 DIM = 1024
 SAMPLE_PER_LANG = 4000
-_NO_LETTERS = re.compile(r"[\W\d_]+")
+#: Digits, fractions, Roman numerals and the like are word characters, not letters.
+_NUMBERS = "".join(c for c in map(chr, range(0x110000)) if c.isalnum() and not c.isalpha())
+_NO_LETTERS = re.compile(rf"[\W_{_NUMBERS}]+")
 _DENSE = 1 << 22  # up to here trigram numbers are looked up in a flat table
 
 
