@@ -121,6 +121,8 @@ class Codebook:
 
 
 def unit(x: np.ndarray) -> np.ndarray:
+    """Rows of length one; scaled first, so no square over- or underflows."""
+    x = x / np.abs(x).max(axis=1, keepdims=True, initial=0)
     return x / np.linalg.norm(x, axis=1, keepdims=True)
 
 
