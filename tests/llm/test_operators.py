@@ -308,25 +308,45 @@ def test_flow_with_overlapping_sources():
 
 
 def test_search_equals_full_scoring():
+    """Several shards, the best carried on from one to the next; blocks are
+    skipped where documents differ in their leading words."""
     random.seed(4)
-    texts = [" ".join(random.choices("abcdefghij", weights=range(1, 11), k=random.randrange(1, 30)))
-             for _ in range(700)]
-    ids = np.arange(700) * 3
-    mean = sum(len(t.split()) for t in texts) / 700
-    index = bmw_search.ShardIndex(texts, ids, mean)
-    for _ in range(40):
-        terms = random.sample([x.encode() for x in "abcdefghijk"], 4)
+    vocab = [f"v{i}" for i in range(300)]
+    texts = []
+    for i in range(3000):
+        topic = vocab[i % 30 * 10:i % 30 * 10 + 10]
+        texts.append(" ".join(random.choices(topic, k=random.randrange(3, 40)) + random.choices(vocab, k=2)))
+    ids = [i * 3 for i in range(3000)]
+    counts = [collections.Counter(t.encode().split()) for t in texts]
+    lengths = [c.total() for c in counts]
+    mean = sum(lengths) / 3000
+    names = [f.name for f in bmw_search._INDEX]
+    shards = [dict(zip(names, bmw_search.index_row(counts[a:a + 1000], lengths[a:a + 1000],
+                                                   ids[a:a + 1000], mean))) for a in (0, 1000, 2000)]
+    opened = blocks = 0
+    for n in range(40):
+        topic = vocab[n % 30 * 10:n % 30 * 10 + 10]
+        terms = random.sample([x.encode() for x in topic], 6) + [b"missing"]
         w = np.array([random.random() for _ in terms])
         score = []
-        for d, t in zip(ids.tolist(), texts):
-            c = collections.Counter(t.encode().split())
-            n = sum(c.values())
-            s = sum(v * c[x] * 2.2 / (c[x] + 1.2 * (.25 + .75 * n / mean))
+        for d, c, size in zip(ids, counts, lengths):
+            s = sum(v * c[x] * 2.2 / (c[x] + 1.2 * (.25 + .75 * size / mean))
                     for x, v in zip(terms, w) if c[x])
             if s:
                 score.append((-round(s, 6), d))
-        got = index.search(terms, w, 10)
-        assert [d for _, d in got] == [d for _, d in sorted(score)[:10]]
+        best = []
+        for row in shards:
+            index = bmw_search.ShardIndex(row, {t: i for i, t in enumerate(terms)})
+            best = index.search(np.arange(len(terms)), w, 10, best)
+            opened, blocks = opened + index.opened, blocks + index.n_blocks
+        assert [d for _, d in best] == [d for _, d in sorted(score)[:10]]
+    assert opened < 0.4 * blocks  # of all blocks; the rest is skipped unread
+
+
+def test_search_in_blocks_of_queries(docs):
+    ask = docs.where("doc_id < 20")
+    once = as_rows(bmw_search.top_k(docs, ask, k=3))
+    assert as_rows(bmw_search.top_k(docs, ask, k=3, shard_docs=7, block_terms=100)) == once
 
 
 def test_search_edge_cases(docs):
@@ -385,6 +405,24 @@ def test_embedding_dense_cluster_with_many_lists(spark):
     assert {r[0]: r[1] for r in got} == dict(enumerate((near.sum(1) - 1).tolist()))
 
 
+def test_embedding_values_of_every_size(spark):
+    """Squares of these overflow or vanish; repeated ids, clashing columns."""
+    rng = np.random.default_rng(21)
+    v = rng.normal(size=12)
+    rows = [(1, v), (2, v * (1 + 1e-9)), (3, v * 1e-200), (4, v * 1e200), (5, -v), (6, rng.normal(size=12)),
+            (7, v * 5e-320), (6, rng.normal(size=12))]
+    df = spark.createDataFrame([(i, [float(c) for c in x], 1, i) for i, x in rows],
+                               "vec_id long, embedding array<double>, label int, n_links long")
+    got = collections.Counter(tuple(r)[:3] for r in pq_neardup.embedding_groups(df).collect())
+    near = {1, 2, 3, 4}
+    x = np.array([x / np.abs(x).max() for _, x in rows])
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    near = {rows[i][0] for i in np.flatnonzero(x @ x[0] >= 0.93)}
+    assert near >= {1, 2, 3, 4} and 5 not in near
+    assert got == collections.Counter(
+        (i, len(near) - 1 if i in near else 0, 1 if i in near else i) for i, _ in rows)
+
+
 def test_embedding_links_of_every_length(spark):
     rng = np.random.default_rng(4)
     vec = [rng.normal(size=16) for _ in range(30)] + [rng.normal(size=6) for _ in range(12)]
@@ -509,3 +547,127 @@ def test_pipeline_stages(spark):
     assert all(r["lang"] == source[r["doc_id"]]["lang"] for r in rows)
     assert max(collections.Counter(r["doc_id"] for r in rows).values()) <= 2
     assert got.schema == pipe.run(spark, SF001).schema
+
+
+# --- language ID and the pipeline by hand --------------------------------------------
+
+def _text_vector(text, dim=hd_langid.DIM):
+    """Sum of the bound letter vectors of all trigrams, one by one."""
+    letters = "".join(c if c.isalpha() else " " for c in (text or "").lower())
+    kept = " ".join(letters.split())
+    if not kept:
+        return None
+    kept, v = f" {kept} ", np.zeros(dim)
+    vec = {c: hd_langid._letter(ord(c), dim).astype(float) for c in set(kept)}
+    for a, b, c in zip(kept, kept[1:], kept[2:]):
+        v += np.roll(vec[a], 2) * np.roll(vec[b], 1) * vec[c]
+    return v / np.linalg.norm(v)
+
+
+def _languages(rows):
+    """(prediction, score) of each row from prototypes learned by hand."""
+    import zlib
+
+    vectors = [_text_vector(r["text"]) for r in rows]
+    proto = collections.defaultdict(float)
+    for r, v in zip(rows, vectors):
+        if v is not None and r["lang"] is not None and r["doc_id"] is not None \
+                and zlib.crc32(str(r["doc_id"]).encode()) % 3 != 1:
+            proto[r["lang"]] = proto[r["lang"]] + v
+    names = sorted(proto)
+    proto = {n: proto[n] / np.linalg.norm(proto[n]) for n in names}
+    out = []
+    for v in vectors:
+        cos = [(v @ proto[n], n) for n in names] if v is not None else []
+        best = max(cos, key=lambda c: c[0], default=(0.0, "und"))
+        out.append((best[1], max(0.0, min(1.0, best[0]))))
+    return out
+
+
+@pytest.fixture(scope="module")
+def mixed_rows():
+    """Documents in three invented languages with exact and near copies, shared
+    passages, repeated rows, null ids and texts without letters."""
+    random.seed(17)
+    vocab = {lang: ["".join(random.choices(chars, k=random.randrange(2, 8))) for _ in range(400)]
+             for lang, chars in (("en", "etaoinshr"), ("de", "enisratdhu\u00e4\u00df"), ("fr", "esaitnrul\u00e9"))}
+    rows = []
+    for i in range(90):
+        lang = ("en", "de", "fr")[i % 3]
+        rows.append([i, " ".join(random.choices(vocab[lang], k=random.randrange(30, 200))), lang, f"s{i % 4}"])
+    passage = " ".join(random.choices(vocab["en"], k=60))
+    for i in (9, 30, 31, 60):
+        rows[i][1] += " " + passage
+    rows += [[200, rows[5][1], "fr", "s1"], [201, rows[6][1] + " more", "en", "s1"], list(rows[7]),
+             [None, rows[8][1], "fr", None], [None, " ".join(random.choices(vocab["de"], k=77)), "de", None],
+             [202, "\u00bd \u00b2 \u2167 12", "en", "s2"], [203, None, None, "s2"], [204, "", "en", None],
+             [205, " ".join(random.choices(vocab["en"], k=20000)), None, "s3"]]
+    return [tuple(r) + (len(r[1] or ""),) for r in rows]
+
+
+def test_language_id_by_hand(spark, mixed_rows):
+    df = spark.createDataFrame(mixed_rows, "doc_id long, text string, lang string, source string, n_chars long")
+    rows = df.collect()
+    exp = collections.Counter((r["doc_id"], p, round(s, 4)) for r, (p, s) in zip(rows, _languages(rows)))
+    got = collections.Counter((r["doc_id"], r["lang_pred"], round(r["score"], 4))
+                              for r in hd_langid.language_id(df).collect())
+    assert {d for d, p, s in exp if p == "und"} == {202, 203, 204}
+    near = [(g, e) for g, e in zip(sorted(got, key=repr), sorted(exp, key=repr))]
+    assert all(g[:2] == e[:2] and abs(g[2] - e[2]) < 2e-4 for g, e in near) and len(got) == len(exp)
+
+
+def test_pipeline_by_hand(spark, mixed_rows, tmp_path):
+    import corpus_pipeline as pipe
+
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    spark.createDataFrame(mixed_rows, schema).write.parquet(f"{tmp_path}/documents.parquet")
+    got = pipe.run(spark, str(tmp_path)).collect()
+
+    rows = spark.createDataFrame(mixed_rows, schema).collect()
+    rows = [r for r, (lang, _) in zip(rows, _languages(rows)) if lang != "und"]
+    # SimHash: the first row of every group of linked fingerprints
+    f, marks = Forest(), [simhash_cover.simhash(r["text"]) for r in rows]
+    for i, a in enumerate(marks):
+        for j in range(i):
+            if (a ^ marks[j]).bit_count() <= 3:
+                f.join(i, j)
+    groups = collections.defaultdict(list)
+    for i, r in enumerate(rows):
+        groups[f.root(i)].append(r)
+    # a null id comes last; no fixture group has two different texts under one id
+    rows = [min(g, key=lambda r: (r["doc_id"] is None, r["doc_id"] or 0)) for g in groups.values()]
+    # substrings: 13-word windows that a smaller id holds
+    low = {}
+    for r in rows:
+        w = r["text"].encode().split()
+        for i in range(len(w) - 12):
+            if r["doc_id"] is not None:
+                k = tuple(w[i:i + 13])
+                low[k] = min(low.get(k, r["doc_id"]), r["doc_id"])
+    left, cut = [], 0
+    for r in rows:
+        w, gone = r["text"].encode().split(), set()
+        for i in range(len(w) - 12):
+            if low.get(tuple(w[i:i + 13]), 1 << 63) < (1 << 62 if r["doc_id"] is None else r["doc_id"]):
+                gone.update(range(i, i + 13))
+        cut += len(gone)
+        text = b" ".join(x for i, x in enumerate(w) if i not in gone).decode() if gone else r["text"]
+        if not gone or len(gone) < len(w):
+            left.append((r["doc_id"], text, r["lang"], r["source"], len(text)))
+    assert cut >= 3 * 40 and len(left) < len(mixed_rows) - 5
+    # mix: the operator's own SQL over these rows
+    spark.createDataFrame(left, schema).coalesce(1).write.parquet(f"{tmp_path}/left.parquet")
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{tmp_path}/left.parquet/*.parquet')")
+    taken = {(r[0], r[1]): r[2] // r[1] for r in con.sql(
+        f"SELECT doc_id, size, taken FROM ({ORACLE['op4_mix_sources']})").fetchall()}
+    enc = tiktoken.Encoding("t", pat_str=public_tokenizers.PATTERN,
+                            mergeable_ranks=byte_bpe.read_ranks(BPE_RANKS), special_tokens={})
+    exp = collections.Counter()
+    for d, text, lang, source, _ in left:
+        ids = enc.encode_ordinary(text)
+        for _ in range(taken[d, len(text.encode().split())]):
+            exp[d, lang, source, len(ids), tuple(ids)] += 1
+    assert collections.Counter((r["doc_id"], r["lang"], r["source"], r["n_tokens"], tuple(r["ids"]))
+                               for r in got) == exp
+    assert {n for n in exp.values()} >= {2}
