@@ -321,8 +321,12 @@ def test_search_equals_full_scoring():
     lengths = [c.total() for c in counts]
     mean = sum(lengths) / 3000
     names = [f.name for f in bmw_search._INDEX]
-    shards = [dict(zip(names, bmw_search.index_row(counts[a:a + 1000], lengths[a:a + 1000],
-                                                   ids[a:a + 1000], mean))) for a in (0, 1000, 2000)]
+    shards = []
+    for a in (0, 1000, 2000):
+        built = bmw_search.ShardBuilder(mean)
+        for i in range(a, a + 1000):
+            built.add(texts[i].encode().split(), ids[i])
+        shards.append(dict(zip(names, built.row())))
     opened = blocks = 0
     for n in range(40):
         topic = vocab[n % 30 * 10:n % 30 * 10 + 10]
