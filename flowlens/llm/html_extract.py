@@ -13,16 +13,20 @@ runs turned into one space and are joined by a blank line.
 Defined cases: null or empty html gives an empty text; a null url votes only
 for itself; unclosed tags and cut-off pages are read as far as they go; equal
 votes go to the higher score, then the first path; repeated rows are returned
-once each; an empty table gives no rows; other columns are ignored.
+once each; an empty table gives no rows; other columns, also those named like
+results, are ignored; very long, deeply nested and broken pages take time in
+proportion to their length.
 """
 
 from __future__ import annotations
 
 import html as entities
 import re
+from collections import Counter, defaultdict
 from urllib.parse import urlsplit
 
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -31,14 +35,14 @@ from flowlens.llm.common import batch, prepare, written
 #: Hosts whose winning paths may be broadcast; more are joined by a shuffle.
 BROADCAST_HOSTS = 20_000
 
-_TAG = re.compile(r"<!--.*?(?:-->|$)|<([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>"
-                  r"|</([a-zA-Z][^\s>]*)[^>]*>|<[!?][^>]*>", re.S)
+_OPEN = re.compile(r"<([a-zA-Z][^\s/>]*)|</([a-zA-Z][^\s>]*)|<!--|<[!?]")
+_STOP = re.compile(r"[>\"']")
 _ATTR = re.compile(r"""([a-zA-Z-]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
 #: Elements whose content is not text, or not of the article.
 _RAW = {"script", "style", "noscript", "template", "textarea", "svg", "iframe", "object",
-        "canvas", "math", "title", "xmp"}
+        "canvas", "title", "xmp", "annotation", "annotation-xml"}
 _JUNK_TAGS = {"nav", "aside", "footer", "form", "button", "select", "dialog", "menu", "head",
-              "label", "input", "fieldset", "option"}
+              "input", "fieldset", "option"}
 _JUNK_ROLES = {"navigation", "banner", "contentinfo", "complementary", "search", "dialog",
                "alert", "alertdialog", "menu", "menubar", "form"}
 _JUNK_WORDS = {
@@ -51,6 +55,19 @@ _JUNK_WORDS = {
     "breadcrumbs", "menu", "nav", "navbar", "navigation", "footer", "masthead", "toolbar",
     "pagination", "pager", "skip"}
 _HEAD_WORDS = {"header", "topbar"}
+#: Inside an article a name is junk only if all its parts are such words or these.
+_PLAIN_PARTS = {"", "area", "bar", "block", "body", "bottom", "box", "button", "buttons", "card", "cards",
+                "container", "content", "form", "group", "icons", "inner", "item", "items", "label",
+                "left", "link", "links", "list", "main", "media", "module", "outer", "page", "panel",
+                "post", "posts", "articles", "stories", "right", "row", "section", "site", "slot",
+                "small", "text", "thread", "title", "top", "unit", "user", "wrap", "wrapper"}
+#: A section of an article is junk only by these words.
+_SECTION_WORDS = {"ad", "ads", "advert", "adverts", "advertisement", "advertising", "sponsored",
+                  "comment", "comments", "commentlist", "respond", "disqus", "replies"}
+#: Inside an article no name makes these junk: headings, paragraphs, marked-up words.
+_TEXT_TAGS = {"h1", "h2", "h3", "h4", "h5", "h6", "p", "code", "kbd", "samp", "var", "em", "strong",
+              "b", "i", "u", "a", "sup", "sub", "abbr", "cite", "q", "mark", "time", "dfn", "pre",
+              "blockquote", "td", "th", "tr", "table", "tbody", "thead", "dt", "dd", "dl"}
 _CONTAINERS = {"article", "main", "section", "div", "td", "body", "center", "blockquote"}
 _BLOCKS = _CONTAINERS | {
     "html", "header", "p", "h1", "h2", "h3", "h4", "h5", "h6", "ul", "ol", "li", "dl", "dt", "dd",
@@ -69,8 +86,8 @@ _LAYOUT_WORDS = {"no", "not", "non", "without", "with", "has", "free", "open", "
 _COMMENT_WORDS = {"comment", "comments", "commentlist", "respond", "disqus", "discussion",
                   "replies", "reply"}
 #: Raw elements that may be left unclosed without swallowing the page.
-_NESTED_RAW = {"svg", "math", "object", "canvas"}
-_FOREIGN = {"svg", "math"}
+_NESTED_RAW = {"svg", "object", "canvas"}
+_FOREIGN = {"svg"}
 _BREAK_OUT = re.compile(r"<foreignobject|<(article|main|section|blockquote|body|center|dd|div|dl|dt"
                         r"|h[1-6]|hr|li|ol|p|pre|table|ul)(?=[\s/>])", re.I)
 #: An element with a junk name and no article is kept if it holds this many
@@ -83,23 +100,19 @@ _DECAY = 0.7
 
 class Element:
     """``hard``: left out for sure, like everything below it; ``soft``: left
-    out by its name, unless it turns out to hold the page's text."""
+    out by its name, unless it turns out to hold the page's text.  ``order``
+    numbers elements as they open, ``last`` is the largest number below."""
 
-    __slots__ = ("tag", "path", "up", "hard", "soft", "inside", "score", "order", "comments")
+    __slots__ = ("tag", "path", "up", "hard", "soft", "inside", "score", "order", "last", "comments",
+                 "junk", "outer", "main", "article", "size", "filled", "below", "blocks")
 
     def __init__(self, tag, path, up, hard, soft, inside, order, comments=False):
         self.tag, self.path, self.up, self.hard, self.soft = tag, path, up, hard, soft
         self.inside, self.score, self.order, self.comments = inside, 0.0, order, comments
+        self.last, self.below, self.blocks = order, [], []
 
-    def chain(self):
-        e = self
-        while e is not None:
-            yield e
-            e = e.up
-
-    @property
-    def junk(self) -> bool:
-        return self.hard or any(e.soft for e in self.chain())
+    def holds(self, e: "Element") -> bool:
+        return self.order <= e.order <= self.last
 
 
 def _attributes(text: str) -> dict[str, str]:
@@ -117,19 +130,27 @@ def _is_hard(tag: str, attrs: dict[str, str], inside: bool) -> bool:
 
 def _names(tag: str, attrs: dict[str, str], inside: bool) -> set[str]:
     """Words of class and id that make an element junk.  A name that only says
-    how a page is laid out (no-sidebar, nav-open) says nothing of its content."""
-    if tag in ("article", "main", "body", "html"):
+    how a page is laid out (no-sidebar, nav-open) says nothing of its content.
+    Inside an article a name counts whole: related-posts is junk, related-work
+    is not; sections are judged by few words, headings and text by none."""
+    if tag in ("article", "main", "body", "html") or inside and tag in _TEXT_TAGS:
         return set()
+    known = _JUNK_WORDS if inside else _JUNK_WORDS | _HEAD_WORDS
+    if inside and tag == "section":
+        known = _SECTION_WORDS
     found = set()
     for name in f"{attrs.get('class', '')} {attrs.get('id', '')}".lower().split():
-        parts = set(_PARTS.split(name))
-        if not parts & _LAYOUT_WORDS:
-            found |= parts
-    return found & (_JUNK_WORDS if inside else _JUNK_WORDS | _HEAD_WORDS)
+        parts = set(_PARTS.split(_DIGITS.sub("", name)))
+        if not parts & _LAYOUT_WORDS and (not inside or parts <= known | _JUNK_WORDS | _PLAIN_PARTS):
+            found |= parts & known
+    return found
 
 
-def _raw_end(page: str, tag: str, pos: int, closed: bool) -> int:
-    """Where the content of a raw element ends that starts at ``pos``."""
+def _raw_end(page: str, tag: str, pos: int, closed: bool, unclosed: set[str]) -> int:
+    """Where the content of a raw element ends that starts at ``pos``; tags
+    found without an end are noted in ``unclosed`` and not looked for again."""
+    if tag in unclosed:
+        return pos
     if tag not in _NESTED_RAW:
         close = re.compile(rf"</{re.escape(tag)}\s*>", re.I).search(page, pos)
         return close.end() if close else len(page)
@@ -144,6 +165,8 @@ def _raw_end(page: str, tag: str, pos: int, closed: bool) -> int:
         if not depth:
             end = m.end()
             break
+    if end is None:
+        unclosed.add(tag)
     if tag in _FOREIGN:  # a block of the page ends a drawing that was not closed
         out = _BREAK_OUT.search(page, pos, len(page) if end is None else end)
         if out and out[1]:
@@ -151,14 +174,51 @@ def _raw_end(page: str, tag: str, pos: int, closed: bool) -> int:
     return pos if end is None else end
 
 
+def tags(page: str):
+    """(start, stop, opening tag, its attributes, closing tag) of the markup in
+    one pass.  A quote that is never closed is a character like any other; once
+    a tag has no end outside quotes, quotes no longer count."""
+    pos, quoted, missing = 0, True, set()
+    while m := _OPEN.search(page, pos):
+        start, pos = m.start(), m.end()
+        if m[0] == "<!--":
+            end = page.find("-->", pos)
+            pos = len(page) if end < 0 else end + 3
+            yield start, pos, "", "", ""
+            continue
+        end, at = -1, pos
+        while m[1] and quoted:
+            stop = _STOP.search(page, at)
+            if not stop or stop[0] == ">":
+                end = stop.start() if stop else -1
+                quoted = stop is not None
+                break
+            at = stop.end()
+            if stop[0] not in missing:
+                close = page.find(stop[0], at)
+                if close < 0:
+                    missing.add(stop[0])
+                else:
+                    at = close + 1
+        if end < 0:
+            end = page.find(">", pos)
+        if end < 0:  # no tag ends any more
+            return
+        jump = yield start, end + 1, (m[1] or "").lower(), page[pos:end] if m[1] else "", \
+            (m[2] or "").lower()
+        pos = jump or end + 1
+
+
 def parse(page: str) -> tuple[list[Element], list[tuple[Element, str, int]]]:
-    """Containers, and the text blocks in page order as (innermost element,
-    raw text, characters in links)."""
+    """All elements that are blocks or left out, in the order they open, and
+    the text blocks in page order as (innermost element, raw text, characters
+    in links)."""
     root = Element("", "", None, False, False, False, 0)
-    found, blocks, stack = [], [], [root]
+    found, blocks, stack = [root], [], [root]
+    depth: Counter = Counter()  # open elements by tag
+    unclosed: set[str] = set()
     buffer: list[str] = []
     linked, in_link = 0, 0
-    pos = 0
 
     def flush():
         nonlocal linked
@@ -169,27 +229,38 @@ def parse(page: str) -> tuple[list[Element], list[tuple[Element, str, int]]]:
             buffer.clear()
         linked = 0
 
-    while True:
-        m = _TAG.search(page, pos)
-        piece = page[pos:m.start()] if m else _CUT_OFF.sub("", page[pos:])
+    def pop():
+        e = stack.pop()
+        depth[e.tag] -= 1
+        e.last = len(found) - 1
+
+    def add(piece):
+        nonlocal linked
         if piece:
             buffer.append(piece)
             if in_link:
                 linked += len(piece)
-        if not m:
+
+    source, jump, pos = tags(page), None, 0
+    while True:
+        try:
+            start, stop, tag, inner, end = source.send(jump)
+        except StopIteration:
+            add(_CUT_OFF.sub("", page[pos:]))
             break
-        pos = m.end()
-        tag, end = (m[1] or "").lower(), (m[3] or "").lower()
+        jump = None
+        add(page[pos:start])
+        pos = stop
         if tag in _RAW:
-            pos = _raw_end(page, tag, pos, m[2].endswith("/"))
+            jump = pos = _raw_end(page, tag, pos, inner.endswith("/"), unclosed)
         elif tag == "a":
             in_link = 1
         elif end == "a":
             in_link = 0
         elif tag == "br":
             buffer.append(" ")
-        elif tag and (tag in _BLOCKS or " class" in m[2] or " id" in m[2] or " role" in m[2]):
-            attrs = _attributes(m[2]) if m[2] else {}
+        elif tag and (tag in _BLOCKS or " class" in inner or " id" in inner or " role" in inner):
+            attrs = _attributes(inner) if inner else {}
             up = stack[-1]
             if tag not in _BLOCKS and not _names(tag, attrs, up.inside) and (
                     up.hard or not _is_hard(tag, attrs, up.inside)):
@@ -199,25 +270,30 @@ def parse(page: str) -> tuple[list[Element], list[tuple[Element, str, int]]]:
                 closes = _CLOSES.get(tag, ()) if tag in _CLOSES else (
                     {"p"} if stack[-1].tag == "p" else ())
                 while stack[-1].tag in closes:
-                    stack.pop()
+                    pop()
                 up = stack[-1]
             names = _names(tag, attrs, up.inside)
             if tag in _VOID:
                 continue
             name = ".".join([tag, *sorted(set(_DIGITS.sub("#", attrs.get("class", "")
                                                           .lower()).split()))])
-            e = Element(tag, f"{up.path}/{name}", up, up.hard or _is_hard(tag, attrs, up.inside),
-                        bool(names), up.inside or tag in ("article", "main"), len(found),
+            # the path as a chained hash: its length does not grow with the depth
+            e = Element(tag, xxhash.xxh64_hexdigest(f"{up.path}/{name}"), up,
+                        up.hard or _is_hard(tag, attrs, up.inside), bool(names),
+                        up.inside or tag in ("article", "main"), len(found),
                         bool(names & _COMMENT_WORDS))
+            found.append(e)
+            up.below.append(e)
             stack.append(e)
-            if tag in _CONTAINERS and not e.hard:
-                found.append(e)
-        elif end and any(e.tag == end for e in stack[1:]):
+            depth[tag] += 1
+        elif end and depth[end] > 0:
             flush()
             while stack[-1].tag != end:
-                stack.pop()
-            stack.pop()
+                pop()
+            pop()
     flush()
+    while stack:
+        pop()
     return found, blocks
 
 
@@ -225,32 +301,39 @@ def clean(raw: str) -> str:
     return " ".join(entities.unescape(raw).split())
 
 
-def _keep_wrappers(blocks: list[tuple[Element, str, float]]) -> None:
+def _keep_wrappers(found: list[Element], blocks: list[tuple[Element, str, float]]) -> None:
     """Take back ``soft`` of elements that hold the page's text: a main; an
     article and more text than is left without; or most of the text.  Comments
-    only if they hold a main, or an article and nothing is left without."""
-    while True:
-        outside, inside, holds = 0.0, {}, {}
-        for e, _, weight in blocks:
-            soft, tags = None, set()
-            seen = set()
-            for up in e.chain():
-                seen.add(up.tag)
-                if up.soft:
-                    soft, tags = up, set(seen)
-            if soft is None:
-                outside += max(weight, 0)
-            else:
-                inside[soft] = inside.get(soft, 0) + max(weight, 0)
-                holds.setdefault(soft, set()).update(tags)
-        changed = False
-        for e, size in inside.items():
-            article = "article" in holds[e]
-            if "main" in holds[e] or (article and not outside and size if e.comments else
-                                      size > outside * (1 if article else _MOST)):
-                e.soft, changed = False, True
-        if not changed:
-            return
+    only if they hold a main, or an article and nothing is left without.
+
+    From the outermost inwards; the text left without only grows, so an element
+    that stays soft is not looked at again."""
+    for e in found:
+        e.size, e.filled, e.main, e.article = 0.0, False, False, False
+    for e, _, weight in blocks:
+        e.size, e.filled = e.size + max(weight, 0), True
+    for e in reversed(found):
+        e.main |= e.filled and e.tag == "main"
+        e.article |= e.filled and e.tag == "article"
+        if (up := e.up) is not None:
+            up.size, up.filled = up.size + e.size, up.filled or e.filled
+            up.main, up.article = up.main or e.main, up.article or e.article
+    nested = defaultdict(list)  # soft elements by the nearest soft element around them
+    for e in found:
+        e.outer = e.up.outer if e.up is not None else None
+        if e.soft:
+            nested[e.outer].append(e)
+            e.outer = e
+    new = nested[None]
+    outside = found[0].size - sum(e.size for e in new)
+    while new:
+        kept = [e for e in new if e.main or (
+            e.article and not outside and e.size > 0 if e.comments else
+            e.size > outside * (1 if e.article else _MOST))]
+        for e in kept:
+            e.soft = False
+            outside += e.size - sum(x.size for x in nested[e])
+        new = [x for e in kept for x in nested[e]]
 
 
 def scored(page: str):
@@ -259,23 +342,23 @@ def scored(page: str):
     texts = [(e, clean(raw), linked) for e, raw, linked in blocks if not e.hard]
     texts = [(e, text, len(text) - 1.5 * min(linked, len(text))) for e, text, linked in texts
              if text]
-    if any(e.soft for b in texts for e in b[0].chain()):
-        _keep_wrappers(texts)
-    found = [e for e in found if not e.junk]
+    if any(e.soft for e in found):
+        _keep_wrappers(found, texts)
+    for e in found:
+        e.junk = e.hard or e.soft or (e.up is not None and e.up.junk)
     kept = []
     for e, text, weight in texts:
-        if e.junk:
-            continue
-        kept.append((e, text, weight))
-        part, up = 1.0, e
-        while up is not None:
-            if up.tag in _CONTAINERS:
-                up.score += weight * part
-                part *= _DECAY
-            up = up.up
-    for e in found:
+        if not e.junk:
+            kept.append((e, text, weight))
+            e.score += weight
+            e.blocks.append((e, text, weight))
+    for e in reversed(found):  # from below: a container passes on a part of its score
+        if e.up is not None:
+            e.up.score += e.score * (_DECAY if e.tag in _CONTAINERS else 1.0)
+    containers = [e for e in found if e.tag in _CONTAINERS and not e.junk]
+    for e in containers:
         e.score *= _GOOD.get(e.tag, 1.0)
-    return found, kept
+    return containers, kept
 
 
 def best_container(found: list[Element], path: str | None = None) -> Element | None:
@@ -283,26 +366,55 @@ def best_container(found: list[Element], path: str | None = None) -> Element | N
     return max(own, key=lambda e: (e.score, -e.order), default=None)
 
 
+def _blocks_below(e: Element, but: Element | None):
+    """Kept blocks in ``e`` that are not in ``but``, each visited once."""
+    todo = [e]
+    while todo:
+        x = todo.pop()
+        if x is not but:
+            yield from x.blocks
+            todo += x.below
+
+
+def _several_articles(e: Element) -> bool:
+    """Whether the main around article ``e`` holds other articles beside it,
+    each more text than links."""
+    if e.up is None or e.up.tag != "main":
+        return False
+    others = [x for x in e.up.below if x.tag == "article" and x is not e and not x.junk]
+    sums = [(sum(w for _, _, w in _blocks_below(x, None)), sum(len(t) for _, t, _ in _blocks_below(x, None)))
+            for x in others]
+    return any(size for _, size in sums) and all(w >= size / 2 for w, size in sums)
+
+
 def whole(e: Element | None, kept: list[tuple[Element, str, float]]) -> Element | None:
     """The element that holds the whole article of which ``e`` is a part: the
-    nearest article or main, else the highest container all of whose text
-    beside ``e`` is that of headings, paragraphs, sections or the like, with
-    few links; of the body only what stands directly in it counts."""
+    nearest article (or the main, if that holds several) or main, else the
+    highest container all of whose text beside ``e`` is that of headings,
+    paragraphs, sections or the like, with few links; of the body only what
+    stands directly in it counts."""
     if e is None:
         return None
-    for up in e.chain():
+    up = e
+    while up is not None:
+        if up.tag == "article" and _several_articles(up):
+            return up.up
         if up.tag in ("article", "main"):
             return up
-    top, up = e, e.up
+        up = up.up
+    top, seen, up = e, e, e.up
+    pending = []  # blocks beside the article so far
     while up is not None and up.tag not in ("", "html"):
-        added = [b for b in kept if up in (c := list(b[0].chain())) and top not in c]
-        if any(w < len(t) / 2 or b.tag in ("div", "body", "center", "header", "")
-               or up.tag == "body" and (b.up is not up or b.tag not in _HEADINGS | {"p"})
-               for b, t, w in added):
+        new = list(_blocks_below(up, seen))
+        pending += new
+        if any(w < len(t) / 2 or b.tag in ("div", "body", "center", "header", "") for b, t, w in new):
             break
-        if added and up.tag in _CONTAINERS:
-            top = up
-        up = up.up
+        if up.tag == "body" and any(b.up is not up or b.tag not in _HEADINGS | {"p"}
+                                    for b, _, _ in pending):
+            break
+        if pending and up.tag in _CONTAINERS:
+            top, pending = up, []
+        seen, up = up, up.up
     return top
 
 
@@ -316,7 +428,7 @@ def main_text(page: str | None, path: str | None) -> str:
     chosen = whole(chosen, kept)
     if chosen is None:
         return "\n\n".join(t for _, t, _ in kept)
-    return "\n\n".join(t for e, t, _ in kept if chosen in e.chain())
+    return "\n\n".join(t for e, t, _ in kept if chosen.holds(e))
 
 
 def host_of(url: str | None) -> str | None:

@@ -553,6 +553,47 @@ def test_pipeline_stages(spark):
     assert got.schema == pipe.run(spark, SF001).schema
 
 
+ARTICLE = "The article has a long text of many words. " * 20
+
+
+@pytest.mark.parametrize("part, text", [
+    ("<section id=discussion><h2>Discussion</h2><p>Kept words</p></section>", "Discussion\n\nKept words"),
+    ("<section class='social-history'><p>Kept words</p></section>", "Kept words"),
+    ("<div id='related-work'><p>Kept words</p></div>", "Kept words"),
+    ("<h2 id='cookies'>Kept words</h2>", "Kept words"),
+    ("<p><label>Kept words</label></p>", "Kept words"),
+    ("<p>If <math><mi>x</mi><mo>=</mo><mn>2</mn></math> so</p>", "If x=2 so"),
+    ("<p>The <code class=menu>menu</code> word</p>", "The menu word"),
+    ("<div class='related-posts'><a href=x>Other</a> text</div>", None),
+    ("<section class='comments'><p>A reader says</p></section>", None),
+    ("<div class='ad-slot'>Buy this</div>", None), ("<div id='comments-2'>A reader says</div>", None),
+    ("<div class='newsletter-box'>Write to us</div>", None), ("<aside>Beside</aside>", None),
+    ("<form><label>Your name</label></form>", None)])
+def test_names_inside_an_article(part, text):
+    page = f"<html><body><nav>Menu</nav><article><p>{ARTICLE}</p>{part}</article><footer>F</footer></body></html>"
+    exp = ARTICLE.strip() + ("" if text is None else "\n\n" + text)
+    assert html_extract.main_text(page, None) == exp
+
+
+def test_all_articles_of_a_main():
+    page = f"<body><main><article><p>A {ARTICLE}</p></article><article><p>B {ARTICLE}</p></article></main></body>"
+    assert html_extract.main_text(page, None) == f"A {ARTICLE}\n\nB {ARTICLE}".replace(" \n", "\n").strip()
+    cards = "<article><a href=x>Another story to read</a></article>" * 3
+    page = f"<body><main><article><p>A {ARTICLE}</p></article>{cards}</main></body>"
+    assert html_extract.main_text(page, None) == f"A {ARTICLE}".strip()
+
+
+@pytest.mark.parametrize("piece", ['<a "', "<a '\">", "<div>", "<div class=ad>x", "<svg>", "<object>x",
+                                   "<p><div><a href='", "</div ", "<!-", "<span class=ad>", "<p>x<b>"])
+def test_hostile_pages_take_time_in_proportion(piece):
+    import time
+
+    page = piece * (200_000 // len(piece))
+    start = time.process_time()
+    html_extract.main_text(page, None)
+    assert time.process_time() - start < 10
+
+
 # --- language ID and the pipeline by hand --------------------------------------------
 
 def _text_vector(text, dim=hd_langid.DIM):
