@@ -1,18 +1,16 @@
 """Byte-substring duplicates by merging shard Burrows-Wheeler orders (operator 6).
 
-Window runs are routed to shards by minimizers (``window_runs``).  In a shard
-the distinct runs (but for those of hot grams, see there) are cut into blocks; every block gets the order of its
-suffixes (what its Burrows-Wheeler transform lists) up to ``length`` bytes.
-The block orders are then merged by interleave refinement: suffixes start
-interleaved by their first symbol, and each round refines the interleave by
-the interval that the suffix one symbol on stands in, as a step of the LF
-mapping does.  Only intervals with suffixes of several blocks are refined; an
-interval of one block keeps that block's order.  The first symbols of all
-suffixes are sorted again, and only the repeats are used, not the merged order.
-A symbol stands for up to ``STEP`` bytes (a 64-bit hash of them; any fixed
-order of the alphabet will do), so 200 bytes need five rounds; the round in
-which neighbours part gives their common prefix.  Intervals left
-after the last round, and block intervals of two or more, are the repeats.
+Window runs are routed to shards by minimizers (``window_runs``), so equal
+windows always meet in one shard and no merge across shards is left to do.  In
+a shard the distinct runs (but for those of hot grams, see there) are cut into
+blocks, and each block gets its Burrows-Wheeler transform.  The transforms are
+merged by iterative interleave refinement (``merge_transforms``): it reads the
+transforms alone, sorts no suffix again, and derives the common prefix of
+neighbouring suffixes from the round in which they part.  Neighbours with
+``length`` bytes in common are the repeated intervals.
+A symbol stands for ``STEP`` bytes or fewer (a 64-bit hash of them; any fixed
+order of the alphabet will do), and a run gives one string of symbols for each
+phase, so 200 bytes need five rounds.
 
 Defined cases: a null text counts as empty (no bytes, digest of nothing);
 texts shorter than ``length`` lose nothing; matches never cross documents;
@@ -23,6 +21,8 @@ an empty table gives no rows; other columns are ignored.
 from __future__ import annotations
 
 import hashlib
+from functools import reduce
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -66,78 +66,122 @@ def _changes(*keys: np.ndarray) -> np.ndarray:
     return out
 
 
-def _grouped(rows: np.ndarray, change: np.ndarray) -> np.ndarray:
+def _tied(change: np.ndarray) -> np.ndarray:
     """The rows that are not alone in their group."""
     head = np.concatenate((change, [True]))
-    return rows[~(head[:-1] & head[1:])]
-
-
-def block_order(symbols: np.ndarray, room: np.ndarray, length: int, step: int):
-    """Suffix order of one block up to ``length`` bytes: (positions in order,
-    rank of each position, whether its window occurs twice).  ``room`` is the
-    number of bytes left in the run at each position."""
-    order = np.argsort(symbols)
-    order = order[room[order] >= step]  # whole symbols only
-    change = _changes(symbols[order])
-    rank = np.zeros(len(symbols), np.int64)
-    rank[order] = _starts(change)
-    active = _grouped(order, change)
-    for depth in range(1, length // step):
-        active = active[room[active] >= step * (depth + 1)]
-        if not len(active):
-            break
-        k1, k2 = rank[active], rank[active + step]
-        at = np.argsort(k1 * len(rank) + k2)
+    return ~(head[:-1] & head[1:])
+
+
+class Transform(NamedTuple):
+    """Burrows-Wheeler transform of one block: its sorted distinct symbols,
+    and in suffix order the symbol before each suffix (1 + its place among
+    the symbols, 0 where a string begins) and the suffix's position."""
+
+    alphabet: np.ndarray
+    before: np.ndarray
+    order: np.ndarray
+
+
+def block_transform(symbols: np.ndarray, room: np.ndarray, lead: np.ndarray,
+                    step: int) -> Transform:
+    """Transform of one block.  ``room`` and ``lead`` are the bytes of the run
+    after and before each position.  Every run gives ``step`` strings of
+    symbols, one for each phase; equal suffixes stand by position."""
+    n = len(symbols)
+    ended, whole = np.flatnonzero(room < step), np.flatnonzero(room >= step)
+    order = np.concatenate((ended, whole[np.argsort(symbols[whole])]))
+    rest = order[len(ended):]
+    change = _changes(symbols[rest])
+    code, rank = np.zeros(n, np.int64), np.zeros(n, np.int64)
+    code[rest] = np.cumsum(change)
+    rank[rest] = len(ended) + _starts(change)
+    tied = np.flatnonzero(_tied(change)) + len(ended)
+    active, depth = order[tied], 1
+    while len(active := active[room[active] >= step * depth]):
+        k1, k2 = rank[active], rank[active + step * depth]
+        at = np.argsort(k1 * n + k2)
         active, k1, k2 = active[at], k1[at], k2[at]
         outer, inner = _changes(k1), _changes(k1, k2)
-        new = k1 + _starts(inner) - _starts(outer)
-        rank[active] = new
-        active = _grouped(active, inner)
-    twice = np.zeros(len(symbols), bool)
-    twice[active[room[active] >= length]] = True
-    return order[np.argsort(rank[order], kind="stable")], rank, twice
-
-
-def merge_orders(symbols: np.ndarray, room: np.ndarray, block: np.ndarray,
-                 orders: list[np.ndarray], ranks: np.ndarray, length: int, step: int):
-    """Interleave the block orders.  Returns (positions in merged order,
-    common prefix with the position before in whole symbols, positions whose
-    window also stands in another block); prefixes are exact where neighbours
-    come from different blocks."""
-    cat = np.concatenate(orders)
-    cat = cat[np.argsort(symbols[cat], kind="stable")]  # merges sorted runs
-    n = len(cat)
-    place = np.zeros(len(symbols), np.int64)  # interval of every position
-    common = np.full(n, length // step, np.int64)
-
-    def settle(rows: np.ndarray, group: np.ndarray, base: np.ndarray):
-        """Number the groups of ``rows`` from ``base``; groups of one block
-        take that block's order.  Returns the rows still mixed."""
-        if not len(rows):
-            return rows
-        heads = np.flatnonzero(group)
-        b = block[rows]
-        mixed = np.minimum.reduceat(b, heads) != np.maximum.reduceat(b, heads)
-        mixed = mixed[np.cumsum(group) - 1]
-        inner = group | (~mixed & _changes(ranks[rows], b))
-        place[rows] = base + _starts(inner)
-        return rows[mixed]
-
-    group = _changes(symbols[cat])
-    common[group] = 0
-    active = settle(cat, group, np.zeros(n, np.int64))
-    for depth in range(1, length // step):
-        active = active[room[active] >= step * (depth + 1)]
-        if not len(active):
-            break
-        k1, k2 = place[active], place[active + step]
-        at = np.argsort(k1 * len(place) + k2, kind="stable")
+        rank[active] = k1 + _starts(inner) - _starts(outer)
+        active, depth = active[_tied(inner)], depth * 2
+    order[tied] = (rows := order[tied])[np.argsort(rank[rows] * n + rows)]
+    before = np.where(lead[order] >= step, code[np.maximum(order - step, 0)], 0)
+    return Transform(symbols[rest[change]], before, order)
+
+
+def _union(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Merge of two sorted alphabets."""
+    at = np.searchsorted(a, b)
+    new = np.ones(len(b), bool)
+    inside = at < len(a)
+    new[inside] = a[at[inside]] != b[inside]
+    return np.insert(a, at[new], b[new])
+
+
+def _dealt(codes: np.ndarray) -> np.ndarray:
+    """Rows dealt to one bucket per code, in their order: counting passes
+    over 16 bits at a time, no comparisons."""
+    at = np.argsort((codes & 0xFFFF).astype(np.uint16), kind="stable")
+    shift = 16
+    while int(codes.max(initial=0)) >> shift:
+        high = ((codes[at] >> shift) & 0xFFFF).astype(np.uint16)
+        at, shift = at[np.argsort(high, kind="stable")], shift + 16
+    return at
+
+
+def merge_transforms(blocks: list[Transform], rounds: int):
+    """Merge the transforms of blocks that follow each other, from the
+    transforms alone.  Returns (merged transform, common prefix of every
+    suffix with the one before it, in symbols and up to ``rounds``).
+
+    Dealing a transform's symbols to one bucket per symbol leads from every
+    place of its order to the place of the suffix one symbol on.  The buckets
+    of all blocks are joined by their counts alone; each is an interval, its
+    places block after block.  Every round splits the intervals by the
+    interval that the suffix one symbol on stands in, which orders them by one
+    symbol more; ties stay block after block, in block order.  An interval
+    that holds one suffix is settled.  A border first seen in round h parts
+    suffixes with h symbols in common."""
+    alphabet = reduce(_union, (b.alphabet for b in blocks))
+    before = [np.concatenate(([0], np.searchsorted(alphabet, b.alphabet) + 1))[b.before]
+              for b in blocks]
+    counts = [np.bincount(c, minlength=len(alphabet) + 1) for c in before]
+    total = np.sum(counts, axis=0)
+    free = np.cumsum(total) - total  # next place of every bucket
+    first, follow, place, base = free.copy(), [], [], 0
+    interval = []
+    for c, n_of in zip(before, counts, strict=True):
+        at = _dealt(c)
+        own = np.repeat(np.arange(len(n_of)), n_of)  # first symbol of every suffix
+        follow.append(at + base)
+        interval.append(first[own])
+        place.append(free[own] + np.arange(len(c)) - (np.cumsum(n_of) - n_of)[own])
+        free += n_of
+        base += len(c)
+    follow, interval, place = (np.concatenate(x) for x in (follow, interval, place))
+    common = np.full(base, rounds, np.int64)
+    common[first[total > 0]] = 0
+    active = np.empty(base, np.int64)
+    active[place] = np.arange(base)
+    active = active[np.repeat((total > 1) & (np.arange(len(total)) > 0), total)]
+    for depth in range(1, rounds):
+        k1, k2 = interval[active], interval[follow[active]]
+        at = np.argsort(k1 * base + k2, kind="stable")
         active, k1, k2 = active[at], k1[at], k2[at]
         outer, inner = _changes(k1), _changes(k1, k2)
+        now = k1 + np.arange(len(k1)) - _starts(outer)
+        place[active] = now
+        interval[active] = now[_starts(inner)]
         parted = inner & ~outer
-        common[(k1 + np.arange(len(k1)) - _starts(outer))[parted]] = depth
-        active = settle(active, inner, k1 - _starts(outer))
-    return cat[np.argsort(place[cat], kind="stable")], common, active[room[active] >= length]
+        if not parted.any():
+            break
+        common[now[parted]] = depth
+        active = active[_tied(inner)]
+    order, symbol = np.empty(base, np.int64), np.empty(base, np.int64)
+    order[place] = np.concatenate(
+        [b.order + at for b, at in zip(blocks, np.cumsum([0, *map(len, before[:-1])]), strict=True)])
+    symbol[place] = np.concatenate(before)
+    return Transform(alphabet, symbol, order), common
 
 
 def repeated_windows(contents: list[bytes], weights: np.ndarray, length: int,
@@ -145,27 +189,28 @@ def repeated_windows(contents: list[bytes], weights: np.ndarray, length: int,
     """For every byte of the joined contents: a window of ``length`` bytes
     that starts there occurs again in the contents, or its content has
     occurred more than once."""
-    sizes = np.array([len(c) for c in contents], dtype=np.int64)
-    data = np.frombuffer(b"".join(contents), np.uint8)
+    sizes = np.array([len(c) + 1 for c in contents], dtype=np.int64)  # one place for its end
+    data = np.frombuffer(b"".join(c + b"\0" for c in contents), np.uint8)
     ends = np.cumsum(sizes)
-    room = np.repeat(ends, sizes) - np.arange(len(data))
+    at = np.arange(len(data))
+    room = np.repeat(ends - 1, sizes) - at
+    lead = at - np.repeat(ends - sizes, sizes)
     step = step_of(length)
     symbols = symbols_of(data, step)
     found = np.repeat(weights > 1, sizes) & (room >= length)
     bounds = np.unique(np.concatenate((
         [0], np.searchsorted(ends, np.arange(block_bytes, len(data), block_bytes)) + 1,
         [len(sizes)])))
-    edges = np.concatenate(([0], ends))[bounds]
-    orders, ranks = [], np.empty(len(data), np.int64)
-    for a, b in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
-        order, rank, twice = block_order(symbols[a:b], room[a:b], length, step)
-        orders.append(order + a)
-        ranks[a:b] = rank
-        found[a:b] |= twice
-    if len(orders) > 1:
-        block = np.repeat(np.arange(len(orders)), np.diff(edges))
-        found[merge_orders(symbols, room, block, orders, ranks, length, step)[2]] = True
-    return found
+    edges = np.concatenate(([0], ends))[bounds].tolist()
+    rounds = length // step
+    merged, common = merge_transforms(
+        [block_transform(symbols[a:b], room[a:b], lead[a:b], step)
+         for a, b in zip(edges[:-1], edges[1:], strict=True)], rounds)
+    # a repeated interval: neighbours that share ``length`` bytes
+    same = common >= rounds
+    hit = merged.order[same | np.concatenate((same[1:], [False]))]
+    found[hit[room[hit] >= length]] = True
+    return found[room > 0]
 
 
 def byte_runs(length: int):

@@ -284,6 +284,39 @@ def test_merged_orders_find_repeats():
                                 for c in parts for i in range(len(c))]
 
 
+def test_merged_transform_is_the_direct_one():
+    random.seed(6)
+    for trial in range(60):
+        step = random.choice([1, 2, 5])
+        base = bytes(random.choices(b"abc", k=60))
+        parts = [base[(a := random.randrange(60)):a + random.randrange(0, 40)]
+                 for _ in range(random.randrange(1, 12))]
+        parts[-1:] = parts[:1] * random.randrange(1, 4)
+        sizes = [len(p) + 1 for p in parts]
+        data = np.frombuffer(b"".join(p + b"\0" for p in parts), np.uint8)
+        room = np.concatenate([np.arange(n)[::-1] for n in sizes])
+        lead = np.concatenate([np.arange(n) for n in sizes])
+        symbols = bwt_dedup.symbols_of(data, step)
+        whole = bwt_dedup.block_transform(symbols, room, lead, step)
+        cuts = sorted(random.sample(range(1, len(parts)), random.randrange(0, len(parts))))
+        edges = np.concatenate(([0], np.cumsum(sizes)))[[0, *cuts, len(parts)]].tolist()
+        blocks = [bwt_dedup.block_transform(symbols[a:b], room[a:b], lead[a:b], step)
+                  for a, b in zip(edges[:-1], edges[1:])]
+        for rounds in (100, 3):
+            merged, common = bwt_dedup.merge_transforms(blocks, rounds)
+            text = [tuple(symbols[i:i + room[i] - room[i] % step:step][:rounds].tolist())
+                    for i in merged.order.tolist()]
+            assert text == sorted(text)
+            shared = [next((k for k, (x, y) in enumerate(zip(a, b)) if x != y), min(len(a), len(b)))
+                      for a, b in zip(text, text[1:])]
+            parted = [k for k, a, b in zip(shared, text, text[1:]) if a != b]
+            assert parted == [c for c, a, b in zip(common[1:].tolist(), text, text[1:]) if a != b]
+            assert all(c == rounds for c, a, b in zip(common[1:].tolist(), text, text[1:]) if a == b)
+        merged = bwt_dedup.merge_transforms(blocks, 100)[0]
+        for got, exp in zip(merged, whole):
+            assert got.tolist() == exp.tolist()
+
+
 def test_mix_targets_and_takes(docs):
     got = mixing.mix_single(docs, keep=("source",)).collect()
     assert len(got) == docs.count()
