@@ -36,7 +36,10 @@ from flowlens.llm.window_runs import (
 
 GRAM = 64
 STEP = 40
-BLOCK_BYTES = 1 << 19
+#: Bytes of a block, and distinct runs of a shard: their arrays stay in the cache
+#: and under the size from which workers give memory back after every use.
+BLOCK_BYTES = 1 << 15
+GROUP_RUNS = 400
 
 
 def symbols_of(data: np.ndarray, step: int) -> np.ndarray:
@@ -92,7 +95,7 @@ def block_transform(symbols: np.ndarray, room: np.ndarray, lead: np.ndarray,
     order = np.concatenate((ended, whole[np.argsort(symbols[whole])]))
     rest = order[len(ended):]
     change = _changes(symbols[rest])
-    code, rank = np.zeros(n, np.int64), np.zeros(n, np.int64)
+    code, rank = np.zeros(n, np.int32), np.zeros(n, np.int64)
     code[rest] = np.cumsum(change)
     rank[rest] = len(ended) + _starts(change)
     tied = np.flatnonzero(_tied(change)) + len(ended)
@@ -143,30 +146,31 @@ def merge_transforms(blocks: list[Transform], rounds: int):
     that holds one suffix is settled.  A border first seen in round h parts
     suffixes with h symbols in common."""
     alphabet = reduce(_union, (b.alphabet for b in blocks))
-    before = [np.concatenate(([0], np.searchsorted(alphabet, b.alphabet) + 1))[b.before]
-              for b in blocks]
-    counts = [np.bincount(c, minlength=len(alphabet) + 1) for c in before]
-    total = np.sum(counts, axis=0)
-    free = np.cumsum(total) - total  # next place of every bucket
-    first, follow, place, base = free.copy(), [], [], 0
-    interval = []
-    for c, n_of in zip(before, counts, strict=True):
-        at = _dealt(c)
-        own = np.repeat(np.arange(len(n_of)), n_of)  # first symbol of every suffix
-        follow.append(at + base)
-        interval.append(first[own])
-        place.append(free[own] + np.arange(len(c)) - (np.cumsum(n_of) - n_of)[own])
-        free += n_of
-        base += len(c)
+    codes = [np.concatenate(([0], np.searchsorted(alphabet, b.alphabet) + 1)).astype(np.int32)
+             for b in blocks]
+    counts = [np.bincount(b.before, minlength=len(c)) for b, c in zip(blocks, codes, strict=True)]
+    total = np.zeros(len(alphabet) + 1, np.int32)
+    for c, n_of in zip(codes, counts, strict=True):
+        total[c] += n_of.astype(np.int32)
+    first = np.cumsum(total, dtype=np.int32) - total
+    free = first.copy()  # next place of every bucket
+    follow, interval, place, base = [], [], [], 0
+    for b, c, n_of in zip(blocks, codes, counts, strict=True):
+        follow.append(_dealt(b.before) + base)
+        interval.append(np.repeat(first[c], n_of))
+        own = np.cumsum(n_of) - n_of  # the bucket's first place in the block's own order
+        place.append(np.arange(len(b.order)) + np.repeat(free[c] - own, n_of))
+        free[c] += n_of.astype(np.int32)
+        base += len(b.order)
     follow, interval, place = (np.concatenate(x) for x in (follow, interval, place))
-    common = np.full(base, rounds, np.int64)
+    common = np.full(base, rounds, np.int32)
     common[first[total > 0]] = 0
     active = np.empty(base, np.int64)
     active[place] = np.arange(base)
     active = active[np.repeat((total > 1) & (np.arange(len(total)) > 0), total)]
     for depth in range(1, rounds):
         k1, k2 = interval[active], interval[follow[active]]
-        at = np.argsort(k1 * base + k2, kind="stable")
+        at = np.argsort(k1 * np.int64(base) + k2, kind="stable")
         active, k1, k2 = active[at], k1[at], k2[at]
         outer, inner = _changes(k1), _changes(k1, k2)
         now = k1 + np.arange(len(k1)) - _starts(outer)
@@ -177,10 +181,10 @@ def merge_transforms(blocks: list[Transform], rounds: int):
             break
         common[now[parted]] = depth
         active = active[_tied(inner)]
-    order, symbol = np.empty(base, np.int64), np.empty(base, np.int64)
-    order[place] = np.concatenate(
-        [b.order + at for b, at in zip(blocks, np.cumsum([0, *map(len, before[:-1])]), strict=True)])
-    symbol[place] = np.concatenate(before)
+    order, symbol = np.empty(base, np.int64), np.empty(base, np.int32)
+    starts = np.cumsum([0, *(len(b.order) for b in blocks[:-1])])
+    order[place] = np.concatenate([b.order + at for b, at in zip(blocks, starts, strict=True)])
+    symbol[place] = np.concatenate([c[b.before] for b, c in zip(blocks, codes, strict=True)])
     return Transform(alphabet, symbol, order), common
 
 
@@ -257,14 +261,16 @@ _HITS = pa.schema([("key", pa.int64()), ("chash", pa.int64()), ("windows", pa.in
 
 def repeated_spans(docs: DataFrame, length: int = 200, shard_runs: int = 5000) -> DataFrame:
     """doc_id, text, runs: list of (loc, hits); hits holds begin and end of the
-    byte spans, relative to the run's start, that repeated windows cover."""
+    byte spans, relative to the run's start, that repeated windows cover.  A
+    gram with more than ``shard_runs`` runs is hot; shards hold about
+    GROUP_RUNS runs, more where one gram has more."""
     if length < GRAM:
         raise ValueError(f"length must be at least {GRAM}")
     rows = shared_runs(
         docs, byte_runs(length),
         lambda k: k.groupBy("key").agg(F.count(F.lit(1)).alias("n_runs")).where("n_runs > 1"),
         shard_runs, "byte-runs")
-    contents = run_contents(docs, rows, byte_content(length), shard_runs)
+    contents = run_contents(docs, rows, byte_content(length), min(shard_runs, GROUP_RUNS))
 
     def search(t: pa.Table) -> pa.Table:
         data = t.column("content").to_pylist()
