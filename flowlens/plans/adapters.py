@@ -102,3 +102,24 @@ def behavior_lines(ev: DataFrame) -> DataFrame:
                        F.floor(item / 10).cast("string"), F.col("event_type"),
                        F.unix_seconds("ts").cast("string"))
     return e.select(line.alias("value"))
+
+
+def ad_click_lines(ev: DataFrame) -> DataFrame:
+    """Ad-click CSV lines; the city is quoted, as it holds a comma."""
+    line = F.concat_ws(",", "user_id", F.col("event_id") % 1000, "event_type",
+                       F.concat(F.lit('"c,'), F.pmod("user_id", F.lit(10)), F.lit('"')),
+                       F.unix_seconds("ts"))
+    return with_event_time(ev).select(line.alias("value"))
+
+
+def login_lines(ev: DataFrame) -> DataFrame:
+    """Login CSV lines; the address is made from the user."""
+    line = F.concat_ws(",", "user_id", F.concat(F.lit("10.0.0."), F.pmod("user_id", F.lit(256))),
+                       "event_type", F.unix_seconds("ts"))
+    return with_event_time(ev).select(line.alias("value"))
+
+
+def marketing_lines(ev: DataFrame) -> DataFrame:
+    """Marketing records as JSON objects."""
+    return marketing(ev).select(F.to_json(F.struct(
+        "user_id", "behavior", "channel", F.unix_millis("ts").alias("ts_ms"))).alias("value"))

@@ -21,7 +21,8 @@ from ..functions.text import ITEM_LINE, REPORT_FOOTER, REPORT_HEADER, URL_LINE
 from ..functions.time import epoch_ms
 from ..operators import approx_unique_visitors, frequency_cap, not_static
 from ..operators.windows import window_count_profile
-from ..sources.files import parse_access_log, parse_behavior_lines
+from ..sources.files import (parse_access_log, parse_ad_click_lines, parse_behavior_lines,
+                             parse_login_lines, parse_marketing_lines)
 from ..sources.tables import load_table
 from . import adapters as A
 from . import jobs as J
@@ -512,3 +513,27 @@ SELECT user_id, {ITEM} AS item_id, CAST({ITEM} // 10 AS INTEGER) AS category_id,
 FROM events""")
 def behavior_parse(spark, d):
     return parse_behavior_lines(A.behavior_lines(_ev(spark, d))).drop("ts")
+
+
+@query("ad_click_parse", """
+SELECT user_id, event_id % 1000 AS ad_id, event_type AS province,
+       'c,' || CAST(user_id % 10 AS VARCHAR) AS city, epoch_us(ts) // 1000000 AS ts_s
+FROM events""")
+def ad_click_parse(spark, d):
+    return parse_ad_click_lines(A.ad_click_lines(_ev(spark, d))).drop("ts")
+
+
+@query("login_parse", """
+SELECT user_id, '10.0.0.' || CAST(user_id % 256 AS VARCHAR) AS ip, event_type,
+       epoch_us(ts) // 1000000 AS ts_s
+FROM events""")
+def login_parse(spark, d):
+    return parse_login_lines(A.login_lines(_ev(spark, d))).drop("ts")
+
+
+@query("marketing_parse", """
+SELECT CAST(user_id AS VARCHAR) AS user_id, event_type AS behavior,
+       'ch' || CAST(user_id % 4 AS VARCHAR) AS channel, epoch_us(ts) // 1000 AS ts_ms
+FROM events""")
+def marketing_parse(spark, d):
+    return parse_marketing_lines(A.marketing_lines(_ev(spark, d))).drop("ts")

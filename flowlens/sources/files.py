@@ -85,6 +85,26 @@ def read_logins(spark: SparkSession, path: str, streaming: bool = False,
                     "ts_s", "s")
 
 
+def _parsed(lines: DataFrame, value_col: str, parse, schema, unit: str) -> DataFrame:
+    row = parse(F.col(value_col), schema.simpleString(), {"mode": "FAILFAST"}).alias("row")
+    return _with_ts(lines.select(row).select("row.*"), f"ts_{unit}", unit)
+
+
+def parse_ad_click_lines(lines: DataFrame, value_col: str = "value") -> DataFrame:
+    """S4 from lines 'user,ad,province,city,epoch_s' (fields may be quoted)."""
+    return _parsed(lines, value_col, F.from_csv, schemas.AD_CLICK, "s")
+
+
+def parse_login_lines(lines: DataFrame, value_col: str = "value") -> DataFrame:
+    """S5 from lines 'user,ip,event_type,epoch_s' (fields may be quoted)."""
+    return _parsed(lines, value_col, F.from_csv, schemas.LOGIN, "s")
+
+
+def parse_marketing_lines(lines: DataFrame, value_col: str = "value") -> DataFrame:
+    """S6 from one JSON object a line."""
+    return _parsed(lines, value_col, F.from_json, schemas.MARKETING, "ms")
+
+
 def read_marketing(spark: SparkSession, path: str, streaming: bool = False,
                    max_files_per_trigger: int | None = None) -> DataFrame:
     """MarketUserBehavior records as JSON lines (epoch ms)."""

@@ -4,7 +4,10 @@ import tempfile
 from pyspark.sql import functions as F
 
 from flowlens.operators import not_static
-from flowlens.sources import (parse_access_log, parse_behavior_lines, read_ad_clicks,
+import pytest
+
+from flowlens.sources import (parse_access_log, parse_ad_click_lines, parse_behavior_lines,
+                              parse_login_lines, parse_marketing_lines, read_ad_clicks,
                               read_behavior, read_logins, read_marketing)
 
 
@@ -20,6 +23,28 @@ def test_parse_behavior_and_access_log(spark):
     assert int(r.ts.timestamp()) == 1431857103
 
 
+def test_line_parsers_equal_file_readers(spark):
+    lines = {"ad": ['543462,1715,beijing,"a, b",1511658000', "7,8,shanghai,,1511658001"],
+             "login": ["5402,83.149.11.115,success,1558430815", "23064,66.249.3.15,fail,1558430826"],
+             "market": ['{"user_id": "u1", "behavior": "CLICK", "channel": "wechat", "ts_ms": 1511658000123}']}
+    forms = {"ad": (parse_ad_click_lines, read_ad_clicks), "login": (parse_login_lines, read_logins),
+             "market": (parse_marketing_lines, read_marketing)}
+    for name, (parse, read) in forms.items():
+        path = tempfile.mkdtemp()
+        with open(os.path.join(path, "part.txt"), "w") as f:
+            f.write("\n".join(lines[name]) + "\n")
+        got = parse(spark.createDataFrame([(x,) for x in lines[name]], "value string"))
+        exp = read(spark, path)
+        assert got.columns == exp.columns
+        assert sorted(map(repr, got.collect())) == sorted(map(repr, exp.collect()))
+
+
+def test_bad_number_fails_the_line(spark):
+    bad = spark.createDataFrame([("x,1.2.3.4,fail,1558430826",)], "value string")
+    with pytest.raises(Exception, match="MALFORMED|FAILFAST"):
+        parse_login_lines(bad).collect()
+
+
 def test_static_filter_is_segment_not_extension(spark):
     df = spark.createDataFrame([("/a.css",), ("/css",), ("/x/js",), ("/app.js",), ("/",)], "url string")
     kept = sorted(r.url for r in df.filter(not_static("url")).collect())
