@@ -12,7 +12,7 @@ materialised from the runs only where the output needs them.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -162,17 +162,55 @@ def expand_runs(runs: DataFrame, keys: Sequence[str], slide_us: int, n: int,
     return e.select(*keys, *_bounds(F.col("_e"), slide_us, n), *names)
 
 
-def window_count_profile(df: DataFrame, ts: str, size, slide=None,
-                         keys: Sequence[str] | str = ()) -> DataFrame:
-    """Per key: number of non-empty windows, largest window count and the sum
-    of squared counts — computed from the runs, without expanding windows."""
+def split_runs(df: DataFrame, ts: str, size, slide=None, keys: Sequence[str] | str = ()
+               ) -> DataFrame:
+    """Runs (keys, _from, _to, cnt) of constant count over window ends, spread
+    over blocks of time; windows are not expanded."""
     keys = _keys(keys)
-    size_us, slide_us, n = window_geometry(size, slide)
+    _, slide_us, n = window_geometry(size, slide)
     panes = (df.groupBy(*keys, pane_index(F.col(ts), slide_us).alias("_pane"))
                .agg(F.count(F.lit(1)).alias("_c")))
     deltas = delta_rows(panes, keys, [(F.col("_pane") + 1, F.col("_pane") + n,
                                        {"cnt": F.col("_c")})])
-    runs = count_runs_split(deltas, keys, ["cnt"])
+    return count_runs_split(deltas, keys, ["cnt"])
+
+
+def packed_windows(df: DataFrame, ts: str, size, slide, keys: Sequence[str] | str,
+                   span, label: Callable[[int], str]) -> DataFrame:
+    """Every window of ``split_runs``, those that end in one ``span`` as one
+    row: keys, span_start, n_windows and counts, the text ``label=cnt`` of each
+    window in order, joined by commas.  ``label`` names a window by its place
+    in the span (0, 1, …).
+
+    A run is cut at span borders, and each cut is rendered at once (its labels
+    joined by its count), so no row and no sort entry per window exists; a
+    span holds at most span / slide cuts of a key."""
+    keys = _keys(keys)
+    span_us, slide_us, per_span = window_geometry(span, slide)
+    runs = split_runs(df, ts, size, slide, keys)
+    spans = F.sequence(floor_div(F.col("_from"), per_span), floor_div(F.col("_to"), per_span))
+    cut = runs.select(*keys, "cnt", "_from", "_to", F.explode(spans).alias("_span"))
+    first = F.greatest(F.col("_from") - F.col("_span") * per_span, F.lit(0)).cast("int")
+    last = F.least(F.col("_to") - F.col("_span") * per_span, F.lit(per_span - 1)).cast("int")
+    cut = cut.select(*keys, "_span", "cnt", first.alias("_lo"), (last - first + 1).alias("_n"))
+    labels = F.split(F.lit(",".join(label(i) for i in range(per_span))), ",")  # folded to a literal
+    count = F.concat(F.lit("="), F.col("cnt").cast("string"))
+    text = F.concat(F.call_function("array_join", F.slice(labels, F.col("_lo") + 1, F.col("_n")),
+                                    F.concat(count, F.lit(","))), count)
+    pieces = F.array_sort(F.collect_list(F.struct("_lo", text.alias("text"))))
+    return cut.groupBy(*keys, "_span").agg(
+        F.sum("_n").cast("long").alias("n_windows"),
+        F.array_join(F.transform(pieces, lambda x: x["text"]), ",").alias("counts")).select(
+        *keys, F.timestamp_micros(F.col("_span") * span_us).alias("span_start"), "n_windows",
+        "counts")
+
+
+def window_count_profile(df: DataFrame, ts: str, size, slide=None,
+                         keys: Sequence[str] | str = ()) -> DataFrame:
+    """Per key: number of non-empty windows, largest window count and the sum
+    of squared counts — computed from the runs, without expanding windows."""
+    keys = _keys(keys)
+    runs = split_runs(df, ts, size, slide, keys)
     length = F.col("_to") - F.col("_from") + 1
     return runs.groupBy(*keys).agg(
         F.sum(length).alias("n_windows"), F.max("cnt").alias("max_cnt"),

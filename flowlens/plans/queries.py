@@ -18,9 +18,9 @@ from pyspark.sql import functions as F
 
 from ..functions.hashing import poly_hash
 from ..functions.text import ITEM_LINE, REPORT_FOOTER, REPORT_HEADER, URL_LINE
-from ..functions.time import epoch_ms
+from ..functions.time import epoch_ms, java_timestamp_string
 from ..operators import approx_unique_visitors, frequency_cap, not_static
-from ..operators.windows import window_count_profile
+from ..operators.windows import packed_windows, window_count_profile
 from ..sources.files import (parse_access_log, parse_ad_click_lines, parse_behavior_lines,
                              parse_login_lines, parse_marketing_lines)
 from ..sources.tables import load_table
@@ -197,13 +197,12 @@ def running_unique_visitors(spark, d):
 
 # ---------------------------------------------------------------- J7 / J8
 def _packed(rows: DataFrame, *keys: str) -> DataFrame:
-    """All windows of a job, those that end in one hour as one row: without
+    """All 1 h / 5 s windows, those that end in one hour as one row: without
     loss, and few enough rows for a driver to collect."""
-    windows = F.array_sort(F.collect_list(F.struct("window_end", "cnt")))
-    text = F.transform(windows, lambda w: F.concat(
-        F.substring(w["window_end"], 15, 5), F.lit("="), w["cnt"].cast("string")))
-    return rows.groupBy(*keys, F.substring("window_end", 1, 13).alias("hour")).agg(
-        F.count(F.lit(1)).alias("n_windows"), F.array_join(text, ",").alias("counts"))
+    packed = packed_windows(rows, "ts", "1 hour", "5 seconds", keys, "1 hour",
+                            lambda i: f"{i // 12:02d}:{i % 12 * 5:02d}")
+    return packed.select(*keys, F.substring(java_timestamp_string(F.col("span_start")), 1, 13)
+                         .alias("hour"), "n_windows", "counts")
 
 
 def _packed_sql(keys: str) -> str:
@@ -232,8 +231,8 @@ j AS (SELECT {_java_ts('(e - 720) * 5000000')} AS window_start,
              {_java_ts('e * 5000000')} AS window_end, channel, behavior, cnt FROM c)
 {_packed_sql('channel, behavior')}""")
 def market_by_channel_5s_windows(spark, d):
-    return _packed(J.marketing_by_channel(A.marketing(_ev(spark, d)), uninstall=A.UNINSTALL),
-                   "channel", "behavior")
+    m = A.marketing(_ev(spark, d)).filter(F.col("behavior") != A.UNINSTALL)
+    return _packed(m, "channel", "behavior")
 
 
 @query("market_total", f"""
@@ -306,19 +305,23 @@ p AS (SELECT coalesce(prov.n_name, 'unknown') AS province, r.ts
       FROM r LEFT JOIN prov ON r.user_id = prov.c_custkey WHERE r.n <= 2)"""
 
 
-def _by_province(spark, d, slide):
-    customer, nation = _t(spark, d, "customer"), _t(spark, d, "nation")
-    counts, _ = J.ad_clicks_by_province(
-        A.ad_clicks(_ev(spark, d)), "event_id", 2, slide=slide,
-        locate=lambda passed: A.with_province(passed, customer, nation))
-    return counts
+def _located(spark, d):
+    """Clicks that pass the cap, with their province."""
+    passed, _ = frequency_cap(A.ad_clicks(_ev(spark, d)), ["user_id", "ad_id"],
+                              [F.col("ts"), F.col("event_id")], 2)
+    located = A.with_province(passed, _t(spark, d, "customer"), _t(spark, d, "nation"))
+    return located.select("province", "ts")
 
 
 @query("ad_counts_by_province", _PROV_SQL + f""",
 c AS ({_sliding_sql('p', 'province', 900000000, 4)})
 SELECT province, {_java_ts('e * 900000000')} AS window_end, cnt FROM c""")
 def ad_counts_by_province(spark, d):
-    return _by_province(spark, d, "15 minutes")
+    customer, nation = _t(spark, d, "customer"), _t(spark, d, "nation")
+    counts, _ = J.ad_clicks_by_province(
+        A.ad_clicks(_ev(spark, d)), "event_id", 2, slide="15 minutes",
+        locate=lambda passed: A.with_province(passed, customer, nation))
+    return counts
 
 
 @query("ad_counts_by_province_5s_windows", _PROV_SQL + f""",
@@ -326,17 +329,14 @@ c AS ({_sliding_sql('p', 'province', 5000000, 720)}),
 j AS (SELECT province, {_java_ts('e * 5000000')} AS window_end, cnt FROM c)
 {_packed_sql('province')}""")
 def ad_counts_by_province_5s_windows(spark, d):
-    return _packed(_by_province(spark, d, "5 seconds"), "province")
+    return _packed(_located(spark, d), "province")
 
 
 @query("ad_counts_by_province_5s", _PROV_SQL + f""",
 c AS ({_sliding_sql('p', 'province', 5000000, 720)})
 SELECT province, {_SUMMARY_SQL} FROM c GROUP BY province""")
 def ad_counts_by_province_5s(spark, d):
-    passed, _ = frequency_cap(A.ad_clicks(_ev(spark, d)), ["user_id", "ad_id"],
-                              [F.col("ts"), F.col("event_id")], 2)
-    located = A.with_province(passed, _t(spark, d, "customer"), _t(spark, d, "nation"))
-    return window_count_profile(located.select("province", "ts"), "ts", "1 hour", "5 seconds",
+    return window_count_profile(_located(spark, d), "ts", "1 hour", "5 seconds",
                                 keys=["province"])
 
 
