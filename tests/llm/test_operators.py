@@ -10,6 +10,7 @@ import public_tokenizers
 import pytest
 import tiktoken
 import xxhash
+from pyspark.sql import functions as F
 
 from conftest import SF001
 from flowlens.llm import (
@@ -340,6 +341,258 @@ def test_flow_with_overlapping_sources():
     assert sum(max(0, sum(f.values()) - 10) for f in flow.values()) == 10
 
 
+def test_flow_is_cheapest_by_enumeration():
+    rnd = random.Random(5)
+
+    def cost(given, supply):
+        return sum((r + 1) ** 2 * min(supply[p], max(0, n - r * supply[p]))
+                   for p, n in given.items() for r in (0, 1))
+
+    for _ in range(60):
+        depth = random.choice([1, 2, 3, 7])
+        seqs = [[b"%d" % random.randrange(3) for _ in range(random.randrange(1, 15))]
+                for _ in range(6)]
+        subs = {tuple(s[i:j]) for s in seqs for i in range(len(s)) for j in range(i + 1, len(s) + 1)}
+        ask = [[b"%d" % random.randrange(4) for _ in range(10)] for _ in range(3)]
+        index = fm_dedup.FMIndex(seqs, depth)
+        for which, pos, size, _ in index.matching_statistics(index.grid(ask)):
+            for q, p, z in zip(which, pos, size):
+                n = 0
+                while n < depth and p + n < 10 and tuple(ask[q][p:p + n + 1]) in subs:
+                    n += 1
+                assert n == z
+
+
+def test_byte_dedup_brute_force(docs):
+    raw = [(r[0], (r["text"] or "").encode()) for r in docs.collect()]
+    seen = collections.Counter(t[i:i + 200] for _, t in raw for i in range(len(t) - 199))
+    exp = []
+    for d, t in raw:
+        gone = np.zeros(len(t), bool)
+        for i in range(len(t) - 199):
+            if seen[t[i:i + 200]] > 1:
+                gone[i:i + 200] = True
+        left = bytes(np.frombuffer(t, np.uint8)[~gone])
+        spans = sum(bool(g) and (i == 0 or not gone[i - 1]) for i, g in enumerate(gone))
+        exp.append((d, len(t), int(gone.sum()), spans, hashlib.sha256(left).hexdigest()))
+    assert as_rows(bwt_dedup.byte_dedup(docs)) == sorted(exp, key=repr)
+
+
+@pytest.fixture(scope="module")
+def boilerplate(spark):
+    """Passages with different text around them in every document; some
+    documents share that text, some have no id or are repeated."""
+    random.seed(12)
+    vocab = [f"v{i}" for i in range(3000)]
+    short, long = (" ".join(random.choices(vocab, k=k)) for k in (17, 70))
+    rows = []
+    for i in range(90):
+        own = [" ".join(random.choices(vocab, k=60)) for _ in range(2)]
+        near = random.choice([short, short[7:-9], long])
+        rows.append((None if i % 20 == 7 else i, f"{own[0]} {near} {own[1]} {long}"))
+    rows += [(200, rows[3][1][30:]), rows[5], rows[5], (None, rows[7][1]), (201, long)]
+    return spark.createDataFrame(rows, "doc_id long, text string")
+
+
+@pytest.mark.parametrize("op", ["substring", "byte"])
+def test_hot_grams_leave_their_shard(boilerplate, monkeypatch, op):
+    from flowlens.llm import window_runs
+
+    spans, largest = {"substring": fm_dedup.window_holders, "byte": bwt_dedup.repeated_spans}[op], []
+    module = fm_dedup if op == "substring" else bwt_dedup
+    whole = window_runs.run_contents
+
+    def spied(*args):
+        out = whole(*args)
+        largest.append(out.where("shard >= 0").groupBy("key").count().agg({"count": "max"}).first()[0])
+        return out
+
+    monkeypatch.setattr(module, "run_contents", spied)
+    check = test_substring_dedup_brute_force if op == "substring" else test_byte_dedup_brute_force
+    check(boilerplate)
+    monkeypatch.setattr(module, spans.__name__,
+                        lambda *a, **k: spans(*a, **k, shard_runs=6))
+    check(boilerplate)
+    assert largest[0] > 6 >= (largest[1] or 0)
+
+
+def test_merged_orders_find_repeats():
+    random.seed(5)
+    for trial in range(80):
+        length = random.choice([8, 16, 24, 120])
+        base = bytes(random.choices(b"ab", k=400))
+        parts = [base[(a := random.randrange(250)):a + random.randrange(4, 190)] for _ in range(9)]
+        weight = np.array(random.choices([1, 1, 2], k=9))
+        seen = collections.Counter()
+        for c, n in zip(parts, weight):
+            for i in range(len(c) - length + 1):
+                seen[c[i:i + length]] += int(n)
+        got = bwt_dedup.repeated_windows(parts, weight, length, random.choice([50, 300, 9999]))
+        assert got.tolist() == [i + length <= len(c) and seen[c[i:i + length]] > 1
+                                for c in parts for i in range(len(c))]
+
+
+def test_merged_transform_is_the_direct_one():
+    random.seed(6)
+    for trial in range(60):
+        step = random.choice([1, 2, 5])
+        base = bytes(random.choices(b"abc", k=60))
+        parts = [base[(a := random.randrange(60)):a + random.randrange(0, 40)]
+                 for _ in range(random.randrange(1, 12))]
+        parts[-1:] = parts[:1] * random.randrange(1, 4)
+        sizes = [len(p) + 1 for p in parts]
+        data = np.frombuffer(b"".join(p + b"\0" for p in parts), np.uint8)
+        room = np.concatenate([np.arange(n)[::-1] for n in sizes])
+        lead = np.concatenate([np.arange(n) for n in sizes])
+        symbols = bwt_dedup.symbols_of(data, step)
+        whole = bwt_dedup.block_transform(symbols, room, lead, step)
+        cuts = sorted(random.sample(range(1, len(parts)), random.randrange(0, len(parts))))
+        edges = np.concatenate(([0], np.cumsum(sizes)))[[0, *cuts, len(parts)]].tolist()
+        blocks = [bwt_dedup.block_transform(symbols[a:b], room[a:b], lead[a:b], step)
+                  for a, b in zip(edges[:-1], edges[1:])]
+        for rounds in (100, 3):
+            merged, common = bwt_dedup.merge_transforms(blocks, rounds)
+            text = [tuple(symbols[i:i + room[i] - room[i] % step:step][:rounds].tolist())
+                    for i in merged.order.tolist()]
+            assert text == sorted(text)
+            shared = [next((k for k, (x, y) in enumerate(zip(a, b)) if x != y), min(len(a), len(b)))
+                      for a, b in zip(text, text[1:])]
+            parted = [k for k, a, b in zip(shared, text, text[1:]) if a != b]
+            assert parted == [c for c, a, b in zip(common[1:].tolist(), text, text[1:]) if a != b]
+            assert all(c == rounds for c, a, b in zip(common[1:].tolist(), text, text[1:]) if a == b)
+        merged = bwt_dedup.merge_transforms(blocks, 100)[0]
+        for got, exp in zip(merged, whole):
+            assert got.tolist() == exp.tolist()
+
+
+def test_mix_targets_and_takes(docs):
+    got = mixing.mix_single(docs, keep=("source",)).collect()
+    assert len(got) == docs.count()
+    by = collections.defaultdict(list)
+    for r in got:
+        by[r["source"]].append(r)
+    total = sum(r["size"] for r in got)
+    assert abs(sum(v[0]["target"] for v in by.values()) - 1.5 * total) < 1e-6 * total
+    for v in by.values():
+        assert all(r["taken"] in (0, r["size"], 2 * r["size"]) for r in v)
+        assert v[0]["target"] <= 2 * v[0]["source_size"]
+        assert abs(sum(r["taken"] for r in v) - v[0]["target"]) <= max(r["size"] for r in v) / 2 + 1
+    assert as_rows(mixing.mix_single(docs)) == as_rows(mixing.mix_single(docs))
+
+
+def test_flow_with_overlapping_sources():
+    flow = mixing.cheapest_flow({("a",): 10, ("a", "b"): 10, ("b",): 10}, {"a": 25, "b": 15})
+    assert sum(f.get("a", 0) for f in flow.values()) == 25
+    assert sum(f.get("b", 0) for f in flow.values()) == 15
+    # first copies (30 words) are used up before second ones (10 words)
+    assert sum(max(0, sum(f.values()) - 10) for f in flow.values()) == 10
+
+
+def test_flow_is_cheapest_by_enumeration():
+    rnd = random.Random(5)
+
+    def cost(given, supply):
+        return sum(min(1, max(0, n - r * supply[p])) * (r + 1) ** 2 if supply[p] == 1 else
+                   sum((r + 1) ** 2 * max(0, min(supply[p], n - r * supply[p])) for r in (0, 1)) / 2
+                   for p, n in given.items() for r in (0, 1))
+
+    for _ in range(60):
+        patterns = [("a",), ("a", "b"), ("b",)]
+        supply = {p: rnd.randrange(1, 4) for p in patterns}
+        quota = {"a": rnd.randrange(0, 7), "b": rnd.randrange(0, 7)}
+        best = (-1, 0)
+        for x in range(2 * supply[("a",)] + 1):
+            for y in range(2 * supply[("b",)] + 1):
+                for u in range(2 * supply[("a", "b")] + 1):
+                    for v in range(2 * supply[("a", "b")] + 1 - u):
+                        if x + u <= quota["a"] and y + v <= quota["b"]:
+                            given = {("a",): x, ("b",): y, ("a", "b"): u + v}
+                            best = max(best, (x + y + u + v, -cost(given, supply)))
+        flow = mixing.cheapest_flow(supply, quota)
+        for s in quota:
+            assert sum(f.get(s, 0) for f in flow.values()) <= quota[s]
+        given = {p: sum(f.values()) for p, f in flow.items()}
+        assert all(n <= 2 * supply[p] for p, n in given.items())
+        assert (sum(given.values()), -cost(given, supply)) == best
+
+
+def test_flow_of_many_patterns_ends():
+    rnd = random.Random(6)
+    sources = [f"s{i:02d}" for i in range(40)]
+    supply = {tuple(sorted(rnd.sample(sources, rnd.randrange(1, 5)))): rnd.randrange(1, 10**9)
+              for _ in range(20_000)}
+    quota = {s: rnd.randrange(10**11, 10**12) for s in sources}
+    flow = mixing.cheapest_flow(supply, quota)
+    assert all(sum(f.values()) <= 2 * supply[p] for p, f in flow.items())
+    taken = {s: sum(f.get(s, 0) for f in flow.values()) for s in sources}
+    assert all(taken[s] <= quota[s] for s in sources)
+    # full: what is left unfilled only sees patterns that are used up
+    for p, f in flow.items():
+        assert sum(f.values()) == 2 * supply[p] or all(taken[s] == quota[s] for s in p)
+
+
+def mixed_by_hand(rows, copies=2):
+    """Documents (id, words, sources) laid out per pattern; (id, sources) -> taken_for."""
+    totals, sizes = collections.Counter(), collections.Counter()
+    for _, n, p in rows:
+        totals[p] += n
+        sizes.update({s: n for s in p})
+    target = mixing.source_targets(dict(sizes))
+    flow = mixing.cheapest_flow({p: n for p, n in totals.items() if n},
+                                {s: int(t) for s, t in target.items()})
+    out = collections.defaultdict(list)
+    for p, size in totals.items():
+        order = sorted((hashlib.md5(("mix-1" if i is None else f"mix-1:{i}").encode()).hexdigest(), n, i)
+                       for i, n, q in rows if q == p)
+        for _, n, i in order:
+            out[i, n, p].append([0] * len(p))
+        at, seen = 0, collections.Counter()
+        for r in range(copies):
+            at, seen = 0, collections.Counter()
+            for _, n, i in order:
+                middle2, end = 2 * (r * size + at) + n, 0
+                for j, s in enumerate(p):
+                    start, end = end, end + flow.get(p, {}).get(s, 0)
+                    # a border inside this copy belongs to what lies before it
+                    lo = max(start, r * size)
+                    hi = min(end, (r + 1) * size)
+                    if lo < hi and (middle2 > 2 * lo or lo == r * size) and middle2 <= 2 * hi:
+                        out[i, n, p][seen[i, n]][j] += n
+                        break
+                seen[i, n] += 1
+                at += n
+    return out, target
+
+
+@pytest.mark.parametrize("edge_rows", [1, 10_000])
+def test_mix_of_overlapping_sources_by_hand(spark, edge_rows):
+    rnd = random.Random(11)
+    patterns = [("a",), ("a", "b"), ("b", "c"), ("a", "b", None), (None,), ()]
+    rows = [(i, rnd.randrange(0, 30), rnd.choice(patterns)) for i in range(400)]
+    rows += [(None, 7, ("a", "b"))] * 150 + [(None, 0, ("a",)), (5, 3, ("b", "c")), (5, 3, ("b", "c"))]
+    df = spark.createDataFrame(
+        [(i, " ".join(["w"] * n), list(p), "x", 1) for i, n, p in rows],
+        "doc_id long, text string, from array<string>, order string, taken int").repartition(5)
+    got = mixing.mix_documents(df, F.col("from"), edge_rows=edge_rows).collect()
+    assert len(got) == len(rows)
+    exp, target = mixed_by_hand(rows)
+    have = collections.defaultdict(list)
+    for r in got:
+        p = tuple(r["sources"])
+        assert r["taken"] == sum(r["taken_for"]) <= 2 * r["size"]
+        assert r["targets"] == [float(target[s]) for s in p]
+        have[r["doc_id"], r["size"], p].append(r["taken_for"])
+    assert {k: sorted(v) for k, v in have.items()} == {k: sorted(v) for k, v in exp.items()}
+    # these targets exceed twice the words there are; each source gets what the flow gives it
+    totals = collections.Counter()
+    for _, n, p in rows:
+        totals[p] += n
+    flow = mixing.cheapest_flow(+totals, {s: int(t) for s, t in target.items()})
+    for s in target:
+        words = sum(r["taken_for"][r["sources"].index(s)] for r in got if s in r["sources"])
+        assert abs(words - sum(f.get(s, 0) for f in flow.values())) <= 30 * len(patterns)
+
+
 def test_search_equals_full_scoring():
     """Several shards, the best carried on from one to the next; blocks are
     skipped where documents differ in their leading words."""
