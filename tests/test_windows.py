@@ -1,8 +1,10 @@
+import datetime
+
 from pyspark.sql import functions as F
 
 from conftest import SF001, rows
 from flowlens.operators import windowed_count
-from flowlens.operators.windows import window_count_profile
+from flowlens.operators.windows import packed_windows, window_count_profile
 from flowlens.plans import adapters as A
 from flowlens.sources.tables import load_table
 
@@ -68,3 +70,19 @@ def test_window_is_half_open(spark):
     df = spark.createDataFrame([(t,), (t - 1,)], "s long").select(F.timestamp_seconds("s").alias("ts"))
     out = {r["window_end"].timestamp(): r["cnt"] for r in windowed_count(df, "ts", "1 hour").collect()}
     assert out == {t: 1, t + 3600: 1}
+
+
+def test_packed_windows_hold_every_window(spark):
+    """Runs longer than a span, several runs in one span, spans before 1970."""
+    base = datetime.datetime(1969, 12, 31, 22, 7, 1)
+    rows_in = [("a" if i % 3 else "b", base + datetime.timedelta(seconds=i * i * 7 % 20_000))
+               for i in range(60)]
+    df = spark.createDataFrame(rows_in, "k string, ts timestamp")
+    plain = {}
+    for r in windowed_count(df, "ts", "1 hour", "10 minutes", keys=["k"]).selectExpr(
+            "k", "cnt", "unix_seconds(window_end) as e").collect():
+        plain.setdefault((r["k"], r["e"] // 1800), []).append((r["e"] % 1800 // 600, r["cnt"]))
+    got = packed_windows(df, "ts", "1 hour", "10 minutes", "k", "30 minutes", "n{}".format)
+    got = got.selectExpr("k", "unix_seconds(span_start) as s", "n_windows", "counts").collect()
+    assert {(r["k"], r["s"] // 1800): (r["n_windows"], r["counts"]) for r in got} == {
+        k: (len(v), ",".join(f"n{i}={c}" for i, c in sorted(v))) for k, v in plain.items()}
