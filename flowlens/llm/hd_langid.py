@@ -18,7 +18,6 @@ rows are returned once each; columns beyond doc_id, text, lang are ignored.
 from __future__ import annotations
 
 import functools
-import re
 
 import numpy as np
 import pyarrow as pa
@@ -30,9 +29,6 @@ from flowlens.llm.common import batch, prepare
 
 DIM = 1024
 SAMPLE_PER_LANG = 4000
-#: Digits, fractions, Roman numerals and the like are word characters, not letters.
-_NUMBERS = "".join(c for c in map(chr, range(0x110000)) if c.isalnum() and not c.isalpha())
-_NO_LETTERS = re.compile(rf"[\W_{_NUMBERS}]+")
 _DENSE = 1 << 22  # up to here trigram numbers are looked up in a flat table
 
 
@@ -42,12 +38,25 @@ def _letter(code: int, dim: int) -> np.ndarray:
     return (rng.integers(0, 2, dim, dtype=np.int8) * 2 - 1).astype(np.int8)
 
 
+@functools.cache
+def _letters() -> np.ndarray:
+    """Whether each code point is a letter; digits, fractions, Roman numerals
+    and the like are not."""
+    return np.fromiter(map(str.isalpha, map(chr, range(0x110000))), bool, 0x110000)
+
+
 def _codes(text: str | None) -> np.ndarray:
     """Code points of the lower-cased letters, runs of others as one space,
     with a space at both ends; empty if there is no letter."""
-    kept = _NO_LETTERS.sub(" ", text.lower()).strip() if text else ""
-    return np.frombuffer(f" {kept} ".encode("utf-32-le", "surrogatepass"), "<u4") \
-        if kept else np.zeros(0, "<u4")
+    lower = f" {text.lower()} " if text else ""
+    codes = np.frombuffer(lower.encode("utf-32-le", "surrogatepass"), "<u4")
+    letter = _letters()[codes]
+    if not letter.any():
+        return np.zeros(0, "<u4")
+    keep = letter.copy()
+    keep[:-1] |= letter[1:]  # of a run of others its last one stays, as a space
+    keep[-1] = True
+    return np.where(letter, codes, np.uint32(ord(" ")))[keep]
 
 
 def text_vectors(texts: list[str | None], dim: int = DIM) -> np.ndarray:
