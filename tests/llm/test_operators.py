@@ -633,6 +633,51 @@ def test_search_equals_full_scoring():
     assert opened < 0.4 * blocks  # of all blocks; the rest is skipped unread
 
 
+def test_search_by_frequent_terms():
+    """Whole documents of common words as queries: a block opens for the best
+    score it holds by these words and not for the sum of each word's best."""
+    random.seed(6)
+    vocab = [f"w{i}".encode() for i in range(120)]
+    found = [random.choices(vocab, [1 / (i + 3) for i in range(120)], k=random.randrange(1, 150))
+             + [b"rare%d" % (i % 700)] for i in range(2500)] + [[b"lone"], [b"w5", b"lone"]]
+    counts = [collections.Counter(x) for x in found]
+    mean = sum(map(len, found)) / len(found)
+    df = collections.Counter(x for c in counts for x in c)
+    vocabulary = {t: i for i, t in enumerate([*df, b"missing"])}
+    names = [f.name for f in bmw_search._INDEX]
+    shards = []
+    for a in (0, 1250):
+        built = bmw_search.ShardBuilder(mean)
+        for i in range(a, 1250 if not a else len(found)):
+            built.add(found[i], i)
+        shards.append(bmw_search.ShardIndex(dict(zip(names, built.row())), vocabulary))
+    queries = [counts[i] for i in [*range(0, 2500, 50), 2500, 2501]] + [
+        collections.Counter({b"missing": 1}), collections.Counter()]
+    idf = {t: np.log(1 + (len(found) - n + .5) / (n + .5)) for t, n in df.items()} | {b"missing": 9.0}
+    asked = [(np.array([vocabulary[t] for t in q], int), np.array([n * idf[t] for t, n in q.items()]))
+             for q in queries]
+    got = []
+    for number, w in asked:
+        best = []
+        for index in shards:
+            best = index.search(number, w, 10, best)
+        got.append(best)
+    for q, best in zip(queries, got):
+        score = [(-round(s, 6), d) for d, (c, x) in enumerate(zip(counts, found)) if (s := sum(
+            n * idf[t] * c[t] * 2.2 / (c[t] + 1.2 * (.25 + .75 * len(x) / mean))
+            for t, n in q.items() if t in c))]
+        assert [d for _, d in best] == [d for _, d in sorted(score)[:10]]
+        assert np.allclose([s for s, _ in best], [s for s, _ in sorted(score)[:10]], atol=2e-6)
+    assert sum(i.opened for i in shards) < 0.6 * len(queries) * sum(i.n_blocks for i in shards)
+    # all queries at once, in groups
+    ends = np.cumsum([0] + [len(n) for n, _ in asked])
+    number, w = (np.concatenate(x) for x in zip(*asked))
+    best = [[] for _ in asked]
+    for index in shards:
+        index.search_all(number, w, ends, 10, best)
+    assert best == got
+
+
 def test_search_in_blocks_of_queries(docs):
     ask = docs.where("doc_id < 20")
     once = as_rows(bmw_search.top_k(docs, ask, k=3))
