@@ -31,7 +31,7 @@ import functools
 import hashlib
 import os
 import re
-from collections import Counter, defaultdict
+from collections import Counter
 from itertools import chain, pairwise
 
 import numpy as np
@@ -43,6 +43,7 @@ from flowlens.llm.byte_bpe import WHITE, byte_characters
 from flowlens.llm.common import batch, portions, prepare, written
 
 HOT_PAIRS = 65_536
+PART = 512  # short pieces encoded as one text
 FLUSH = 1 << 20  # irregular pairs a task holds before it adds them up
 
 DOC, VECTOR, PAIRS = 0, 1, 2
@@ -114,7 +115,7 @@ class Vocabularies:
                 other.append(p)
             else:
                 plain.append(p)
-        parts = [plain[i:i + 4096] for i in range(0, len(plain), 4096)]
+        parts = [plain[i:i + PART] for i in range(0, len(plain), PART)]
         while parts:
             part = parts.pop()
             entries = self.align_joined(part)
@@ -132,9 +133,11 @@ class Vocabularies:
         return found
 
     def align(self, piece: str) -> tuple | None:
-        """(n_a, n_b, n_groups, n_links, digest text, pairs, their occurrences)
-        of one piece as it stands in a text.  The B model adds a space itself;
-        a piece without one is encoded behind a letter."""
+        """(n_a, n_b, n_groups and n_links, digest text, pairs, their
+        occurrences) of one piece as it stands in a text, numbers as bytes of
+        longs.
+        The B model adds a space itself; a piece without one is encoded behind
+        a letter."""
         a = self.a.encode(piece, add_special_tokens=False).ids
         spaced = piece[0] == " " and len(piece) > 1
         b = self.b.encode(piece[1:]) if spaced else self.b.encode("a" + piece)[self.lead:]
@@ -160,8 +163,8 @@ class Vocabularies:
             for x, n in Counter(own_a).items():
                 for y, m in right:
                     links[x << 32 | y] += n * m
-        return (len(a), len(b), n_groups, n_links, "".join(text), tuple(links),
-                tuple(links.values()))
+        return (np.array((len(a), len(b), n_groups, n_links), np.int64).tobytes(), "".join(text),
+                *(np.fromiter(x, np.int64, len(links)).tobytes() for x in (links, links.values())))
 
     def align_joined(self, pieces: list[str]) -> list[tuple] | None:
         """``align`` of short pieces that do not end with white space, encoded
@@ -171,7 +174,7 @@ class Vocabularies:
         pieces = [" a", *pieces]
         joined = "".join(pieces)
         data = joined.encode()
-        a_list = self.a.encode(joined, add_special_tokens=False).ids
+        a_list = self.a.encode_batch_fast([joined], add_special_tokens=False)[0].ids
         b_list = self.b.encode(joined[1:])
         if b"".join(map(self.a_bytes.__getitem__, a_list)) != data or \
                 b"".join(map(self.b_bytes.__getitem__, b_list)) != data:
@@ -197,13 +200,13 @@ class Vocabularies:
         n_pairs = na * nb
         g = np.repeat(np.arange(len(cuts)), n_pairs)
         at = np.arange(len(g)) - np.repeat(np.cumsum(n_pairs) - n_pairs, n_pairs)
-        codes = (a[(to_a - na)[g] + at // nb[g]] << 32 | b[(to_b - nb)[g] + at % nb[g]]).tolist()
-        ends = [x.tolist() for x in (to_a[last], to_b[last], last + 1, np.cumsum(n_pairs)[last])]
-        out = []
-        for (a0, b0, g0, c0), (a1, b1, g1, c1) in pairwise(zip(*ends, strict=True)):
-            out.append((a1 - a0, b1 - b0, g1 - g0, c1 - c0, "".join(text[a0 + b0:a1 + b1]),
-                        tuple(codes[c0:c1]), None))
-        return out
+        codes = (a[(to_a - na)[g] + at // nb[g]] << 32 | b[(to_b - nb)[g] + at % nb[g]]).tobytes()
+        ends = (to_a[last], to_b[last], last + 1, np.cumsum(n_pairs)[last])
+        sizes = np.diff(np.stack(ends, axis=1), axis=0).tobytes()
+        word_end, code_end = (ends[0] + ends[1]).tolist(), (8 * ends[3]).tolist()
+        texts = ["".join(text[i:j]) for i, j in pairwise(word_end)]
+        return [*zip([sizes[i:i + 32] for i in range(0, len(sizes), 32)], texts,
+                     [codes[i:j] for i, j in pairwise(code_end)], [None] * len(texts), strict=True)]
 
 
 def _spelled(token: str, back: dict[str, int]) -> bytes:
@@ -219,37 +222,69 @@ def vocabularies(a_json: str, b_model: bytes) -> Vocabularies:
 
 
 def align_texts(texts: list[str | None], voc: Vocabularies) -> list[tuple]:
-    """(n_a, n_b, n_groups, n_links, digest, pairs, occurrences) of each text."""
+    """(n_a, n_b, n_groups, n_links, digest, pairs, occurrences) of each text;
+    pairs ascend.  The texts' pieces are numbered and summed as arrays."""
     cut = [voc.cut(" " + t) if t else [] for t in texts]
     found = voc.aligned(set().union(*cut))
-    return [_align_pieces(pieces, found) for pieces in cut]
-
-
-def _align_pieces(pieces: list[str], found: dict[str, tuple]) -> tuple:
-    counts = Counter(pieces)
-    if not counts:
-        return 0, 0, 0, 0, "", _NONE, _NONE
-    n_a = n_b = n_groups = n_links = 0
-    links: defaultdict[int, int] = defaultdict(int)
-    for p, k in counts.items():
-        entry = found[p]
-        if entry is None:
-            return 0, 0, 0, 0, "", _NONE, _NONE
-        a, b, groups, n, _, codes, ns = entry
-        n_a, n_b, n_groups, n_links = n_a + k * a, n_b + k * b, n_groups + k * groups, n_links + k * n
-        if ns is None:
-            for c in codes:
-                links[c] += k
-        else:
-            for c, m in zip(codes, ns, strict=True):
-                links[c] += k * m
+    number = dict(zip(found, range(len(found))))
+    entries = [e or _UNFIT for e in found.values()]
+    spelled = [e[1] for e in entries]
+    pieces = list(map(number.__getitem__, chain.from_iterable(cut)))
+    flat = np.array(pieces, np.int64)
+    ends = np.cumsum([0, *map(len, cut)])
+    unfit = np.array([e is _UNFIT for e in entries], bool)
+    fits = np.diff(np.concatenate(([0], np.cumsum(unfit[flat])))[ends]) == 0
+    digests = [_digest(pieces[i:j], spelled) if ok and i < j else ""
+               for (i, j), ok in zip(pairwise(ends.tolist()), fits.tolist(), strict=True)]
+    flat = flat[np.repeat(fits, np.diff(ends))]
+    ends = np.cumsum(np.concatenate(([0], np.where(fits, np.diff(ends), 0))))
+    # numbers of tokens, groups and links: sums over the pieces of a text
+    size = np.frombuffer(b"".join([e[0] for e in entries]), np.int64).reshape(-1, 4)
+    totals = np.concatenate((np.zeros((1, 4), np.int64), np.cumsum(size[flat], axis=0)))
+    totals = np.diff(totals[ends], axis=0).tolist()
+    return [(*t, d, *links) for t, d, links in zip(
+        totals, digests, _links(flat, ends, entries, voc), strict=True)]
+
+
+#: Entry of a piece whose bytes differ; its texts have no tokens.
+_UNFIT = (bytes(32), "", b"", None)
+
+
+def _digest(pieces: list[int], spelled: list[str]) -> str:
     sha = hashlib.sha256()
     for at in range(0, len(pieces), 65_536):  # a very long text is not joined whole
-        part = "".join([found[p][4] for p in pieces[at:at + 65_536]])
+        part = "".join(map(spelled.__getitem__, pieces[at:at + 65_536]))
         sha.update((part if at + 65_536 < len(pieces) else part[:-1]).encode())
-    n = len(links)
-    return (n_a, n_b, n_groups, n_links, sha.hexdigest(), np.fromiter(links, np.int64, n),
-            np.fromiter(links.values(), np.int64, n))
+    return sha.hexdigest()
+
+
+def _links(flat: np.ndarray, ends: np.ndarray, entries: list[tuple], voc: Vocabularies) -> list[tuple]:
+    """(pairs, occurrences) of each text, whose piece numbers stand between
+    ``ends``: the pairs of its different pieces are listed, then summed."""
+    pairs = np.frombuffer(b"".join([e[2] for e in entries]), np.int64)
+    size = np.array([len(e[2]) >> 3 for e in entries], np.int64)
+    start = np.cumsum(size) - size
+    each = np.ones(len(pairs), np.int64)
+    for i in [i for i, e in enumerate(entries) if e[3] is not None]:
+        each[start[i]:start[i] + size[i]] = np.frombuffer(entries[i][3], np.int64)
+    # the longs of a text and a pair in one: ids of B, then of A, then the text
+    of_b, of_a = len(voc.b_bytes), len(voc.a_bytes)
+    pairs = (pairs >> 32) * of_b + (pairs & 0xFFFFFFFF)
+    text = np.repeat(np.arange(len(ends) - 1), np.diff(ends))
+    keys, times = np.unique(text * max(len(entries), 1) + flat, return_counts=True)
+    text, piece = keys // max(len(entries), 1), keys % max(len(entries), 1)
+    reach = size[piece]
+    at = np.repeat(start[piece] - np.cumsum(reach) + reach, reach) + np.arange(int(reach.sum()))
+    key = np.repeat(text, reach) * (of_a * of_b) + pairs[at]
+    n = np.repeat(times, reach) * each[at]
+    order = np.argsort(key)
+    key, n = key[order], n[order]
+    first = np.flatnonzero(np.append(True, key[1:] != key[:-1])[:len(key)])
+    key, n = key[first], np.add.reduceat(n, first) if len(n) else n
+    text, pair = key // (of_a * of_b), key % (of_a * of_b)
+    codes = pair // of_b << 32 | pair % of_b
+    bounds = np.searchsorted(text, np.arange(len(ends))).tolist()
+    return [(codes[i:j], n[i:j]) for i, j in pairwise(bounds)]
 
 
 _NONE = np.zeros(0, np.int64)

@@ -134,6 +134,28 @@ def test_pieces_align_like_whole_texts():
         assert dict(zip(got[5].tolist(), got[6].tolist())) == exp[5], t
 
 
+def test_texts_of_a_batch_are_summed_together():
+    """More pieces than are encoded at once, repeats, pieces with pairs that
+    occur more than once, and texts without tokens between the others; pairs
+    come summed in ascending order."""
+    voc = token_align.Vocabularies(A_JSON, B_MODEL)
+    random.seed(3)
+    words = ["".join(random.choices("etaoinsré", k=random.randrange(1, 12))) for _ in range(1500)]
+    long = "na" * 60 + " " + "!?" * 40
+    texts = [" ".join(random.choices(words, k=random.randrange(1, 400))) for _ in range(40)]
+    texts = ["\u2460 no", *texts[:20], None, "a\u2581b " + texts[0], "", long + " " + texts[1], *texts, long]
+    for _ in range(2):  # the second time all pieces are remembered
+        empty = 0
+        for t, got in zip(texts, token_align.align_texts(texts, voc), strict=True):
+            exp = _whole_text(voc, t)
+            assert got[:5] == exp[:5], t
+            assert list(zip(got[5].tolist(), got[6].tolist())) == sorted(exp[5].items()), t
+            empty += not got[0]
+        assert empty >= 2
+    assert token_align.align_texts([None, ""], voc)[1][:5] == (0, 0, 0, 0, "")
+    assert token_align.align_texts([], voc) == []
+
+
 @pytest.mark.parametrize("hot", [token_align.HOT_PAIRS, 3, 0])
 def test_alignment_brute_force(spark, hot):
     """0 and 3: all pairs, or nearly, meet their counts in the join."""
