@@ -104,17 +104,15 @@ class Vocabularies:
         short ones are remembered in two generations."""
         if len(self.known) > limit:
             self.old, self.known = self.known, {}
-        known, old, found = self.known, self.old, {}
-        plain, other = [], []
-        for p in pieces:
-            if p in known:
-                found[p] = known[p]
-            elif p in old:
-                found[p] = known[p] = old[p]
-            elif len(p) > longest or p[-1] in self.white:
-                other.append(p)
-            else:
-                plain.append(p)
+        known, old = self.known, self.old
+        missing = pieces.difference(known)
+        back = missing.intersection(old)
+        known.update(zip(back, map(old.__getitem__, back)))
+        missing -= back
+        there = pieces - missing
+        found = dict(zip(there, map(known.__getitem__, there)))
+        other = [p for p in missing if len(p) > longest or p[-1] in self.white]
+        plain = list(missing.difference(other))
         parts = [plain[i:i + PART] for i in range(0, len(plain), PART)]
         while parts:
             part = parts.pop()
