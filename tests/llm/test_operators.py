@@ -3,10 +3,12 @@
 import collections
 import hashlib
 import random
+from urllib.parse import unquote, urlparse
 
 import duckdb
 import numpy as np
 import public_tokenizers
+import pyarrow.parquet as pq
 import pytest
 import tiktoken
 import xxhash
@@ -678,6 +680,64 @@ def test_search_by_frequent_terms():
     assert best == got
 
 
+@pytest.mark.parametrize("most", [3, 300, 70_000])
+def test_search_index_row_is_compact(most):
+    """A row holds a few bytes a posting, whose counts take 1, 2 or 4 bytes."""
+    random.seed(most)
+    vocab = [b"word%d" % i for i in range(400)]
+    found = [random.sample(vocab, 120) + [b"often"] * (1 if i else most) for i in range(300)]
+    built = bmw_search.ShardBuilder(130.)
+    for i, x in enumerate(found):
+        built.add(x, 1000 + i)
+    row = dict(zip([f.name for f in bmw_search._INDEX], built.row()))
+    postings, blocks = 300 * 121, 401 * 5
+    width = {3: 1, 300: 2, 70_000: 4}[most]
+    assert len(row["tf"]) == width * postings
+    assert sum(map(len, row.values())) < (2 + width) * postings + 16 * 300 + 8 * 401 + len(
+        row["terms"]) + 4 * blocks
+    terms = row["terms"].split(b"\n")
+    index = bmw_search.ShardIndex(row, {t: i for i, t in enumerate(terms)})
+    where = {d: i for i, d in enumerate(index.ids.tolist())}
+    for n, t in enumerate(terms):
+        hold = {where[1000 + i]: x.count(t) * 2.2 / (x.count(t) + 1.2 * (.25 + .75 * len(x) / 130.))
+                for i, x in enumerate(found) if t in x}
+        got = {}
+        for e in range(index.entry[n], index.entry[n + 1]):
+            at = slice(index.start[e], index.start[e + 1])
+            assert set(index.doc[at] // bmw_search.BLOCK) == {index.block[e]}
+            assert 0 <= index.top[e] - index.impact[at].max() < 1e-6
+            got |= dict(zip(index.doc[at].tolist(), index.impact[at].tolist()))
+        assert got == pytest.approx(hold)
+
+
+def test_search_holds_one_row_and_one_block(docs, monkeypatch):
+    """The index's row groups are bounded by bytes and a block's terms leave the
+    executors when it is answered; the session's settings stay."""
+    index, gone = [], []
+    real, destroy = bmw_search.written, bmw_search.Broadcast.destroy
+
+    def written(df, name, **options):
+        out = real(df, name, **options)
+        index.extend(out.inputFiles() if name == "index" else [])
+        return out
+
+    monkeypatch.setattr(bmw_search, "written", written)
+    monkeypatch.setattr(bmw_search.Broadcast, "destroy",
+                        lambda self, *a: (gone.append(self), destroy(self, *a)))
+    monkeypatch.setitem(bmw_search._PARQUET, "parquet.block.size", "2048")
+    keys = ("spark.sql.execution.arrow.maxRecordsPerBatch", "spark.sql.parquet.columnarReaderBatchSize")
+    before = [docs.sparkSession.conf.get(k) for k in keys[1:]]
+    ask = docs.where("doc_id < 20")
+    rows = as_rows(bmw_search.top_k(docs.coalesce(1), ask, k=3, shard_docs=20, block_terms=100))
+    assert [docs.sparkSession.conf.get(k) for k in keys[1:]] == before
+    assert docs.sparkSession.conf.get(keys[0]) != "1"
+    assert len(gone) > 1
+    meta = [pq.ParquetFile(unquote(urlparse(f).path)).metadata for f in index]
+    assert sum(m.num_row_groups for m in meta) > len(meta)
+    assert rows == as_rows(bmw_search.top_k(docs, ask, k=3))
+    assert as_rows(bmw_search.top_k(docs, ask.where("false"), k=3)) == []
+
+
 def test_search_in_blocks_of_queries(docs):
     ask = docs.where("doc_id < 20")
     once = as_rows(bmw_search.top_k(docs, ask, k=3))
